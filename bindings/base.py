@@ -42,6 +42,7 @@ class Inputs:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         text = FRAMES[name]
         used = {n: getattr(self, n) for n in names_in(text)}
+        text = text.replace("{", "{{").replace("}", "}}")
         for n in used:
             text = re.sub(rf"\b(FROM|JOIN) {n}\b", rf"\1 {{{n}}}", text)
         return self.spark.sql(text, **used)
