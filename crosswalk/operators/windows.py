@@ -129,13 +129,16 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of a without a partner in b. NULL keys have no partner."""
-    return a.join(b.select(*keys), list(keys), "left_anti")
+    """Rows of a without a partner in b. NULL keys have no partner.
+
+    The keys of b are made distinct first: copies of a frequent key are dropped before the shuffle.
+    """
+    return a.join(b.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def intersection(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of a with a partner in b."""
-    return a.join(b.select(*keys), list(keys), "left_semi")
+    return a.join(b.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def rank_counts(df: DataFrame, value: str, at_least: object) -> DataFrame:
