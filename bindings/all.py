@@ -1,3 +1,3 @@
 """Import every module of queries so that they register."""
 
-from bindings import frames, b_sources, b_filters, b_windows, b_reconcile, b_match  # noqa: F401
+from bindings import frames, b_sources, b_filters, b_windows, b_reconcile, b_match, b_history  # noqa: F401

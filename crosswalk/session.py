@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Shuffle partitions start high and AQE merges small ones, so one value serves
 # both a laptop and a large cluster; skewed join partitions are split at run time.
@@ -48,3 +48,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="crosswalk-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several later steps read, and go on from the files.
+
+    The table lies in the shared scratch folder, so losing executors does not lose it, and the plans of the later
+    steps start at a scan instead of repeating everything before it.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
