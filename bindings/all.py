@@ -1,3 +1,5 @@
-"""Import every module of queries so that they register."""
+"""Import the input frames and then every module of queries, so that they register."""
 
-from bindings import frames, b_sources, b_filters, b_windows, b_reconcile, b_match, b_history  # noqa: F401
+from bindings import frames  # noqa: F401  isort: skip
+from bindings import b_checks, b_dashboards, b_filters, b_history, b_match, b_plans  # noqa: F401
+from bindings import b_reconcile, b_reports, b_sources, b_streaming, b_windows  # noqa: F401

@@ -110,3 +110,48 @@ SELECT p_partkey AS id, upper(p_name) AS full_name,
   '(555) 12-' || CAST(p_size AS STRING) AS phone, p_brand AS site
 FROM part
 """)
+
+# Applicants, their submissions by channel with review results, and identity checks.
+frame("applicant", """
+SELECT o.o_orderkey AS applicant_id, o.o_custkey AS entity_id, c.c_nationkey AS place_id, o.o_orderdate AS submitted_at, o.o_orderdate AS created_at
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+""")
+
+frame("submission", """
+SELECT l_orderkey AS applicant_id, l_partkey AS submission_id, l_shipdate AS created_at, l_suppkey AS check_id,
+  CASE l_returnflag WHEN 'A' THEN 'BANK_LINKING' WHEN 'R' THEN 'CONNECTED_PAYROLL' ELSE 'DOCUMENT_UPLOAD' END AS source_type,
+  CASE WHEN l_quantity > 40 THEN 'ACCEPTED' WHEN l_quantity < 10 THEN 'REJECTED' ELSE 'PENDING' END AS income_status,
+  CASE WHEN l_quantity < 10 THEN 'income reason ' || CAST(l_linenumber AS STRING) END AS income_reason,
+  CASE WHEN l_extendedprice > 80000 THEN 'ACCEPTED' WHEN l_extendedprice < 20000 THEN 'REJECTED' ELSE 'PENDING' END AS asset_status,
+  CASE WHEN l_extendedprice < 20000 THEN 'asset reason ' || l_linestatus END AS asset_reason
+FROM lineitem
+""")
+
+frame("identity_check", """
+SELECT user_id AS applicant_id, event_id AS check_id, CASE event_type WHEN 'purchase' THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM events
+""")
+
+# The daily log of a sync, one row per day, made from the event stream.
+frame("audit_log", """
+SELECT 'run-' || CAST(CAST(ts AS DATE) AS STRING) AS audit_id, 'sync' AS sync_name, 'UPDATE' AS sync_type, max(ts) AS execution_timestamp,
+  CAST(count(*) AS INT) AS records_processed, CAST(sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) AS INT) AS records_succeeded
+FROM events GROUP BY CAST(ts AS DATE)
+""")
+
+# Statements that name tables, as text with the user and time of execution.
+frame("statement", """
+SELECT e.event_id AS id, 'user ' || CAST(e.user_id AS STRING) AS executed_by, e.ts AS start_time,
+  CASE e.event_type WHEN 'purchase' THEN 'INSERT' WHEN 'signup' THEN 'UPDATE' ELSE 'SELECT' END AS kind,
+  CASE e.event_type WHEN 'purchase' THEN 'insert into app.core.t' || replace(replace(e.props, '{"k": ', ''), '}', '') || ' select * FROM app.core.t1 a JOIN `app.core.t1` b'
+    WHEN 'signup' THEN 'update app.core.t' || replace(replace(e.props, '{"k": ', ''), '}', '') || ' set x = 1'
+    WHEN 'view' THEN 'SELECT 1' ELSE 'select * from app.core.t' || replace(replace(e.props, '{"k": ', ''), '}', '') || ' where x in (select y from other.core.t2)' END AS statement_text
+FROM events e
+""")
+
+# A change feed: inserts, updates and deletes of entities with a version that is not the order of arrival.
+frame("change_feed", """
+SELECT user_id AS id, event_type AS status, CAST(value AS DECIMAL(12,2)) AS amount,
+  CASE WHEN event_type = 'error' AND value > 60 THEN 'delete' WHEN event_type = 'signup' THEN 'insert' ELSE 'update' END AS _change_type,
+  event_id AS _commit_version, ts AS _change_timestamp
+FROM events
+""")

@@ -173,7 +173,7 @@ def percentiles(df: DataFrame, groups: Sequence[str], value: str, points: dict[s
     """
     run = running_total(df, groups, value)
     total = df.filter(F.col(value).isNotNull()).groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    run = run.join(total, list(groups))
+    run = run.join(total, list(groups)) if groups else run.crossJoin(F.broadcast(total))  # else one row
     after = F.col("before") + F.col("weight")
     aggs = []
     for name, p in points.items():
