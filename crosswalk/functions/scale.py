@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -30,8 +29,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def with_figures(df: DataFrame, figures: DataFrame) -> DataFrame:
+    """Adds the columns of a one-row aggregate to every row, as a scalar subquery: no join and no broadcast.
+
+    More than one row in ``figures`` is an error at run time.
+    """
+    names = figures.columns
+    out = df.withColumn("_figures", figures.select(F.struct(*names)).scalar())
+    return out.select(*df.columns, *[F.col(f"_figures.{n}").alias(n) for n in names])
 
 
 def join_back(
@@ -173,7 +178,7 @@ def percentiles(df: DataFrame, groups: Sequence[str], value: str, points: dict[s
     """
     run = running_total(df, groups, value)
     total = df.filter(F.col(value).isNotNull()).groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    run = run.join(total, list(groups)) if groups else run.crossJoin(F.broadcast(total))  # else one row
+    run = run.join(total, list(groups)) if groups else with_figures(run, total)
     after = F.col("before") + F.col("weight")
     aggs = []
     for name, p in points.items():

@@ -21,7 +21,7 @@ from crosswalk.functions.columns import (
     percent,
     week_text,
 )
-from crosswalk.functions.scale import group_stats, percentiles
+from crosswalk.functions.scale import group_stats, percentiles, with_figures
 from crosswalk.operators.windows import percent_of_total
 
 
@@ -61,11 +61,14 @@ def feature_type_counts(typed: DataFrame) -> DataFrame:
 
 def kpi_summary(df: DataFrame, status: str, labels: Mapping[str, str], distinct: Mapping[str, str], rates: Sequence[str]) -> DataFrame:
     """A4: one row: total, distinct parents, rows per label and rates of some labels (NULL when there is no row)."""
-    total = F.count(F.lit(1))
-    return df.agg(
-        total.alias("total"), *[F.count_distinct(c).alias(n) for n, c in distinct.items()], *label_counts(status, labels),
-        *[percent(count_if(F.col(status) == labels[r]), total).alias(f"{r}_rate") for r in rates],
+    # Rows are merged per combination of the distinct columns first, so the expansion Spark makes for several
+    # distinct counts works on combinations, not on rows.
+    per = df.groupBy(*distinct.values()).agg(F.count(F.lit(1)).alias("total"), *label_counts(status, labels))
+    one = per.agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("total"), *[F.count_distinct(c).alias(n) for n, c in distinct.items()],
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in labels],
     )
+    return one.select("*", *[percent(F.col(r), F.col("total")).alias(f"{r}_rate") for r in rates])
 
 
 def group_performance(
@@ -209,7 +212,7 @@ def duration_stats(
         F.sum(minutes).cast("double").alias("_sum"),
     )
     per_month = F.col("_sum") * 30.0 / lookback_days
-    out = base.join(middle, list(keys), "left") if keys else base.crossJoin(F.broadcast(middle))
+    out = base.join(middle, list(keys), "left") if keys else with_figures(base, middle)
     return out.select(
         *keys, "runs", "avg_minutes", F.round("median", 4).alias("median"), F.round("p95", 4).alias("p95"), "min_minutes", "max_minutes", "successful", "failed",
         F.round(per_month, 4).alias("minutes_per_month"), F.round(per_month * units_per_minute * unit_price, 4).alias("monthly_cost"),
@@ -294,13 +297,14 @@ def service_health(services: Mapping[str, tuple[DataFrame, str, Column, Column |
     """
     parts = []
     for name, (df, key, ok, duration) in services.items():
-        minutes = F.lit(None).cast("double") if duration is None else F.round(
-            F.try_divide(F.sum(duration.cast("decimal(38,0)")).cast("double"), F.count(duration)) / 60_000_000, 4
+        spent = F.lit(None).cast("bigint") if duration is None else duration
+        per = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
+            F.max(ok).alias("ok"), F.max(~ok).alias("bad"), F.sum(spent.cast("decimal(38,0)")).alias("spent"), F.count(spent).alias("timed")
         )
+        minutes = F.round(F.try_divide(F.sum("spent").cast("double"), F.sum("timed")) / 60_000_000, 4)
         parts.append(
-            df.agg(
-                F.count_distinct(key).alias("total_processed"), F.count_distinct(F.when(ok, F.col(key))).alias("successful"),
-                F.count_distinct(F.when(~ok, F.col(key))).alias("failed"), minutes.alias("avg_minutes"),
+            per.agg(
+                F.count(F.lit(1)).alias("total_processed"), count_if(F.col("ok")).alias("successful"), count_if(F.col("bad")).alias("failed"), minutes.alias("avg_minutes")
             ).withColumn("service", F.lit(name))
         )
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -346,7 +350,7 @@ def feature_adoption(codes: DataFrame, features: DataFrame, entities: DataFrame,
     counts = features.filter(enabled).groupBy(F.col(feature_code).alias("_c")).agg(F.count(F.lit(1)).alias("enabled"))
     total = entities.agg(F.count(F.lit(1)).alias("_all"))
     out = codes.join(counts, F.col(code) == F.col("_c"), "left").fillna(0, ["enabled"]).drop("_c")
-    return out.crossJoin(F.broadcast(total)).withColumn("adoption_pct", percent(F.col("enabled"), F.col("_all"))).drop("_all")
+    return with_figures(out, total).withColumn("adoption_pct", percent(F.col("enabled"), F.col("_all"))).drop("_all")
 
 
 def feature_churn(events: DataFrame, code: str, entity: str, disabled: Column, ts: str, days: int, as_of: str) -> DataFrame:
@@ -369,8 +373,8 @@ def ab_compare(df: DataFrame, key: str, flagged: DataFrame, start: str, end: str
 def table_inventory(df: DataFrame, group: str, rows: str, size: str, name: str, top: int = 100) -> DataFrame:
     """Tables ranked by size with their share of the total."""
     total = df.agg(F.sum(size).alias("_total"))
-    out = df.orderBy(F.desc(size), F.desc(rows), F.asc(name)).limit(top).crossJoin(F.broadcast(total))
-    return out.withColumn("size_pct", percent(F.col(size), F.col("_total"))).drop("_total")
+    out = df.orderBy(F.desc(size), F.desc(rows), F.asc(name)).limit(top)
+    return with_figures(out, total).withColumn("size_pct", percent(F.col(size), F.col("_total"))).drop("_total")
 
 
 def inventory_totals(df: DataFrame, group: str, rows: str, size: str) -> DataFrame:

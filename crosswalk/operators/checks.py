@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import all_of, any_of, count_if, first_match, norm_value, percent
+from crosswalk.functions.scale import with_figures
 
 
 def expect(df: DataFrame, drop: Mapping[str, Column]) -> DataFrame:
@@ -32,8 +33,10 @@ def expectation_counts(df: DataFrame, warn: Mapping[str, Column], drop: Mapping[
 
 def table_summary(df: DataFrame, distinct: Mapping[str, str], ts: str) -> DataFrame:
     """M2: rows, distinct ids, earliest and latest time."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"), *[F.count_distinct(c).alias(n) for n, c in distinct.items()], F.min(ts).alias("earliest"), F.max(ts).alias("latest")
+    per = df.groupBy(*distinct.values()).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
+    return per.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), *[F.count_distinct(c).alias(n) for n, c in distinct.items()], F.min("_lo").alias("earliest"),
+        F.max("_hi").alias("latest"),
     )
 
 
@@ -119,7 +122,7 @@ def assertion(name: str, expected: DataFrame, actual: DataFrame, tolerance: int
     e = expected.select(F.col(expected.columns[0]).cast("bigint").alias("expected"))
     a = actual.select(F.col(actual.columns[0]).cast("bigint").alias("actual"))
     ok = F.abs(F.col("expected") - F.col("actual")) <= tolerance
-    return e.crossJoin(F.broadcast(a)).select(F.lit(name).alias("test"), "expected", "actual", ok.alias("pass"))
+    return with_figures(e, a).select(F.lit(name).alias("test"), "expected", "actual", ok.alias("pass"))
 
 
 def count_rows(df: DataFrame, condition: Column | None = None) -> DataFrame:
@@ -138,7 +141,7 @@ def sync_quality_suite(
     got = agg.select(key, F.col(flag).alias("_got_flag"), F.col(f"{flag}_at").alias("_got_at"))
     joined = per.join(got, key, "left")
     zero = rows.sparkSession.range(1).selectExpr("0 AS n")
-    covered = count_rows(creates).withColumnRenamed("n", "c").crossJoin(F.broadcast(count_rows(updates))).selectExpr("c + n AS n")
+    covered = with_figures(count_rows(creates).withColumnRenamed("n", "c"), count_rows(updates)).selectExpr("c + n AS n")
     tests = [
         assertion("aggregation keeps all keys", valid.agg(F.count_distinct(key)), agg.agg(F.count_distinct(key))),
         assertion("any flag gives true", zero, count_rows(joined, ~F.col("_flag").eqNullSafe(F.col("_got_flag")))),
@@ -302,7 +305,7 @@ def value_source_summary(checked: DataFrame, value: str, right: str) -> DataFram
     """Rows and percent per status, and how many empty values the right source could fill."""
     counts = checked.groupBy("check_status").agg(F.count(F.lit(1)).alias("row_count"), count_if(F.col(value).isNull() & F.col(right).isNotNull()).alias("fillable"))
     total = counts.agg(F.sum("row_count").alias("_t"))
-    return counts.crossJoin(F.broadcast(total)).withColumn("percentage", percent(F.col("row_count"), F.col("_t"))).drop("_t")
+    return with_figures(counts, total).withColumn("percentage", percent(F.col("row_count"), F.col("_t"))).drop("_t")
 
 
 def completeness_profile(df: DataFrame, required: Sequence[str], flags: Sequence[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import address_key, count_if, first_match, norm_email, norm_name, norm_phone, percent
-from crosswalk.functions.scale import join_back, latest_per_key
+from crosswalk.functions.scale import join_back, latest_per_key, with_figures
 
 NO_DUPE = "No Dupe"
 
@@ -150,7 +150,7 @@ def match_version_counts(v1: DataFrame, v2: DataFrame, a: str = "target_id", b:
     def totals(df: DataFrame, tag: str) -> DataFrame:
         return df.agg(F.count_distinct(a).alias(f"t{tag}"), F.count_distinct(b).alias(f"s{tag}"), F.count(F.lit(1)).alias(f"n{tag}"))
 
-    both = totals(v1, "1").crossJoin(F.broadcast(totals(v2, "2")))  # one row by one row
+    both = with_figures(totals(v1, "1"), totals(v2, "2"))
     def row(label: str, pick) -> Column:
         return F.struct(F.lit(label).alias("version"), *[pick(x).alias(n) for x, n in (("t", "targets"), ("s", "sources"), ("n", "records"))])
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import any_of, count_if, first_match, flag_total
-from crosswalk.functions.scale import group_stats, join_back, latest_per_key
+from crosswalk.functions.scale import group_stats, join_back, latest_per_key, with_figures
 
 
 @dataclass
@@ -245,7 +245,7 @@ def orphan_counts(orphans: DataFrame, child: DataFrame) -> DataFrame:
     """All child rows, orphans and linked rows in one line."""
     found = orphans.agg(F.count(F.lit(1)).alias("orphan_rows"))
     total = child.agg(F.count(F.lit(1)).alias("total_rows"))
-    return total.crossJoin(F.broadcast(found)).withColumn("linked_rows", F.col("total_rows") - F.col("orphan_rows"))
+    return with_figures(total, found).withColumn("linked_rows", F.col("total_rows") - F.col("orphan_rows"))
 
 
 def key_in_other_system(missing: DataFrame, other: DataFrame, stored_key: str, other_key: str, own_id: str, back_reference: str) -> DataFrame:
@@ -292,7 +292,7 @@ def not_yet_exposed(
     catalogue = live.agg(F.collect_set("_item").alias("_all"))
     shown = exposures.join(live, F.col(exposed_item) == F.col("_item"), "left")
     seen = shown.groupBy(user).agg(F.collect_set("_item").alias("_seen"))
-    rest = seen.crossJoin(F.broadcast(catalogue))  # by one row
+    rest = with_figures(seen, catalogue)
     return rest.select(user, F.explode(F.array_except("_all", "_seen")).alias(item_key))
 
 

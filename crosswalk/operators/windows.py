@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import count_if, first_match, ordered_label, percent
-from crosswalk.functions.scale import group_stats, join_back, latest_per_key, running_total
+from crosswalk.functions.scale import group_stats, join_back, latest_per_key, running_total, with_figures
 
 LONG_AGO = "1900-01-01 00:00:00"  # fixed value: stands in for a missing time
 
@@ -70,7 +70,7 @@ def series_metrics(members: DataFrame, status: DataFrame, key: str) -> DataFrame
     )
     labels = ["Named in a series", "In series of two or more", "Old still active", "Old inactive"]
     rows = F.array(*[F.struct(F.lit(t).alias("metric"), F.col(f"n{i}").alias("row_count")) for i, t in enumerate(labels)])
-    return named.crossJoin(F.broadcast(rest)).select(F.inline(rows))  # one row by one row
+    return with_figures(named, rest).select(F.inline(rows))
 
 
 def series_to_drop(status: DataFrame, key: str) -> DataFrame:
@@ -79,9 +79,9 @@ def series_to_drop(status: DataFrame, key: str) -> DataFrame:
 
 
 def percent_of_total(counts: DataFrame, value: str, name: str = "percentage", digits: int = 2) -> DataFrame:
-    """Share of each row of a small aggregate in its total (a one-row total joined to it)."""
+    """Share of each row of a small aggregate in its total (the total is a scalar subquery)."""
     total = counts.agg(F.sum(value).alias("_total"))
-    return counts.crossJoin(F.broadcast(total)).withColumn(name, percent(F.col(value), F.col("_total"), digits)).drop("_total")
+    return with_figures(counts, total).withColumn(name, percent(F.col(value), F.col("_total"), digits)).drop("_total")
 
 
 def rank_of(df: DataFrame, key: str, value: str, chosen: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def rank_of(df: DataFrame, key: str, value: str, chosen: DataFrame) -> DataFrame
     run = running_total(df, [], value)
     total = df.filter(F.col(value).isNotNull()).agg(F.count(F.lit(1)).alias("total_rows"))
     above = F.col("total_rows") - F.col("before") - F.col("weight")
-    ranks = run.crossJoin(F.broadcast(total)).select(value, "weight", (above + 1).alias("rank"), "total_rows")
+    ranks = with_figures(run, total).select(value, "weight", (above + 1).alias("rank"), "total_rows")
     rows = df.join(chosen.select(key).distinct(), key, "left_semi").select(key, value)
     return join_back(rows, ranks, [value], "weight", "inner").drop("weight")
 

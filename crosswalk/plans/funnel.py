@@ -28,10 +28,15 @@ def usage_flags(sources: DataFrame, applicant: str, submission: str, source_type
     ``channels`` maps an output name to a source type; ``main`` is one of the output names.
     """
     primary = F.col(source_type) == channels[main]
-    return sources.groupBy(applicant).agg(
+    # One row per submission first: both distinct counts become plain sums, with no row expansion for them.
+    per = sources.groupBy(applicant, submission).agg(
         *[F.max((F.col(source_type) == v).cast("int")).alias(f"used_{n}") for n, v in channels.items()],
-        F.count_distinct(submission).alias("total_submissions"), F.count_distinct(F.when(primary, F.col(submission))).alias(f"{main}_submissions"),
-        F.min(F.when(primary, F.col(ts))).alias(f"first_{main}_at"), F.max(F.when(primary, F.col(ts))).alias(f"last_{main}_at"),
+        F.min(F.when(primary, F.col(ts))).alias("_first"), F.max(F.when(primary, F.col(ts))).alias("_last"),
+    )
+    return per.groupBy(applicant).agg(
+        *[F.max(f"used_{n}").alias(f"used_{n}") for n in channels], F.count(submission).alias("total_submissions"),
+        count_if(F.col(submission).isNotNull() & (F.col(f"used_{main}") == 1)).alias(f"{main}_submissions"),
+        F.min("_first").alias(f"first_{main}_at"), F.max("_last").alias(f"last_{main}_at"),
     )
 
 

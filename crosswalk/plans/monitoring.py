@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import count_if, elapsed, first_match, moment, percent
+from crosswalk.functions.scale import with_figures
 from crosswalk.operators.filters import today
 
 
 def _cross(parts: Sequence[DataFrame]) -> DataFrame:
     """One wide row from one-row aggregates."""
-    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)
+    return reduce(with_figures, parts)
 
 
 def health_check(
