@@ -17,7 +17,7 @@ def stack(i):
     """The sync stack, each level written once since several figures read it."""
     rows = cut(enriched(i), "enriched")
     agg = cut(sync.aggregated(rows, SPEC), "aggregated")
-    return rows, agg, sync.to_create(agg, i.target, SPEC), sync.to_update(agg, i.target, SPEC)
+    return rows, agg, cut(sync.to_create(agg, i.target, SPEC), "creates"), cut(sync.to_update(agg, i.target, SPEC), "updates")
 
 
 def health(i):

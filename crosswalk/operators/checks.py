@@ -117,16 +117,16 @@ def key_differences(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Se
     return out.select(*keys, kind.alias("difference")).filter("difference IS NOT NULL")
 
 
-def assertion(name: str, expected: DataFrame, actual: DataFrame, tolerance: int = 0) -> DataFrame:
-    """M9: one test row (test, expected, actual, pass) from two one-row, one-column aggregates."""
-    e = expected.select(F.col(expected.columns[0]).cast("bigint").alias("expected"))
-    a = actual.select(F.col(actual.columns[0]).cast("bigint").alias("actual"))
-    ok = F.abs(F.col("expected") - F.col("actual")) <= tolerance
-    return with_figures(e, a).select(F.lit(name).alias("test"), "expected", "actual", ok.alias("pass"))
-
-
-def count_rows(df: DataFrame, condition: Column | None = None) -> DataFrame:
-    return (df if condition is None else df.filter(condition)).agg(F.count(F.lit(1)).alias("n"))
+def assertions(figures: DataFrame, tests: Sequence[tuple[str, Column, Column, int]]) -> DataFrame:
+    """M9: one row (test, expected, actual, pass) per test, from one row of figures; the last entry is a tolerance."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("test"), expected.cast("bigint").alias("expected"), actual.cast("bigint").alias("actual"),
+            (F.abs(expected - actual) <= tolerance).alias("pass"),
+        )
+        for name, expected, actual, tolerance in tests
+    ]
+    return figures.select(F.inline(F.array(*rows)))
 
 
 def sync_quality_suite(
@@ -136,20 +136,23 @@ def sync_quality_suite(
 
     The flag and time tests run over every key, not over one example.
     """
-    valid = rows.filter(active)
-    per = valid.groupBy(key).agg(F.coalesce(F.max(flag), F.lit(False)).alias("_flag"), F.min(flag_at).alias("_at"))
-    got = agg.select(key, F.col(flag).alias("_got_flag"), F.col(f"{flag}_at").alias("_got_at"))
-    joined = per.join(got, key, "left")
-    zero = rows.sparkSession.range(1).selectExpr("0 AS n")
-    covered = with_figures(count_rows(creates).withColumnRenamed("n", "c"), count_rows(updates)).selectExpr("c + n AS n")
-    tests = [
-        assertion("aggregation keeps all keys", valid.agg(F.count_distinct(key)), agg.agg(F.count_distinct(key))),
-        assertion("any flag gives true", zero, count_rows(joined, ~F.col("_flag").eqNullSafe(F.col("_got_flag")))),
-        assertion("create and update cover all keys", count_rows(agg), covered, tolerance),
-        assertion("earliest time kept", zero, count_rows(joined, ~F.col("_at").eqNullSafe(F.col("_got_at")))),
-        assertion("no inactive row aggregated", count_rows(valid), agg.agg(F.coalesce(F.sum("active_count"), F.lit(0)))),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), tests)
+    per = rows.filter(active).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.coalesce(F.max(flag), F.lit(False)).alias("_flag"), F.min(flag_at).alias("_at")
+    )
+    got = agg.select(F.col(key).alias("_k"), F.col(flag).alias("_got_flag"), F.col(f"{flag}_at").alias("_got_at"), "active_count")
+    both = per.join(got, F.col(key) == F.col("_k"), "full_outer")
+    figures = both.agg(
+        F.count(key).alias("keys"), F.count("_k").alias("kept"), F.coalesce(F.sum("_n"), F.lit(0)).alias("active"), F.coalesce(F.sum("active_count"), F.lit(0)).alias("summed"),
+        count_if(~F.col("_flag").eqNullSafe(F.col("_got_flag"))).alias("bad_flag"), count_if(~F.col("_at").eqNullSafe(F.col("_got_at"))).alias("bad_time"),
+    )
+    for name, queue in (("creates", creates), ("updates", updates)):
+        figures = with_figures(figures, queue.agg(F.count(F.lit(1)).alias(name)))
+    zero = F.lit(0)
+    return assertions(figures, [
+        ("aggregation keeps all keys", F.col("keys"), F.col("kept"), 0), ("any flag gives true", zero, F.col("bad_flag"), 0),
+        ("create and update cover all keys", F.col("kept"), F.col("creates") + F.col("updates"), tolerance), ("earliest time kept", zero, F.col("bad_time"), 0),
+        ("no inactive row aggregated", F.col("active"), F.col("summed"), 0),
+    ])
 
 
 def quality_tile(df: DataFrame, required: str, others: Sequence[str], good: float = 90, excellent: float = 95) -> DataFrame:

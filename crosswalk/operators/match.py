@@ -246,19 +246,26 @@ def _identity(df: DataFrame) -> DataFrame:
     return df.withColumn("ident", F.concat_ws("\u0001", *[F.coalesce(F.col(f), F.lit("\u0000")) for f in FIELDS]))
 
 
-def _exact(n: int) -> Column:
-    """Partners that agree on exactly subset n: inclusion-exclusion over the subsets that contain it."""
-    mine = set(SUBSETS[n])
-    terms = [F.col(f"c{m}") * (-1) ** (len(s) - len(mine)) for m, s in enumerate(SUBSETS) if mine <= set(s)]
-    return reduce(lambda a, b: a + b, terms)
+def _exact(weights: Mapping[int, int]) -> str:
+    """SQL for sum of weight x (partners agreeing on exactly subset n), in terms of the counts c0..c14.
+
+    c<m> counts partners agreeing on at least subset m; inclusion-exclusion turns the wanted sum into one linear
+    combination, worked out here so that the plan holds a single short expression.
+    """
+    factors = [0] * len(SUBSETS)
+    for n, weight in weights.items():
+        for m, s in enumerate(SUBSETS):
+            if set(SUBSETS[n]) <= set(s):
+                factors[m] += weight * (-1) ** (len(s) - len(SUBSETS[n]))
+    return " + ".join(f"({f} * c{m})" for m, f in enumerate(factors) if f) or "0L"
 
 
 def partner_counts(df: DataFrame, against: DataFrame | None = None, group: str | None = None) -> DataFrame:
-    """Per distinct identity: records sharing it (``w``) and, as e0..e14, partners agreeing on exactly each subset.
+    """Per distinct identity: records sharing it (``w``) and, as c0..c14, partners agreeing on at least each subset.
 
     Equal identities are merged first; each identity is keyed by its 15 field subsets and the records per key are
-    counted once. Agreement on exactly a subset follows from those counts, so no pair is formed and the work stays
-    linear however common a name is. With ``group`` partners of the same group do not count; with ``against`` the
+    counted once. Agreement on exactly a subset follows from those counts (see ``_exact``), so no pair is formed and
+    the work stays linear however common a name is. With ``group`` partners of the same group do not count; with ``against`` the
     partners are the records of that table.
     """
     tag = [group] if group else []
@@ -274,15 +281,14 @@ def partner_counts(df: DataFrame, against: DataFrame | None = None, group: str |
         partners = partners - F.coalesce("g", F.lit(0))
     elif against is None:
         partners = partners - 1
-    counts = rows.groupBy("ident", *tag, "w").agg(
-        *[F.coalesce(F.sum(F.when(F.col("mask") == m, partners)), F.lit(0)).alias(f"c{m}") for m in range(len(SUBSETS))]
+    return rows.withColumn("_p", partners).groupBy("ident", *tag, "w").agg(
+        *[F.expr(f"coalesce(sum(CASE WHEN mask = {m} THEN _p END), 0L)").alias(f"c{m}") for m in range(len(SUBSETS))]
     )
-    return counts.select("ident", *tag, "w", *[_exact(m).alias(f"e{m}") for m in range(len(SUBSETS))])
 
 
 def _total(pick) -> Column:
-    cols = [F.col(f"e{n}") for n, s in enumerate(SUBSETS) if pick(subset_score(s))]
-    return reduce(lambda a, b: a + b, cols, F.lit(0).cast("bigint"))
+    """Partners whose score is picked."""
+    return F.expr(_exact({n: 1 for n, s in enumerate(SUBSETS) if pick(subset_score(s))}))
 
 
 def identity_profile(df: DataFrame, key: str, against: DataFrame | None = None) -> DataFrame:
@@ -291,7 +297,8 @@ def identity_profile(df: DataFrame, key: str, against: DataFrame | None = None)
     The score of a pair is the sum of the points of its equal fields, so it is fixed by the subset they agree on.
     """
     counts = partner_counts(df, against)
-    best = F.greatest(*[F.when(F.col(f"e{n}") > 0, subset_score(s)).otherwise(0) for n, s in enumerate(SUBSETS)])
+    # A partner agreeing on at least a subset scores that much or more, so the largest such subset is the best score.
+    best = F.expr("greatest(" + ", ".join(f"CASE WHEN c{n} > 0 THEN {subset_score(s)} ELSE 0 END" for n, s in enumerate(SUBSETS)) + ")")
     bands = [_total(lambda p, b=label: band_of(p) == b).alias(f"band_{low}") for low, label in BANDS]
     figures = counts.select(
         "ident", "w", _total(lambda p: True).alias("candidates"), best.alias("highest_score"), *bands,
@@ -323,15 +330,13 @@ def identity_links(df: DataFrame, key: str, min_score: int = 50) -> DataFrame:
 def identity_patterns(df: DataFrame) -> DataFrame:
     """Unordered pairs per match pattern with their score, from counts alone."""
     counts = partner_counts(df)
-    totals = counts.agg(*[F.sum(F.col(f"e{n}") * F.col("w")).alias(f"t{n}") for n in range(len(SUBSETS))])
+    totals = counts.agg(*[F.expr(f"coalesce(sum(c{n} * w), 0L)").alias(f"c{n}") for n in range(len(SUBSETS))])
     rows = [
-        F.struct(
-            *[F.lit(f in s).alias(f"{f}_matched") for f in FIELDS], (F.col(f"t{n}") / 2).cast("bigint").alias("occurrences"),
-            F.lit(subset_score(s)).alias("score"),
-        )
+        "struct(" + ", ".join(f"{str(f in s).lower()} AS {f}_matched" for f in FIELDS)
+        + f", CAST(({_exact({n: 1})}) / 2 AS BIGINT) AS occurrences, {subset_score(s)} AS score)"
         for n, s in enumerate(SUBSETS)
     ]
-    return totals.select(F.inline(F.array(*rows))).filter("occurrences > 0")
+    return totals.selectExpr(f"inline(array({', '.join(rows)}))").filter("occurrences > 0")
 
 
 def identity_score_distribution(patterns: DataFrame) -> DataFrame:
@@ -355,9 +360,8 @@ def serial_entities(profile: DataFrame, at_least: int = 5, min_score: int = 0) -
 def cross_group_matches(df: DataFrame, key: str, group: str, min_score: int = 70, at_least: int = 3) -> DataFrame:
     """Records matching ``at_least`` records of other groups with ``min_score`` or more, and the mean score."""
     counts = partner_counts(df, group=group)
-    strong = [(n, subset_score(s)) for n, s in enumerate(SUBSETS) if subset_score(s) >= min_score]
-    total = reduce(lambda a, b: a + b, [F.col(f"e{n}") for n, _ in strong])
-    points = reduce(lambda a, b: a + b, [F.col(f"e{n}") * p for n, p in strong])
+    strong = {n: subset_score(s) for n, s in enumerate(SUBSETS) if subset_score(s) >= min_score}
+    total, points = F.expr(_exact({n: 1 for n in strong})), F.expr(_exact(strong))
     figures = counts.select("ident", group, "w", total.alias("match_count"), points.alias("_points")).filter(F.col("match_count") >= at_least)
     out = join_back(_identity(df), figures, ["ident", group], "w", "inner")
     return out.select(key, group, "match_count", F.round(F.col("_points") / F.col("match_count"), 4).alias("avg_score"))
