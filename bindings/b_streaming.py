@@ -40,8 +40,8 @@ def r2_stream(i):
     base, feed = scratch_dir(i.spark, "changes"), i.change_feed
     feed.repartition(3, "status").write.parquet(f"{base}/in")  # the versions of a key are spread over the files
     stream = i.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    S.stream_snapshot(stream, ["id"], ["_commit_version"], f"{base}/snapshot", f"{base}/checkpoint").awaitTermination()
-    return S.read_snapshot(i.spark, f"{base}/snapshot", feed.schema).select("id", "status", "amount", "_commit_version")
+    S.stream_snapshot(stream, ["id"], ["_commit_version"], f"{base}/snapshot", f"{base}/checkpoint", 2).awaitTermination()
+    return S.read_snapshot(i.spark, f"{base}/snapshot", feed.schema, ["id"], ["_commit_version"]).select("id", "status", "amount", "_commit_version")
 
 
 COUNTS = "SELECT CAST(CAST(ts AS DATE) AS STRING) AS day, event_type, count(*) AS row_count FROM events GROUP BY 1, 2"
@@ -64,7 +64,8 @@ def r3_stream(i):
 
     query_ = counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     query_.awaitTermination()
-    return i.spark.read.schema(counts.schema).parquet(S._newest_folder(i.spark, f"{base}/counts"))
+    last = S.finished_folders(i.spark, f"{base}/counts")["batch"][-1]
+    return i.spark.read.schema(counts.schema).parquet(f"{base}/counts/batch={last}")
 
 
 @query("r3_day_totals", """

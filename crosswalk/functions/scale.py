@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -50,17 +51,27 @@ def join_back(
 ) -> DataFrame:
     """Join rows to a table holding one row per key whose ``size`` column counts the rows of ``df`` with it.
 
-    Keys with ``hot_rows`` rows or more are spread over ``splits`` sub-keys. The list of such keys is safe to
-    broadcast: it has at most rows / ``hot_rows`` entries. Null keys never match, as in a plain join.
+    Keys with ``hot_rows`` rows or more take their figures from a broadcast; that table is safe to broadcast, as it
+    has at most rows / ``hot_rows`` entries. All other keys are joined by a shuffle, in which the rows of hot keys
+    and of NULL keys (neither can match there) are spread over ``splits`` sub-keys instead of meeting in one task.
+    Both parts read the same aggregate, so it is computed once. NULL keys match nothing, as in a plain join.
     """
-    hot = stats.filter(F.col(size) >= hot_rows).select(*keys).withColumn("_hot", F.lit(True))
+    values = F.struct(*[c for c in stats.columns if c not in keys])
+    hot = stats.filter(F.col(size) >= hot_rows).select(*keys, values.alias("_hot"))
+    # The salt of cold keys is always 0, but written as a calculation: as a literal the optimizer would turn the salt
+    # into a condition beside the join and shuffle on the key alone.
+    zero = F.pmod(F.col(size), F.lit(1)).cast("int").alias("_salt")
+    cold = stats.filter(F.col(size) < hot_rows).select(*keys, zero, values.alias("_cold"))
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    rows = df if how == "left" else df.filter(~missing)
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(splits)).cast("int")
-    left = df.join(F.broadcast(hot), list(keys), "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+    left = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull() | missing, spread).otherwise(F.lit(0))
     )
-    copies = F.when(F.col(size) >= hot_rows, splits - 1).otherwise(0)
-    right = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies)))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt", "_hot")
+    out = left.join(cold, [*keys, "_salt"], "left").withColumn("_v", F.coalesce("_hot", "_cold"))
+    if how == "inner":
+        out = out.filter(F.col("_v").isNotNull())
+    return out.select(*df.columns, *[F.col(f"_v.{c}").alias(c) for c in stats.columns if c not in keys])
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], how: str = "inner", size: str = "_size", **aggs: Column) -> DataFrame:

@@ -42,9 +42,9 @@ def feature_family_type(
     Features are reduced to one row per entity first; grouping is by the entity's own id, so entities without
     features stay apart.
     """
-    per = features.groupBy(F.col(feature_key).alias(entity_id)).agg(
-        F.count_distinct(code).alias("feature_count"), F.array_join(F.array_sort(F.collect_set(code)), ", ").alias("feature_list"),
-        count_if(~in_family).alias("_other"),
+    per = features.groupBy(F.col(feature_key).alias(entity_id)).agg(F.collect_set(code).alias("_codes"), count_if(~in_family).alias("_other"))
+    per = per.select(
+        entity_id, F.size("_codes").cast("bigint").alias("feature_count"), F.array_join(F.array_sort("_codes"), ", ").alias("feature_list"), "_other"
     )
     out = entities.join(per, entity_id, "left").fillna(0, ["feature_count", "_other"]).fillna("", ["feature_list"])
     kind = first_match([(F.col("feature_count") == 0, "No Features"), (F.col("_other") == 0, only_label)], "Mixed Features")

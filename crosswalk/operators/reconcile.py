@@ -78,19 +78,21 @@ def aggregate_many_to_one(
     """A1: one row per key. ``flags`` maps each flag to its enabled-at column.
 
     Counts, any-flag, earliest flag time, number of flags, multi marker, newest update, and the metadata of the
-    newest row (ties: largest id), all in one partial aggregation. The ids of a key are not collected here,
-    since one key may own a third of all rows: ``functions.scale.chunked_list`` lists them in bounded pieces.
+    newest row (ties: largest id), all in one partial aggregation. Distinct ids are counted apart, over (key, id)
+    alone: inside the same aggregation they would send every row's metadata through the shuffle. The ids of a key
+    are not collected here, since one key may own a third of all rows: ``functions.scale.chunked_list`` lists them
+    in bounded pieces.
     """
     newest = F.struct(F.col(updated), F.col(id_col))
     aggs = [
         F.count(F.lit(1)).alias("active_count"),
-        F.count_distinct(id_col).alias("unique_count"),
         F.max(updated).alias("last_updated_at"),
         F.max_by(F.struct(id_col, *metadata), newest).alias("_meta"),
     ]
     aggs += [F.coalesce(F.max(F.col(f)), F.lit(False)).alias(f) for f in flags]
     aggs += [F.min(at).alias(f"{f}_at") for f, at in flags.items() if at]
-    out = df.groupBy(key).agg(*aggs)
+    ids = df.select(key, id_col).distinct().groupBy(F.col(key).alias("_k")).agg(F.count(id_col).alias("unique_count"))
+    out = df.groupBy(key).agg(*aggs).join(ids, F.col(key).eqNullSafe(F.col("_k")))
     total = flag_total(list(flags))
     return out.select(
         key, "_meta.*", *flags, *[f"{f}_at" for f, at in flags.items() if at], "last_updated_at", "active_count", "unique_count",

@@ -32,10 +32,13 @@ AUDIT_SCHEMA = StructType(
 
 
 def materialise(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Write a table and read it back; ``cluster_by`` range-sorts it so that later scans can skip files."""
+    """Write a table and read it back; ``cluster_by`` range-sorts it so that later scans can skip files.
+
+    A row hash ends the range key, so a value held by very many rows is spread over several files.
+    """
     out = df
     if cluster_by:
-        out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        out = df.repartitionByRange(*cluster_by, F.xxhash64(*df.columns)).sortWithinPartitions(*cluster_by)
     out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

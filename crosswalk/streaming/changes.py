@@ -62,45 +62,61 @@ def merge_changes(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str],
 
     Delete markers stay in the snapshot, so an older change that arrives late cannot bring a deleted row back.
     """
-    return newest_changes(snapshot.unionByName(changes.select(*snapshot.columns)), keys, sequence)
+    return newest_changes(snapshot.unionByName(changes.select(*snapshot.columns)), keys, sequence).select(*snapshot.columns)
 
 
-def stream_snapshot(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], base: str, checkpoint: str) -> StreamingQuery:
-    """R2: keeps a merged snapshot of a change stream under ``base``; each micro-batch writes a new folder.
+def stream_snapshot(
+    changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], base: str, checkpoint: str, merge_every: int = 10
+) -> StreamingQuery:
+    """R2: keeps the newest change per key of a stream under ``base``; ``read_snapshot`` gives the live rows.
 
-    Batch n reads the newest folder below n and writes ``batch=<n>``. A repeated batch finds the same input and
-    rewrites the same folder, so failures in between change nothing. ``read_snapshot`` returns the newest one.
+    Each micro-batch writes its own newest changes to ``delta=<n>``, so its cost follows the batch, not the table.
+    Every ``merge_every`` batches the last ``merged=<m>`` and the deltas after it become a new ``merged=<n>``. Folders
+    are only ever added and a repeated batch rewrites its own, so a failure in between changes nothing.
     """
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        last = _newest_folder(spark, base, number)
-        rows = newest_changes(batch, keys, sequence)
-        if last is not None:
-            rows = merge_changes(spark.read.schema(batch.schema).parquet(last), rows, keys, sequence)
-        rows.select(*batch.columns).write.mode("overwrite").parquet(f"{base}/batch={number}")
+        newest_changes(batch, keys, sequence).select(*batch.columns).write.mode("overwrite").parquet(f"{base}/delta={number}")
+        if (number + 1) % merge_every == 0:
+            rows = _snapshot_rows(spark, base, batch.schema, number)
+            newest_changes(rows, keys, sequence).select(*batch.columns).write.mode("overwrite").parquet(f"{base}/merged={number}")
 
     return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _newest_folder(spark: SparkSession, base: str, below: int | None = None) -> str | None:
-    """Newest finished batch folder, found through the file system the session uses (local, HDFS or object store)."""
+def finished_folders(spark: SparkSession, base: str) -> dict[str, list[int]]:
+    """Numbers of the completely written ``<kind>=<n>`` folders under ``base``, by kind.
+
+    Asks the file system the session uses (local, HDFS or an object store).
+    """
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {}
     if not fs.exists(path):
-        return None
-    numbers = []
+        return found
     for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        done = fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{name}/_SUCCESS"))
-        if name.startswith("batch=") and done and (below is None or int(name[6:]) < below):
-            numbers.append(int(name[6:]))
-    return f"{base}/batch={max(numbers)}" if numbers else None
+        kind, _, number = status.getPath().getName().partition("=")
+        if number.isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found.setdefault(kind, []).append(int(number))
+    return {k: sorted(v) for k, v in found.items()}
+
 
+def _snapshot_rows(spark: SparkSession, base: str, schema: StructType, upto: int | None = None) -> DataFrame:
+    """Rows of the last merged table and of the deltas after it."""
+    found = finished_folders(spark, base)
+    merged = [n for n in found.get("merged", []) if upto is None or n < upto]
+    after = merged[-1] if merged else -1
+    paths = [f"{base}/merged={after}"] if merged else []
+    paths += [f"{base}/delta={n}" for n in found.get("delta", []) if n > after and (upto is None or n <= upto)]
+    return spark.read.schema(schema).parquet(*paths)
 
-def read_snapshot(spark: SparkSession, base: str, schema: StructType, kind: str = "_change_type", deletes: Sequence[str] = ("delete",)) -> DataFrame:
-    """R2: live rows of the newest snapshot."""
-    return spark.read.schema(schema).parquet(_newest_folder(spark, base)).filter(~F.col(kind).isin(*deletes))
+
+def read_snapshot(
+    spark: SparkSession, base: str, schema: StructType, keys: Sequence[str], sequence: Sequence[str], kind: str = "_change_type", deletes: Sequence[str] = ("delete",)
+) -> DataFrame:
+    """R2: live rows of the snapshot as of the last finished batch."""
+    return apply_changes(_snapshot_rows(spark, base, schema), keys, sequence, kind, deletes)
 
 
 def live_status_counts(df: DataFrame, ts: str, kind: str, watermark: str | None = None) -> DataFrame:
