@@ -114,17 +114,18 @@ def _ranges(df: DataFrame, column: str, out: str, cuts: int) -> tuple[DataFrame,
     """Add the number of the value range a row falls in; also say which ranges hold a single repeated value.
 
     The cut points come from one small job (``approxQuantile``) and enter the plan as constants, so a retried
-    task puts each row in the same range.
+    task puts each row in the same range. NULL is a range of its own, below all others.
     """
-    df = df.withColumn("_x", F.coalesce(_number(df, column), F.lit(float("-inf"))))
+    df = df.withColumn("_x", F.coalesce(_number(df, column), F.lit(-math.inf)))
     points = df.approxQuantile("_x", [i / cuts for i in range(1, cuts)], 1 / (4 * cuts))
-    points = [p for p in points if math.isfinite(p)]
+    many_nulls = points.count(-math.inf) > 1
+    points = [p for p in points if math.isfinite(p)] or [0.0]
     repeated = {a for a, b in zip(points, points[1:]) if a == b}
     edges = sorted({*points, *[math.nextafter(p, math.inf) for p in repeated]})
     splits = [-math.inf, *edges, math.inf]
     df = Bucketizer(splits=splits, inputCol="_x", outputCol=out, handleInvalid="keep").transform(df)
-    single = [i for i, low in enumerate(splits[:-1]) if low in repeated]
-    return df.withColumn(out, F.col(out).cast("int")).drop("_x"), single
+    single = [i for i, low in enumerate(splits[:-1]) if low in repeated] + ([-1] if many_nulls else [])
+    return df.withColumn(out, F.when(F.col(column).isNull(), -1).otherwise(F.col(out).cast("int"))).drop("_x"), single
 
 
 def number_rows(
