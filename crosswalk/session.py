@@ -39,10 +39,11 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8", **extra: str)
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables that later jobs read back.
 
-    Uses the shared folder named in ``spark.checkpoint.dir``. Where that is unset a machine-local folder is
-    only right when every task runs on this machine, so anything but a local master is refused.
+    Uses the shared folder named in ``spark.checkpoint.dir`` (or set as the context's checkpoint folder). Where
+    neither is set, a machine-local folder is only right when every task runs on this machine, so anything but a
+    local master is refused.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
