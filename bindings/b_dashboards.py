@@ -93,10 +93,10 @@ def a7_copies(i):
 
 
 @query("a8_provider_comparison", f"""
-SELECT CASE provider WHEN 'clear' THEN 'CLEAR' WHEN 'incode' THEN 'Incode' ELSE 'Other' END AS provider_name, count(*) AS total, {COUNTS}, {rate(2)} FROM checked GROUP BY 1
+SELECT CASE provider WHEN 'north' THEN 'North' WHEN 'south' THEN 'South' ELSE 'Other' END AS provider_name, count(*) AS total, {COUNTS}, {rate(2)} FROM checked GROUP BY 1
 """)
 def a8(i):
-    name = F.when(F.col("provider") == "clear", "CLEAR").when(F.col("provider") == "incode", "Incode").otherwise("Other")
+    name = F.when(F.col("provider") == "north", "North").when(F.col("provider") == "south", "South").otherwise("Other")
     return A.group_performance(i.checked, [name.alias("provider_name")], "status", LABELS, "passed", digits=2)
 
 
@@ -111,13 +111,13 @@ def a8_geo(i):
 
 
 @query("a9_recent_detail", """
-SELECT inserted_at, parent_name, entity_name, status, provider, CASE WHEN provider = 'clear' THEN CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) > 66 THEN 'Enhanced'
+SELECT inserted_at, parent_name, entity_name, status, provider, CASE WHEN provider = 'north' THEN CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) > 66 THEN 'Enhanced'
   WHEN CAST(json_extract_string(props, '$.k') AS INT) > 33 THEN 'Basic' ELSE 'N/A' END ELSE 'N/A' END AS verification_level,
   CAST(date_diff('day', CAST(inserted_at AS DATE), DATE '2024-01-31') AS INT) AS days_ago FROM checked ORDER BY inserted_at DESC, id LIMIT 100
 """)
 def a9(i):
     k = F.get_json_object("props", "$.k").cast("int")
-    level = F.when(F.col("provider") == "clear", F.when(k > 66, "Enhanced").when(k > 33, "Basic").otherwise("N/A")).otherwise("N/A")
+    level = F.when(F.col("provider") == "north", F.when(k > 66, "Enhanced").when(k > 33, "Basic").otherwise("N/A")).otherwise("N/A")
     return A.recent_detail(
         i.checked, "inserted_at", "id", ["inserted_at", "parent_name", "entity_name", "status", "provider"], {"verification_level": level}, AS_OF_EVENTS
     )

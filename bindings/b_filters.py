@@ -118,12 +118,12 @@ def f9(i):
 
 
 @query("f10_optional_filter", """
-SELECT id, entity_id, inserted_at FROM checks WHERE provider = 'clear'
+SELECT id, entity_id, inserted_at FROM checks WHERE provider = 'north'
   AND inserted_at >= TIMESTAMP '2024-01-05 00:00:00' AND inserted_at < TIMESTAMP '2024-01-20 00:00:00'
 """)
 def f10(i):
     out = L.optional_filter(
-        i.checks, {"provider": "clear", "entity_id": None}, {"inserted_at": ("2024-01-05 00:00:00", "2024-01-20 00:00:00")}
+        i.checks, {"provider": "north", "entity_id": None}, {"inserted_at": ("2024-01-05 00:00:00", "2024-01-20 00:00:00")}
     )
     return out.select("id", "entity_id", "inserted_at")
 

@@ -186,13 +186,18 @@ def j22(i):
 
 
 @query("j22_identity_against", f"""
-WITH {PEOPLE}, hit AS (SELECT a.id, CAST(COALESCE(a.first_name = b.first_name, FALSE) AS INT) * 25 + CAST(COALESCE(a.last_name = b.last_name, FALSE) AS INT) * 25
-  + CAST(COALESCE(a.email = b.email, FALSE) AS INT) * 30 + CAST(COALESCE(a.phone = b.phone, FALSE) AS INT) * 20 AS score FROM people a, people b WHERE a.site = 'Brand#3' AND b.site <> 'Brand#3')
+WITH {PEOPLE}, stored AS (SELECT first_name, last_name, CASE WHEN last_name = 'ring' THEN NULL ELSE email END AS email, phone || '0' AS phone FROM people UNION ALL SELECT first_name, NULL, email, phone FROM people),
+hit AS (SELECT a.id, CAST(COALESCE(a.first_name = b.first_name, FALSE) AS INT) * 25 + CAST(COALESCE(a.last_name = b.last_name, FALSE) AS INT) * 25
+  + CAST(COALESCE(a.email = b.email, FALSE) AS INT) * 30 + CAST(COALESCE(a.phone = b.phone, FALSE) AS INT) * 20 AS score FROM people a, stored b)
 SELECT id, count(*) FILTER (WHERE score > 0) AS candidates, max(score) AS highest_score FROM hit GROUP BY id
 """)
 def j22_against(i):
-    new, stored = people(i).filter("site = 'Brand#3'"), people(i).filter("site <> 'Brand#3'")
-    return M.identity_profile(new, "id", stored).select("id", "candidates", "highest_score")
+    """Every person against stored variations: one with another phone, one without a last name."""
+    known = people(i)
+    email = F.when(F.coalesce(F.col("last_name") != "ring", F.lit(True)), F.col("email"))
+    other = known.withColumn("email", email).withColumn("phone", F.concat("phone", F.lit("0")))
+    stored = other.unionByName(known.withColumn("last_name", F.lit(None).cast("string")))
+    return M.identity_profile(known, "id", stored).select("id", "candidates", "highest_score")
 
 
 LINK_SETS = [("f", 25, "first_name"), ("l", 25, "last_name"), ("e", 30, "email"), ("p", 20, "phone")]

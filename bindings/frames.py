@@ -56,7 +56,7 @@ frame("checks", """
 SELECT event_id AS id, user_id AS entity_id, ts AS inserted_at,
   CASE event_type WHEN 'purchase' THEN 'PASS' WHEN 'error' THEN 'FAIL' WHEN 'click' THEN 'NEEDS REVIEW' ELSE 'PENDING' END AS status,
   CASE WHEN event_type = 'signup' THEN NULL ELSE ts END AS results_at,
-  CASE WHEN value < 20 THEN 'clear' WHEN value < 60 THEN 'incode' ELSE 'inhouse' END AS provider,
+  CASE WHEN value < 20 THEN 'north' WHEN value < 60 THEN 'south' ELSE 'inhouse' END AS provider,
   CAST(replace(replace(props, '{"k": ', ''), '}', '') AS INT) AS level, props, CAST(value AS DECIMAL(12,2)) AS value
 FROM events
 """)

@@ -25,7 +25,7 @@ CUTS = 256  # ranges used to order rows globally
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row per key in ``order``; give a unique last order column to make the choice repeatable."""
+    """First row per key in ``order``; give a unique last order column to make the choice repeatable."""
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
@@ -160,7 +160,9 @@ def number_rows(
 def running_total(
     df: DataFrame, groups: Sequence[str], value: str, weight: Column | None = None, cuts: int = CUTS
 ) -> DataFrame:
-    """(groups, value, weight, before): total weight of smaller values in the group. Ties share one row.
+    """(groups, value, weight, before, total): weight of the value, of smaller values and of the whole group.
+
+    Ties share one row. The windows over ranges see at most ``cuts`` rows per group.
 
     Repeated values are summed before the shuffle, so a value held by a third of the rows is one row here.
     """
@@ -174,12 +176,14 @@ def running_total(
     inside = Window.partitionBy(*parts).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy(*parts).agg(F.sum("weight").alias("_w"))
-    offsets = sizes.select(*parts, F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_offset"))
+    offsets = sizes.select(
+        *parts, F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_offset"), F.sum("_w").over(Window.partitionBy(*groups)).alias("total")
+    )
     ranged = ranged.withColumn("_inside", F.coalesce(F.sum("weight").over(inside), F.lit(0)))
     return (
         ranged.join(offsets, parts)
         .withColumn("before", F.col("_inside") + F.col("_offset"))
-        .select(*groups, value, "weight", "before")
+        .select(*groups, value, "weight", "before", "total")
     )
 
 
@@ -188,9 +192,7 @@ def percentiles(df: DataFrame, groups: Sequence[str], value: str, points: dict[s
 
     ``percentile`` would hold every distinct value of a group in one task; here only running totals move.
     """
-    run = running_total(df, groups, value)
-    total = df.filter(F.col(value).isNotNull()).groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    run = run.join(total, list(groups)) if groups else with_figures(run, total)
+    run = running_total(df, groups, value).withColumnRenamed("total", "_n")
     after = F.col("before") + F.col("weight")
     aggs = []
     for name, p in points.items():

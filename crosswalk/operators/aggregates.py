@@ -132,6 +132,11 @@ def kpi_rows(one: DataFrame, rows: Sequence[tuple[str, str, str | None, str | No
     return one.select(F.inline(F.array(*lines)))
 
 
+# Classes of duplicate names, urgency levels and points
+SAME_NAMES, OTHER_NAMES, UNCLEAR = "LIKELY_MIGRATION", "DIFFERENT_NAMES", "UNKNOWN"
+PRIORITIES = ("P1 - URGENT", "P2 - HIGH", "P3 - MEDIUM", "P4 - LOW")
+FEATURE_POINTS, MISSING_POINTS = 10, 5
+
 # ---- duplicates -------------------------------------------------------------------------------------------------
 
 
@@ -173,15 +178,15 @@ def duplicate_name_class(df: DataFrame, key: str, name: str, sentinels: Sequence
     """
     plain = F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
     out = df.filter(valid_key(key, sentinels)).groupBy(key).agg(F.count(F.lit(1)).alias("copies"), F.min(plain).alias("_lo"), F.max(plain).alias("_hi"))
-    kind = first_match([(F.col("_lo") == F.col("_hi"), "LIKELY_MIGRATION"), (F.col("_lo") != F.col("_hi"), "DIFFERENT_NAMES")], "UNKNOWN")
+    kind = first_match([(F.col("_lo") == F.col("_hi"), SAME_NAMES), (F.col("_lo") != F.col("_hi"), OTHER_NAMES)], UNCLEAR)
     return out.filter("copies > 1").select(key, "copies", kind.alias("issue_category"))
 
 
 def duplicate_triage(members: DataFrame, features: str, in_target: Column) -> DataFrame:
     """Urgency of each member: 10 per enabled feature, 5 when missing in the target; P1 to P4."""
     used, here = F.col(features) > 0, F.coalesce(in_target, F.lit(False))
-    level = first_match([(used & ~here, "P1 - URGENT"), (used, "P2 - HIGH"), (~here, "P3 - MEDIUM")], "P4 - LOW")
-    score = F.col(features) * 10 + F.when(here, 0).otherwise(5)
+    level = first_match(list(zip([used & ~here, used, ~here], PRIORITIES)), PRIORITIES[-1])
+    score = F.col(features) * FEATURE_POINTS + F.when(here, 0).otherwise(MISSING_POINTS)
     return members.withColumn("in_target", here).withColumn("priority_score", score).withColumn("priority_level", level)
 
 
@@ -409,8 +414,11 @@ def expired(df: DataFrame, created: str, incomplete: Column, hours: int, as_of:
     return df.filter(old).withColumn("age_hours", F.round(hours_between(F.col(created), moment(as_of)), 4))
 
 
-RISK_TIERS = [(20, "Very Low (0-20)"), (40, "Low (21-40)"), (60, "Medium (41-60)"), (80, "High (61-80)")]  # fixed values
-CONFIDENCE_TIERS = [(90, "High (90-100)"), (70, "Medium (70-89)"), (50, "Low (50-69)")]  # fixed values
+# Score tiers, stability and sufficiency ratings
+RISK_TIERS = [(20, "Very Low (0-20)"), (40, "Low (21-40)"), (60, "Medium (41-60)"), (80, "High (61-80)")]
+CONFIDENCE_TIERS = [(90, "High (90-100)"), (70, "Medium (70-89)"), (50, "Low (50-69)")]
+STABILITY = [(0.8, "Mostly Consistent"), (0.5, "Some Gaps")]
+SUFFICIENCY = [(10000, "Excellent (6+ months)"), (5000, "Good (3-6 months)"), (3000, "Borderline (2-3 months)")]
 
 
 def risk_tier(score: Column) -> Column:
@@ -463,14 +471,13 @@ def waiting_by_priority(df: DataFrame, waiting: Column, priority: str, created:
 def consistency_rating(df: DataFrame, part: str, total: str) -> DataFrame:
     """Share of consecutive in total days and its rating; NULL shares (no days) rate as inconsistent."""
     share = F.try_divide(F.col(part).cast("double"), F.col(total).cast("double"))
-    rules: list[Rule] = [(F.col(part) == F.col(total), "Consistent"), (share >= 0.8, "Mostly Consistent"), (share >= 0.5, "Some Gaps")]
+    rules: list[Rule] = [(F.col(part) == F.col(total), "Consistent"), *[(share >= low, label) for low, label in STABILITY]]
     return df.withColumn("consistency_pct", F.round(share * 100, 2)).withColumn("stability", first_match(rules, "Inconsistent"))
 
 
 def sufficiency_rating(amount: Column) -> Column:
     """Rating of verified assets by amount."""
-    bands = [(10000, "Excellent (6+ months)"), (5000, "Good (3-6 months)"), (3000, "Borderline (2-3 months)")]  # fixed values
-    return first_match([(amount >= low, label) for low, label in bands], "Insufficient (<2 months)")
+    return first_match([(amount >= low, label) for low, label in SUFFICIENCY], "Insufficient (<2 months)")
 
 
 def amount_by_source(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from crosswalk.functions.columns import address_key, count_if, first_match, norm_email, norm_name, norm_phone, percent
 from crosswalk.functions.scale import join_back, latest_per_key, with_figures
 
-NO_DUPE = "No Dupe"
+# Duplicate labels
+NO_DUPE, BOTH_DUPE, DUPE, OVERRIDDEN = "No Dupe", "Both Dupe", "Dupe", "Overridden"
 
 
 @dataclass
@@ -111,10 +112,10 @@ def label_duplicates(matches: DataFrame, target_name: str = "Target", source_nam
     extra = (F.col("override_records") > 0) & F.col("override_id").isNull()
     many_t, many_s = F.col("target_copy_number") > 1, F.col("source_copy_number") > 1
     side = first_match(
-        [(many_t & many_s, "Both Dupe"), (many_t, f"{target_name} Dupe"), (many_s, f"{source_name} Dupe")], NO_DUPE
+        [(many_t & many_s, BOTH_DUPE), (many_t, f"{target_name} {DUPE}"), (many_s, f"{source_name} {DUPE}")], NO_DUPE
     )
     overridden = (F.col("override_records") > 0) & (side != NO_DUPE)
-    label = F.when(overridden, F.concat(F.lit("Overridden "), side)).otherwise(side)
+    label = F.when(overridden, F.concat(F.lit(f"{OVERRIDDEN} "), side)).otherwise(side)
     return out.withColumn("extra_duplicate_flag", extra.cast("int")).withColumn("dupe_status", label)
 
 
@@ -205,8 +206,9 @@ def match_distribution(versions: Mapping[str, DataFrame], by: str) -> DataFrame:
 
 # ---- identities -------------------------------------------------------------------------------------------------
 
+# The compared fields, points per matching field, and the confidence bands
 FIELDS = ("first_name", "last_name", "email", "phone")
-WEIGHTS = {"first_name": 25, "last_name": 25, "email": 30, "phone": 20}  # fixed values: points per matching field
+WEIGHTS = {"first_name": 25, "last_name": 25, "email": 30, "phone": 20}
 BANDS = [(90, "90-100 (Very High)"), (70, "70-89 (High)"), (50, "50-69 (Medium)"), (30, "30-49 (Low)"), (0, "0-29 (Very Low)")]
 SUBSETS = [c for n in range(1, 5) for c in combinations(FIELDS, n)]
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import any_of, count_if, first_match, flag_total
-from crosswalk.functions.scale import group_stats, join_back, latest_per_key, with_figures
+from crosswalk.functions.scale import group_stats, latest_per_key, with_figures
 
 
 @dataclass
@@ -337,8 +337,3 @@ def effective_access(
     out = entity_flags.join(side, [*on, code], "left")
     open_ = (F.col(entity_state) == enabled) & (F.col("_user_state").isNull() | (F.col("_user_state") == enabled))
     return out.withColumn("available", F.coalesce(open_, F.lit(False))).withColumnRenamed("_user_state", "user_state")
-
-
-def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
-    """Attach one-row-per-key figures to rows, hot keys spread (see functions.scale.join_back)."""
-    return join_back(df, stats, keys, size)

@@ -8,10 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crosswalk.functions.columns import count_if, first_match, ordered_label, percent
+from crosswalk.functions.columns import first_match, ordered_label, percent
 from crosswalk.functions.scale import group_stats, join_back, latest_per_key, running_total, with_figures
 
-LONG_AGO = "1900-01-01 00:00:00"  # fixed value: stands in for a missing time
+# What stands in for a missing time, and the labels of series members
+LONG_AGO = "1900-01-01 00:00:00"
+OLD_ACTIVE, OLD_INACTIVE, LATEST, UNKNOWN = "Old Still Active", "Old Inactive", "Latest", "Unknown"
 
 __all__ = ["latest_per_key"]  # W1 is latest_per_key itself
 
@@ -51,11 +53,11 @@ def series_status(df: DataFrame, group: str, number: str, active: Column) -> Dat
     older = F.col(number) < F.col("max_number")
     label = first_match(
         [
-            (older & active, "Old Still Active"),
-            (older & ~active, "Old Inactive"),
-            (F.col(number) == F.col("max_number"), "Latest"),
+            (older & active, OLD_ACTIVE),
+            (older & ~active, OLD_INACTIVE),
+            (F.col(number) == F.col("max_number"), LATEST),
         ],
-        "Unknown",
+        UNKNOWN,
     )
     return out.filter("series_size > 1").withColumn("series_status", label)
 
@@ -65,8 +67,8 @@ def series_metrics(members: DataFrame, status: DataFrame, key: str) -> DataFrame
     named = members.agg(F.count_distinct(key).alias("n0"))
     rest = status.agg(
         F.count_distinct(key).alias("n1"),
-        F.count_distinct(F.when(F.col("series_status") == "Old Still Active", F.col(key))).alias("n2"),
-        F.count_distinct(F.when(F.col("series_status") == "Old Inactive", F.col(key))).alias("n3"),
+        F.count_distinct(F.when(F.col("series_status") == OLD_ACTIVE, F.col(key))).alias("n2"),
+        F.count_distinct(F.when(F.col("series_status") == OLD_INACTIVE, F.col(key))).alias("n3"),
     )
     labels = ["Named in a series", "In series of two or more", "Old still active", "Old inactive"]
     rows = F.array(*[F.struct(F.lit(t).alias("metric"), F.col(f"n{i}").alias("row_count")) for i, t in enumerate(labels)])
@@ -75,7 +77,7 @@ def series_metrics(members: DataFrame, status: DataFrame, key: str) -> DataFrame
 
 def series_to_drop(status: DataFrame, key: str) -> DataFrame:
     """Ids of members replaced by a later one."""
-    return status.filter(F.col("series_status").startswith("Old")).select(key).distinct()
+    return status.filter(F.col("series_status").isin(OLD_ACTIVE, OLD_INACTIVE)).select(key).distinct()
 
 
 def percent_of_total(counts: DataFrame, value: str, name: str = "percentage", digits: int = 2) -> DataFrame:
@@ -89,10 +91,9 @@ def rank_of(df: DataFrame, key: str, value: str, chosen: DataFrame) -> DataFrame
 
     Ranks come from running totals over distinct values, not from one ordered partition holding all rows.
     """
-    run = running_total(df, [], value)
-    total = df.filter(F.col(value).isNotNull()).agg(F.count(F.lit(1)).alias("total_rows"))
+    run = running_total(df, [], value).withColumnRenamed("total", "total_rows")
     above = F.col("total_rows") - F.col("before") - F.col("weight")
-    ranks = with_figures(run, total).select(value, "weight", (above + 1).alias("rank"), "total_rows")
+    ranks = run.select(value, "weight", (above + 1).alias("rank"), "total_rows")
     rows = df.join(chosen.select(key).distinct(), key, "left_semi").select(key, value)
     return join_back(rows, ranks, [value], "weight", "inner").drop("weight")
 
@@ -139,8 +140,3 @@ def difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 def intersection(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of a with a partner in b."""
     return a.join(b.select(*keys).distinct(), list(keys), "left_semi")
-
-
-def rank_counts(df: DataFrame, value: str, at_least: object) -> DataFrame:
-    """How many rows lie above a given value, in one aggregate."""
-    return df.agg(count_if(F.col(value) > F.lit(at_least)).alias("rows_above"))

@@ -16,6 +16,15 @@ from crosswalk.operators.aggregates import kpi_rows
 from crosswalk.operators.history import feature_effective_join
 
 
+# Report labels
+CORRELATED, MISSING_ID, ID_ONLY, NO_VERIFICATION = "CORRELATED", "MISSING_ID_VERIFICATION", "ID_ONLY", "NO_VERIFICATION"
+PASS, FAIL, PENDING, NO_DECISION, NO_SUBMISSION = "PASS", "FAIL", "PENDING", "NO_DECISION", "NO SUBMISSION"
+PROPER, INCOMPLETE, NOT_USING, PARTIAL = "PROPER_USAGE", "INCOMPLETE_WORKFLOW", "NOT_USING_CHANNEL", "PARTIAL_USAGE"
+ISSUES = ("NO_ID_VERIFICATION", "NO_VERIFICATION_RESULTS", "MULTIPLE_ATTEMPTS", "LONG_COMPLETION_TIME")
+DELAYED, TIMELY = "DELAYED", "TIMELY"
+MANY_ATTEMPTS, LONG_MINUTES, LATE_HOURS = 3, 60, 48
+
+
 def eligible_applicants(applicants: DataFrame, features: DataFrame, key: str, submitted: str, enabled_at: str, since: str, created: str) -> DataFrame:
     """Applicants of entities with the feature, submitted on or after it was enabled, created since a moment."""
     rows = applicants.filter(F.col(created) >= moment(since))
@@ -72,24 +81,21 @@ def applicant_report(
     failed = (F.col("income_rejected") == 1) | (F.col("asset_rejected") == 1)
     minutes = elapsed(F.col(f"first_{main}_at"), F.col(f"last_{main}_at"), "minute")
     hours = elapsed(F.col(submitted), moment(as_of), "hour")
-    issues = [
-        (used & (id_n == 0), "NO_ID_VERIFICATION"), (used & ~money, "NO_VERIFICATION_RESULTS"),
-        (F.col(f"{main}_submissions") > 3, "MULTIPLE_ATTEMPTS"), (minutes > 60, "LONG_COMPLETION_TIME"),
-    ]
+    faults = [used & (id_n == 0), used & ~money, F.col(f"{main}_submissions") > MANY_ATTEMPTS, minutes > LONG_MINUTES]
     return out.withColumns({
         "duration_minutes": minutes,
         "correlation_status": first_match([
-            (used & (id_n > 0), "CORRELATED"), (used & (id_n == 0), "MISSING_ID_VERIFICATION"), (~used & (id_n > 0), "ID_ONLY")
-        ], "NO_VERIFICATION"),
-        "income_pass_fail": F.when(F.col("income_accepted") == 1, "PASS").otherwise("FAIL"),
-        "asset_pass_fail": F.when(F.col("asset_accepted") == 1, "PASS").otherwise("FAIL"),
-        "recommendation": first_match([(passed, "PASS"), (failed, "FAIL"), (money, "PENDING")], "NO_DECISION"),
+            (used & (id_n > 0), CORRELATED), (used & (id_n == 0), MISSING_ID), (~used & (id_n > 0), ID_ONLY)
+        ], NO_VERIFICATION),
+        "income_pass_fail": F.when(F.col("income_accepted") == 1, PASS).otherwise(FAIL),
+        "asset_pass_fail": F.when(F.col("asset_accepted") == 1, PASS).otherwise(FAIL),
+        "recommendation": first_match([(passed, PASS), (failed, FAIL), (money, PENDING)], NO_DECISION),
         "usage_assessment": first_match([
-            (used & (id_n > 0) & money, "PROPER_USAGE"), (used & (id_n == 0), "INCOMPLETE_WORKFLOW"), (~used, "NOT_USING_CHANNEL")
-        ], "PARTIAL_USAGE"),
-        "issue_flag": first_match(issues),
+            (used & (id_n > 0) & money, PROPER), (used & (id_n == 0), INCOMPLETE), (~used, NOT_USING)
+        ], PARTIAL),
+        "issue_flag": first_match(list(zip(faults, ISSUES))),
         "hours_since_submission": hours,
-        "timeliness": F.when(hours > 48, "DELAYED").otherwise("TIMELY"),
+        "timeliness": F.when(hours > LATE_HOURS, DELAYED).otherwise(TIMELY),
     })
 
 
@@ -102,7 +108,7 @@ def ruling_reason(report: DataFrame, channels: Sequence[str]) -> DataFrame:
     passed = (F.col("income_accepted") == 1) | (F.col("asset_accepted") == 1)
     failed = (F.col("income_rejected") == 1) | (F.col("asset_rejected") == 1)
     return report.withColumns({
-        "ruling": first_match([(passed, "PASS"), (failed, "FAIL"), (any_use, "PENDING")], "NO SUBMISSION"),
+        "ruling": first_match([(passed, PASS), (failed, FAIL), (any_use, PENDING)], NO_SUBMISSION),
         "reason": first_match([
             (F.col("income_accepted") == 1, "Income verification accepted"), (F.col("asset_accepted") == 1, "Asset verification accepted"),
             (F.col("income_rejected") == 1, F.concat(F.lit("Income rejected: "), shown["income"])),

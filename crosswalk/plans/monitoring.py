@@ -13,6 +13,13 @@ from crosswalk.functions.scale import with_figures
 from crosswalk.operators.filters import today
 
 
+# Size above which the create queue gets each label, and percent below which coverage does
+CREATE_BANDS = [(200, "High CREATE backlog"), (50, "Moderate CREATE queue"), (0, "Small CREATE queue")]
+COVERAGE_BANDS = [(90, "Coverage LOW (<90%)"), (95, "Coverage OK (90-95%)")]
+# Largest queue size for each assessment
+ASSESSMENTS = [(0, "Queue empty - all synced"), (49, "Queue draining normally"), (100, "Moderate queue - monitor"), (500, "High queue - may need attention")]
+
+
 def _cross(parts: Sequence[DataFrame]) -> DataFrame:
     """One wide row from one-row aggregates."""
     return reduce(with_figures, parts)
@@ -42,8 +49,8 @@ def health_check(
     return one.withColumns({
         "gap": F.col("total_source") - F.col("total_target"),
         "report_at": moment(as_of),
-        "create_queue_status": first_match([(q > 200, "High CREATE backlog"), (q > 50, "Moderate CREATE queue"), (q > 0, "Small CREATE queue")], "No creates needed"),
-        "coverage_status": first_match([(c < 90, "Coverage LOW (<90%)"), (c < 95, "Coverage OK (90-95%)")], "Coverage GOOD (>95%)"),
+        "create_queue_status": first_match([(q > n, label) for n, label in CREATE_BANDS], "No creates needed"),
+        "coverage_status": first_match([(c < n, label) for n, label in COVERAGE_BANDS], "Coverage GOOD (>95%)"),
     })
 
 
@@ -69,10 +76,7 @@ def queue_health(queues: Mapping[str, DataFrame], activity: Mapping[str, DataFra
             ],
             "Healthy",
         )
-        note = first_match(
-            [(size == 0, "Queue empty - all synced"), (size < 50, "Queue draining normally"), (size <= 100, "Moderate queue - monitor"), (size <= 500, "High queue - may need attention")],
-            "Very high queue - investigate",
-        )
+        note = first_match([(size <= n, label) for n, label in ASSESSMENTS], "Very high queue - investigate")
         parts.append(one.select(F.lit(kind).alias("queue"), "queue_size", "last_sync_at", "records_today", status.alias("status"), note.alias("assessment")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 

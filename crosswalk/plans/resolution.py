@@ -30,7 +30,7 @@ def labelled(found: DataFrame, source: DataFrame, s: M.SiteColumns, partner_ids:
 
 def open_duplicates(marked: DataFrame) -> DataFrame:
     """Duplicates that nobody has overridden, for review."""
-    return marked.filter((F.col("final_status") != M.NO_DUPE) & ~F.col("final_status").startswith("Overridden"))
+    return marked.filter((F.col("final_status") != M.NO_DUPE) & ~F.col("final_status").startswith(M.OVERRIDDEN))
 
 
 def status_summary(marked: DataFrame) -> DataFrame:
