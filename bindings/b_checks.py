@@ -160,6 +160,7 @@ b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderpriority <> '1-URGENT' THEN
 
 def profile_sql(t):
     return f"""SELECT 'rows' AS c, count(*) AS v FROM {t} UNION ALL SELECT 'distinct o_custkey', count(DISTINCT o_custkey) FROM {t} UNION ALL SELECT 'null o_orderstatus', count(*) FILTER (WHERE o_orderstatus IS NULL) FROM {t}
+    UNION ALL SELECT 'first day', CAST(strftime(min(o_orderdate), '%Y%m%d') AS BIGINT) FROM {t} UNION ALL SELECT 'last day', CAST(strftime(max(o_orderdate), '%Y%m%d') AS BIGINT) FROM {t}
     UNION ALL SELECT 'distinct days', count(DISTINCT CAST(o_orderdate AS DATE)) FROM {t} UNION ALL SELECT 'leaked o_orderpriority', count(*) FILTER (WHERE upper(o_orderpriority) LIKE '%LOW%') FROM {t}"""
 
 
@@ -178,10 +179,22 @@ def m8_keys(i):
     return K.key_differences(*parity_sides(i), ["o_orderkey"], ["o_custkey", "o_orderstatus"])
 
 
-@query("m8_schema_diff")
+@query("m8_schema_diff", f"""
+WITH {SIDES} SELECT 'o_orderkey' AS column_name, 'bigint' AS a_type, count(a.o_orderkey) AS a_filled, 'string' AS b_type, (SELECT count(o_orderkey) FROM b) AS b_filled, 'type differs' AS status FROM a
+UNION ALL SELECT 'o_custkey', 'bigint', count(o_custkey), 'bigint', (SELECT count(o_custkey) FROM b), 'same' FROM a UNION ALL SELECT 'o_orderstatus', 'string', count(o_orderstatus), 'string', (SELECT count(o_orderstatus) FROM b), 'same' FROM a
+UNION ALL SELECT 'o_orderdate', 'timestamp_ntz', count(o_orderdate), 'timestamp_ntz', (SELECT count(o_orderdate) FROM b), 'same' FROM a
+UNION ALL SELECT 'o_orderpriority', 'string', count(o_orderpriority), NULL, NULL, 'only in a' FROM a UNION ALL SELECT 'rank', NULL, NULL, 'string', count(o_orderpriority), 'only in b' FROM b
+""")
 def m8_schema(i):
-    b = i.orders.drop("o_orderpriority").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)")).withColumn("extra", F.lit(1))
-    return K.schema_diff(i.orders, b)
+    a, b = parity_sides(i)
+    return K.schema_diff(a, b.withColumnRenamed("o_orderpriority", "rank").withColumn("o_orderkey", F.col("o_orderkey").cast("string")))
+
+
+@query("m8_sample_lookup", f"""
+WITH {SIDES} SELECT a.o_orderkey, a.o_orderstatus AS a_o_orderstatus, b.o_orderkey IS NOT NULL AS in_b, b.o_orderstatus AS b_o_orderstatus FROM (SELECT * FROM a ORDER BY o_orderkey LIMIT 25) a LEFT JOIN b ON b.o_orderkey = a.o_orderkey
+""")
+def m8_sample(i):
+    return K.sample_lookup(*parity_sides(i), "o_orderkey", ["o_orderstatus"], 25)
 
 
 @query("m9_sync_quality_suite", f"""
@@ -376,6 +389,11 @@ def m18_totals(i):
     return K.operation_totals(operation_history(i), "operation", ["rows_deleted", "rows_updated"])
 
 
+@query("m19_status_counts", "SELECT CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'ok' END AS status, count(*) AS row_count FROM events GROUP BY 1")
+def m19_status(i):
+    return K.status_counts(i.events.select(F.when(F.col("event_type") == "error", "rejected").otherwise("ok").alias("status")), "status")
+
+
 @query("m19_reject_summary", """
 WITH r AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'ok' END AS status, CASE WHEN value > 100 THEN 'Limit Exceeded in flow' WHEN value > 50 THEN 'DUPLICATE_VALUE on key' ELSE 'unexpected ' || props END AS message FROM events)
 SELECT message, CASE WHEN message LIKE '%Limit Exceeded%' THEN 'Limits' WHEN message LIKE '%DUPLICATE_VALUE%' THEN 'Duplicates' ELSE 'Other' END AS category, count(*) AS row_count, min(event_id) AS sample_id FROM r WHERE status = 'rejected' GROUP BY 1, 2

@@ -75,12 +75,14 @@ def compare_summary(compared: DataFrame, fields: int) -> DataFrame:
 
 
 def dataset_profile(df: DataFrame, distinct: Sequence[str], nulls: Sequence[str], ts: str | None, patterns: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """M8: (check, value) rows for one data set from one aggregate: rows, distinct, null counts, days, pattern leakage."""
+    """M8: (check, value) rows for one data set from one aggregate: rows, distinct and null counts, first and last day
+    (as yyyymmdd) and number of days, pattern leakage."""
     figures: dict[str, Column] = {"rows": F.count(F.lit(1))}
     figures |= {f"distinct {c}": F.count_distinct(c) for c in distinct}
     figures |= {f"null {c}": count_if(F.col(c).isNull()) for c in nulls}
     if ts:
-        figures["distinct days"] = F.count_distinct(F.col(ts).cast("date"))
+        day = F.date_format(ts, "yyyyMMdd").cast("bigint")
+        figures |= {"first day": F.min(day), "last day": F.max(day), "distinct days": F.count_distinct(day)}
     for c, likes in (patterns or {}).items():
         figures[f"leaked {c}"] = count_if(any_of([F.upper(c).like(p) for p in likes]))
     one = df.agg(*[v.cast("bigint").alias(f"_{i}") for i, v in enumerate(figures.values())])
@@ -96,14 +98,28 @@ def dataset_parity(a: DataFrame, b: DataFrame, distinct: Sequence[str], nulls: S
     return out.withColumn("difference", F.col("b_value") - F.col("a_value")).withColumn("b_pct_of_a", percent(F.col("b_value"), F.col("a_value")))
 
 
+def column_fill(df: DataFrame) -> DataFrame:
+    """One row per column: type and number of filled rows, from one aggregate."""
+    one = df.agg(*[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type"), F.col(f"_{i}").alias("filled")) for i, (c, t) in enumerate(df.dtypes)]
+    return one.select(F.inline(F.array(*rows)))
+
+
 def schema_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """M8: columns of either side with their types and whether they agree. Reads schemas only."""
-    left, right = dict(a.dtypes), dict(b.dtypes)
-    rows = []
-    for c in sorted({*left, *right}):
-        x, y = left.get(c), right.get(c)
-        rows.append((c, x, y, "only in a" if y is None else "only in b" if x is None else "same" if x == y else "type differs"))
-    return a.sparkSession.createDataFrame(rows, "column_name string, a_type string, b_type string, status string")
+    """M8: columns of either side with type and filled rows on each, and whether the types agree."""
+    left = column_fill(a).withColumnsRenamed({"type": "a_type", "filled": "a_filled"})
+    right = column_fill(b).withColumnsRenamed({"type": "b_type", "filled": "b_filled"})
+    status = first_match(
+        [(F.col("b_type").isNull(), "only in a"), (F.col("a_type").isNull(), "only in b"), (F.col("a_type") == F.col("b_type"), "same")], "type differs"
+    )
+    return left.join(right, "column_name", "full_outer").withColumn("status", status)
+
+
+def sample_lookup(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str], n: int = 10) -> DataFrame:
+    """M8: the first n keys of a with their values on both sides, as a spot check a person can read."""
+    picked = a.select(key, *[F.col(c).alias(f"a_{c}") for c in columns]).orderBy(key).limit(n)
+    other = b.select(key, F.lit(True).alias("in_b"), *[F.col(c).alias(f"b_{c}") for c in columns])
+    return picked.join(other, key, "left").fillna(False, ["in_b"])
 
 
 def key_differences(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -298,6 +314,11 @@ def reject_summary(df: DataFrame, status: str, message: str, id_col: str, catego
     return bad.groupBy(message, kind.alias("category")).agg(F.count(F.lit(1)).alias("row_count"), F.min(id_col).alias("sample_id"))
 
 
+def status_counts(df: DataFrame, status: str) -> DataFrame:
+    """Rows per status."""
+    return df.groupBy(status).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def value_source_check(df: DataFrame, value: str, right: str, wrong: str) -> DataFrame:
     """Is a copied value from the right source, still from the wrong one, empty, or something else?"""
     v = F.col(value)

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job relies on. Shuffle partitions start high and AQE merges small ones, so one value serves
-# both a laptop and a large cluster; skewed join partitions are split at run time.
+# Settings every job relies on: one time zone, and a plan that adapts at run time (small shuffle partitions are
+# merged, skewed join partitions are split). ``sized_settings`` adds the ones that follow from data and cluster size.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,6 +18,20 @@ SETTINGS = {
 }
 
 
+def sized_settings(input_bytes: int, cores: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` on ``cores`` executor cores.
+
+    Shuffle partitions are sized so that one fits a task's memory, and there are at least three per core; AQE merges
+    them where less data arrives. Scan splits follow the same size, smaller when that would leave cores idle.
+    """
+    partitions = max(3 * cores, -(-input_bytes // partition_bytes))
+    split = max(8 * 1024 * 1024, min(partition_bytes, input_bytes // max(1, 3 * cores)))
+    return {
+        **SETTINGS, "spark.sql.shuffle.partitions": str(partitions), "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+    }
+
+
 def local_session(cores: str = "8", shuffle_partitions: str = "8", **extra: str) -> SparkSession:
     """A session for tests and the bench; a cluster job passes its own session to the operators instead."""
     builder = (

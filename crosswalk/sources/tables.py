@@ -24,10 +24,15 @@ def read_csv_clean(spark: SparkSession, path: str, schema: StructType, key: str,
     return df.withColumn(key, F.trim(key)).filter(F.col(key) != "").distinct()
 
 
-def lookback_increment(df: DataFrame, ts: str, hours: int, as_of: str, condition: Column | None = None) -> DataFrame:
-    """S3: rows created in the last ``hours`` hours before ``as_of``, optionally with a condition."""
+def lookback_increment(df: DataFrame, ts: str, hours: int, as_of: str, condition: Column | None = None, newest_first: bool = True) -> DataFrame:
+    """S3: rows created in the last ``hours`` hours before ``as_of``, optionally with a condition, newest first.
+
+    The time test is on the raw column and reaches the scan. Pass ``newest_first=False`` when a later step sorts or
+    aggregates anyway; it saves a shuffle.
+    """
     out = df.filter(F.col(ts) >= moment(as_of) - F.expr(f"INTERVAL {hours} HOURS"))
-    return out if condition is None else out.filter(condition)
+    out = out if condition is None else out.filter(condition)
+    return out.orderBy(F.col(ts).desc()) if newest_first else out
 
 
 def prefix_projection(df: DataFrame, prefix: str) -> DataFrame:

@@ -164,9 +164,16 @@ def test_compare_fields(spark, rows):
 
 
 def test_schema_diff(spark, rows):
-    a = spark.createDataFrame([], "x int, y string, z double")
+    a = spark.createDataFrame([(1, None, 1.0)], "x int, y string, z double")
     b = spark.createDataFrame([], "x bigint, y string, w int")
-    assert rows(K.schema_diff(a, b), "column_name", "status") == [("w", "only in b"), ("x", "type differs"), ("y", "same"), ("z", "only in a")]
+    assert rows(K.schema_diff(a, b), "column_name", "status", "a_filled", "b_filled") == [
+        ("w", "only in b", None, 0), ("x", "type differs", 1, 0), ("y", "same", 0, 0), ("z", "only in a", 1, None),
+    ]
+
+
+def test_sample_lookup(spark, rows):
+    a = spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "k int, v string")
+    assert rows(K.sample_lookup(a, a.filter("k = 2"), "k", ["v"], 2)) == [(1, "a", False, None), (2, "b", True, "b")]
 
 
 def test_flag_transitions_count_null_as_false(spark, rows):

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from crosswalk.functions import scale
+from crosswalk.session import sized_settings
 
 
 @pytest.fixture(scope="module")
@@ -119,6 +120,13 @@ def test_chunked_list_is_whole_and_bounded(skewed):
     assert [int(x) for r in hot for x in r["items"].split(",")] == list(range(0, 3000, 3))
 
 
+def test_sized_settings_follow_data_and_cores():
+    big = sized_settings(100 * 10**12, 4000)
+    assert int(big["spark.sql.shuffle.partitions"]) > 370_000 and int(big["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 * 1024
+    small = sized_settings(10**9, 100)
+    assert int(small["spark.sql.shuffle.partitions"]) == 300 and int(small["spark.sql.files.maxPartitionBytes"]) == 8 * 1024 * 1024
+
+
 def test_with_figures(spark, rows):
     df = spark.createDataFrame([(1,), (2,)], "a int")
     got = scale.with_figures(df, df.agg(F.sum("a").alias("t"), F.count(F.lit(1)).alias("n")))
