@@ -233,19 +233,32 @@ def identity_normalise(df: DataFrame, keep: Sequence[str], first: Column, last:
     )
 
 
+def _text(fields: Sequence[str]) -> Column:
+    return F.concat_ws("\u0001", *fields)
+
+
+def _hashes(text: Column) -> list[Column]:
+    """A 128-bit key of a text as two differently seeded 64-bit hashes: fixed width, cheap to shuffle and compare."""
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+
+
+IDENT, SUBSET = ["i1", "i2"], ["mask", "h1", "h2"]
+
+
 def _subset_keys(min_score: int = 0) -> Column:
-    """Rows (mask, key) for every field subset that is fully present and scores enough."""
+    """Rows (mask, h1, h2) for every field subset that is fully present and scores enough."""
     parts = []
     for n, fields in enumerate(SUBSETS):
         if subset_score(fields) >= min_score:
             present = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in fields])
-            parts.append(F.when(present, F.struct(F.lit(n).alias("mask"), F.concat_ws("\u0001", *fields).alias("key"))))
+            parts.append(F.when(present, F.struct(F.lit(n).alias("mask"), *_hashes(_text(fields)))))
     return F.inline(F.array_compact(F.array(*parts)))
 
 
 def _identity(df: DataFrame) -> DataFrame:
-    """Adds ``ident``: one text for the four fields, NULL kept apart from any value."""
-    return df.withColumn("ident", F.concat_ws("\u0001", *[F.coalesce(F.col(f), F.lit("\u0000")) for f in FIELDS]))
+    """Adds the key (i1, i2) of the four fields together; NULL is kept apart from any value."""
+    known = [F.coalesce(F.col(f), F.lit("\u0000")) for f in FIELDS]
+    return df.withColumns(dict(zip(IDENT, _hashes(F.concat_ws("\u0001", *known)))))
 
 
 def _exact(weights: Mapping[int, int]) -> str:
@@ -267,24 +280,29 @@ def partner_counts(df: DataFrame, against: DataFrame | None = None, group: str |
 
     Equal identities are merged first; each identity is keyed by its 15 field subsets and the records per key are
     counted once. Agreement on exactly a subset follows from those counts (see ``_exact``), so no pair is formed and
-    the work stays linear however common a name is. With ``group`` partners of the same group do not count; with ``against`` the
-    partners are the records of that table.
+    the work stays linear however common a name is. Keys held by one record go no further than that count. With
+    ``group`` partners of the same group do not count; with ``against`` the partners are the records of that table.
+    Identities without any partner are left out.
     """
     tag = [group] if group else []
-    merged = _identity(df).groupBy("ident", *FIELDS, *tag).agg(F.count(F.lit(1)).alias("w"))
-    pool = merged if against is None else _identity(against).groupBy("ident", *FIELDS, *tag).agg(F.count(F.lit(1)).alias("w"))
-    keyed = pool.select(*tag, "w", _subset_keys())
-    stats = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("_rows"), F.sum("w").alias("n"))
-    rows = join_back(merged.select("ident", *tag, "w", _subset_keys()), stats, ["mask", "key"], "_rows").drop("_rows")
-    partners = F.coalesce("n", F.lit(0))
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return _identity(rows).groupBy(*IDENT, *FIELDS, *tag).agg(F.count(F.lit(1)).alias("w"))
+
+    mine = merge(df).select(*IDENT, *tag, "w", _subset_keys())
+    pool = mine if against is None else merge(against).select("w", _subset_keys())
+    own = 1 if against is None else 0
     if group:
-        inner = keyed.groupBy("mask", "key", group).agg(F.count(F.lit(1)).alias("_rows"), F.sum("w").alias("g"))
-        rows = join_back(rows, inner, ["mask", "key", group], "_rows").drop("_rows")
-        partners = partners - F.coalesce("g", F.lit(0))
-    elif against is None:
-        partners = partners - 1
-    return rows.withColumn("_p", partners).groupBy("ident", *tag, "w").agg(
-        *[F.expr(f"coalesce(sum(CASE WHEN mask = {m} THEN _p END), 0L)").alias(f"c{m}") for m in range(len(SUBSETS))]
+        parts = pool.groupBy(*SUBSET, group).agg(F.count(F.lit(1)).alias("_rows"), F.sum("w").alias("g"))
+        totals = parts.groupBy(*SUBSET).agg(F.sum("g").alias("n"), F.count(F.lit(1)).alias("_groups")).filter("_groups > 1")
+        stats = join_back(parts, totals, SUBSET, "_groups", "inner").select(*SUBSET, group, "_rows", (F.col("n") - F.col("g")).alias("partners"))
+    else:
+        stats = pool.groupBy(*SUBSET).agg(F.count(F.lit(1)).alias("_rows"), (F.sum("w") - own).alias("partners")).filter("partners > 0")
+        if against is not None:  # a key's size is its rows on this side, which may be many where the other side has few
+            stats = stats.drop("_rows").join(mine.groupBy(*SUBSET).agg(F.count(F.lit(1)).alias("_rows")), SUBSET)
+    rows = join_back(mine, stats, [*SUBSET, *tag], "_rows", "inner")
+    return rows.groupBy(*IDENT, *tag, "w").agg(
+        *[F.expr(f"coalesce(sum(CASE WHEN mask = {m} THEN partners END), 0L)").alias(f"c{m}") for m in range(len(SUBSETS))]
     )
 
 
@@ -303,10 +321,10 @@ def identity_profile(df: DataFrame, key: str, against: DataFrame | None = None)
     best = F.expr("greatest(" + ", ".join(f"CASE WHEN c{n} > 0 THEN {subset_score(s)} ELSE 0 END" for n, s in enumerate(SUBSETS)) + ")")
     bands = [_total(lambda p, b=label: band_of(p) == b).alias(f"band_{low}") for low, label in BANDS]
     figures = counts.select(
-        "ident", "w", _total(lambda p: True).alias("candidates"), best.alias("highest_score"), *bands,
+        *IDENT, "w", _total(lambda p: True).alias("candidates"), best.alias("highest_score"), *bands,
         _total(lambda p: p >= 80).alias("auto_flag"), _total(lambda p: 50 <= p < 80).alias("manual_review"),
     )
-    out = join_back(_identity(df), figures, ["ident"], "w").drop("ident", "w")
+    out = join_back(_identity(df), figures, IDENT, "w")
     names = ["candidates", "highest_score", *[f"band_{low}" for low, _ in BANDS], "auto_flag", "manual_review"]
     return out.fillna(0, names).select(key, *FIELDS, *names)
 
@@ -315,18 +333,21 @@ def identity_links(df: DataFrame, key: str, min_score: int = 50) -> DataFrame:
     """Every record linked to the first record of each group it scores ``min_score`` or more with.
 
     Groups share the fields of one subset. Linking to the smallest id spans the group with one row per member
-    instead of all pairs; match booleans, score and band are those of the two linked records.
+    instead of all pairs. The fields on which a record agrees with that first record form a subset of their own, whose
+    first record is the same one; so the union of the subsets found gives the match booleans, and the score.
     """
-    fields = F.struct(*FIELDS)
-    keyed = df.select(key, *FIELDS, _subset_keys(min_score))
-    first = keyed.groupBy("mask", "key").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(key).alias("linked_id"), F.min_by(fields, F.col(key)).alias("_f")
-    ).filter("_rows > 1")
-    pairs = join_back(keyed, first, ["mask", "key"], "_rows", "inner").filter(F.col(key) != F.col("linked_id"))
-    same = {f: F.coalesce(F.col(f) == F.col(f"_f.{f}"), F.lit(False)) for f in FIELDS}
+    bits = F.element_at(F.array(*[F.lit(sum(1 << FIELDS.index(f) for f in s)) for s in SUBSETS]), F.col("mask") + 1)
+    merged = _identity(df).groupBy(*IDENT, *FIELDS).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("_first"))
+    keyed = merged.select(*IDENT, "w", "_first", _subset_keys(min_score))
+    groups = keyed.groupBy(*SUBSET).agg(F.count(F.lit(1)).alias("_rows"), F.sum("w").alias("_n"), F.min("_first").alias("linked_id"))
+    found = join_back(keyed.select(*IDENT, "w", *SUBSET), groups.filter("_n > 1").drop("_n"), SUBSET, "_rows", "inner")
+    links = found.groupBy(*IDENT, "w", "linked_id").agg(F.bit_or(bits).alias("bits"))
+    per = links.groupBy(*IDENT, "w").agg(F.collect_list(F.struct("linked_id", "bits")).alias("_l"))  # 15 entries at most
+    rows = join_back(_identity(df).select(key, *IDENT), per, IDENT, "w", "inner").select(key, F.inline("_l"))
+    same = {f: F.col("bits").bitwiseAND(1 << n) != 0 for n, f in enumerate(FIELDS)}
     score = reduce(lambda a, b: a + b, [c.cast("int") * WEIGHTS[f] for f, c in same.items()])
-    out = pairs.select(key, "linked_id", *[c.alias(f"{f}_matched") for f, c in same.items()], score.alias("score")).distinct()
-    return out.withColumn("band", band(F.col("score")))
+    out = rows.filter(F.col(key) != F.col("linked_id"))
+    return out.select(key, "linked_id", *[c.alias(f"{f}_matched") for f, c in same.items()], score.alias("score"), band(score).alias("band"))
 
 
 def identity_patterns(df: DataFrame) -> DataFrame:
@@ -364,8 +385,8 @@ def cross_group_matches(df: DataFrame, key: str, group: str, min_score: int = 70
     counts = partner_counts(df, group=group)
     strong = {n: subset_score(s) for n, s in enumerate(SUBSETS) if subset_score(s) >= min_score}
     total, points = F.expr(_exact({n: 1 for n in strong})), F.expr(_exact(strong))
-    figures = counts.select("ident", group, "w", total.alias("match_count"), points.alias("_points")).filter(F.col("match_count") >= at_least)
-    out = join_back(_identity(df), figures, ["ident", group], "w", "inner")
+    figures = counts.select(*IDENT, group, "w", total.alias("match_count"), points.alias("_points")).filter(F.col("match_count") >= at_least)
+    out = join_back(_identity(df), figures, [*IDENT, group], "w", "inner")
     return out.select(key, group, "match_count", F.round(F.col("_points") / F.col("match_count"), 4).alias("avg_score"))
 
 

@@ -14,7 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Join without sorting where every partition of the smaller side turns out to fit this size.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
