@@ -2,12 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from bindings.b_reconcile import AGGREGATED, LIVE, SPEC, aggregated, enriched
+from bindings.b_reconcile import AGGREGATED, LIVE, SPEC, aggregated, newest_first
 from bindings.base import AS_OF_EVENTS, AS_OF_ORDERS, query
 from crosswalk.operators import checks as K
 from crosswalk.plans import monitoring as P
 from crosswalk.plans import sync
-from crosswalk.session import cut
 
 DAY = "2001-07-30 00:00:00"
 EVENT_DAY = "2024-01-29 00:00:00"
@@ -15,9 +14,8 @@ EVENT_DAY = "2024-01-29 00:00:00"
 
 def stack(i):
     """The sync stack, each level written once since several figures read it."""
-    rows = cut(enriched(i), "enriched")
-    agg = cut(sync.aggregated(rows, SPEC), "aggregated")
-    return rows, agg, cut(sync.to_create(agg, i.target, SPEC), "creates"), cut(sync.to_update(agg, i.target, SPEC), "updates")
+    out = sync.run(i.entity, i.feature_wide, i.parent, i.target, SPEC, newest_first())
+    return out.enriched, out.aggregated, out.creates, out.updates
 
 
 def health(i):

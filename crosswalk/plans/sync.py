@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from crosswalk.operators import reconcile as R
 from crosswalk.operators.filters import valid_records
+from crosswalk.session import scratch_dir
+from crosswalk.sources.sinks import materialise
 
 
 @dataclass
@@ -56,6 +58,27 @@ def to_update(agg: DataFrame, target: DataFrame, spec: SyncSpec) -> DataFrame:
     return R.update_queue(agg, target, spec.key, spec.target_key, F.col(spec.deleted), order, [spec.target_id])
 
 
+@dataclass
+class SyncTables:
+    """The levels of one run, each written once and read by queues, health, audit and quality checks."""
+
+    enriched: DataFrame
+    aggregated: DataFrame
+    creates: DataFrame
+    updates: DataFrame
+
+
+def run(
+    entities: DataFrame, features: DataFrame, parents: DataFrame, target: DataFrame, spec: SyncSpec, order: Sequence[Column], out_dir: str | None = None
+) -> SyncTables:
+    """All levels of the sync, materialised under ``out_dir`` (default: a fresh folder in the shared scratch space)."""
+    base = out_dir or scratch_dir(entities.sparkSession, "sync")
+    rows = materialise(enriched(entities, features, parents, spec, order), f"{base}/enriched")
+    agg = materialise(aggregated(rows, spec), f"{base}/aggregated")
+    creates = materialise(to_create(agg, target, spec), f"{base}/creates")
+    return SyncTables(rows, agg, creates, materialise(to_update(agg, target, spec), f"{base}/updates"))
+
+
 def to_fix(agg: DataFrame, target: DataFrame, spec: SyncSpec, pairs: Mapping[str, str]) -> DataFrame:
     """Live target rows whose flags differ from the source."""
     live = target.filter(~F.col(spec.deleted))

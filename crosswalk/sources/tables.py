@@ -11,9 +11,16 @@ from pyspark.sql.types import StructType
 from crosswalk.functions.columns import moment
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Scan one source table; filters and columns chosen later reach the file scan."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str | None, name: str) -> DataFrame:
+    """Scan one source table: ``<folder>/<name>.parquet``, or the catalog table ``name`` (up to three parts) when
+    no folder is given. Filters and columns chosen later reach the scan."""
+    return spark.table(name) if folder is None else spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def register_views(frames: Mapping[str, DataFrame]) -> None:
+    """Make frames available to SQL under view names, so that queries can be stacked on one another."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
 
 
 def read_csv_clean(spark: SparkSession, path: str, schema: StructType, key: str, rename: Mapping[str, str] | None = None) -> DataFrame:

@@ -126,3 +126,9 @@ def test_audit_rows_are_typed_and_appended(spark, tmp_path):
     sinks.append_audit(row, f"{tmp_path}/log")
     got = sinks.append_audit(row, f"{tmp_path}/log")
     assert got.schema == sinks.AUDIT_SCHEMA and got.agg(F.sum("records_processed")).first()[0] == 10
+
+
+def test_catalog_tables_and_views(spark, rows):
+    tables.register_views({"stacked_a": spark.range(3)})
+    tables.register_views({"stacked_b": spark.sql("SELECT id * 2 AS id FROM stacked_a")})
+    assert rows(tables.read_table(spark, None, "stacked_b")) == [(0,), (2,), (4,)]
