@@ -32,17 +32,14 @@ def ledger_counts(ledger: DataFrame) -> DataFrame:
 def exclusion_waterfall(df: DataFrame, ledger: DataFrame, key: str, parent: str, units: str) -> DataFrame:
     """Entities, parents and units before, after, and the difference, in one pass over the marked rows.
 
-    Every entity is marked kept or not once; parents are counted after merging the rows of each parent.
+    Rows are merged per entity and parent first, so the distinct counts work on those pairs.
     """
     marked = df.join(ledger.select(key).distinct().withColumn("_out", F.lit(True)), key, "left")
     kept = F.col("_out").isNull()
-    per = marked.groupBy(parent).agg(
-        F.count_distinct(key).alias("n0"), F.count_distinct(F.when(kept, F.col(key))).alias("n1"), F.sum(units).alias("u0"),
-        F.sum(F.when(kept, F.col(units))).alias("u1"),
-    )
-    named = F.col(parent).isNotNull()
+    per = marked.groupBy(key, parent).agg(F.max(kept).alias("kept"), F.sum(units).alias("u0"), F.sum(F.when(kept, F.col(units))).alias("u1"))
     one = per.agg(
-        F.sum("n0").alias("e0"), F.sum("n1").alias("e1"), F.count(F.when(named, 1)).alias("p0"), F.count(F.when(named & (F.col("n1") > 0), 1)).alias("p1"),
+        F.count_distinct(key).alias("e0"), F.count_distinct(F.when(F.col("kept"), F.col(key))).alias("e1"),
+        F.count_distinct(parent).alias("p0"), F.count_distinct(F.when(F.col("kept"), F.col(parent))).alias("p1"),
         F.coalesce(F.sum("u0"), F.lit(0)).alias("u0"), F.coalesce(F.sum("u1"), F.lit(0)).alias("u1"),
     )
     def step(n: int, pick) -> Column:
@@ -63,4 +60,5 @@ def net_active_count(df: DataFrame, key: str, parent: str, units: str, exclusion
     """Entities, parents and units left after all exclusions (each a frame whose first column is the id)."""
     for ex in exclusions:
         df = df.join(ex.select(F.col(ex.columns[0]).alias(key)).distinct(), key, "left_anti")
-    return df.agg(F.count_distinct(key).alias("entities"), F.count_distinct(parent).alias("parents"), F.sum(units).alias("units"))
+    per = df.groupBy(key, parent).agg(F.sum(units).alias("units"))
+    return per.agg(F.count_distinct(key).alias("entities"), F.count_distinct(parent).alias("parents"), F.sum("units").alias("units"))

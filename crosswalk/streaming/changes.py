@@ -15,12 +15,13 @@ CHANGE_COLUMNS = ("_change_type", "_commit_version", "_change_timestamp")  # fix
 
 
 def stream_bronze(
-    spark: SparkSession, tables: Mapping[str, StructType], in_dir: str, out_dir: str, checkpoint_dir: str, files_per_batch: int | None = None
+    spark: SparkSession, tables: Mapping[str, StructType], in_dir: str, out_dir: str, checkpoint_dir: str, files_per_batch: int | None = None, every: str | None = None
 ) -> dict[str, StreamingQuery]:
     """One append stream per table: files of ``in_dir/<table>`` to ``out_dir/<table>``, each with its checkpoint.
 
-    Reads all files present and stops; run again it takes only new files. The file sink's log makes each batch count
-    once even when a batch is repeated after a failure.
+    The first run is the full load. By default a run reads all files present and stops, and the next one takes only
+    new files; with ``every`` (such as ``1 minute``) the streams go on until stopped. The file sink's log makes each
+    batch count once even when it is repeated after a failure.
     """
     started = {}
     for name, schema in tables.items():
@@ -30,7 +31,7 @@ def stream_bronze(
         rows = reader.parquet(f"{in_dir}/{name}").withColumn("_source_table", F.lit(name))
         started[name] = (
             rows.writeStream.format("parquet").option("path", f"{out_dir}/{name}").option("checkpointLocation", f"{checkpoint_dir}/{name}")
-            .outputMode("append").trigger(availableNow=True).start()
+            .outputMode("append").trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
         )
     return started
 
