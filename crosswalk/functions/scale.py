@@ -88,6 +88,7 @@ def lag_in_key(
 
     Rows are ordered inside (key, ``grain`` bucket); the last row of each bucket is handed to the next
     bucket of the key. A task therefore sorts one key's bucket, and the second window sees one row per bucket.
+    Rows with a NULL key or time belong to no sequence; filter them out first.
     """
     rows = df.withColumn("_bucket", F.date_trunc(grain, F.col(ts)))
     parts = [*keys, "_bucket"]
