@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from crosswalk.llm.common import map_batches, number_in_groups, texts
 from crosswalk.session import cut
 
-PIECE_ROWS = 100_000  # items of one length that are numbered in one task, about
+PIECE_ROWS = 500  # items of one length that are numbered in one task, about
 CACHE = 600_000  # words whose ids a task remembers before it starts anew
 PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!#$%&()*+,./:;=?@-]*)")
 
@@ -190,8 +190,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0)
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id`` and ``offset`` of every piece."""
     pieces = cut(token_pieces(docs, tokenizer, capacity, end_id), "token-pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    split = max(1, -(-max(counts.values(), default=0) // PIECE_ROWS))
-    cell = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(split))
+    hot = {length: -(-n // PIECE_ROWS) for length, n in counts.items() if n > PIECE_ROWS}
+    split = F.lit(1)
+    if hot:  # at most one entry per length
+        split = F.coalesce(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])[F.col("length").cast("int")], split)
+    cell = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), split.cast("long"))
     order = [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
     numbered = number_in_groups(pieces, ["length"], order, cell, "item")
     runs = sorted(plan(counts, capacity))
