@@ -33,16 +33,15 @@ def j19_average(i):
 
 
 @query("j20_period_gaps", """
-WITH p AS (SELECT o_orderkey AS id, o_custkey AS key, o_orderdate AS start_at, o_orderdate + INTERVAL 20 DAYS AS end_at FROM orders),
-l AS (SELECT *, lag(end_at) OVER w AS prev_end, lag(id) OVER w AS prev_id FROM p WINDOW w AS (PARTITION BY key ORDER BY start_at, id))
-SELECT key, prev_id AS after_id, id AS before_id, prev_end AS gap_start, start_at AS gap_end, round((epoch_us(start_at) - epoch_us(prev_end))::DOUBLE / 86400000000, 4) AS gap_days
-FROM l WHERE epoch_us(start_at) - epoch_us(prev_end) > 7 * 86400000000
+WITH p AS (SELECT o_orderkey AS id, o_custkey AS key, o_orderdate AS start_at, CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(20 + 120 * (o_orderkey % 3) AS INTEGER)) AS end_at FROM orders),
+l AS (SELECT *, max({'at': end_at, 'id': id}) OVER (PARTITION BY key ORDER BY start_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM p)
+SELECT key, last.id AS after_id, id AS before_id, last.at AS gap_start, start_at AS gap_end, round((epoch_us(start_at) - epoch_us(last.at))::DOUBLE / 86400000000, 4) AS gap_days
+FROM l WHERE epoch_us(start_at) - epoch_us(last.at) > 7 * 86400000000
 """)
 def j20(i):
-    periods = i.orders.select(
-        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("key"), F.col("o_orderdate").alias("start_at"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 20 DAYS")).alias("end_at"),
-    )
+    """Periods of 20, 140 and 260 days, so that short ones lie within long ones."""
+    end = F.timestamp_seconds(F.unix_timestamp("o_orderdate") + (20 + 120 * (F.col("o_orderkey") % 3)) * 86_400)
+    periods = i.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("key"), F.col("o_orderdate").alias("start_at"), end.alias("end_at"))
     return H.period_gaps(periods, "key", "start_at", "end_at", "id", 7)
 
 

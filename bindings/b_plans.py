@@ -281,7 +281,7 @@ PROPS = """
 prop AS (SELECT id, name, parent_id AS company_id, status, inserted_at, updated_at, units, CASE WHEN balance < 500 THEN NULL WHEN balance > 6000 THEN ' ' || upper(segment) ELSE lower(segment) || ' ' || CAST(parent_id AS STRING) END AS manager_name FROM entity),
 part_co AS (SELECT DISTINCT CAST(s_nationkey AS INT) AS company_id FROM supplier WHERE s_acctbal > 9000),
 mgr AS (SELECT name_key, min(trim(manager_name)) AS name, min(inserted_at) AS created_at, max(updated_at) AS updated_at, count(*) FILTER (WHERE status = 'ACTIVE') > 0 AS is_active, count(DISTINCT id) AS property_count, count(DISTINCT company_id) AS company_count,
-  substr(sha256(name_key), 1, 16) AS manager_id, CASE WHEN bool_or(company_id IN (SELECT company_id FROM part_co)) THEN 'Partner' ELSE 'Direct' END AS channel
+  sha256(name_key) AS manager_id, CASE WHEN bool_or(company_id IN (SELECT company_id FROM part_co)) THEN 'Partner' ELSE 'Direct' END AS channel
   FROM (SELECT *, trim(lower(manager_name)) AS name_key FROM prop) WHERE name_key <> '' GROUP BY name_key)
 """
 

@@ -304,13 +304,33 @@ def j30(i):
     return R.method_overlap(a, b, "id", "errors", "orders")
 
 
-@query("j35_not_yet_exposed", """
-SELECT u.o_custkey, p.name FROM (SELECT DISTINCT o_custkey FROM orders) u, (SELECT DISTINCT o_orderpriority AS name FROM orders WHERE o_orderstatus = 'O') p
-WHERE NOT EXISTS (SELECT 1 FROM orders x WHERE x.o_custkey = u.o_custkey AND x.o_orderpriority = p.name)
+UNSEEN = """
+WITH items AS (SELECT DISTINCT o_orderpriority AS name FROM orders WHERE o_orderstatus = 'O'),
+seen AS (SELECT DISTINCT o_custkey, o_orderpriority AS name FROM orders WHERE o_orderpriority IN (SELECT name FROM items))
+"""
+
+
+def unseen(i, operator):
+    items = i.orders.select(F.col("o_orderpriority").alias("name"), "o_orderstatus")
+    users = i.customer.select(F.col("c_custkey").alias("o_custkey"))
+    return operator(items, "name", F.col("o_orderstatus") == "O", i.orders, "o_custkey", "o_orderpriority", users)
+
+
+@query("j35_not_yet_exposed", UNSEEN + """
+SELECT c_custkey AS o_custkey, (SELECT count(*) FROM items) AS active_items, (SELECT count(*) FROM items) - count(name) AS unseen_items
+FROM customer LEFT JOIN seen ON c_custkey = o_custkey GROUP BY c_custkey
 """)
 def j35(i):
-    items = i.orders.select(F.col("o_orderpriority").alias("name"), "o_orderstatus")
-    return R.not_yet_exposed(items, "name", F.col("o_orderstatus") == "O", i.orders, "o_custkey", "o_orderpriority")
+    """Every customer, also those who never ordered."""
+    return unseen(i, R.not_yet_exposed)
+
+
+@query("j35_unexposed_users", UNSEEN + """
+SELECT i.name, (SELECT count(*) FROM customer) AS all_users, (SELECT count(*) FROM customer) - count(c_custkey) AS unexposed_users
+FROM items i LEFT JOIN (SELECT * FROM seen JOIN customer ON c_custkey = o_custkey) s ON s.name = i.name GROUP BY i.name
+""")
+def j35_items(i):
+    return unseen(i, R.unexposed_users)
 
 
 @query("j35_not_exposed_to_one", """

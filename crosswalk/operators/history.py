@@ -63,12 +63,21 @@ def pair_average(df: DataFrame, key: str, status: str, ts: str, first: str, late
 
 
 def period_gaps(df: DataFrame, key: str, start: str, end: str, id_col: str, days: int, grain: str = "month") -> DataFrame:
-    """Gaps of more than ``days`` days between a period and the one before it (by start) of the same key."""
-    rows = lag_in_key(df.select(key, id_col, start, end), [key], start, id_col, [end, id_col], grain)
-    gap = micros(F.col(start)) - micros(F.col(f"prev_{end}"))
-    out = rows.filter(gap > days * 86_400_000_000)
-    return out.select(
-        key, F.col(f"prev_{id_col}").alias("after_id"), F.col(id_col).alias("before_id"), F.col(f"prev_{end}").alias("gap_start"),
+    """Gaps of more than ``days`` days of a key that no period covers, between the period that had reached
+    furthest and the next one by start. A period within a longer one opens no gap.
+
+    The furthest end is carried within time buckets and, one row per bucket, across them, so no task sorts a whole key.
+    """
+    rows = df.select(key, id_col, start, end).filter(F.col(start).isNotNull()).withColumn("_bucket", F.date_trunc(grain, F.col(start)))
+    reach = F.struct(F.col(end).alias("at"), F.col(id_col).alias("id"))
+    reach = F.when(F.col(end).isNotNull(), reach)
+    inside = Window.partitionBy(key, "_bucket").orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy(key, "_bucket").agg(F.max(reach).alias("_most")).select(key, "_bucket", F.max("_most").over(across).alias("_before"))
+    out = rows.withColumn("_inside", F.max(reach).over(inside)).join(before, [key, "_bucket"]).withColumn("_last", F.greatest("_inside", "_before"))
+    gap = micros(F.col(start)) - micros(F.col("_last.at"))
+    return out.filter(gap > days * 86_400_000_000).select(
+        key, F.col("_last.id").alias("after_id"), F.col(id_col).alias("before_id"), F.col("_last.at").alias("gap_start"),
         F.col(start).alias("gap_end"), F.round(gap.cast("double") / 86_400_000_000, 4).alias("gap_days"),
     )
 

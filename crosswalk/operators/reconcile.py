@@ -251,17 +251,17 @@ def orphan_counts(orphans: DataFrame, child: DataFrame) -> DataFrame:
 
 
 def key_in_other_system(missing: DataFrame, other: DataFrame, stored_key: str, other_key: str, own_id: str, back_reference: str) -> DataFrame:
-    """Does the stored key of a missing row exist elsewhere, and does the record there point back to it?"""
-    side = other.select(F.col(other_key).alias("_key"), F.col(back_reference).cast("string").alias("_back")).withColumn("_hit", F.lit(True))
-    rows = missing.filter(has_text(stored_key)).join(side, F.col(stored_key) == F.col("_key"), "left")
-    status = first_match(
-        [
-            (F.col("_hit").isNull(), "KEY NOT FOUND"),
-            (F.col("_back").isNull() | (F.col("_back") == ""), "BACK REFERENCE EMPTY"),
-            (F.col("_back") == F.col(own_id).cast("string"), "MATCHES"),
-        ],
-        "MISMATCH",
-    )
+    """Does the stored key of a missing row exist elsewhere, and does a record there point back to it?
+
+    Several records with the key give one answer: a match if any of them points back, empty if none points anywhere.
+    """
+    side = other.filter(has_text(other_key)).select(F.col(other_key).alias("_key"), F.col(back_reference).cast("string").alias("_back"))
+    side = side.withColumn("_back", F.when(F.col("_back") != "", F.col("_back")))
+    keys = side.groupBy("_key").agg(F.count("_back").alias("_n"))
+    back = side.filter("_back IS NOT NULL").select("_key", "_back").distinct().withColumn("_hit", F.lit(True))
+    rows = missing.filter(has_text(stored_key)).join(keys, F.col(stored_key) == F.col("_key"), "left").drop("_key")
+    rows = rows.join(back, (F.col(stored_key) == F.col("_key")) & (F.col(own_id).cast("string") == F.col("_back")), "left")
+    status = first_match([(F.col("_n").isNull(), "KEY NOT FOUND"), (F.col("_n") == 0, "BACK REFERENCE EMPTY"), (F.col("_hit").isNotNull(), "MATCHES")], "MISMATCH")
     return rows.select(*missing.columns, status.alias("match_status"))
 
 
@@ -279,23 +279,32 @@ def method_overlap(a: DataFrame, b: DataFrame, key: str, a_name: str = "a", b_na
     return both.groupBy(where.alias("found_in")).agg(F.count(F.lit(1)).alias("ids"))
 
 
-def not_yet_exposed(
-    items: DataFrame, item_key: str, active: Column, exposures: DataFrame, user: str, exposed_item: str, max_items: int = 100_000
-) -> DataFrame:
-    """Active items each user has not been shown, as (user, item) rows.
+def seen_items(items: DataFrame, item_key: str, active: Column, exposures: DataFrame, user: str, exposed_item: str) -> tuple[DataFrame, DataFrame]:
+    """The distinct active items, and the distinct (user, item) exposures to them."""
+    live = items.filter(active).select(F.col(item_key).alias("_item")).filter(F.col("_item").isNotNull()).distinct()
+    shown = exposures.select(F.col(user).alias("_user"), F.col(exposed_item).alias("_item")).dropna().distinct()
+    return live, shown.join(live, "_item", "left_semi")
+
+
+def not_yet_exposed(items: DataFrame, item_key: str, active: Column, exposures: DataFrame, user: str, exposed_item: str, users: DataFrame) -> DataFrame:
+    """How many active items each user has not been shown, for every user of ``users`` (with the column ``user``).
 
-    A user's seen items form a set no larger than the catalogue of active items; the catalogue is one array, made
-    only when it is small. A catalogue beyond ``max_items`` is refused: the answer itself would then be users x items rows.
+    The items themselves are listed for one user by ``not_exposed_to``; for all users they would be users x items rows.
     """
-    live = items.filter(active).select(F.col(item_key).alias("_item")).distinct()
-    n = live.limit(max_items + 1).count()
-    if n > max_items:
-        raise ValueError(f"more than {max_items} active items; ask for one user instead")
-    catalogue = live.agg(F.collect_set("_item").alias("_all"))
-    shown = exposures.join(live, F.col(exposed_item) == F.col("_item"), "left")
-    seen = shown.groupBy(user).agg(F.collect_set("_item").alias("_seen"))
-    rest = with_figures(seen, catalogue)
-    return rest.select(user, F.explode(F.array_except("_all", "_seen")).alias(item_key))
+    live, seen = seen_items(items, item_key, active, exposures, user, exposed_item)
+    counts = seen.groupBy(F.col("_user").alias(user)).agg(F.count(F.lit(1)).alias("_seen"))
+    every = users.select(user).filter(F.col(user).isNotNull()).distinct().join(counts, user, "left")
+    total = with_figures(every, live.agg(F.count(F.lit(1)).alias("active_items")))
+    return total.select(user, "active_items", (F.col("active_items") - F.coalesce("_seen", F.lit(0))).alias("unseen_items"))
+
+
+def unexposed_users(items: DataFrame, item_key: str, active: Column, exposures: DataFrame, user: str, exposed_item: str, users: DataFrame) -> DataFrame:
+    """J35 by item: how many of ``users`` have not been shown each active item."""
+    live, seen = seen_items(items, item_key, active, exposures, user, exposed_item)
+    known = users.select(F.col(user).alias("_user")).filter(F.col("_user").isNotNull()).distinct()
+    counts = seen.join(known, "_user", "left_semi").groupBy("_item").agg(F.count(F.lit(1)).alias("_seen"))
+    total = with_figures(live.join(counts, "_item", "left"), known.agg(F.count(F.lit(1)).alias("all_users")))
+    return total.select(F.col("_item").alias(item_key), "all_users", (F.col("all_users") - F.coalesce("_seen", F.lit(0))).alias("unexposed_users"))
 
 
 def not_exposed_to(items: DataFrame, item_key: str, active: Column, exposures: DataFrame, user: str, exposed_item: str, who: object) -> DataFrame:

@@ -26,7 +26,7 @@ def manager_master(properties: DataFrame, name: str, key: str, company: str, sta
         F.count_distinct(key).alias("property_count"), F.count_distinct(company).alias("company_count"), F.max("_partner").alias("_p"),
     )
     channel = F.when(F.col("_p") == 1, "Partner").otherwise("Direct")
-    return out.withColumn("manager_id", F.substring(F.sha2(F.col("name_key"), 256), 1, 16)).withColumn("channel", channel).drop("_p")
+    return out.withColumn("manager_id", F.sha2(F.col("name_key"), 256)).withColumn("channel", channel).drop("_p")
 
 
 def property_master(

@@ -41,6 +41,13 @@ def test_period_gaps_of_adjacent_periods(spark, rows):
     assert rows(H.period_gaps(df, "k", "s", "e", "id", 7), "after_id", "before_id", "gap_days") == [(1, 2, 15.0), (3, 4, 66.0)]
 
 
+def test_period_gaps_of_nested_periods(spark, rows):
+    """A long period covers what comes after a short one inside it, across months too."""
+    data = [(1, "p", "2024-01-01", "2024-04-30"), (2, "p", "2024-01-02", "2024-01-05"), (3, "p", "2024-02-20", "2024-02-25"), (4, "p", "2024-05-20", "2024-05-21"), (5, "p", "2024-07-01", None), (6, "p", "2024-08-01", "2024-08-02")]
+    df = spark.createDataFrame(data, "id int, k string, a string, b string").select("id", "k", F.col("a").cast("timestamp_ntz").alias("s"), F.col("b").cast("timestamp_ntz").alias("e"))
+    assert rows(H.period_gaps(df, "k", "s", "e", "id", 7), "after_id", "before_id", "gap_days") == [(1, 4, 20.0), (4, 5, 41.0), (4, 6, 72.0)]
+
+
 def test_overridden_decisions_need_a_later_override(spark, rows):
     data = [(1, "d", 1, "CLEAN", 1), (2, "d", 3, "FRAUD", 2), (3, "d", 3, "EDITED", 3), (4, "d", 1, "CLEAN", 9), (5, "e", 1, "CLEAN", 1), (6, "f", 3, "FRAUD", 5), (7, "f", 1, "CLEAN", 5)]
     df = spark.createDataFrame(data, "id int, doc string, kind int, label string, h int").withColumn("t", F.timestamp_seconds(F.col("h") * 3600).cast("timestamp_ntz"))

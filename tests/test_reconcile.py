@@ -100,13 +100,20 @@ def test_orphans(spark, rows):
     assert rows(R.orphan_check(child, parent, "pk", "k"), "id", "reason") == [(2, "missing key"), (3, "missing key"), (4, "no parent")]
 
 
-def test_not_yet_exposed_and_its_bound(spark, rows):
-    items = spark.createDataFrame([("a", True), ("b", True), ("c", False)], "item string, live boolean")
-    seen = spark.createDataFrame([(1, "a"), (1, "c"), (2, "a"), (2, "b"), (3, "zz")], "u int, s string")
-    got = R.not_yet_exposed(items, "item", F.col("live"), seen, "u", "s")
-    assert rows(got) == [(1, "b"), (3, "a"), (3, "b")]
-    with pytest.raises(ValueError):
-        R.not_yet_exposed(items, "item", F.col("live"), seen, "u", "s", max_items=1)
+def test_exposure_counts_include_users_without_any(spark, rows):
+    items = spark.createDataFrame([("a", True), ("b", True), ("c", False), (None, True)], "item string, live boolean")
+    seen = spark.createDataFrame([(1, "a"), (1, "a"), (1, "c"), (2, "a"), (2, "b"), (3, "zz"), (None, "a"), (9, "a")], "u int, s string")
+    users = spark.createDataFrame([(1,), (2,), (3,), (4,), (4,), (None,)], "u int")
+    args = (items, "item", F.col("live"), seen, "u", "s", users)
+    assert rows(R.not_yet_exposed(*args)) == [(1, 2, 1), (2, 2, 0), (3, 2, 2), (4, 2, 2)]
+    assert rows(R.unexposed_users(*args)) == [("a", 4, 2), ("b", 4, 3)]
+
+
+def test_back_reference_of_repeated_records(spark, rows):
+    missing = spark.createDataFrame([(1, "k"), (2, "k"), (3, "e"), (4, "zz"), (5, None)], "id int, key string")
+    other = spark.createDataFrame([("k", "1"), ("k", "7"), ("k", None), ("e", ""), ("e", None), (None, "4")], "ok string, back string")
+    got = R.key_in_other_system(missing, other, "key", "ok", "id", "back")
+    assert rows(got, "id", "match_status") == [(1, "MATCHES"), (2, "MISMATCH"), (3, "BACK REFERENCE EMPTY"), (4, "KEY NOT FOUND")]
 
 
 def test_insert_missing_with_a_null_id_in_the_target(spark, rows):
