@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.session import cut
@@ -34,12 +34,16 @@ TYPES = {"string": "^STRING$", "integer": "^(BIGINT|DECIMAL\\(\\d+,0\\))$", "num
 
 
 def first_rows(rows: DataFrame, order: list[str], count: str) -> DataFrame:
-    """The first row of each (``conv_id``, ``call_id``) and how many there are; equal rows count as often."""
+    """The first row of each (``conv_id``, ``call_id``), nulls last, and how many there are; equal rows count as often.
+
+    Smallest rows and counts are gathered before the shuffle, so an identifier that holds many rows costs no more there.
+    """
     key = ["conv_id", "call_id"]
     known = rows.filter(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
-    every = Window.partitionBy(*key)
-    place = F.row_number().over(every.orderBy(*[F.col(c).asc_nulls_last() for c in order]))
-    return known.withColumn("_place", place).withColumn(count, F.count(F.lit(1)).over(every)).filter("_place = 1").drop("_place")
+    rest = [c for c in rows.columns if c not in (*key, *order)]
+    ranked = F.struct(*[F.struct(F.col(c).isNull().alias("none"), F.col(c).alias("value")).alias(c) for c in order], *rest)
+    found = known.groupBy(*key).agg(F.min(ranked).alias("_first"), F.count(F.lit(1)).alias(count))
+    return found.select(*key, *[F.col(f"_first.{c}.value").alias(c) for c in order], *[F.col(f"_first.{c}").alias(c) for c in rest], count)
 
 
 def levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
