@@ -4,7 +4,8 @@ A known word is scored by its log frequency in each language. A word that no lan
 character n-grams, the longest first: the first length at which any of its n-grams is known gives the mean of their
 log frequencies. A text's score per language is the sum over its words; the prediction is the largest.
 
-Words are runs of letters, lower-cased; for n-grams of two and more a word carries a mark at both ends. Whole texts are read.
+Words are runs of letters and number signs that are not digits, lower-cased; a text needs one true letter. For n-grams of
+two and more a word carries a mark at both ends. Whole texts are read.
 
 Defined results: ``und`` and score 0 for a null text, a text without letters, and where no language was learned; ties
 go to the language that sorts first. Rows with a null language or null id are not learned from; a null id is not held
@@ -75,8 +76,8 @@ class Model:
         return np.zeros(len(self.languages))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(WORD.findall(text.lower())) if text else None
-        if not words or not self.languages:
+        words = Counter(WORD.findall(text.lower())) if text else Counter()
+        if not self.languages or not any(c.isalpha() for w in words for c in w):
             return "und", 0.0
         if len(self._seen) > self._known + CACHE:
             self._forget()
