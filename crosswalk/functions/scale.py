@@ -1,7 +1,7 @@
 """Building blocks that stay balanced when one key holds a large part of all rows.
 
 * ``latest_per_key``  row_number = 1; Spark prunes each map partition to one row per key before the shuffle.
-* ``join_back``       many-to-one join whose hot keys are salted.
+* ``join_back``       many-to-one join in which neither hot nor NULL keys are shuffled.
 * ``lag_in_key``      previous row per key, worked out in time buckets so that no task sorts a whole key.
 * ``number_rows``     global row number without a one-partition window.
 * ``running_total``   running weight per group over ordered distinct values, also without one big partition.
@@ -19,8 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000  # a key with at least this many rows is split
-SPLITS = 64  # pieces a hot key is split into
+HOT_ROWS = 1_000_000  # a key with at least this many rows is not shuffled
+HOT_KEYS = 4_096  # the largest keys only; bounds the broadcast of their figures
 CUTS = 256  # ranges used to order rows globally
 
 
@@ -47,35 +47,31 @@ def join_back(
     size: str,
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    splits: int = SPLITS,
+    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Join rows to a table holding one row per key whose ``size`` column counts the rows of ``df`` with it.
 
-    Keys with ``hot_rows`` rows or more take their figures from a broadcast; that table is safe to broadcast, as it
-    has at most rows / ``hot_rows`` entries. All other keys are joined by a shuffle, in which the rows of hot keys
-    and of NULL keys (neither can match there) are spread over ``splits`` sub-keys instead of meeting in one task.
-    Both parts read the same aggregate, so it is computed once. NULL keys match nothing, as in a plain join.
+    Rows are split by the class of their key. The ``hot_keys`` largest keys of ``hot_rows`` rows or more take their
+    figures from a broadcast, whose entries that number bounds at any size of ``df``; a key that is not among them
+    holds at most rows / ``hot_keys`` rows. Only the rows of all other keys are shuffled. Rows with a NULL key match
+    nothing, as in a plain join, and go around both joins. Every part reads the same aggregate.
     """
-    values = F.struct(*[c for c in stats.columns if c not in keys])
-    hot = stats.filter(F.col(size) >= hot_rows).select(*keys, values.alias("_hot"))
-    # The salt of cold keys is always 0, but written as a calculation: as a literal the optimizer would turn the salt
-    # into a condition beside the join and shuffle on the key alone.
-    zero = F.pmod(F.col(size), F.lit(1)).cast("int").alias("_salt")
-    cold = stats.filter(F.col(size) < hot_rows).select(*keys, zero, values.alias("_cold"))
+    names = [c for c in stats.columns if c not in keys]
+    values = F.struct(*names).alias("_v")
+    largest = stats.filter(F.col(size) >= hot_rows).orderBy(F.col(size).desc(), *keys).limit(hot_keys)
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    rows = df if how == "left" else df.filter(~missing)
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(splits)).cast("int")
-    left = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull() | missing, spread).otherwise(F.lit(0))
-    )
-    out = left.join(cold, [*keys, "_salt"], "left").withColumn("_v", F.coalesce("_hot", "_cold"))
+    marked = df.filter(~missing).join(F.broadcast(largest.select(*keys, values)), list(keys), "left")
+    cold = marked.filter(F.col("_v").isNull()).select(*df.columns).join(stats.select(*keys, values), list(keys), how)
+    figures = [F.col(f"_v.{c}").alias(c) for c in names]
+    out = marked.filter(F.col("_v").isNotNull()).select(*df.columns, *figures).union(cold.select(*df.columns, *figures))
     if how == "inner":
-        out = out.filter(F.col("_v").isNotNull())
-    return out.select(*df.columns, *[F.col(f"_v.{c}").alias(c) for c in stats.columns if c not in keys])
+        return out
+    empty = [F.lit(None).cast(stats.schema[c].dataType).alias(c) for c in names]
+    return out.union(df.filter(missing).select(*df.columns, *empty))
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], how: str = "inner", size: str = "_size", **aggs: Column) -> DataFrame:
-    """Rows with aggregates of their group attached: a window without ordering, but pre-aggregated and salted."""
+    """Rows with aggregates of their group attached: a window without ordering, but pre-aggregated, and without hot keys in the shuffle."""
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(size), *[c.alias(n) for n, c in aggs.items()])
     out = join_back(df, stats, keys, size, how)
     return out.drop("_size") if size == "_size" else out

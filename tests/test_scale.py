@@ -27,18 +27,30 @@ def skewed(spark):
 @pytest.mark.parametrize("hot_rows", [1, 50, 10**9])
 def test_join_back_equals_plain_join(skewed, rows, how, hot_rows):
     stats = skewed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("top")).filter("key IS NULL OR key <> 'k7'")
-    got = scale.join_back(skewed, stats, ["key"], "n", how, hot_rows=hot_rows, splits=4)
-    assert rows(got) == rows(skewed.join(stats, "key", how).select(*got.columns))
-
-
-def test_join_back_shuffles_on_key_and_salt(spark, skewed):
-    stats = skewed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    got = scale.join_back(skewed, stats, ["key"], "n", how, hot_rows=hot_rows)
+    few = scale.join_back(skewed, stats, ["key"], "n", how, hot_rows=hot_rows, hot_keys=1)
+    assert rows(got) == rows(few) == rows(skewed.join(stats, "key", how).select(*got.columns))
+
+
+def test_join_back_keeps_hot_and_null_rows_where_they_are(spark, tmp_path):
+    """100,000 equal rows under one key, as many under NULL: each stays in the partition that read it."""
+    same = spark.range(0, 100_000, 1, 20).select(F.lit("hot").alias("key"))
+    none = spark.range(0, 100_000, 1, 20).select(F.lit(None).cast("string").alias("key"))
+    cold = spark.range(0, 1000, 1, 2).select(F.concat(F.lit("k"), "id").alias("key"))
+    df = same.unionByName(none).unionByName(cold)
+    stats = df.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = scale.join_back(skewed, stats, ["key"], "n", hot_rows=100)._jdf.queryExecution().executedPlan().toString()
+        out = scale.join_back(df, stats, ["key"], "n", hot_rows=1000)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        out.withColumn("part", F.spark_partition_id()).write.parquet(str(tmp_path / "out"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin [key" in plan and "_salt" in plan.split("SortMergeJoin")[1].split("]")[0]
+    assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" in plan
+    held = spark.read.parquet(str(tmp_path / "out")).groupBy("key", "n", "part").count().collect()
+    for key, n in (("hot", 100_000), (None, None)):
+        sizes = [r["count"] for r in held if r["key"] == key]
+        assert {r["n"] for r in held if r["key"] == key} == {n} and sum(sizes) == 100_000 and max(sizes) <= 5000
 
 
 def test_group_stats_equals_window(skewed, rows):
