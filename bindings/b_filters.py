@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from bindings.base import AS_OF_EVENTS, AS_OF_ORDERS, query
+from bindings.base import AS_OF_EVENTS, AS_OF_ORDERS, frame, query
 from crosswalk.functions import columns as C
 from crosswalk.operators import filters as L
 
@@ -105,6 +105,21 @@ def f8(i):
     )
 
 
+frame("series_names", """
+SELECT id, CASE id % 7 WHEN 0 THEN 'Oak Phase XI' WHEN 1 THEN 'Oak phase xlix North' WHEN 2 THEN 'Elm Phase MCMXCIV' WHEN 3 THEN 'Elm Phase 30000000000'
+  WHEN 4 THEN 'Elm Phase IIX' WHEN 5 THEN 'Río Phase XC' ELSE '東京 phase 7' END AS name FROM item
+""")
+
+
+@query("f8_series_any_number", """
+SELECT id, CASE id % 7 WHEN 0 THEN 11 WHEN 1 THEN 49 WHEN 2 THEN 1994 WHEN 3 THEN 30000000000 WHEN 5 THEN 90 WHEN 6 THEN 7 END AS number,
+  CASE id % 7 WHEN 0 THEN 'oak' WHEN 1 THEN 'oaknorth' WHEN 4 THEN 'elmphaseiix' WHEN 5 THEN 'rio' WHEN 6 THEN '東京' ELSE 'elm' END AS base
+FROM series_names
+""")
+def f8_any(i):
+    return i.series_names.select("id", C.series_number(F.col("name")).alias("number"), C.series_base(F.col("name")).alias("base"))
+
+
 @query("f9_rules_column", """
 SELECT id, CASE WHEN status = 'DELETED' THEN 'gone' WHEN sync_key IS NULL THEN 'no key' WHEN balance > 5000 AND units > 10 THEN 'large'
   WHEN units = 0 THEN 'unused' ELSE 'normal' END AS ruling FROM entity

@@ -109,12 +109,26 @@ def ordered_label(column: Column, order: Sequence[str]) -> Column:
     return first_match([(column == label, i) for i, label in enumerate(order, 1)], len(order) + 1)
 
 
-# Number words that may follow a series marker.
-ROMAN = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii": 8, "ix": 9, "x": 10}
+# Roman digits, and the form of a Roman number written by the rules.
+ROMAN_DIGITS = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
+ROMAN = "m*(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})(?<=[ivxlcdm])"
+# Accented Latin letters and what they are compared as.
+ACCENTED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
+
+
+def roman_value(word: Column) -> Column:
+    """Value of a lower-case Roman number: a digit before a larger one counts against it. NULL for other text."""
+    digits = F.transform(F.split(word, "(?<=.)(?=.)"), lambda c: F.element_at(F.create_map(*[F.lit(x) for d in ROMAN_DIGITS.items() for x in d]), c).cast("bigint"))
+    start = F.struct(F.lit(0).cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("last"))
+
+    def add(acc: Column, v: Column) -> Column:
+        return F.struct((acc["total"] + v - F.when(acc["last"] < v, 2 * acc["last"]).otherwise(0)).alias("total"), v.alias("last"))
+
+    return F.when(word.rlike(f"^{ROMAN}$"), F.aggregate(digits, start, add, lambda acc: acc["total"]))
 
 
 def series_number(column: Column, marker: str = "phase", legacy: bool = False) -> Column:
-    """F8: number of a series member, arabic or roman 1-10, standing as a whole word after the marker.
+    """F8: number of a series member, arabic or roman, standing as a whole word after the marker.
 
     ``legacy`` keeps the older reading: ``<marker> 1`` .. ``<marker> 5`` as a substring first, then any arabic
     number after the marker; no roman numbers, 0 when nothing is found.
@@ -123,15 +137,20 @@ def series_number(column: Column, marker: str = "phase", legacy: bool = False) -
     if legacy:
         rules = [(text.contains(f"{marker} {i}"), i) for i in range(1, 6)]
         digits = F.regexp_extract(text, rf"{marker}\s*([0-9]+)", 1)
-        return F.coalesce(first_match(rules), digits.try_cast("int"), F.lit(0))
-    word = F.regexp_extract(text, rf"\b{marker}\s*([0-9]+|[ivx]+)\b", 1)
-    return first_match([(word == r, n) for r, n in ROMAN.items()], word.try_cast("int"))
+        return F.coalesce(first_match(rules), digits.try_cast("bigint"), F.lit(0))
+    word = F.regexp_extract(text, rf"\b{marker}\s*([0-9]+|{ROMAN})\b", 1)
+    return F.coalesce(word.try_cast("bigint"), roman_value(word))
 
 
 def series_base(column: Column, marker: str = "phase") -> Column:
     """F8: name without the marker, its number and everything that is not a letter or digit."""
-    text = F.regexp_replace(F.lower(column), rf"\b{marker}\s*([0-9]+|[ivx]+)\b", "")
-    return F.regexp_replace(text, "[^a-z0-9]", "")
+    text = F.regexp_replace(F.lower(column), rf"\b{marker}\s*([0-9]+|{ROMAN})\b", "")
+    return letters_and_digits(text)
+
+
+def letters_and_digits(column: Column, also: str = "") -> Column:
+    """Lower-cased letters and digits of any script, accents of Latin letters folded, and the characters ``also``."""
+    return F.regexp_replace(F.translate(F.lower(column), ACCENTED, PLAIN), rf"[^\p{{L}}\p{{M}}\p{{N}}{also}]", "")
 
 
 def clean_key(column: Column) -> Column:
@@ -154,7 +173,7 @@ def address_key(street: Column, city: Column, state: Column, postal: Column) ->
 
 def norm_name(column: Column) -> Column:
     """Lower-case letters, digits and single spaces; blank becomes NULL."""
-    text = F.trim(F.regexp_replace(F.lower(F.trim(column)), "[^a-z0-9 ]", ""))
+    text = F.trim(letters_and_digits(F.trim(column), " "))
     return F.when(text != "", text)
 
 

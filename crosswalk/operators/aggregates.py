@@ -13,6 +13,7 @@ from crosswalk.functions.columns import (
     count_if,
     first_match,
     hours_between,
+    letters_and_digits,
     mean,
     micros,
     moment,
@@ -174,11 +175,12 @@ def duplicate_status(df: DataFrame, key: str, status: str, created: str, sentine
 def duplicate_name_class(df: DataFrame, key: str, name: str, sentinels: Sequence[str] = ()) -> DataFrame:
     """Same or different names within a group, compared as letters and digits only.
 
-    Smallest and largest normalised name decide it; no list of names is gathered.
+    Smallest and largest normalised name decide it; no list of names is gathered. A name without letters and digits
+    leaves its group unclear.
     """
-    plain = F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
+    plain = letters_and_digits(F.col(name))
     out = df.filter(valid_key(key, sentinels)).groupBy(key).agg(F.count(F.lit(1)).alias("copies"), F.min(plain).alias("_lo"), F.max(plain).alias("_hi"))
-    kind = first_match([(F.col("_lo") == F.col("_hi"), SAME_NAMES), (F.col("_lo") != F.col("_hi"), OTHER_NAMES)], UNCLEAR)
+    kind = first_match([(F.col("_lo") == "", UNCLEAR), (F.col("_lo") == F.col("_hi"), SAME_NAMES), (F.col("_lo") != F.col("_hi"), OTHER_NAMES)], UNCLEAR)
     return out.filter("copies > 1").select(key, "copies", kind.alias("issue_category"))
 
 
