@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from crosswalk.functions.columns import moment
 
@@ -24,10 +24,19 @@ def register_views(frames: Mapping[str, DataFrame]) -> None:
 
 
 def read_csv_clean(spark: SparkSession, path: str, schema: StructType, key: str, rename: Mapping[str, str] | None = None) -> DataFrame:
-    """Header CSV with a fixed schema; column names and key values trimmed, blank keys and copies dropped."""
-    raw = spark.read.csv(path, header=True, schema=schema)
-    names = {c: (rename or {}).get(c.strip(), c.strip()) for c in raw.columns}
-    df = raw.select([F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    """Header CSV with a fixed schema; column names and key values trimmed, blank keys and copies dropped.
+
+    Columns are found by their trimmed header, in any order; those that ``schema`` lacks are left out, and a missing one
+    is an error. A further file whose header has another order is an error too.
+    """
+    head = {c.strip(): c for c in spark.read.csv(path, header=True).columns}
+    wanted = {f.name.strip(): f.dataType for f in schema}
+    lost = sorted(wanted.keys() - head.keys())
+    if lost:
+        raise ValueError(f"columns missing in {path}: {', '.join(lost)}")
+    found = StructType([StructField(c, wanted.get(name, StringType())) for name, c in head.items()])
+    raw = spark.read.csv(path, header=True, schema=found, enforceSchema=False)
+    df = raw.select([F.col(f"`{head[c]}`").alias((rename or {}).get(c, c)) for c in wanted])
     return df.withColumn(key, F.trim(key)).filter(F.col(key) != "").distinct()
 
 

@@ -43,6 +43,8 @@ def test_suspicion_score_ignores_null_signals(spark, rows):
     [
         ("Oak Phase 2", 2, 2, "oak"), ("Oak Phase IV", 4, 0, "oak"), ("Oak Phase 10", 10, 1, "oak"), ("Oak phase ii North", 2, 0, "oaknorth"), ("Oak", None, 0, "oak"),
         ("Oak Phase Village", None, 0, "oakphasevillage"), ("Oak phase3 ", 3, 3, "oak"), (None, None, 0, None), ("Phase x", 10, 0, ""),
+        ("Oak Phase XI", 11, 0, "oak"), ("Oak Phase XLIX", 49, 0, "oak"), ("Oak Phase MCMXCIV", 1994, 0, "oak"), ("Oak Phase IIX", None, 0, "oakphaseiix"),
+        ("Oak Phase 30000000000", 30000000000, 3, "oak"), ("Éclair Straße 東京 Phase 2", 2, 2, "eclairstraße東京"),
     ],
 )
 def test_series_number(spark, text, number, legacy, base):
@@ -87,9 +89,9 @@ def test_address_key_parts(spark):
 
 
 def test_identity_normalisers(spark):
-    df = spark.createDataFrame([(" O'Neil ", "J.Doe+x@Mail.Com", "(555) 123-4567"), ("", "no at", "none")], "n string, e string, p string")
+    df = spark.createDataFrame([(" O'Neil ", "J.Doe+x@Mail.Com", "(555) 123-4567"), ("", "no at", "none"), ("José 東京", None, None)], "n string, e string, p string")
     got = [tuple(r) for r in df.select(C.norm_name(F.col("n")), C.norm_email(F.col("e")), C.norm_phone(F.col("p"))).collect()]
-    assert got == [("oneil", "jdoe@mail.com", "5551234567"), (None, None, None)]
+    assert got == [("oneil", "jdoe@mail.com", "5551234567"), (None, None, None), ("jose 東京", None, None)]
 
 
 def test_norm_value(spark):
@@ -139,3 +141,15 @@ def test_difference_with_null_in_the_list(spark, rows):
 def test_percent_of_total_of_no_rows(spark):
     df = spark.createDataFrame([], "k string, n bigint")
     assert W.percent_of_total(df, "n").count() == 0
+
+
+def test_csv_columns_are_found_by_header(spark, rows, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from crosswalk.sources.tables import read_csv_clean
+
+    (tmp_path / "in.csv").write_text(" b ,more,a\n1,x,p\n1,x,p\n2,y, \n")
+    schema = StructType.fromDDL("a string, b int")
+    assert rows(read_csv_clean(spark, str(tmp_path / "in.csv"), schema, "a", {"b": "n"})) == [("p", 1)]
+    with pytest.raises(ValueError, match="c"):
+        read_csv_clean(spark, str(tmp_path / "in.csv"), StructType.fromDDL("a string, c int"), "a")
