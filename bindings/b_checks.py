@@ -144,6 +144,21 @@ def m7_summary(i):
     return K.compare_summary(compared(i), 4)
 
 
+@query("m7_compare_repeated_keys", """
+WITH a AS (SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey END AS k, l_returnflag AS v FROM lineitem WHERE l_orderkey % 5 > 0),
+b AS (SELECT CASE WHEN l_linenumber > 1 THEN l_orderkey END AS k, CASE WHEN l_linenumber < 5 THEN l_returnflag END AS v FROM lineitem WHERE l_orderkey % 7 > 0),
+sides AS (SELECT 'a' AS side, k, v FROM a UNION ALL SELECT 'b', k, v FROM b),
+held AS (SELECT k, count(*) FILTER (WHERE side = 'a') AS na, count(*) FILTER (WHERE side = 'b') AS nb, count(DISTINCT v) AS n, count(*) FILTER (WHERE v IS NULL) AS gaps, count(*) AS every FROM sides WHERE k IS NOT NULL GROUP BY k)
+SELECT CAST(k AS VARCHAR) AS key, CASE WHEN nb = 0 THEN 'only in a' WHEN na = 0 THEN 'only in b' ELSE 'both' END AS found_in,
+  na > 0 AND nb > 0 AND (gaps = every OR (n = 1 AND gaps = 0)) AS agree FROM held
+UNION ALL SELECT NULL, 'only in ' || side, FALSE FROM (SELECT DISTINCT side FROM sides WHERE k IS NULL) s
+""")
+def m7_repeated(i):
+    a = i.lineitem.filter("l_orderkey % 5 > 0").selectExpr("CASE WHEN l_linenumber < 7 THEN l_orderkey END AS k", "l_returnflag AS v")
+    b = i.lineitem.filter("l_orderkey % 7 > 0").selectExpr("CASE WHEN l_linenumber > 1 THEN l_orderkey END AS k", "CASE WHEN l_linenumber < 5 THEN l_returnflag END AS v")
+    return K.compare_fields(a, b, "k", "k", {"v": "v"}).selectExpr("key", "found_in", "found_in = 'both' AND same AS agree")
+
+
 def parity_sides(i):
     a = i.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     b = a.filter("o_orderpriority <> '5-LOW' OR o_orderstatus = 'P'").withColumn("o_orderstatus", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderstatus")))

@@ -223,6 +223,39 @@ def j9(i):
     return R.env_compare_metrics(R.env_compare(*environments(i), "id", columns), columns)
 
 
+# Both environments hold keys many times, and rows without a key.
+COPIES = """
+a AS (SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey END AS id, l_returnflag AS status, l_linenumber AS units FROM lineitem WHERE l_orderkey % 5 > 0),
+b AS (SELECT CASE WHEN l_linenumber > 1 THEN l_orderkey END AS id, l_returnflag AS status, l_linenumber % 2 + 1 AS units FROM lineitem WHERE l_orderkey % 7 > 0),
+j AS (SELECT a.id AS ka, b.id AS kb, a.status <> b.status AS status_differs, a.units <> b.units AS units_differ FROM (SELECT * FROM a WHERE id IS NOT NULL) a
+  FULL OUTER JOIN (SELECT * FROM b WHERE id IS NOT NULL) b ON a.id = b.id)
+"""
+
+
+def copies(i):
+    a = i.lineitem.filter("l_orderkey % 5 > 0").selectExpr("CASE WHEN l_linenumber < 7 THEN l_orderkey END AS id", "l_returnflag AS status", "l_linenumber AS units")
+    b = i.lineitem.filter("l_orderkey % 7 > 0").selectExpr("CASE WHEN l_linenumber > 1 THEN l_orderkey END AS id", "l_returnflag AS status", "l_linenumber % 2 + 1 AS units")
+    return a, b
+
+
+@query("j9_metrics_of_copies", f"""
+WITH {COPIES} SELECT 'Total in A' AS metric, count(DISTINCT ka) AS row_count FROM j UNION ALL SELECT 'Total in B', count(DISTINCT kb) FROM j
+UNION ALL SELECT 'In both', count(DISTINCT ka) FROM j WHERE kb IS NOT NULL UNION ALL SELECT 'Only in A', count(DISTINCT ka) FROM j WHERE kb IS NULL
+UNION ALL SELECT 'Only in B', count(DISTINCT kb) FROM j WHERE ka IS NULL UNION ALL SELECT 'Mismatch status', count(DISTINCT ka) FROM j WHERE status_differs
+UNION ALL SELECT 'Mismatch units', count(DISTINCT ka) FROM j WHERE units_differ
+""")
+def j9_copies(i):
+    return R.env_compare_metrics(R.env_compare(*copies(i), "id", ["status", "units"]), ["status", "units"])
+
+
+@query("j8_repeated_keys", f"""
+WITH {COPIES} SELECT id, sum(na) AS a_rows, sum(nb) AS b_rows FROM (SELECT id, 1 AS na, 0 AS nb FROM a UNION ALL SELECT id, 0, 1 FROM b) u
+GROUP BY id HAVING id IS NULL OR sum(na) > 1 OR sum(nb) > 1
+""")
+def j8_repeated(i):
+    return R.repeated_keys(*copies(i), "id")
+
+
 @query("j10_env_mismatch_detail", f"""
 WITH {COMPARE} SELECT id, concat_ws('; ', CASE WHEN name_status = 'MISMATCH' THEN 'name: ' || a_name || ' -> ' || b_name END,
   CASE WHEN units_status = 'MISMATCH' THEN 'units: ' || CAST(a_units AS STRING) || ' -> ' || CAST(b_units AS STRING) END,

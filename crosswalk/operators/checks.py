@@ -44,19 +44,25 @@ def compare_fields(a: DataFrame, b: DataFrame, a_key: str, b_key: str, mapping:
     """M7: one row per key and field: both normalised values and whether they are the same; keys of one side marked.
 
     ``mapping`` maps fields of a to fields of b; ``kinds`` gives text (default), bool or date by a's field name.
+    Each side is one row per key before the join. Where a key repeats, a field is the same if all its values on both
+    sides are; if not, two that differ are shown. Rows with a NULL key match nothing: one row per field and side.
     """
     kinds = kinds or {}
-    left = a.select(F.col(a_key).alias("_a"), *[norm_value(F.col(x), kinds.get(x, "text")).alias(f"a{n}") for n, x in enumerate(mapping)])
-    right = b.select(F.col(b_key).alias("_b"), *[norm_value(F.col(y), kinds.get(x, "text")).alias(f"b{n}") for n, (x, y) in enumerate(mapping.items())])
-    both = left.join(right, F.col("_a").cast("string") == F.col("_b").cast("string"), "full_outer")
-    where = F.when(F.col("_b").isNull(), "only in a").when(F.col("_a").isNull(), "only in b").otherwise("both")
-    fields = [
-        F.struct(
-            F.lit(x).alias("field"), F.col(f"a{n}").alias("a_value"), F.col(f"b{n}").alias("b_value"), F.col(f"a{n}").eqNullSafe(F.col(f"b{n}")).alias("same")
-        )
-        for n, x in enumerate(mapping)
-    ]
-    return both.select(F.coalesce(F.col("_a").cast("string"), F.col("_b").cast("string")).alias("key"), where.alias("found_in"), F.inline(F.array(*fields)))
+
+    def side(df: DataFrame, name: str, key: str, columns: Sequence[str]) -> DataFrame:
+        values = [F.struct(norm_value(F.col(c), kinds.get(x, "text")).alias("v")) for c, x in zip(columns, mapping)]
+        ends = [f(v).alias(f"_{name}{n}_{end}") for n, v in enumerate(values) for end, f in (("low", F.min), ("high", F.max))]
+        return df.groupBy(F.col(key).cast("string").alias(f"_{name}")).agg(F.count(F.lit(1)).alias(f"_{name}_rows"), *ends)
+
+    both = side(a, "a", a_key, list(mapping)).join(side(b, "b", b_key, list(mapping.values())), F.col("_a") == F.col("_b"), "full_outer")
+    where = F.when(F.col("_b_rows").isNull(), "only in a").when(F.col("_a_rows").isNull(), "only in b").otherwise("both")
+    fields = []
+    for n, x in enumerate(mapping):
+        a_low, a_high, b_low, b_high = [F.col(f"_{s}{n}_{end}.v") for s in "ab" for end in ("low", "high")]
+        below = ~a_low.eqNullSafe(b_high)
+        a_value, b_value = F.when(below, a_low).otherwise(a_high), F.when(below, b_high).otherwise(b_low)
+        fields.append(F.struct(F.lit(x).alias("field"), a_value.alias("a_value"), b_value.alias("b_value"), a_value.eqNullSafe(b_value).alias("same")))
+    return both.select(F.coalesce("_a", "_b").alias("key"), where.alias("found_in"), F.inline(F.array(*fields)))
 
 
 def field_mismatches(compared: DataFrame) -> DataFrame:

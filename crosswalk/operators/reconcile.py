@@ -169,10 +169,22 @@ def flag_sync_rows(source: DataFrame, target: DataFrame, source_key: str, target
 
 
 def env_compare(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str], a_name: str = "A", b_name: str = "B") -> DataFrame:
-    """Full outer comparison of two environments: where each key is, and MATCH / MISMATCH per column."""
-    left = a.filter(F.col(key).isNotNull()).select(F.col(key).alias("_ka"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    right = b.filter(F.col(key).isNotNull()).select(F.col(key).alias("_kb"), *[F.col(c).alias(f"b_{c}") for c in columns])
-    out = left.join(right, F.col("_ka") == F.col("_kb"), "full_outer")
+    """Full outer comparison of two environments: where each key is, and MATCH / MISMATCH per column.
+
+    Each side is one row per key before the join, so copies neither multiply rows nor counts. A column is a mismatch
+    if any value of the key in one environment differs from any in the other, and such a pair is shown; smallest and
+    largest value decide that. NULL differs from nothing. ``repeated_keys`` reports the copies.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        ends = [f(c).alias(f"_{name}_{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]
+        return df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"_k{name}")).agg(*ends)
+
+    both_sides = side(a, "a").join(side(b, "b"), F.col("_ka") == F.col("_kb"), "full_outer")
+    ends = {(s, n, c): F.col(f"_{s}_{n}_{c}") for s in "ab" for n in ("low", "high") for c in columns}
+    below = {c: F.coalesce(ends["a", "low", c] != ends["b", "high", c], F.lit(False)) for c in columns}
+    shown = [F.when(below[c], ends[s, n, c]).otherwise(ends[s, m, c]).alias(f"{s}_{c}") for c in columns for s, n, m in (("a", "low", "high"), ("b", "high", "low"))]
+    out = both_sides.select("_ka", "_kb", *shown)
     in_a, in_b = F.col("_ka").isNotNull(), F.col("_kb").isNotNull()
     differ = {c: F.col(f"a_{c}") != F.col(f"b_{c}") for c in columns}
     order = first_match(
@@ -184,6 +196,13 @@ def env_compare(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str], a_
     return out.select(F.coalesce("_ka", "_kb").alias(key), both.alias("data_source"), *values, *status, order.alias("sort_order"))
 
 
+def repeated_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Keys that an environment holds more than once, and rows without a key, with the rows of each."""
+    sides = [df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).select(key, *[(F.col("_n") if n == m else F.lit(0)).alias(f"{m}_rows") for m in "ab"]) for n, df in (("a", a), ("b", b))]
+    out = sides[0].unionByName(sides[1]).groupBy(key).agg(*[F.sum(f"{m}_rows").alias(f"{m}_rows") for m in "ab"])
+    return out.filter(F.col(key).isNull() | (F.greatest("a_rows", "b_rows") > 1))
+
+
 def env_compare_metrics(compared: DataFrame, columns: Sequence[str], a_name: str = "A", b_name: str = "B") -> DataFrame:
     """Counts in A, in B, in both, in one only, and mismatches per column; one pass, then one row each."""
     where = F.col("data_source")

@@ -188,3 +188,13 @@ def test_flag_transitions_count_null_as_false(spark, rows):
     cur = spark.createDataFrame([(1, None), (2, True), (3, None), (4, True)], "k int, f boolean")
     assert rows(K.flag_transitions(new, cur, "k", ["f"])) == [("f", 2, 1, 1, 3, 66.7)]
     assert rows(K.update_impact(new, cur, "k", ["f"])) == [("f", 3, 3, 100.0)]
+
+
+def test_compare_fields_with_null_and_repeated_keys(spark, rows):
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (2, "x"), (3, None), (None, "n"), (None, "n")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, "x"), (3, None), (3, None), (4, "z"), (None, "n")], "k int, v string")
+    got = K.compare_fields(a, b, "k", "k", {"v": "v"})
+    assert rows(got) == [
+        ("1", "both", "v", "y", "x", False), ("2", "both", "v", "x", "x", True), ("3", "both", "v", None, None, True), ("4", "only in b", "v", None, "z", False),
+        (None, "only in a", "v", "n", None, False), (None, "only in b", "v", None, "n", False),
+    ]
