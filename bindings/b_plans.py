@@ -179,13 +179,16 @@ j AS (SELECT b.applicant_id, b.entity_id, b.place_id, b.submitted_at, COALESCE(u
   COALESCE(income_rejected, 0) AS income_rejected, income_reasons, COALESCE(asset_count, 0) AS asset_count, COALESCE(asset_accepted, 0) AS asset_accepted, COALESCE(asset_rejected, 0) AS asset_rejected, asset_reasons,
   (epoch_us(last_bank_at) - epoch_us(first_bank_at)) // 60000000 AS duration_minutes, (epoch_us(TIMESTAMP '{AS_OF_ORDERS}') - epoch_us(b.submitted_at)) // 3600000000 AS hours_since_submission
   FROM base b LEFT JOIN us ON us.applicant_id = b.applicant_id LEFT JOIN idc ON idc.applicant_id = b.applicant_id LEFT JOIN income_o ON income_o.applicant_id = b.applicant_id LEFT JOIN asset_o ON asset_o.applicant_id = b.applicant_id),
-rep AS (SELECT *, CASE WHEN used_bank = 1 AND id_count > 0 THEN 'CORRELATED' WHEN used_bank = 1 AND id_count = 0 THEN 'MISSING_ID_VERIFICATION' WHEN used_bank = 0 AND id_count > 0 THEN 'ID_ONLY' ELSE 'NO_VERIFICATION' END AS correlation_status,
-  CASE WHEN income_accepted = 1 THEN 'PASS' ELSE 'FAIL' END AS income_pass_fail, CASE WHEN asset_accepted = 1 THEN 'PASS' ELSE 'FAIL' END AS asset_pass_fail,
-  CASE WHEN income_accepted = 1 OR asset_accepted = 1 THEN 'PASS' WHEN income_rejected = 1 OR asset_rejected = 1 THEN 'FAIL' WHEN income_count > 0 OR asset_count > 0 THEN 'PENDING' ELSE 'NO_DECISION' END AS recommendation,
-  CASE WHEN used_bank = 1 AND id_count > 0 AND (income_count > 0 OR asset_count > 0) THEN 'PROPER_USAGE' WHEN used_bank = 1 AND id_count = 0 THEN 'INCOMPLETE_WORKFLOW' WHEN used_bank = 0 THEN 'NOT_USING_CHANNEL' ELSE 'PARTIAL_USAGE' END AS usage_assessment,
-  CASE WHEN used_bank = 1 AND id_count = 0 THEN 'NO_ID_VERIFICATION' WHEN used_bank = 1 AND income_count = 0 AND asset_count = 0 THEN 'NO_VERIFICATION_RESULTS' WHEN bank_submissions > 3 THEN 'MULTIPLE_ATTEMPTS'
-    WHEN duration_minutes > 60 THEN 'LONG_COMPLETION_TIME' END AS issue_flag,
-  CASE WHEN hours_since_submission > 48 THEN 'DELAYED' ELSE 'TIMELY' END AS timeliness FROM j)
+known AS (SELECT *, used_bank = 1 AS with_bank, id_count > 0 AS with_id, income_count + asset_count > 0 AS with_result FROM j),
+workflow(with_bank, with_id, with_result, correlation_status, usage_assessment, workflow_issue) AS (VALUES
+  (FALSE, FALSE, FALSE, 'NO_VERIFICATION', 'NOT_USING_CHANNEL', NULL), (FALSE, FALSE, TRUE, 'NO_VERIFICATION', 'NOT_USING_CHANNEL', NULL),
+  (FALSE, TRUE, FALSE, 'ID_ONLY', 'NOT_USING_CHANNEL', NULL), (FALSE, TRUE, TRUE, 'ID_ONLY', 'NOT_USING_CHANNEL', NULL),
+  (TRUE, FALSE, FALSE, 'MISSING_ID_VERIFICATION', 'INCOMPLETE_WORKFLOW', 'NO_ID_VERIFICATION'), (TRUE, FALSE, TRUE, 'MISSING_ID_VERIFICATION', 'INCOMPLETE_WORKFLOW', 'NO_ID_VERIFICATION'),
+  (TRUE, TRUE, FALSE, 'CORRELATED', 'PARTIAL_USAGE', 'NO_VERIFICATION_RESULTS'), (TRUE, TRUE, TRUE, 'CORRELATED', 'PROPER_USAGE', NULL)),
+rep AS (SELECT known.*, correlation_status, usage_assessment, ['FAIL', 'PASS'][1 + (income_accepted = 1)::INT] AS income_pass_fail, ['FAIL', 'PASS'][1 + (asset_accepted = 1)::INT] AS asset_pass_fail,
+  ['NO_DECISION', 'PENDING', 'FAIL', 'PASS'][1 + greatest(with_result::INT, 2 * (1 IN (income_rejected, asset_rejected))::INT, 3 * (1 IN (income_accepted, asset_accepted))::INT)] AS recommendation,
+  coalesce(workflow_issue, if(bank_submissions > 3, 'MULTIPLE_ATTEMPTS', if(duration_minutes > 60, 'LONG_COMPLETION_TIME', NULL))) AS issue_flag,
+  if(hours_since_submission > 48, 'DELAYED', 'TIMELY') AS timeliness FROM known JOIN workflow USING (with_bank, with_id, with_result))
 """
 SHOWN = [
     "applicant_id", "entity_id", "submitted_at", "used_bank", "used_payroll", "used_document", "total_submissions", "bank_submissions", "first_bank_at", "duration_minutes", "id_count", "correlation_status",
