@@ -97,3 +97,17 @@ def r5_days(i):
 @query("r5_active_only", "SELECT target_id, sync_key FROM target WHERE NOT is_deleted")
 def r5_active(i):
     return S.active_only(i.target, "is_deleted").select("target_id", "sync_key")
+
+
+@query("r2_both_images", """
+SELECT event_id % 97 AS id, max(event_id) AS version, arg_max(value, event_id) + 1 AS value FROM events GROUP BY event_id % 97
+HAVING max(event_id) % 5 > 0 OR arg_max(value, event_id) > 20
+""")
+def r2_images(i):
+    """Each change comes with the row before and after it in one version; every fifth one is a delete, which a row in
+    the same version replaces if its value is large."""
+    rows = i.events.selectExpr("event_id % 97 AS id", "event_id AS version", "value")
+    kinds = {"update_preimage": rows, "update_postimage": rows.filter("version % 5 > 0 OR value > 20").withColumn("value", F.col("value") + 1), "delete": rows.filter("version % 5 = 0")}
+    parts = [r.withColumn("_change_type", F.lit(k)) for k, r in kinds.items()]
+    feed = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return S.apply_changes(feed, ["id"], ["version"]).drop("_change_type")

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from crosswalk.functions.columns import count_if, percent
+from crosswalk.functions.scale import latest_per_key
 
 CHANGE_COLUMNS = ("_change_type", "_commit_version", "_change_timestamp")  # fixed values: names in a change feed
 
@@ -42,18 +43,29 @@ def run_all(queries: Mapping[str, StreamingQuery]) -> None:
         q.awaitTermination()
 
 
-def newest_changes(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
-    """R2: the newest change of each key by sequence, never by arrival; one partial aggregation, no sort per key."""
+# Fixed value: how a change feed marks a row as it was before an update.
+PRE_IMAGE = "update_preimage"
+
+
+def newest_changes(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], kind: str = "_change_type") -> DataFrame:
+    """R2: the newest change of each key by sequence, never by arrival; each map partition is pruned to one row per key.
+
+    Rows as they were before an update are left out. Of changes with an equal sequence a delete comes before all others
+    (it is half of a replacement), and among the others a hash of the row decides, whatever their order.
+    """
     rest = [c for c in changes.columns if c not in keys]
-    picked = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*sequence)).alias("_v"))
-    return picked.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in rest])
+    order = [F.col(c).desc_nulls_last() for c in sequence]
+    if kind in changes.columns:
+        changes = changes.filter(~F.col(kind).eqNullSafe(PRE_IMAGE))
+        order.append(F.col(kind).eqNullSafe("delete").asc())
+    return latest_per_key(changes, keys, [*order, F.xxhash64(*rest).desc()]).select(*keys, *rest)
 
 
 def apply_changes(
     changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], kind: str = "_change_type", deletes: Sequence[str] = ("delete",), keep_deleted: bool = False
 ) -> DataFrame:
     """R2: current rows from change rows. Deleted keys are removed, or kept with ``is_deleted``."""
-    latest = newest_changes(changes, keys, sequence)
+    latest = newest_changes(changes, keys, sequence, kind)
     gone = F.col(kind).isin(*deletes)
     return latest.withColumn("is_deleted", gone) if keep_deleted else latest.filter(~gone)
 

@@ -132,3 +132,13 @@ def test_catalog_tables_and_views(spark, rows):
     tables.register_views({"stacked_a": spark.range(3)})
     tables.register_views({"stacked_b": spark.sql("SELECT id * 2 AS id FROM stacked_a")})
     assert rows(tables.read_table(spark, None, "stacked_b")) == [(0,), (2,), (4,)]
+
+
+def test_both_images_and_equal_versions(spark, rows):
+    schema = "id int, version int, v int, _change_type string"
+    feed = [
+        (1, 1, 10, "insert"), (1, 2, 10, "update_preimage"), (1, 2, 11, "update_postimage"), (2, 1, 20, "insert"), (2, 2, 20, "update_preimage"), (2, 3, 20, "delete"),
+        (3, 1, 30, "delete"), (3, 1, 31, "insert"), (4, 1, 40, "insert"), (4, 1, 41, "insert"),
+    ]
+    found = [rows(S.apply_changes(spark.createDataFrame(data, schema).repartition(n), ["id"], ["version"]), "id", "v") for data, n in ((feed, 1), (feed[::-1], 3))]
+    assert found[0] == found[1] and found[0][:2] == [(1, 11), (3, 31)] and [r[0] for r in found[0]] == [1, 3, 4]
