@@ -10,14 +10,15 @@ two and more a word carries a mark at both ends. Whole texts are read.
 Defined results: ``und`` and score 0 for a null text, a text without letters, and where no language was learned; ties
 go to the language that sorts first. Rows with a null language or null id are not learned from; a null id is not held
 out. The score is the softmax of the sums divided by the square root of the number of words, so it is between 0
-and 1. Repeated rows get equal results, and an empty table gives an empty result.
+and 1; it compares the learned languages with each other. Whether any of them fits is told by the share of a text's words that
+the predicted language knows (``least_known``). Repeated rows get equal results, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -42,15 +43,17 @@ class Model:
     one array; unseen words are forgotten when there are ``CACHE`` of them.
     """
 
-    def __init__(self, languages: list[str], tables: dict[int, tuple[list[str], np.ndarray]]):
+    def __init__(self, languages: list[str], tables: dict[int, tuple[list[str], np.ndarray]], known: np.ndarray | None = None):
+        """``known`` tells for each entry of the word table, by language, whether the language has it."""
         self.languages, self.tables = languages, tables
+        self.known = known if known is not None else np.zeros((len(tables[0][0]) if tables else 0, len(languages)), dtype=bool)
         self._at = {n: dict(zip(names, range(len(names)))) for n, (names, _) in tables.items()}
         self._known = len(tables[0][0]) if tables else 0
         self._forget()
 
     def __reduce__(self):
         packed = {n: ("\n".join(names), table) for n, (names, table) in self.tables.items()}
-        return unpack, (self.languages, packed)
+        return unpack, (self.languages, packed, self.known)
 
     def _forget(self) -> None:
         self._seen = dict(self._at.get(0, {}))
@@ -76,22 +79,29 @@ class Model:
         return np.zeros(len(self.languages))
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, float]:
+        """Language, score, and the share of words that the language knows; one more word counts as known, so that
+        a text of few words is not judged by them alone."""
         words = Counter(WORD.findall(text.lower())) if text else Counter()
         if not self.languages or not any(c.isalpha() for w in words for c in w):
-            return "und", 0.0
+            return "und", 0.0, 0.0
         if len(self._seen) > self._known + CACHE:
             self._forget()
         get = self._seen.get
-        rows = [at if (at := get(w)) is not None else self._learn(w) for w in words]
+        rows = np.array([at if (at := get(w)) is not None else self._learn(w) for w in words])
         counts = np.fromiter(words.values(), dtype=float, count=len(words))
         total = counts @ self._rows[rows]
         best = int(np.argmax(total))
         z = (total - total[best]) / np.sqrt(counts.sum())
-        return self.languages[best], float(1.0 / np.exp(z).sum())
+        listed = rows < self._known
+        n = counts[listed] @ self.known[rows[listed], best]
+        return self.languages[best], float(1.0 / np.exp(z).sum()), float((n + 1) / (counts.sum() + 1))
 
 
-def unpack(languages: list[str], packed: dict[int, tuple[str, np.ndarray]]) -> Model:
-    return Model(languages, {n: (names.split("\n") if names else [], table) for n, (names, table) in packed.items()})
+def unpack(languages: list[str], packed: dict[int, tuple[str, np.ndarray]], known: np.ndarray) -> Model:
+    return Model(languages, {n: (names.split("\n") if names else [], table) for n, (names, table) in packed.items()}, known)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -99,14 +109,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def training_rows(docs: DataFrame, per_language: int) -> DataFrame:
-    """``lang``, ``text`` of the learned-from rows with the smallest hashes: about ``per_language`` a language.
+def training_rows(docs: DataFrame, per_language: int, learned: bool = True) -> DataFrame:
+    """``lang``, ``text`` of the rows learned from, or else held out, with the smallest hashes: about ``per_language`` a
+    language.
 
     Only the hash below which a language has that many documents is collected, one figure per language. It is found
     from ids alone, without reading texts.
     """
     rows = texts(docs, F.col("lang").cast("string").alias("lang"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (held_out(F.col("doc_id")) != F.lit(learned)))
     rows = rows.withColumn("h", F.xxhash64("doc_id"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     ids = rows.select("lang", "doc_id", "h").distinct()
@@ -151,24 +162,45 @@ def fit(docs: DataFrame, per_language: int = 1500, entries: int = 12_000, alpha:
     top = found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= entries).drop("place").toPandas()
     languages = sorted(top["lang"].unique().tolist())
     at = {lang: i for i, lang in enumerate(languages)}
-    tables = {}
+    tables, known = {}, None
     for n in (0, *LENGTHS):
         part = top[top["n"] == n]
         names = sorted(set(part["entry"]))
         row = {e: i for i, e in enumerate(names)}
         counts = np.zeros((len(names), len(at)))
         counts[part["entry"].map(row).to_numpy(dtype=int), part["lang"].map(at).to_numpy(dtype=int)] = part["c"].to_numpy(dtype=float)
+        known = counts > 0 if n == 0 else known
         tables[n] = names, np.log(counts + alpha) - np.log(counts.sum(axis=0) + alpha * max(1, len(names)))
-    return Model(languages, tables)
+    return Model(languages, tables, known)
+
 
+def least_known(docs: DataFrame, model: Model, per_language: int = 300, enough: int = 20) -> dict[str, float]:
+    """The share of known words below which a text does not fit its predicted language: half the 5th percentile among
+    about ``per_language`` held-out texts of the language that are identified as such.
 
-def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
-    """``doc_id``, the columns in ``keep``, ``held_out``, ``lang_pred`` and ``score`` of every row."""
+    It does not depend on the number of languages. A language with fewer than ``enough`` such texts has no entry.
+    """
 
     def run(batch):
-        found = [model.predict(t) for t in batch.column("text").to_pylist()]
-        return {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
+        found = [(lang, model.judge(t)) for lang, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist())]
+        right = [(f[0], f[2]) for lang, f in found if f[0] == lang]
+        return {"lang": [r[0] for r in right], "share": [r[1] for r in right]}
+
+    shares = map_batches(training_rows(docs, per_language, learned=False), run, "lang string, share double")
+    low = shares.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile("share", F.lit(0.05)).alias("low"))
+    return {r["lang"]: r["low"] / 2 for r in low.collect() if r["n"] >= enough}
 
-    out = add_columns(texts(docs, *keep_columns(docs, keep)), run, "lang_pred string, score double")
-    rest = [c for c in out.columns if c in keep and c not in ("doc_id", "held_out", "lang_pred", "score")]
-    return out.select("doc_id", *rest, held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+def identify(docs: DataFrame, model: Model, keep: Sequence[str] = (), least: Mapping[str, float] | None = None) -> DataFrame:
+    """``doc_id``, the columns in ``keep``, ``held_out``, ``lang_pred`` and ``score`` of every row; with ``least`` (see
+    ``least_known``) also ``fits``, whether the text has the share of known words that its language asks for."""
+
+    def run(batch):
+        found = [model.judge(t) for t in batch.column("text").to_pylist()]
+        out = {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
+        return out if least is None else out | {"fits": [f[0] != "und" and f[2] >= least.get(f[0], 0.0) for f in found]}
+
+    new = ["lang_pred", "score"] + ([] if least is None else ["fits"])
+    out = add_columns(texts(docs, *keep_columns(docs, keep)), run, "lang_pred string, score double" + ("" if least is None else ", fits boolean"))
+    rest = [c for c in out.columns if c in keep and c not in ("doc_id", "held_out", *new)]
+    return out.select("doc_id", *rest, held_out(F.col("doc_id")).alias("held_out"), *new)

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -77,3 +78,20 @@ def test_query_runs_all_stages(spark, data_dir):
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert rows.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
     assert "pipeline" not in oracle_sql()
+
+
+@pytest.mark.parametrize("learned", [("de", "en"), ("de", "en", "es", "fr")])
+def test_texts_in_no_learned_language_go(spark, folder, learned):
+    rnd = random.Random(3)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.withColumn("true", F.col("lang")).withColumn("lang", F.when(F.col("lang").isin(*learned), F.col("lang")))
+    noise = [" ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(60)) for _ in range(20)]
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem"
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto"
+    other = [(10**6 + i, text, None, "none") for i, text in enumerate([*noise, polish, finnish])]
+    both = docs.unionByName(spark.createDataFrame(other, docs.schema))
+    kept = Counter(r.true for r in pipeline.drop_unknown_language(spark, both, folder).collect())
+    n = Counter(r.true for r in both.collect())
+    assert kept["none"] == 0
+    for lang in ("de", "en", "es", "fr"):
+        assert kept[lang] >= 0.98 * n[lang] if lang in learned else kept[lang] <= 0.1 * n[lang]
