@@ -14,13 +14,14 @@ Defined results: rows with a null conversation or identifier are left out. Of se
 identifier the first counts, by turn (nulls last), then content; the numbers of calls and results are given. A
 result without a call is a row of its own. Status is, in this order of precedence, ``orphan result``, ``cycle``,
 ``invalid`` (see ``errors``), ``no result`` or ``ok``. Null or unreadable arguments are the error ``not a JSON object``, and
-canonical JSON then holds null for them. Empty tables give an empty result.
+canonical JSON then holds null for them. A schema word that is not supported raises an error. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,12 @@ BLOCKED = 1 << 40  # level of what lies on or after a cycle
 
 # What the types of JSON schemas are called in a parsed value's own schema.
 TYPES = {"string": "^STRING$", "integer": "^(BIGINT|DECIMAL\\(\\d+,0\\))$", "number": "^(BIGINT|DOUBLE|DECIMAL.*)$", "boolean": "^BOOLEAN$", "array": "^ARRAY<", "object": "^OBJECT<", "null": "^VOID$"}
+# Schema words that are checked, and those that say nothing about a value.
+WORDS = (
+    "type", "enum", "const", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "pattern", "minItems", "maxItems", "items", "required", "properties",
+    "additionalProperties", "anyOf", "oneOf", "allOf",
+)
+NOTES = ("title", "description", "default", "examples", "deprecated", "$schema", "$id", "$comment")
 
 
 def first_rows(rows: DataFrame, order: list[str], count: str) -> DataFrame:
@@ -69,31 +76,64 @@ def levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.select("node", F.when(F.col("base") < BLOCKED, F.col("base")).alias("level"))
 
 
+def step_to(name: str) -> str:
+    """Path of a property, whatever characters its name holds."""
+    if "'" in name and '"' in name:
+        raise ValueError(f"property name with both kinds of quotes: {name}")
+    return f"$['{name}']" if "'" not in name else f'$["{name}"]'
+
+
+def checked(value: Column, rule: Mapping | bool, path: str = "") -> Column:
+    """Errors of a variant by a schema, at all depths; none for an absent value. Raises ``ValueError`` on schema words
+    that are not in ``WORDS`` or ``NOTES``."""
+    if rule is True:
+        return F.array().cast("array<string>")
+    if not isinstance(rule, Mapping):
+        raise ValueError(f"schema not supported at {path or 'top'}: {rule}")
+    strange = [w for w in rule if w not in WORDS and w not in NOTES]
+    if strange or not isinstance(rule.get("additionalProperties", True), bool):
+        raise ValueError(f"schema words not supported at {path or 'top'}: {', '.join(strange) or 'additionalProperties with a schema'}")
+    label, inner = path or "arguments", f"{path}." if path else ""
+    kind = F.schema_of_variant(value)
+    types = rule.get("type", [])
+    types = [types] if isinstance(types, str) else list(types)
+    fits = kind.rlike("|".join(TYPES[t] for t in types)) if types else kind.isNotNull()
+    is_object, is_array = kind.startswith("OBJECT<"), kind.startswith("ARRAY<")
+    text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
+    number = F.when(kind.rlike(TYPES["number"]), F.try_variant_get(value, "$", "double"))
+    members = F.when(is_array, F.try_variant_get(value, "$", "array<variant>"))
+    same = lambda v: F.to_json(value) == F.to_json(F.parse_json(F.lit(json.dumps(v))))
+    bad = {
+        "enum": lambda x: ~reduce(Column.__or__, [same(v) for v in x], F.lit(False)), "const": lambda x: ~same(x), "minimum": lambda x: number < x, "maximum": lambda x: number > x,
+        "exclusiveMinimum": lambda x: number <= x, "exclusiveMaximum": lambda x: number >= x, "minLength": lambda x: F.length(text) < x, "maxLength": lambda x: F.length(text) > x,
+        "pattern": lambda x: ~text.rlike(x), "minItems": lambda x: F.size(members) < x, "maxItems": lambda x: F.size(members) > x,
+        "anyOf": lambda x: reduce(Column.__and__, [F.size(checked(value, r, path)) > 0 for r in x]),
+        "oneOf": lambda x: reduce(Column.__add__, [(F.size(checked(value, r, path)) == 0).cast("int") for r in x]) != 1,
+    }
+    found = [F.when(kind.isNotNull() & ~fits, F.lit(f"type of {label}"))]
+    found += [F.when(fits & test(rule[w]), F.lit(f"value of {label}")) for w, test in bad.items() if w in rule]
+    at = {f: F.when(is_object, F.try_variant_get(value, step_to(f), "variant")) for f in (*rule.get("required", []), *rule.get("properties", {}))}
+    found += [F.when(is_object & at[f].isNull(), F.lit(f"missing {inner}{f}")) for f in rule.get("required", [])]
+    more = [checked(at[f], r, f"{inner}{f}") for f, r in rule.get("properties", {}).items()]
+    more += [checked(value, r, path) for r in rule.get("allOf", [])]
+    if "items" in rule:
+        each = F.flatten(F.transform(members, lambda x: checked(x, rule["items"], f"{label}[]")))
+        more.append(F.coalesce(F.array_distinct(each), F.array().cast("array<string>")))
+    if rule.get("additionalProperties") is False:
+        keys = F.when(is_object, F.json_object_keys(F.to_json(value)))
+        extra = F.array_except(keys, F.array(*[F.lit(f) for f in rule.get("properties", {})]).cast("array<string>"))
+        said = F.concat(F.lit(f"unknown keys of {path} " if path else "unknown keys "), F.array_join(F.array_sort(extra), " "))
+        more.append(F.array_compact(F.array(F.when(F.size(extra) > 0, said))))
+    return F.concat(F.array_compact(F.array(*found)), *more)
+
+
 def schema_errors(name: Column, arguments: Column, schemas: Mapping[str, Mapping]) -> Column:
-    """Errors of a call's arguments by the schema of its tool: required, properties (type, enum, minimum, maximum,
-    minLength, maxLength) and additionalProperties at the top level."""
+    """Errors of a call's arguments by the schema of its tool, at all depths (``checked``)."""
     value = F.try_parse_json(arguments)
     readable = F.coalesce(F.schema_of_variant(value).startswith("OBJECT<"), F.lit(False))
     chosen = F.array(F.lit("unknown tool"))
     for tool, schema in schemas.items():
-        found = [F.when(F.try_variant_get(value, f"$.{f}", "variant").isNull(), F.lit(f"missing {f}")) for f in schema.get("required", [])]
-        for f, rule in schema.get("properties", {}).items():
-            kind = F.schema_of_variant(F.try_variant_get(value, f"$.{f}", "variant"))
-            text, number = F.try_variant_get(value, f"$.{f}", "string"), F.try_variant_get(value, f"$.{f}", "double")
-            fits = kind.rlike(TYPES[rule["type"]]) if "type" in rule else F.lit(True)
-            checks = []
-            if "enum" in rule:
-                checks.append(~text.isin(*[v if isinstance(v, str) else json.dumps(v) for v in rule["enum"]]))
-            for limit, bad in (("minimum", lambda x: number < x), ("maximum", lambda x: number > x), ("minLength", lambda x: F.length(text) < x), ("maxLength", lambda x: F.length(text) > x)):
-                if limit in rule:
-                    checks.append(bad(rule[limit]))
-            found.append(F.when(kind.isNotNull() & ~fits, F.lit(f"type of {f}")))
-            found += [F.when(kind.isNotNull() & fits & c, F.lit(f"value of {f}")) for c in checks]
-        if schema.get("additionalProperties") is False:
-            extra = F.array_except(F.json_object_keys(arguments), F.array(*[F.lit(f) for f in schema.get("properties", {})]).cast("array<string>"))
-            found.append(F.when(F.size(extra) > 0, F.concat(F.lit("unknown keys "), F.array_join(F.array_sort(extra), " "))))
-        own = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
-        chosen = F.when(name == tool, own).otherwise(chosen)
+        chosen = F.when(name == tool, checked(value, schema)).otherwise(chosen)
     return F.when(readable, chosen).otherwise(F.array(F.lit("not a JSON object")))
 
 

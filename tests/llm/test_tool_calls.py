@@ -91,3 +91,26 @@ def test_odd_rows(spark):
 def test_no_python_in_the_plan(spark, data_dir):
     plan = queries.QUERIES["op4_tool_calls"](spark, data_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
+
+
+def test_schemas_are_checked_at_all_depths(spark):
+    schema = {
+        "type": "object", "description": "nested", "required": ["o.p"],
+        "properties": {
+            "o.p": {"type": "object", "required": ["x"], "properties": {"x": {"type": ["integer", "null"], "exclusiveMinimum": 0}}, "additionalProperties": False},
+            "l": {"type": "array", "minItems": 1, "items": {"type": "object", "required": ["k"], "properties": {"k": {"pattern": "^a+$", "type": "string"}}}},
+            "c": {"const": 1}, "e": {"enum": [1, None, "y"]}, "u": {"anyOf": [{"type": "string"}, {"type": "number", "exclusiveMaximum": 5}]}, "w": {"oneOf": [{"minimum": 1}, {"maximum": 3}]},
+        },
+    }
+    cases = {
+        '{"o.p":{"x":1},"l":[{"k":"a"}],"c":1,"e":null,"u":4,"w":0}': [], '{"o":{"p":{"x":1}}}': ["missing o.p"], '{"o.p":{}}': ["missing o.p.x"], '{"o.p":{"x":null}}': [], '{"o.p":{"x":"1"}}': ["type of o.p.x"],
+        '{"o.p":{"x":0}}': ["value of o.p.x"], '{"o.p":{"x":1,"z":2}}': ["unknown keys of o.p z"], '{"o.p":1}': ["type of o.p"], '{"o.p":{"x":1},"l":[]}': ["value of l"],
+        '{"o.p":{"x":1},"l":[{"k":"a"},{"k":"b"},{},7]}': ["value of l[].k", "missing l[].k", "type of l[]"], '{"o.p":{"x":1},"c":"1"}': ["value of c"], '{"o.p":{"x":1},"e":"1"}': ["value of e"],
+        '{"o.p":{"x":1},"u":5}': ["value of u"], '{"o.p":{"x":1},"u":true}': ["value of u"], '{"o.p":{"x":1},"w":2}': ["value of w"],
+    }
+    df = spark.createDataFrame([(i, text) for i, text in enumerate(cases)], "i int, a string")
+    got = df.select("i", tool_calls.schema_errors(F.lit("f"), F.col("a"), {"f": schema}).alias("e")).orderBy("i").collect()
+    assert [r.e for r in got] == list(cases.values())
+    for odd in ({"not": {}}, {"properties": {"a": {"format": "email"}}}, {"items": {"uniqueItems": True}}, {"additionalProperties": {"type": "string"}}):
+        with pytest.raises(ValueError):
+            tool_calls.checked(F.col("v"), odd)
