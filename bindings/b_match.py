@@ -85,6 +85,15 @@ def j16(i):
     return M.created_by(links(i), rows, "source_id", rules)
 
 
+@query("j14_duplicate_members", f"""
+WITH {KEYS}, m AS (SELECT tgt_addr AS addr, 'target' AS side, CAST(target_id AS VARCHAR) AS id FROM pairs UNION SELECT src_addr, 'source', CAST(source_id AS VARCHAR) FROM pairs),
+n AS (SELECT addr, count(*) FILTER (WHERE side = 'target') AS t, count(*) FILTER (WHERE side = 'source') AS s FROM m WHERE addr IS NOT NULL GROUP BY addr)
+SELECT side, id, if(side = 'target', t, s) AS copies, if(side = 'target', s, t) AS other_copies FROM m JOIN n USING (addr) WHERE t > 1 OR s > 1
+""")
+def j14_members(i):
+    return M.duplicate_members(found(i), i.tgt_site, T, "override_id", "is_deleted").drop("addr")
+
+
 @query("c3_open_duplicates", f"""
 WITH {LABELS} SELECT source_id, final_status, count(*) AS pairs FROM final WHERE final_status <> 'No Dupe' AND final_status NOT LIKE 'Overridden%' GROUP BY 1, 2
 """)

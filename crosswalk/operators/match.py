@@ -119,6 +119,25 @@ def label_duplicates(matches: DataFrame, target_name: str = "Target", source_nam
     return out.withColumn("extra_duplicate_flag", extra.cast("int")).withColumn("dupe_status", label)
 
 
+def duplicate_members(matches: DataFrame, target: DataFrame, t: SiteColumns, override: str, deleted: str) -> DataFrame:
+    """Every record of either side that matches at an address which more than one record of a side holds.
+
+    ``matches`` is the result of ``match_direct`` and ``match_address``, where one target stands for all of an address;
+    ``target`` is the table it was made from. Result: addr, side (``source`` or ``target``), id (text), copies (records of that
+    side there), other_copies. One row per member and address, so the result is linear in the records, not in the pairs.
+    """
+    by_address = (F.col("match_method") == "ADDRESS") & F.col("override_id").isNull()
+    named = matches.filter(~by_address).select(F.col("tgt_addr").alias("addr"), F.lit("target").alias("side"), F.col("target_id").cast("string").alias("id"))
+    shared = matches.filter(by_address).select(F.col("tgt_addr").alias("addr")).distinct()
+    free = with_address(target.filter(~F.col(deleted) & F.col(override).isNull()), t).select("addr", F.lit("target").alias("side"), F.col(t.id).cast("string").alias("id"))
+    sources = matches.select(F.col("src_addr").alias("addr"), F.lit("source").alias("side"), F.col("source_id").cast("string").alias("id"))
+    members = named.unionByName(free.join(shared, "addr", "left_semi")).unionByName(sources).filter(F.col("addr").isNotNull()).distinct()
+    sizes = members.groupBy("addr").agg(F.count(F.lit(1)).alias("_n"), count_if(F.col("side") == "target").alias("_t"), count_if(F.col("side") == "source").alias("_s"))
+    out = join_back(members, sizes.filter((F.col("_t") > 1) | (F.col("_s") > 1)), ["addr"], "_n", "inner")
+    of_target = F.col("side") == "target"
+    return out.select("addr", "side", "id", F.when(of_target, F.col("_t")).otherwise(F.col("_s")).alias("copies"), F.when(of_target, F.col("_s")).otherwise(F.col("_t")).alias("other_copies"))
+
+
 def duplicate_exceptions(labelled: DataFrame, partner_addresses: DataFrame) -> DataFrame:
     """One target with two source rows at a partner's address is not treated as a duplicate."""
     known = partner_addresses.select(F.col("addr").alias("src_addr")).distinct().withColumn("_partner", F.lit(True))

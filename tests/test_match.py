@@ -128,6 +128,15 @@ def test_labels_and_links(sites, rows):
     assert rows(links, "source_id", "target_id") == [(1, "t1"), (44, "t4"), (5, "t5")]
 
 
+def test_duplicate_members_list_every_record_once(sites, rows):
+    got = M.duplicate_members(resolution.matches(*sites, S, T, *ARGS), sites[1], T, "ov", "del")
+    small = got.filter("other_copies < 10")
+    assert rows(small, "side", "id", "copies", "other_copies") == [("source", "2", 2, 1), ("source", "3", 2, 1), ("source", "5", 1, 2), ("target", "t2", 1, 2), ("target", "t5", 2, 1), ("target", "t6", 2, 1)]
+    hot = got.filter("other_copies >= 10").collect()
+    assert {r["id"] for r in hot} == {f"h{i}" for i in range(30)} | {str(100 + i) for i in range(40)} and len(hot) == 70
+    assert {(r["side"], r["copies"], r["other_copies"]) for r in hot} == {("target", 30, 40), ("source", 40, 30)} and len({r["addr"] for r in hot}) == 1
+
+
 def test_partner_exception_clears_a_pair_of_source_rows(spark, rows):
     data = [("t1", 1, "A", "B", None, "DIRECT", 1), ("t2", 2, "A", "C", None, "DIRECT", 1), ("t3", 3, "D", "E", None, "DIRECT", 1), ("t4", 4, "D", "F", None, "DIRECT", 1)]
     found = spark.createDataFrame(data, "target_id string, source_id int, src_addr string, tgt_addr string, override_id int, match_method string, target_copies bigint")
