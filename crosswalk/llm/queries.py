@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswalk.llm import language, line_quality, packing, secrets, segment, sharding, simhash, tool_calls, topk, toxicity
+from crosswalk.llm import codes, language, line_quality, negatives, packing, routed, secrets, segment, sharding, simhash, tool_calls, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -173,3 +173,71 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     )
     results = turns.filter("role = 'assistant'").select("conv_id", name_of(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
     return tool_calls.link(calls, results, TOOLS)
+
+
+@query(
+    "op11_packed_negatives",
+    """
+    WITH e AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+      SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+      FROM e a JOIN e c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+    ), p AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS positive_rank FROM s WHERE same)
+      WHERE positive_rank <= 5
+    ), n AS (
+      SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score, positive_rank,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_rank ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score
+    )
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score, CAST(positive_rank AS INTEGER) AS positive_rank
+    FROM n WHERE rank <= 10
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds of codebook training as one statement: a distance to every entry, then the mean of each entry's parts."""
+    distance = "(list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.v) + list_inner_product(b.v, b.v))"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+          SELECT row, part, v, entry, d FROM (
+            SELECT p.row, p.part, p.v, b.entry, {distance} AS d, row_number() OVER (PARTITION BY p.row, p.part ORDER BY {distance}, b.entry) AS place
+            FROM p JOIN b{r} b ON p.part = b.part) WHERE place = 1)""")
+        if r < rounds:
+            steps.append(f"""b{r + 1} AS MATERIALIZED (
+              SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN (
+                SELECT part, entry, list(floor(total / n) ORDER BY i) AS v FROM (
+                  SELECT part, entry, i, sum(v[i]) AS total, count(*) AS n FROM a{r}, (SELECT unnest(range(1, 1000)) AS i) WHERE i <= len(v) GROUP BY part, entry, i)
+                GROUP BY part, entry) m ON b.part = m.part AND b.entry = m.entry)""")
+    return f"""
+    WITH e AS MATERIALIZED (
+      SELECT vec_id, label, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v, row_number() OVER (ORDER BY vec_id NULLS LAST) AS row
+      FROM embeddings WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), p AS MATERIALIZED (
+      SELECT row, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS v FROM e, (SELECT unnest(range({parts})) AS part)
+    ), b0 AS MATERIALIZED (SELECT part, row - 1 AS entry, v FROM p WHERE row <= {entries}),
+    {", ".join(steps)},
+    coded AS (SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY row),
+    books AS (SELECT sha256(string_agg(array_to_string([CAST(x AS BIGINT) FOR x IN v], ','), ',' ORDER BY part, entry)) AS digest FROM b{rounds}),
+    sums AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN e USING (row) GROUP BY label)
+    SELECT vec_id, code, error, label_error, digest AS codebooks_sha256
+    FROM coded JOIN e USING (row) JOIN sums ON e.label IS NOT DISTINCT FROM sums.label, books
+    """
+
+
+@query("op12_walsh_codes", codes_sql())
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.compress(table(spark, folder, "embeddings"))
+
+
+@query("op13_learned_partitions")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return routed.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
