@@ -45,6 +45,23 @@ def j20(i):
     return H.period_gaps(periods, "key", "start_at", "end_at", "id", 7)
 
 
+@query("j20_open_period_gaps", """
+WITH p AS (SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END AS key, o_orderdate AS start_at,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS TIMESTAMP) + to_days(1) WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderdate AS TIMESTAMP) + to_days(3) END AS end_at FROM orders),
+l AS (SELECT *, max({'at': COALESCE(end_at, TIMESTAMP '9999-12-31'), 'id': id}) OVER (PARTITION BY key ORDER BY start_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM p)
+SELECT key, last.id AS after_id, id AS before_id, last.at AS gap_start, start_at AS gap_end, round((epoch_us(start_at) - epoch_us(last.at))::DOUBLE / 86400000000, 4) AS gap_days
+FROM l WHERE epoch_us(start_at) - epoch_us(last.at) > 7 * 86400000000
+""")
+def j20_open(i):
+    """A third of all periods under one key, cut into pieces; a period that is still open covers all later ones."""
+    days = F.when(F.col("o_orderpriority") != "5-LOW", 1).when(F.col("o_orderkey") % 50 != 0, 3)
+    periods = i.orders.select(
+        F.col("o_orderkey").alias("id"), F.when(F.col("o_custkey") % 3 == 0, 0).otherwise(F.col("o_custkey")).alias("key"), F.col("o_orderdate").alias("start_at"),
+        F.timestamp_seconds(F.unix_timestamp("o_orderdate") + days * 86_400).alias("end_at"),
+    )
+    return H.period_gaps(periods, "key", "start_at", "end_at", "id", 7, "year", open_covers=True, rows=400)
+
+
 @query("j28_still_in_state", """
 SELECT DISTINCT item_id, changed_at AS since FROM status_log a WHERE status = 'error' AND NOT EXISTS (
   SELECT 1 FROM status_log b WHERE b.item_id = a.item_id AND b.status IN ('purchase', 'signup') AND b.changed_at > a.changed_at)
@@ -115,6 +132,37 @@ def w8(i):
     return H.time_in_status(i.status_log, "item_id", "status", "changed_at", "log_id")
 
 
+HOT_HOUR = """
+log AS (SELECT log_id, status, CASE WHEN item_id % 3 = 0 THEN 0 ELSE item_id END AS item_id, CASE WHEN item_id % 3 = 0 THEN TIMESTAMP '2024-01-05 03:00:00' + to_seconds(CAST(value AS INTEGER)) ELSE changed_at END AS changed_at FROM status_log)
+"""
+
+
+def hot_hour(i):
+    """A third of all changes belong to one item and happen within two minutes."""
+    hot = F.col("item_id") % 3 == 0
+    return i.status_log.select(
+        "log_id", "status", F.when(hot, 0).otherwise(F.col("item_id")).alias("item_id"),
+        F.when(hot, F.timestamp_seconds(F.lit(1704423600) + F.round("value", 0).cast("long")).cast("timestamp_ntz")).otherwise(F.col("changed_at")).alias("changed_at"),
+    )
+
+
+@query("w8_hot_hour", f"""
+WITH {HOT_HOUR} SELECT item_id, status, changed_at, log_id, lag(status) OVER w AS prev_status, lag(changed_at) OVER w AS prev_changed_at,
+  (epoch_us(changed_at) - epoch_us(lag(changed_at) OVER w)) // 1000000 AS seconds_since FROM log WINDOW w AS (PARTITION BY item_id ORDER BY changed_at, log_id)
+""")
+def w8_hot(i):
+    return H.time_in_status(hot_hour(i), "item_id", "status", "changed_at", "log_id", rows=300)
+
+
+@query("j19_hot_hour_average", f"""
+WITH {HOT_HOUR}, n AS (SELECT item_id, changed_at, count(*) FILTER (WHERE status = 'view') AS b, count(*) FILTER (WHERE status = 'purchase') AS e FROM log GROUP BY item_id, changed_at)
+SELECT CAST(sum(a.b * z.e) AS BIGINT) AS pairs, round(CAST(sum(a.b * z.e * (epoch_us(z.changed_at) - epoch_us(a.changed_at))) AS DOUBLE) / sum(a.b * z.e) / 60000000, 4) AS avg_minutes
+FROM n a JOIN n z ON a.item_id = z.item_id AND z.changed_at > a.changed_at
+""")
+def j19_hot(i):
+    return H.pair_average(hot_hour(i), "item_id", "status", "changed_at", "view", "purchase", rows=20)
+
+
 @query("w9_cumulative_enabled", """
 WITH d AS (SELECT code, CAST(CAST(changed_at AS DATE) AS STRING) AS day, count(*) AS row_count FROM feature_log WHERE state = 'enabled' GROUP BY 1, 2)
 SELECT code, day, row_count, CAST(sum(row_count) OVER (PARTITION BY code ORDER BY day) AS BIGINT) AS cumulative FROM d

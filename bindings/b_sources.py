@@ -89,6 +89,15 @@ def s7(i):
     return sinks.number_batches(i.orders.select("o_orderkey"), "o_orderkey", 50)
 
 
+@query("s7_text_batches", """
+WITH n AS (SELECT o_orderkey, o_orderpriority, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) AS record_number FROM orders)
+SELECT o_orderkey, o_orderpriority, record_number, (record_number - 1) // 50 + 1 AS batch FROM n
+""")
+def s7_text(i):
+    """Text order in which five values hold all rows; equal ones are ordered by id, in ranges of 1,000 rows."""
+    return sinks.number_batches(i.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", 50, "o_orderkey", rows=1000)
+
+
 @query("s7_batch_export", """
 WITH n AS (SELECT id, row_number() OVER (ORDER BY id) AS record_number FROM entity WHERE status = 'ACTIVE')
 SELECT (record_number - 1) // 50 + 1 AS batch, min(record_number) AS first_record, max(record_number) AS last_record, count(*) AS records

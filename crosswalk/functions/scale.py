@@ -2,7 +2,9 @@
 
 * ``latest_per_key``  row_number = 1; Spark prunes each map partition to one row per key before the shuffle.
 * ``join_back``       many-to-one join in which neither hot nor NULL keys are shuffled.
-* ``lag_in_key``      previous row per key, worked out in time buckets so that no task sorts a whole key.
+* ``stored_ranges``   rows in stored ranges of any order, cut at sampled tuples.
+* ``pieces``          time buckets per key, the overfull ones cut again; ``carried`` sums up the pieces before each.
+* ``lag_in_key``      previous row per key, worked out in pieces so that no task sorts a whole key.
 * ``number_rows``     global row number without a one-partition window.
 * ``running_total``   running weight per group over ordered distinct values, also without one big partition.
 * ``percentiles``     exact interpolated percentiles from ``running_total``.
@@ -11,17 +13,20 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crosswalk.session import cut
+
 HOT_ROWS = 1_000_000  # a key with at least this many rows is not shuffled
 HOT_KEYS = 4_096  # the largest keys only; bounds the broadcast of their figures
-CUTS = 256  # ranges used to order rows globally
+RANGE_ROWS = 1_000_000  # rows of a stored range: what one task sorts
+LEAST_ROWS = 10_000  # below this a range is not worth a task of its own
+PIECE_ROWS = 1_000_000  # rows of a key's time bucket that one task sorts
+FULL_BUCKETS = 100_000  # bounds the broadcasts of buckets and ranges
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -54,20 +59,18 @@ def join_back(
     Rows are split by the class of their key. The ``hot_keys`` largest keys of ``hot_rows`` rows or more take their
     figures from a broadcast, whose entries that number bounds at any size of ``df``; a key that is not among them
     holds at most rows / ``hot_keys`` rows. Only the rows of all other keys are shuffled. Rows with a NULL key match
-    nothing, as in a plain join, and go around both joins. Every part reads the same aggregate.
+    nothing, as in a plain join, and stay with the hot ones. Both parts read the same aggregate.
     """
     names = [c for c in stats.columns if c not in keys]
     values = F.struct(*names).alias("_v")
     largest = stats.filter(F.col(size) >= hot_rows).orderBy(F.col(size).desc(), *keys).limit(hot_keys)
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    marked = df.filter(~missing).join(F.broadcast(largest.select(*keys, values)), list(keys), "left")
-    cold = marked.filter(F.col("_v").isNull()).select(*df.columns).join(stats.select(*keys, values), list(keys), how)
+    marked = df.join(F.broadcast(largest.select(*keys, values)), list(keys), "left")
+    found = F.col("_v").isNotNull()
+    cold = marked.filter(~found & ~missing).select(*df.columns).join(stats.select(*keys, values), list(keys), how)
     figures = [F.col(f"_v.{c}").alias(c) for c in names]
-    out = marked.filter(F.col("_v").isNotNull()).select(*df.columns, *figures).union(cold.select(*df.columns, *figures))
-    if how == "inner":
-        return out
-    empty = [F.lit(None).cast(stats.schema[c].dataType).alias(c) for c in names]
-    return out.union(df.filter(missing).select(*df.columns, *empty))
+    stay = found if how == "inner" else found | missing
+    return marked.filter(stay).select(*df.columns, *figures).union(cold.select(*df.columns, *figures))
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], how: str = "inner", size: str = "_size", **aggs: Column) -> DataFrame:
@@ -77,98 +80,107 @@ def group_stats(df: DataFrame, keys: Sequence[str], how: str = "inner", size: st
     return out.drop("_size") if size == "_size" else out
 
 
+def stored_ranges(df: DataFrame, order: Sequence[Column], rows: int | None = None) -> tuple[DataFrame, int]:
+    """Rows in ranges that follow each other in ``order``, stored, and the number of ranges.
+
+    ``_range`` numbers the ranges and ``_place`` the rows of each, both from 0. The cut points are whole tuples of the
+    order's columns, of any type that Spark can sort, from a sample of the rows; so a value that very many rows share
+    is cut by the columns after it, and the last one should be unique. There is a range per ``rows`` rows (``RANGE_ROWS``), or
+    one per shuffle partition if that is more and the rows suffice. The ranges are written once to the shared folder: what is
+    read back is the same for every task and every attempt.
+    """
+    spark = df.sparkSession
+    n = df.count()
+    wide = min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // LEAST_ROWS)
+    parts = max(1, wide, -(-n // (rows or RANGE_ROWS)))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+    stored = cut(ranged, "ranges")  # the upper half of _m is the partition, the lower 33 bits count its rows
+    return stored.select(*df.columns, F.shiftright("_m", 33).cast("int").alias("_range"), F.col("_m").bitwiseAND((1 << 33) - 1).alias("_place")), parts
+
+
+def pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, rows: int | None = None, descending: bool = False) -> DataFrame:
+    """Adds ``_bucket`` and ``_cell``: rows of a key in ``order`` run through its (bucket, cell) pieces one after the other,
+    and a piece holds about ``rows`` rows (``PIECE_ROWS``) at most, whatever their keys and times are.
+
+    A bucket of a key with more rows than that is cut again into cells at sampled tuples of ``order``; all other buckets are
+    one cell and are not moved. One aggregate finds the full buckets; there is at most one for ``rows`` rows, and at most
+    ``FULL_BUCKETS`` of them are kept apart, the threshold rising with the table; so the broadcast of their names is bounded.
+    Rows of a NULL key are in no sequence and are left out. ``bucket`` must not decrease along ``order`` (nor increase, with
+    ``descending``).
+    """
+    rows = rows or PIECE_ROWS
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    named = df.filter(known).withColumn("_bucket", bucket)
+    parts = [*keys, "_bucket"]
+    sizes = named.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
+    full = sizes.filter(F.col("_n") > rows).orderBy(F.col("_n").desc(), *parts).limit(FULL_BUCKETS).select(*parts)
+    full = cut(full, "full-buckets")
+    if full.isEmpty():
+        return named.withColumn("_cell", F.lit(0))
+    same = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in parts])
+    apart = F.broadcast(full)
+    rest = named.alias("a").join(apart.alias("b"), same, "left_anti").withColumn("_cell", F.lit(0))
+    heavy = named.alias("a").join(apart.alias("b"), same, "left_semi")
+    by = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
+    ranged, _ = stored_ranges(heavy, [*[F.col(c) for c in parts], *by], rows)
+    return rest.unionByName(ranged.withColumnRenamed("_range", "_cell").drop("_place"))
+
+
 def lag_in_key(
-    df: DataFrame, keys: Sequence[str], ts: str, tie: str, columns: Sequence[str], grain: str = "day"
+    df: DataFrame, keys: Sequence[str], ts: str, tie: str, columns: Sequence[str], grain: str = "day", rows: int | None = None
 ) -> DataFrame:
     """``prev_<c>`` for each column: its value in the row before this one, per key, ordered by (ts, tie).
 
-    Rows are ordered inside (key, ``grain`` bucket); the last row of each bucket is handed to the next
-    bucket of the key. A task therefore sorts one key's bucket, and the second window sees one row per bucket.
+    Rows are ordered inside the pieces of a key (see ``pieces``); the last row of each piece is handed to the next
+    one. A task therefore sorts one piece, and the second window sees one row per piece.
     Rows with a NULL key or time belong to no sequence; filter them out first.
     """
-    rows = df.withColumn("_bucket", F.date_trunc(grain, F.col(ts)))
-    parts = [*keys, "_bucket"]
-    inside = Window.partitionBy(*parts).orderBy(ts, tie)
+    cells = pieces(df, keys, [ts, tie], F.date_trunc(grain, F.col(ts)), rows)
+    parts = [*keys, "_bucket", "_cell"]
     payload = F.struct(*[F.col(c) for c in columns])
-    last = rows.groupBy(*parts).agg(F.max_by(payload, F.struct(ts, tie)).alias("_last"))
-    before = last.withColumn(
-        "_before", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket"))
-    ).drop("_last")
-    rows = rows.withColumn("_prev", F.lag(payload).over(inside))
-    rows = rows.join(before, parts, "left").withColumn("_prev", F.coalesce("_prev", "_before"))
+    last = latest_per_key(cells, parts, [F.col(ts).desc(), F.col(tie).desc()]).select(*parts, payload.alias("_last"))
+    across = Window.partitionBy(*keys).orderBy("_bucket", "_cell")
+    before = last.select(*parts, F.lag("_last").over(across).alias("_before"))
+    inside = cells.withColumn("_prev", F.lag(payload).over(Window.partitionBy(*parts).orderBy(ts, tie)))
+    joined = inside.join(before, parts, "left").withColumn("_prev", F.coalesce("_prev", "_before"))
     picked = [F.col(f"_prev.{c}").alias(f"prev_{c}") for c in columns]
-    return rows.select(*df.columns, *picked)
+    return joined.select(*df.columns, *picked)
 
 
-def _number(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz", "date"):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    return F.col(column).cast("double")
+def carried(cells: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """(keys, ``_bucket``, ``_cell``, sums): for each piece of a key the sums over the pieces before it."""
+    parts = [*keys, "_bucket", "_cell"]
+    before = Window.partitionBy(*keys).orderBy("_bucket", "_cell").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cells.groupBy(*parts).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    return totals.select(*parts, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums])
 
 
-def _ranges(df: DataFrame, column: str, out: str, cuts: int) -> tuple[DataFrame, list[int]]:
-    """Add the number of the value range a row falls in; also say which ranges hold a single repeated value.
+def number_rows(df: DataFrame, order: str, tie: str, descending: bool = False, name: str = "row_number", rows: int | None = None) -> DataFrame:
+    """Global 1-based row number by (order, tie), columns of any type that can be sorted; ``tie`` must be unique and ascends.
 
-    The cut points come from one small job (``approxQuantile``) and enter the plan as constants, so a retried
-    task puts each row in the same range. NULL is a range of its own, below all others.
+    Rows are stored in ranges (see ``stored_ranges``), numbered inside each range, and shifted by the rows of earlier
+    ranges. Null order values come first (ascending).
     """
-    df = df.withColumn("_x", F.coalesce(_number(df, column), F.lit(-math.inf)))
-    points = df.approxQuantile("_x", [i / cuts for i in range(1, cuts)], 1 / (4 * cuts))
-    many_nulls = points.count(-math.inf) > 1
-    points = [p for p in points if math.isfinite(p)] or [0.0]
-    repeated = {a for a, b in zip(points, points[1:]) if a == b}
-    edges = sorted({*points, *[math.nextafter(p, math.inf) for p in repeated]})
-    splits = [-math.inf, *edges, math.inf]
-    df = Bucketizer(splits=splits, inputCol="_x", outputCol=out, handleInvalid="keep").transform(df)
-    single = [i for i, low in enumerate(splits[:-1]) if low in repeated] + ([-1] if many_nulls else [])
-    return df.withColumn(out, F.when(F.col(column).isNull(), -1).otherwise(F.col(out).cast("int"))).drop("_x"), single
-
-
-def number_rows(
-    df: DataFrame, order: str, tie: str, descending: bool = False, name: str = "row_number", cuts: int = CUTS
-) -> DataFrame:
-    """Global 1-based row number by (order, tie); ``tie`` must be unique and ascends.
-
-    Rows are cut into value ranges, numbered inside each range, and shifted by the rows of earlier ranges.
-    A value repeated so often that it fills a whole range is cut again by ``tie``. The table of range sizes has
-    at most (2 x cuts) x cuts rows, so it is broadcast. Null order values come first (ascending).
-    """
-    sized, single = _ranges(df, order, "_range", cuts)
-    if single:
-        sized, _ = _ranges(sized, tie, "_sub", cuts)
-        sized = sized.withColumn("_sub", F.when(F.col("_range").isin(single), F.col("_sub")).otherwise(0))
-    else:
-        sized = sized.withColumn("_sub", F.lit(0))
-    lead = F.col("_range").desc() if descending else F.col("_range").asc()
-    counts = sized.groupBy("_range", "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy(lead, "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_range", "_sub", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     first = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
-    inside = Window.partitionBy("_range", "_sub").orderBy(first, F.col(tie).asc())
-    return (
-        sized.withColumn("_rn", F.row_number().over(inside))
-        .join(F.broadcast(offsets), ["_range", "_sub"])
-        .withColumn(name, F.col("_rn") + F.col("_offset"))
-        .select(*df.columns, name)
-    )
+    ranged, parts = stored_ranges(df, [first, F.col(tie).asc_nulls_first()], rows)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    # A row per range: its number is known, so the broadcast is of a checked size.
+    joined = ranged.join(F.broadcast(offsets) if parts <= FULL_BUCKETS else offsets, "_range")
+    return joined.select(*df.columns, (F.col("_offset") + F.col("_place") + 1).alias(name))
 
 
-def running_total(
-    df: DataFrame, groups: Sequence[str], value: str, weight: Column | None = None, cuts: int = CUTS
-) -> DataFrame:
+def running_total(df: DataFrame, groups: Sequence[str], value: str, weight: Column | None = None, rows: int | None = None) -> DataFrame:
     """(groups, value, weight, before, total): weight of the value, of smaller values and of the whole group.
 
-    Ties share one row. The windows over ranges see at most ``cuts`` rows per group.
-
-    Repeated values are summed before the shuffle, so a value held by a third of the rows is one row here.
+    Ties share one row: repeated values are summed before the shuffle, so a value held by a third of the rows is
+    one row here. ``df`` is read once; the distinct values are stored in ranges of (groups, value), so a task sorts a range
+    and a window over ranges sees one row per range and group. Rows with a NULL group are left out.
     """
     weight = F.lit(1) if weight is None else weight
-    distinct = (
-        df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.sum(weight).alias("weight"))
-    )
-    # Cut points of the raw values would need a second pass over repeated ones; ranges of distinct values suffice.
-    ranged, _ = _ranges(distinct, value, "_range", cuts)
+    distinct = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.sum(weight).alias("weight"))
+    ranged, _ = stored_ranges(distinct, [*[F.col(g) for g in groups], F.col(value)], rows)
     parts = [*groups, "_range"]
     inside = Window.partitionBy(*parts).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,7 +1,7 @@
 """Events in time order.
 
-A key may own a third of all events, so nothing here sorts a whole key in one task unless it was first reduced to one
-row per day or per state; see ``functions.scale.lag_in_key`` for row-level ordering.
+A key may own a third of all events, also within one hour, so nothing here sorts a whole key in one task unless it was first
+reduced to one row per day or per state; see ``functions.scale.pieces`` for row-level ordering.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import count_if, day_text, elapsed, hours_between, micros, moment
-from crosswalk.functions.scale import join_back, lag_in_key, latest_per_key
+from crosswalk.functions.scale import carried, join_back, lag_in_key, latest_per_key, pieces
+
+FOREVER = "9999-12-31 00:00:00"  # the end of a period that is still open
 
 
 def feature_effective_join(rows: DataFrame, features: DataFrame, key: str, ts: str, enabled_at: str) -> DataFrame:
@@ -38,43 +40,50 @@ def pair_events(df: DataFrame, key: str, status: str, ts: str, first: str, later
     return done.withColumn("minutes", F.round(minutes, 4))
 
 
-def pair_average(df: DataFrame, key: str, status: str, ts: str, first: str, later: str, grain: str = "day") -> DataFrame:
+def pair_average(df: DataFrame, key: str, status: str, ts: str, first: str, later: str, grain: str = "day", rows: int | None = None) -> DataFrame:
     """Mean minutes over all (first, later) event pairs of a key with later > first, and the pair count.
 
     For each later event only the number and the sum of the earlier starts are needed. They are running totals per
-    key, taken inside time buckets and carried over buckets, so the pairs themselves never exist.
+    key, taken inside the pieces of a key and carried over them, so the pairs themselves never exist, and a key that
+    holds a third of all events within an hour is summed in many tasks. A start and an end at the same time are no pair, so events of one time
+    are merged first.
     """
-    begin = (F.col(status) == first).cast("bigint")
-    at = micros(F.col(ts))
-    rows = df.filter(F.col(status).isin(first, later)).select(
-        key, begin.alias("_b"), at.alias("_at"), F.date_trunc(grain, F.col(ts)).alias("_bucket")
-    )
     stamp = F.col("_b") * F.col("_at").cast("decimal(38,0)")
-    order = Window.partitionBy(key, "_bucket").orderBy("_at", "_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = rows.withColumns({"_n": F.sum("_b").over(order), "_s": F.sum(stamp).over(order)}).filter("_b = 0")
-    sums = rows.groupBy(key, "_bucket").agg(F.sum("_b").alias("_bn"), F.sum(stamp).alias("_bs"))
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(key, "_bucket", F.sum("_bn").over(before).alias("_on"), F.sum("_bs").over(before).alias("_os"))
-    out = inside.join(offsets, [key, "_bucket"])
-    n = F.col("_n") + F.coalesce("_on", F.lit(0))
-    total = n * F.col("_at").cast("decimal(38,0)") - F.col("_s") - F.coalesce("_os", F.lit(0))
-    agg = out.agg(F.sum(n).alias("pairs"), F.sum(total).alias("_micros"))
+    events = df.filter(F.col(status).isin(first, later) & F.col(ts).isNotNull()).groupBy(key, ts)
+    merged = events.agg(count_if(F.col(status) == first).alias("_b"), count_if(F.col(status) == later).alias("_e")).withColumn("_at", micros(F.col(ts)))
+    cells = pieces(merged, [key], [ts], F.date_trunc(grain, F.col(ts)), rows)
+    parts = [key, "_bucket", "_cell"]
+    order = Window.partitionBy(*parts).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    inside = cells.withColumns({"_n": F.sum("_b").over(order), "_s": F.sum(stamp).over(order)}).filter("_e > 0")
+    out = inside.join(carried(cells, [key], {"_on": F.col("_b"), "_os": stamp}), parts)
+    n = (F.coalesce("_n", F.lit(0)) + F.col("_on")) * F.col("_e")
+    earlier = (F.coalesce("_s", F.lit(0)) + F.col("_os")) * F.col("_e")
+    agg = out.agg(F.sum(n).alias("pairs"), F.sum(n * F.col("_at").cast("decimal(38,0)") - earlier).alias("_micros"))
     return agg.select("pairs", F.round(F.try_divide(F.col("_micros").cast("double"), F.col("pairs")) / 60_000_000, 4).alias("avg_minutes"))
 
 
-def period_gaps(df: DataFrame, key: str, start: str, end: str, id_col: str, days: int, grain: str = "month") -> DataFrame:
+def period_gaps(
+    df: DataFrame, key: str, start: str, end: str, id_col: str, days: int, grain: str = "month", open_covers: bool = False, rows: int | None = None
+) -> DataFrame:
     """Gaps of more than ``days`` days of a key that no period covers, between the period that had reached
     furthest and the next one by start. A period within a longer one opens no gap.
 
-    The furthest end is carried within time buckets and, one row per bucket, across them, so no task sorts a whole key.
+    A period without an end covers nothing, as its length is not known; with ``open_covers`` it covers all that comes
+    after its start. A period without a start is left out. The furthest end is carried within the pieces of a key and, one row per piece,
+    across them, so no task sorts a whole key.
     """
-    rows = df.select(key, id_col, start, end).filter(F.col(start).isNotNull()).withColumn("_bucket", F.date_trunc(grain, F.col(start)))
-    reach = F.struct(F.col(end).alias("at"), F.col(id_col).alias("id"))
-    reach = F.when(F.col(end).isNotNull(), reach)
-    inside = Window.partitionBy(key, "_bucket").orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = rows.groupBy(key, "_bucket").agg(F.max(reach).alias("_most")).select(key, "_bucket", F.max("_most").over(across).alias("_before"))
-    out = rows.withColumn("_inside", F.max(reach).over(inside)).join(before, [key, "_bucket"]).withColumn("_last", F.greatest("_inside", "_before"))
+    reached = F.coalesce(F.col(end), F.lit(FOREVER).cast(df.schema[end].dataType)) if open_covers else F.col(end)
+    given = df.select(key, id_col, start, end).filter(F.col(start).isNotNull()).withColumn("_to", reached)
+    cells = pieces(given, [key], [start, id_col], F.date_trunc(grain, F.col(start)), rows)
+    parts = [key, "_bucket", "_cell"]
+    reach = F.when(F.col("_to").isNotNull(), F.struct(F.col("_to").alias("at"), F.col(id_col).alias("id")))
+    inside = Window.partitionBy(*parts).orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(key).orderBy("_bucket", "_cell").rowsBetween(Window.unboundedPreceding, -1)
+    most = latest_per_key(cells.filter(F.col("_to").isNotNull()), parts, [F.col("_to").desc(), F.col(id_col).desc()])
+    # Pieces whose periods all have no end hand on what came before them: every piece needs a row here.
+    every = cells.select(*parts).distinct().join(most.select(*parts, reach.alias("_most")), parts, "left")
+    before = every.select(*parts, F.max("_most").over(across).alias("_before"))
+    out = cells.withColumn("_inside", F.max(reach).over(inside)).join(before, parts).withColumn("_last", F.greatest("_inside", "_before"))
     gap = micros(F.col(start)) - micros(F.col("_last.at"))
     return out.filter(gap > days * 86_400_000_000).select(
         key, F.col("_last.id").alias("after_id"), F.col(id_col).alias("before_id"), F.col("_last.at").alias("gap_start"),
@@ -114,9 +123,9 @@ def day_over_day(df: DataFrame, ts: str, value: Column, name: str = "value") ->
     return daily.withColumn(f"prev_{name}", prev).withColumn("change", F.col(name) - F.col(f"prev_{name}"))
 
 
-def time_in_status(df: DataFrame, key: str, status: str, ts: str, tie: str, grain: str = "day") -> DataFrame:
-    """Time since the previous change of the same item, and what it was."""
-    out = lag_in_key(df.select(key, status, ts, tie), [key], ts, tie, [status, ts], grain)
+def time_in_status(df: DataFrame, key: str, status: str, ts: str, tie: str, grain: str = "day", rows: int | None = None) -> DataFrame:
+    """Time since the previous change of the same item, and what it was. Rows without an item are left out."""
+    out = lag_in_key(df.select(key, status, ts, tie), [key], ts, tie, [status, ts], grain, rows)
     return out.withColumn("seconds_since", elapsed(F.col(f"prev_{ts}"), F.col(ts), "second"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import first_match, ordered_label, percent
-from crosswalk.functions.scale import group_stats, join_back, latest_per_key, running_total, with_figures
+from crosswalk.functions.scale import carried, group_stats, join_back, latest_per_key, pieces, running_total, with_figures
 
 # What stands in for a missing time, and the labels of series members
 LONG_AGO = "1900-01-01 00:00:00"
@@ -32,17 +32,20 @@ def rank_keep_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return group_stats(df, keys, _best=F.max(order)).filter(F.col(order) == F.col("_best")).drop("_best")
 
 
-def running_copy_number(df: DataFrame, keys: Sequence[str], order: str, name: str = "copy_number") -> DataFrame:
+def running_copy_number(df: DataFrame, keys: Sequence[str], order: str, name: str = "copy_number", rows: int | None = None) -> DataFrame:
     """Running count per key in descending ``order``, rows with equal order counted together (default frame).
 
-    Counts per (key, order value) are taken first; the window then sees one row per distinct order value.
-    Rows with a NULL key are not copies of each other: each gets 1.
+    Counts per (key, order value) are taken first; the running sum over a key's distinct order values is taken in pieces of
+    bounded size and carried over them. Rows with a NULL key are not copies of each other: each gets 1.
     """
-    counts = df.na.drop(subset=list(keys)).groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
-    window = Window.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last())
-    running = counts.withColumn(name, F.sum("_n").over(window))
+    counts = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
+    cells = pieces(counts, keys, [order], F.lit(0), rows, descending=True)
+    parts = [*keys, "_bucket", "_cell"]
+    inside = F.sum("_n").over(Window.partitionBy(*parts).orderBy(F.col(order).desc_nulls_last()))
+    running = cells.withColumn("_inside", inside).join(carried(cells, keys, {"_before": F.col("_n")}), parts)
     known = df.withColumn("_order", F.coalesce(F.col(order).cast("string"), F.lit("\u0000")))
-    running = running.select(*keys, F.coalesce(F.col(order).cast("string"), F.lit("\u0000")).alias("_order"), "_n", name)
+    order_text = F.coalesce(F.col(order).cast("string"), F.lit("\u0000")).alias("_order")
+    running = running.select(*keys, order_text, "_n", (F.col("_inside") + F.col("_before")).alias(name))
     out = join_back(known, running, [*keys, "_order"], "_n", "left")
     return out.withColumn(name, F.coalesce(name, F.lit(1))).select(*df.columns, name)
 

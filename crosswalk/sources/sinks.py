@@ -56,9 +56,12 @@ def append_audit(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(AUDIT_SCHEMA).parquet(path)
 
 
-def number_batches(df: DataFrame, order_by: str, size: int = 50) -> DataFrame:
-    """Global record number by a unique order column, and the batch each record falls in."""
-    out = number_rows(df, order_by, order_by, name="record_number")
+def number_batches(df: DataFrame, order_by: str, size: int = 50, tie: str | None = None, rows: int | None = None) -> DataFrame:
+    """Global record number in the order of a column of any sortable type, and the batch each record falls in.
+
+    Equal values are ordered by ``tie``, a unique column; it may be left out where ``order_by`` is unique itself.
+    """
+    out = number_rows(df, order_by, tie or order_by, name="record_number", rows=rows)
     return out.withColumn("batch", F.floor((F.col("record_number") - 1) / F.lit(size)).cast("bigint") + 1)
 
 
@@ -71,12 +74,12 @@ def batch_summary(batched: DataFrame) -> DataFrame:
     )
 
 
-def batch_export(df: DataFrame, order_by: str, path: str, size: int = 50, files_per_task: int = 200) -> DataFrame:
+def batch_export(df: DataFrame, order_by: str, path: str, size: int = 50, files_per_task: int = 200, tie: str | None = None) -> DataFrame:
     """Write the batches as CSV, one folder per batch, and return the numbered rows.
 
     Rows travel by groups of consecutive batches, so a batch is one file and a task opens a bounded number.
     """
-    batched = number_batches(df, order_by, size)
+    batched = number_batches(df, order_by, size, tie)
     slab = F.floor(F.col("batch") / F.lit(files_per_task))
     batched.withColumn("_slab", slab).repartition("_slab").drop("_slab").sortWithinPartitions(
         "batch", "record_number"

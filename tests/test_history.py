@@ -22,6 +22,50 @@ def test_pair_average_equals_all_pairs(log):
     assert got["pairs"] == len(spans) and got["avg_minutes"] == pytest.approx(sum(spans) / len(spans), abs=1e-3)
 
 
+@pytest.mark.parametrize("rows", [20, 1000])
+def test_pair_average_of_a_hot_hour(log, rows):
+    """A key with a third of all events in one hour, cut into pieces, with starts and ends at equal times."""
+    hot = log.withColumn("t", F.when(F.col("k") == "hot", F.timestamp_seconds(F.lit(1704070800) + F.col("id") % 40).cast("timestamp_ntz")).otherwise(F.col("t")))
+    recs = hot.collect()
+    spans = [(b["t"] - a["t"]).total_seconds() / 60 for a in recs for b in recs if a["k"] == b["k"] and a["s"] == "a" and b["s"] == "b" and b["t"] > a["t"]]
+    got = H.pair_average(hot, "k", "s", "t", "a", "b", "hour", rows).first()
+    assert got["pairs"] == len(spans) and got["avg_minutes"] == pytest.approx(sum(spans) / len(spans), abs=1e-3)
+
+
+@pytest.mark.parametrize("size", [15, 1000])
+@pytest.mark.parametrize("open_covers", [False, True])
+def test_period_gaps_of_a_hot_month_equal_brute_force(spark, size, open_covers):
+    """One key holds most periods, nearly all of them in one month; some have no end."""
+    rng = random.Random(3)
+    at = lambda hours: f"2024-{1 + hours // 720:02d}-{1 + hours // 24 % 30:02d} {hours % 24:02d}:00:00"
+    data = []
+    for i in range(240):
+        start = rng.randrange(720) if i % 4 else 1440 + rng.randrange(2800)
+        data.append((i, "hot" if i % 5 else f"k{i % 3}", at(start), None if rng.random() < 0.02 else at(min(start + rng.choice([1, 2, 30]), 8600))))
+    df = spark.createDataFrame(data, "id int, k string, a string, b string").select("id", "k", F.col("a").cast("timestamp_ntz").alias("s"), F.col("b").cast("timestamp_ntz").alias("e"))
+    recs = sorted(df.collect(), key=lambda r: (r["k"], r["s"], r["id"]))
+    want = set()
+    for n, r in enumerate(recs):
+        before = [x for x in recs[:n] if x["k"] == r["k"]]
+        if open_covers and any(x["e"] is None for x in before):
+            continue
+        ended = [(x["e"], x["id"]) for x in before if x["e"] is not None]
+        if ended and (r["s"] - max(ended)[0]).total_seconds() > 2 * 86400:
+            want.add((max(ended)[1], r["id"]))
+    got = H.period_gaps(df, "k", "s", "e", "id", 2, open_covers=open_covers, rows=size)
+    assert {(r["after_id"], r["before_id"]) for r in got.collect()} == want and want
+
+
+@pytest.mark.parametrize("rows", [30, 1000])
+def test_time_in_status_of_a_hot_hour(log, rows):
+    hot = log.withColumn("t", F.when(F.col("k") == "hot", F.timestamp_seconds(F.lit(1704070800) + F.col("id") % 7).cast("timestamp_ntz")).otherwise(F.col("t")))
+    got = {r["id"]: (r["prev_s"], r["seconds_since"]) for r in H.time_in_status(hot, "k", "s", "t", "id", "hour", rows).collect()}
+    recs = sorted(hot.collect(), key=lambda r: (r["k"], r["t"], r["id"]))
+    for before, r in zip([None, *recs], recs):
+        same = before is not None and before["k"] == r["k"]
+        assert got[r["id"]] == ((before["s"], int((r["t"] - before["t"]).total_seconds())) if same else (None, None))
+
+
 def test_pair_events_first_to_first_later(log):
     recs = log.collect()
     for r in H.pair_events(log, "k", "s", "t", "a", "b").collect():

@@ -74,26 +74,36 @@ def test_lag_in_key_equals_window_lag(skewed, rows, grain):
     assert rows(got, "id", "prev_v", "prev_id") == rows(want, "id", "prev_v", "prev_id")
 
 
+@pytest.fixture
+def small_ranges(monkeypatch):
+    monkeypatch.setattr(scale, "RANGE_ROWS", 150)
+    monkeypatch.setattr(scale, "PIECE_ROWS", 150)
+
+
 @pytest.mark.parametrize("descending", [False, True])
-def test_number_rows_equals_one_window(skewed, rows, descending):
-    first = F.col("v").desc() if descending else F.col("v")
-    want = skewed.withColumn("n", F.row_number().over(Window.orderBy(first, "id")))
-    got = scale.number_rows(skewed, "v", "id", descending, "n", cuts=16)
+@pytest.mark.parametrize("order", ["v", "key", "ts", "wide", "big", "part"])
+def test_number_rows_equals_one_window(skewed, rows, small_ranges, descending, order):
+    """Numbers, text, times, decimals, longs above 2^53 that differ in the last place, and structs; with nulls and ties."""
+    df = skewed.withColumns({"wide": F.col("v").cast("decimal(30,10)"), "big": F.lit(1 << 60) + F.col("v"), "part": F.struct("v", "key")})
+    first = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
+    want = df.withColumn("n", F.row_number().over(Window.orderBy(first, "id")))
+    got = scale.number_rows(df, order, "id", descending, "n")
     assert rows(got, "id", "n") == rows(want, "id", "n")
 
 
-def test_number_rows_cuts_a_frequent_value_again(skewed):
-    ranged, single = scale._ranges(skewed, "v", "_range", 16)
-    assert single  # the value 1 fills whole ranges
-    hot = ranged.filter(F.col("_range").isin(single))
-    assert hot.select("v").distinct().count() <= len(single)
+def test_ranges_follow_the_rows_and_cut_a_frequent_value_again(skewed, small_ranges):
+    ranged, parts = scale.stored_ranges(skewed, [F.col("v"), F.col("id")])
+    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+    assert parts == 20 and len(sizes) >= 15 and max(sizes) < 600 and sum(sizes) == 3000
+    assert ranged.filter("v = 1").select("_range").distinct().count() >= 5  # two thirds of the rows hold the value 1
+    few, parts = scale.stored_ranges(skewed, [F.col("v"), F.col("id")], rows=1500)
+    assert parts == 2 and few.count() == 3000
 
 
-def test_number_rows_with_many_nulls(skewed, rows):
+def test_number_rows_with_many_nulls(skewed, rows, small_ranges):
     df = skewed.withColumn("v", F.when(F.col("key").isNotNull(), F.col("v")))
     want = df.withColumn("n", F.row_number().over(Window.orderBy(F.col("v").asc_nulls_first(), "id")))
-    assert -1 in scale._ranges(df, "v", "_range", 16)[1]
-    assert rows(scale.number_rows(df, "v", "id", name="n", cuts=16), "id", "n") == rows(want, "id", "n")
+    assert rows(scale.number_rows(df, "v", "id", name="n"), "id", "n") == rows(want, "id", "n")
 
 
 def test_number_rows_of_no_rows(spark):
@@ -101,11 +111,30 @@ def test_number_rows_of_no_rows(spark):
     assert scale.number_rows(empty, "v", "id").count() == 0
 
 
-def test_running_total_equals_window(skewed, rows):
+def test_pieces_of_a_hot_hour_are_many_and_bounded(skewed, small_ranges):
+    """A third of all rows in one key and hour."""
+    one_hour = skewed.withColumn("ts", F.when(F.col("key") == "hot", F.lit("2024-01-05 03:00:00").cast("timestamp_ntz")).otherwise(F.col("ts")))
+    cells = scale.pieces(one_hour, ["key"], ["ts", "id"], F.date_trunc("hour", "ts"))
+    hot = [r["count"] for r in cells.filter("key = 'hot'").groupBy("_bucket", "_cell").count().collect()]
+    assert len(hot) >= 5 and max(hot) <= 450 and sum(hot) == 1000
+    assert cells.filter("key <> 'hot'").select("_cell").distinct().collect() == [(0,)]
+    assert cells.count() == skewed.filter("key IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("grain", ["hour", "year"])
+def test_lag_over_a_hot_hour_equals_window_lag(skewed, rows, small_ranges, grain):
+    one_hour = skewed.withColumn("ts", F.when(F.col("id") % 2 == 0, F.lit("2024-01-05 03:00:00").cast("timestamp_ntz")).otherwise(F.col("ts")))
+    window = Window.partitionBy("key").orderBy("ts", "id")
+    want = one_hour.withColumn("prev_v", F.lag("v").over(window)).filter("key IS NOT NULL")
+    got = scale.lag_in_key(one_hour.filter("key IS NOT NULL"), ["key"], "ts", "id", ["v"], grain)
+    assert rows(got, "id", "prev_v") == rows(want, "id", "prev_v")
+
+
+def test_running_total_equals_window(skewed, rows, small_ranges):
     per = skewed.groupBy("key", "v").agg(F.count(F.lit(1)).alias("weight"))
     window = Window.partitionBy("key").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     want = per.withColumn("before", F.coalesce(F.sum("weight").over(window), F.lit(0))).filter("key IS NOT NULL")
-    got = scale.running_total(skewed.filter("key IS NOT NULL"), ["key"], "v", cuts=8)
+    got = scale.running_total(skewed.filter("key IS NOT NULL"), ["key"], "v")
     assert rows(got, "key", "v", "weight", "before") == rows(want, "key", "v", "weight", "before")
 
 
