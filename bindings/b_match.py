@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from bindings.base import query
 from crosswalk.operators import match as M
+from crosswalk.operators import recent as R
 from crosswalk.plans import resolution
 
 S, T = M.SiteColumns("source_id"), M.SiteColumns("target_id")
@@ -256,6 +257,39 @@ def j23_serial(i):
     return M.serial_entities(profile(i), 5, 50).select("id", "match_count", "highest_score")
 
 
+APPLIED = PEOPLE + """,
+applied AS (SELECT people.*, to_timestamp(1704067200 + (id % 200) * 86400 + id % 7 * 3600)::TIMESTAMP AS applied_at FROM people)
+"""
+
+
+def applied(i):
+    """People with the time at which they applied, over 200 days."""
+    seconds = F.lit(1704067200) + F.col("id") % 200 * 86400 + F.col("id") % 7 * 3600
+    return people(i).withColumn("applied_at", F.timestamp_seconds(seconds).cast("timestamp_ntz"))
+
+
+@query("j23_recent_serial", f"""
+WITH {APPLIED}, scored AS (SELECT a.id, a.applied_at, CAST(COALESCE(a.first_name = b.first_name, FALSE) AS INT) * 25 + CAST(COALESCE(a.last_name = b.last_name, FALSE) AS INT) * 25
+  + CAST(COALESCE(a.email = b.email, FALSE) AS INT) * 30 + CAST(COALESCE(a.phone = b.phone, FALSE) AS INT) * 20 AS score
+  FROM applied a JOIN applied b ON a.id <> b.id AND b.applied_at <= a.applied_at AND b.applied_at > a.applied_at - INTERVAL 30 DAYS)
+SELECT id, applied_at, count(*) FILTER (WHERE score >= 50) AS match_count, max(score) AS highest_score FROM scored GROUP BY id, applied_at HAVING count(*) FILTER (WHERE score >= 50) > 3
+""")
+def j23_recent(i):
+    """Cut into pieces of 2,000 rows, so that common names are many of them."""
+    return R.recent_matches(applied(i), "id", "applied_at", 30, 50, 3, rows=2000)
+
+
+@query("j23_recent_places", f"""
+WITH {APPLIED}, near AS (
+  SELECT a.id, a.applied_at, 'email' AS shared, b.site FROM applied a JOIN applied b ON a.email = b.email AND b.applied_at <= a.applied_at AND b.applied_at > a.applied_at - INTERVAL 90 DAYS
+  UNION ALL SELECT a.id, a.applied_at, 'phone', b.site FROM applied a JOIN applied b ON a.phone = b.phone AND b.applied_at <= a.applied_at AND b.applied_at > a.applied_at - INTERVAL 90 DAYS
+  UNION ALL SELECT a.id, a.applied_at, 'first_name, last_name', b.site FROM applied a JOIN applied b ON a.first_name = b.first_name AND a.last_name = b.last_name AND b.applied_at <= a.applied_at AND b.applied_at > a.applied_at - INTERVAL 90 DAYS)
+SELECT id, applied_at, shared, count(DISTINCT site) AS places FROM near GROUP BY id, applied_at, shared HAVING count(DISTINCT site) >= 5
+""")
+def j23_places(i):
+    return R.recent_places(applied(i), "id", "applied_at", "site", [("email",), ("phone",), ("first_name", "last_name")], 90, 5, rows=2000)
+
+
 @query("j33_cross_group_matches", f"""
 WITH {SCORED} SELECT a_id AS id, a_site AS site, count(*) AS match_count, round(sum(score)::DOUBLE / count(*), 4) AS avg_score FROM scored WHERE score >= 70 AND a_site <> b_site
 GROUP BY a_id, a_site HAVING count(*) >= 3

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import address_key, count_if, first_match, norm_email, norm_name, norm_phone, percent
 from crosswalk.functions.scale import join_back, latest_per_key, with_figures
+from crosswalk.session import cut
 
 # Duplicate labels
 NO_DUPE, BOTH_DUPE, DUPE, OVERRIDDEN = "No Dupe", "Both Dupe", "Dupe", "Overridden"
@@ -262,15 +263,15 @@ def _hashes(text: Column) -> list[Column]:
 
 
 IDENT, SUBSET = ["i1", "i2"], ["mask", "h1", "h2"]
+LEVELS = [[n for n, s in enumerate(SUBSETS) if len(s) in sizes] for sizes in ((1,), (2,), (3, 4))]
 
 
-def _subset_keys(min_score: int = 0) -> Column:
-    """Rows (mask, h1, h2) for every field subset that is fully present and scores enough."""
+def _subset_keys(chosen: Mapping[int, Column]) -> Column:
+    """Rows (mask, h1, h2) for each field subset whose condition holds and whose fields are all present."""
     parts = []
-    for n, fields in enumerate(SUBSETS):
-        if subset_score(fields) >= min_score:
-            present = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in fields])
-            parts.append(F.when(present, F.struct(F.lit(n).alias("mask"), *_hashes(_text(fields)))))
+    for n, condition in chosen.items():
+        present = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in SUBSETS[n]])
+        parts.append(F.when(condition & present, F.struct(F.lit(n).alias("mask"), *_hashes(_text(SUBSETS[n])))))
     return F.inline(F.array_compact(F.array(*parts)))
 
 
@@ -294,32 +295,53 @@ def _exact(weights: Mapping[int, int]) -> str:
     return " + ".join(f"({f} * c{m})" for m, f in enumerate(factors) if f) or "0L"
 
 
+def shared_keys(df: DataFrame, against: DataFrame | None = None, group: str | None = None) -> DataFrame:
+    """(identity, ``w``, subset key, ``partners``) for each distinct identity of ``df`` and each of its field subsets that
+    partners share; ``w`` records have the identity. Stored.
+
+    Equal identities are merged first. Subsets are built level by level, and larger ones only for identities all of whose
+    smaller subsets are shared: what no partner has in common with a record on two fields, none has on three. Most
+    identities thus end after their four single fields, instead of going into a shuffle 15 times.
+
+    With ``group`` partners of the same group do not count; with ``against`` the partners are the records of that table.
+    """
+    tag = [group] if group else []
+
+    def merge(rows: DataFrame, side: int) -> DataFrame:
+        merged = _identity(rows).groupBy(*IDENT, *FIELDS, *tag).agg(F.count(F.lit(1)).alias("w"))
+        return merged.withColumn("side", F.lit(side))
+
+    rows = merge(df, 0) if against is None else merge(df, 0).unionByName(merge(against, 1))
+    who = [*IDENT, *FIELDS, *tag, "w", "side"]
+    found, allowed = [], F.lit(0)
+    for level in LEVELS:
+        smaller = {n: sum(1 << m for m in range(len(SUBSETS)) if len(SUBSETS[m]) == min(len(SUBSETS[k]) for k in level) - 1 and set(SUBSETS[m]) < set(SUBSETS[n])) for n in level}
+        keyed = rows.select(*who, _subset_keys({n: allowed.bitwiseAND(need) == need for n, need in smaller.items()}))
+        if group:
+            parts = keyed.groupBy(*SUBSET, group).agg(F.count(F.lit(1)).alias("_rows"), F.sum("w").alias("g"))
+            totals = parts.groupBy(*SUBSET).agg(F.sum("g").alias("n"), F.count(F.lit(1)).alias("_groups")).filter("_groups > 1")
+            stats = join_back(parts, totals, SUBSET, "_groups", "inner").select(*SUBSET, group, "_rows", (F.col("n") - F.col("g")).alias("partners"))
+        elif against is None:
+            stats = keyed.groupBy(*SUBSET).agg(F.count(F.lit(1)).alias("_rows"), (F.sum("w") - 1).alias("partners")).filter("partners > 0")
+        else:
+            stats = keyed.groupBy(*SUBSET).agg(
+                F.count(F.lit(1)).alias("_rows"), F.sum(F.col("w") * F.col("side")).alias("partners"), F.max(1 - F.col("side")).alias("_mine")
+            ).filter("partners > 0 AND _mine = 1").drop("_mine")
+        hits = cut(join_back(keyed, stats, [*SUBSET, *tag], "_rows", "inner").drop("_rows"), "shared-keys")
+        found.append(hits.filter("side = 0"))
+        rows = hits.groupBy(*who).agg(F.bit_or(F.expr("shiftleft(1, mask)")).alias("_shared"))
+        allowed = F.col("_shared")
+    return reduce(lambda x, y: x.unionByName(y), found).select(*IDENT, *tag, "w", *SUBSET, "partners")
+
+
 def partner_counts(df: DataFrame, against: DataFrame | None = None, group: str | None = None) -> DataFrame:
     """Per distinct identity: records sharing it (``w``) and, as c0..c14, partners agreeing on at least each subset.
 
-    Equal identities are merged first; each identity is keyed by its 15 field subsets and the records per key are
-    counted once. Agreement on exactly a subset follows from those counts (see ``_exact``), so no pair is formed and
-    the work stays linear however common a name is. Keys held by one record go no further than that count. With
-    ``group`` partners of the same group do not count; with ``against`` the partners are the records of that table.
-    Identities without any partner are left out.
+    Agreement on exactly a subset follows from those counts (see ``_exact``), so no pair is formed and
+    the work stays linear however common a name is. Identities without any partner are left out.
     """
     tag = [group] if group else []
-
-    def merge(rows: DataFrame) -> DataFrame:
-        return _identity(rows).groupBy(*IDENT, *FIELDS, *tag).agg(F.count(F.lit(1)).alias("w"))
-
-    mine = merge(df).select(*IDENT, *tag, "w", _subset_keys())
-    pool = mine if against is None else merge(against).select("w", _subset_keys())
-    own = 1 if against is None else 0
-    if group:
-        parts = pool.groupBy(*SUBSET, group).agg(F.count(F.lit(1)).alias("_rows"), F.sum("w").alias("g"))
-        totals = parts.groupBy(*SUBSET).agg(F.sum("g").alias("n"), F.count(F.lit(1)).alias("_groups")).filter("_groups > 1")
-        stats = join_back(parts, totals, SUBSET, "_groups", "inner").select(*SUBSET, group, "_rows", (F.col("n") - F.col("g")).alias("partners"))
-    else:
-        stats = pool.groupBy(*SUBSET).agg(F.count(F.lit(1)).alias("_rows"), (F.sum("w") - own).alias("partners")).filter("partners > 0")
-        if against is not None:  # a key's size is its rows on this side, which may be many where the other side has few
-            stats = stats.drop("_rows").join(mine.groupBy(*SUBSET).agg(F.count(F.lit(1)).alias("_rows")), SUBSET)
-    rows = join_back(mine, stats, [*SUBSET, *tag], "_rows", "inner")
+    rows = shared_keys(df, against, group)
     return rows.groupBy(*IDENT, *tag, "w").agg(
         *[F.expr(f"coalesce(sum(CASE WHEN mask = {m} THEN partners END), 0L)").alias(f"c{m}") for m in range(len(SUBSETS))]
     )
@@ -357,7 +379,8 @@ def identity_links(df: DataFrame, key: str, min_score: int = 50) -> DataFrame:
     """
     bits = F.element_at(F.array(*[F.lit(sum(1 << FIELDS.index(f) for f in s)) for s in SUBSETS]), F.col("mask") + 1)
     merged = _identity(df).groupBy(*IDENT, *FIELDS).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("_first"))
-    keyed = merged.select(*IDENT, "w", "_first", _subset_keys(min_score))
+    wanted = {n: F.lit(True) for n, fields in enumerate(SUBSETS) if subset_score(fields) >= min_score}
+    keyed = merged.select(*IDENT, "w", "_first", _subset_keys(wanted))
     groups = keyed.groupBy(*SUBSET).agg(F.count(F.lit(1)).alias("_rows"), F.sum("w").alias("_n"), F.min("_first").alias("linked_id"))
     found = join_back(keyed.select(*IDENT, "w", *SUBSET), groups.filter("_n > 1").drop("_n"), SUBSET, "_rows", "inner")
     links = found.groupBy(*IDENT, "w", "linked_id").agg(F.bit_or(bits).alias("bits"))

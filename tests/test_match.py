@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crosswalk.operators import match as M
+from crosswalk.operators import recent as R
 from crosswalk.plans import resolution
 
 W = M.WEIGHTS
@@ -149,3 +150,63 @@ def test_account_lookup_has_one_row_per_name(spark, rows):
     users = spark.createDataFrame([("u1", "Ann"), ("u2", "Bo")], "uid string, uname string")
     got = M.account_lookup(acc, users, "aid", "name", "m", {"owner": "own"}, "uid", "uname")
     assert rows(got, "name_key", "aid", "owner") == [("acme", 1, "Ann"), ("bolt", 3, None)]
+
+
+@pytest.fixture(scope="module")
+def applicants(spark):
+    """One name that a third of all records share, on few days; equal times, no times, no places."""
+    rng = random.Random(11)
+    data = []
+    for i in range(240):
+        first, last = ("ann", "lee") if i % 3 == 0 else (rng.choice("abcd"), rng.choice(["x", "y", None]))
+        hours = rng.randrange(60) if i % 3 == 0 else rng.randrange(2400)
+        data.append((i, first, last, f"{rng.randrange(40)}@x", rng.choice(["1", "2", None, str(i)]), None if i % 50 == 7 else hours, rng.choice(["p", "q", "r", "s", "t", "u", None])))
+    df = spark.createDataFrame(data, "id int, first_name string, last_name string, email string, phone string, hours int, place string")
+    return df.withColumn("t", F.timestamp_seconds(F.lit(1704067200) + F.col("hours") * 3600).cast("timestamp_ntz")).cache()
+
+
+def within(recs, r, days):
+    return [o for o in recs if o["t"] is not None and r["t"] is not None and 0 <= (r["t"] - o["t"]).total_seconds() < days * 86400]
+
+
+@pytest.mark.parametrize("size", [25, 10_000])
+def test_recent_matches_equal_the_self_join(applicants, size):
+    recs = applicants.collect()
+    want = {}
+    for r in recs:
+        scores = [sum(M.WEIGHTS[f] for f in M.FIELDS if r[f] is not None and r[f] == o[f]) for o in within(recs, r, 30) if o["id"] != r["id"]]
+        n = sum(s >= 50 for s in scores)
+        if n > 3:
+            want[r["id"]] = (n, max(scores))
+    got = {r["id"]: (r["match_count"], r["highest_score"]) for r in R.recent_matches(applicants, "id", "t", 30, 50, 3, size).collect()}
+    assert got == want and len(want) > 50
+
+
+@pytest.mark.parametrize("size", [25, 10_000])
+def test_recent_places_equal_the_self_join(applicants, size):
+    recs = applicants.collect()
+    by = [("email",), ("first_name", "last_name")]
+    want = {}
+    for r in recs:
+        for fields in by:
+            near = [o for o in within(recs, r, 3) if all(r[f] is not None and r[f] == o[f] for f in fields)]
+            places = {o["place"] for o in near} - {None}
+            if len(places) >= 2:
+                want[r["id"], ", ".join(fields)] = len(places)
+    got = {(r["id"], r["shared"]): r["places"] for r in R.recent_places(applicants, "id", "t", "place", by, 3, 2, size).collect()}
+    assert got == want and len(want) > 50
+
+
+def test_larger_subsets_are_built_only_where_smaller_ones_are_shared(spark):
+    """Records that share only their first names go into no shuffle beyond their four single fields."""
+    df = spark.range(300).select("id", F.concat(F.lit("n"), F.col("id") % 50).alias("first_name"), *[F.concat(F.lit(f), "id").alias(f) for f in ("last_name", "email", "phone")])
+    found = M.shared_keys(df)
+    assert found.count() == 300 and found.select("mask").distinct().count() == 1
+    twins = df.unionByName(df.filter("id < 10").withColumn("id", F.col("id") + 1000))
+    assert M.shared_keys(twins).groupBy("mask").count().count() == 15
+
+
+def test_profile_builds_fewer_than_fifteen_keys_per_identity(applicants):
+    """Keys built on a level are the ones that could be shared; on these records far fewer than all fifteen."""
+    identities = applicants.select(*M.FIELDS).distinct().count()
+    assert M.shared_keys(applicants).count() < 9 * identities
