@@ -394,7 +394,7 @@ WITH {HISTORY} SELECT * FROM (SELECT 'rows_deleted' AS measure, version, ts, ope
 UNION ALL SELECT * FROM (SELECT 'rows_updated', version, ts, operation, rows_updated FROM hist WHERE rows_updated > 0 ORDER BY rows_updated DESC, version LIMIT 10)
 """)
 def m18(i):
-    return K.change_impact(operation_history(i), ["rows_deleted", "rows_updated"], "version", ["ts", "operation"])
+    return K.change_impact(operation_history(i), ["rows_deleted", "rows_updated"], "version", ["ts", "operation"], 10)
 
 
 @query("m18_operation_totals", f"WITH {HISTORY} SELECT operation, count(*) AS operations, CAST(sum(rows_deleted) AS BIGINT) AS total_rows_deleted, CAST(sum(rows_updated) AS BIGINT) AS total_rows_updated FROM hist GROUP BY operation")

@@ -119,7 +119,7 @@ def a9(i):
     k = F.get_json_object("props", "$.k").cast("int")
     level = F.when(F.col("provider") == "north", F.when(k > 66, "Enhanced").when(k > 33, "Basic").otherwise("N/A")).otherwise("N/A")
     return A.recent_detail(
-        i.checked, "inserted_at", "id", ["inserted_at", "parent_name", "entity_name", "status", "provider"], {"verification_level": level}, AS_OF_EVENTS
+        i.checked, "inserted_at", "id", ["inserted_at", "parent_name", "entity_name", "status", "provider"], {"verification_level": level}, AS_OF_EVENTS, 100
     )
 
 

@@ -74,7 +74,7 @@ def f6(i):
         "small_size": F.col("size") <= 10, "cheap": F.col("price") < 1000,
         "early_letter": F.col("name").rlike("^[a-f]"), "short_name": F.length("name") < 9,
     }
-    out = L.suspicion_score(rows, signals, [F.col("id")])
+    out = L.suspicion_score(rows, signals, [F.col("id")], top=100)
     return out.select("id", "name", "status", *signals, "suspicion_score")
 
 

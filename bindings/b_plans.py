@@ -390,4 +390,4 @@ def top_sql(feature, table, column):
 ]))
 def m21(i):
     tables = {"orders": i.orders, "lineitem": i.lineitem, "customer": i.customer, "part": i.part}
-    return U.top_values(tables, U.column_keyword_search(tables, WORDS))
+    return U.top_values(tables, U.column_keyword_search(tables, WORDS), 5)

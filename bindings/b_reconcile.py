@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from bindings.base import query
-from crosswalk.functions.scale import chunked_list
+from crosswalk.functions.scale import chunked_list, member_lists
 from crosswalk.operators import reconcile as R
 from crosswalk.plans import sync
 
@@ -65,6 +65,17 @@ def a1_members(i):
     return chunked_list(i.entity.filter("status = 'ACTIVE'"), ["parent_id"], "id", 100, "ids")
 
 
+@query("a1_text_member_lists", """
+WITH m AS (SELECT DISTINCT CASE WHEN parent_id % 3 = 0 THEN NULL ELSE parent_id END AS parent_id, name AS member FROM entity),
+n AS (SELECT *, row_number() OVER (PARTITION BY parent_id ORDER BY member) - 1 AS place FROM m WHERE member IS NOT NULL)
+SELECT parent_id, CAST(place // 40 AS BIGINT) AS piece, string_agg(member, ';' ORDER BY member) AS ids, CAST(count(*) AS INT) AS ids_count FROM n GROUP BY 1, 2
+""")
+def a1_text_members(i):
+    """A third of all members under one key, which is null; ranges of 200 rows."""
+    rows = i.entity.select(F.when(F.col("parent_id") % 3 != 0, F.col("parent_id")).alias("parent_id"), F.col("name").alias("member"))
+    return member_lists(rows, ["parent_id"], "member", 40, "ids", ";", rows=200)
+
+
 @query("a2_pivot_flags", """
 SELECT entity_id, """ + ", ".join(f"bool_or(code = '{c}' AND state = 'enabled') AS {n}" for c, n in CODES.items()) + """
 FROM feature_log GROUP BY entity_id
@@ -146,7 +157,7 @@ UNION ALL SELECT 'has_key', CASE WHEN sync_key IS NOT NULL AND trim(sync_key) <>
 UNION ALL SELECT * FROM months
 """)
 def j6(i):
-    return R.gap_profile(R.missing_in_target(i.entity, i.target, "id", "source_id"), "status", "inserted_at", "sync_key")
+    return R.gap_profile(R.missing_in_target(i.entity, i.target, "id", "source_id"), "status", "inserted_at", "sync_key", 12)
 
 
 WIDE = """

@@ -44,7 +44,10 @@ SELECT id, sync_key, status, TIMESTAMP '{AS_OF_ORDERS}' AS processed_at, 'pendin
 """)
 def s4(i):
     rows = i.entity.filter("status = 'ACTIVE'").select("id", "sync_key", "status")
-    return sinks.stage_pending(rows, scratch_dir(i.spark, "staging"), AS_OF_ORDERS)
+    path = scratch_dir(i.spark, "staging")
+    for _ in range(2):  # a repeated run leaves the table as it is
+        staged = sinks.stage_pending(rows, path, AS_OF_ORDERS, "run-1")
+    return staged
 
 
 @query("s5_materialise", """
@@ -52,7 +55,10 @@ SELECT l_returnflag, l_linestatus, count(*) AS row_count, CAST(sum(l_linenumber)
 """)
 def s5(i):
     rows = i.lineitem.select("l_returnflag", "l_linestatus", "l_linenumber", "l_shipdate")
-    table = sinks.materialise(rows, scratch_dir(i.spark, "table"), ["l_shipdate"])
+    path = scratch_dir(i.spark, "table")
+    sinks.materialise(rows.limit(10), path, run_id="run-0")
+    for _ in range(2):
+        table = sinks.materialise(rows, path, ["l_shipdate"], "run-1")
     return table.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("l_linenumber").alias("line_total")
     )
@@ -77,8 +83,10 @@ def s6(i):
         F.round(F.lit(100.0) * F.col("records_failed") / F.col("records_processed"), 2).alias("error_rate"), F.lit("job").alias("executed_by"),
     )
     first, second = F.col("sync_type") != "P", F.col("sync_type") == "P"
-    sinks.append_audit(rows.filter(first).withColumn("notes", F.lit("first run")), path)
-    return sinks.append_audit(rows.filter(second).withColumn("notes", F.lit("second run")), path)
+    for _ in range(2):  # both runs are repeated
+        sinks.append_audit(rows.filter(first).withColumn("notes", F.lit("first run")), path, "run-1")
+        log = sinks.append_audit(rows.filter(second).withColumn("notes", F.lit("second run")), path, "run-2")
+    return log
 
 
 @query("s7_batch_numbers", """

@@ -8,7 +8,8 @@
 * ``number_rows``     global row number without a one-partition window.
 * ``running_total``   running weight per group over ordered distinct values, also without one big partition.
 * ``percentiles``     exact interpolated percentiles from ``running_total``.
-* ``chunked_list``    the whole list of ids per key as rows of bounded length.
+* ``chunked_list``    the whole list of integer ids per key as rows of bounded length, by id ranges.
+* ``member_lists``    the whole list of ids of any type per key, in pieces of bounded length, by place.
 """
 
 from __future__ import annotations
@@ -35,6 +36,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
+def highest(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
+    """The first ``n`` rows in ``order``; every task keeps ``n`` rows, so no global sort. None: all rows, as they are."""
+    return df if n is None else df.orderBy(*order).limit(n)
+
+
+def highest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | None) -> DataFrame:
+    """The first ``n`` rows of each key in ``order``; each map partition hands on ``n`` rows a key at most. None: all rows."""
+    if n is None:
+        return df
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= n).drop("_rn")
+
+
 def with_figures(df: DataFrame, figures: DataFrame) -> DataFrame:
     """Adds the columns of a one-row aggregate to every row, as a scalar subquery: no join and no broadcast.
 
@@ -236,3 +250,28 @@ def chunked_list(
         .withColumn(f"{name}_count", F.size("_items"))
         .drop("_items")
     )
+
+
+def member_lists(
+    df: DataFrame, keys: Sequence[str], item: str, width: int = 10_000, name: str = "items", separator: str = ",", rows: int | None = None
+) -> DataFrame:
+    """All distinct ids of each key, of any sortable type, as lists in order: ``piece`` p holds the ids with places
+    p x width to (p + 1) x width - 1 within the key, as text joined by ``separator``, and ``<name>_count`` says how many.
+
+    Distinct (key, id) rows are stored in ranges, so an id's place within its key is its place in the range, less the
+    key's first one there, plus the key's rows in earlier ranges. A key that holds a third of all ids is many ranges and
+    many pieces; no task holds more than a range and no row more than ``width`` ids. Null ids are left out, null keys are a key.
+    """
+    distinct = df.filter(F.col(item).isNotNull()).select(*keys, item).distinct()
+    ranged, _ = stored_ranges(distinct, [*[F.col(k).asc_nulls_first() for k in keys], F.col(item).asc()], rows)
+    in_range = ranged.groupBy("_range", *keys).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = in_range.select(
+        F.col("_range").alias("_r"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
+    )
+    same = [F.col("_range") == F.col("_r"), *[F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]]
+    placed = ranged.join(starts, reduce(lambda a, b: a & b, same))
+    piece = F.floor((F.col("_place") + F.col("_shift")) / F.lit(width)).cast("bigint").alias("piece")
+    lists = placed.groupBy(*keys, piece).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    texts = F.array_join(F.transform("_items", lambda x: x.cast("string")), separator)
+    return lists.select(*keys, "piece", texts.alias(name), F.size("_items").alias(f"{name}_count"))

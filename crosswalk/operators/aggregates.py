@@ -22,7 +22,7 @@ from crosswalk.functions.columns import (
     percent,
     week_text,
 )
-from crosswalk.functions.scale import group_stats, percentiles, with_figures
+from crosswalk.functions.scale import group_stats, highest, percentiles, with_figures
 from crosswalk.operators.windows import percent_of_total
 
 
@@ -105,10 +105,10 @@ def distribution_pct(df: DataFrame, column: str | Column, name: str, top: int |
     return out if top is None else out.orderBy(F.desc("row_count"), F.asc(name)).limit(top)
 
 
-def recent_detail(df: DataFrame, ts: str, tie: str, columns: Sequence[str], extra: Mapping[str, Column], as_of: str, n: int = 100) -> DataFrame:
-    """The newest rows with derived columns and their age in days."""
+def recent_detail(df: DataFrame, ts: str, tie: str, columns: Sequence[str], extra: Mapping[str, Column], as_of: str, n: int | None = None) -> DataFrame:
+    """Rows, all or the ``n`` newest, with derived columns and their age in days."""
     age = F.datediff(moment(as_of).cast("date"), F.col(ts).cast("date")).alias("days_ago")
-    return df.orderBy(F.col(ts).desc(), F.col(tie)).limit(n).select(*columns, *[c.alias(k) for k, c in extra.items()], age)
+    return highest(df, [F.col(ts).desc(), F.col(tie)], n).select(*columns, *[c.alias(k) for k, c in extra.items()], age)
 
 
 def filter_list(df: DataFrame, columns: Mapping[str, str], order: Sequence[str]) -> DataFrame:
@@ -243,8 +243,8 @@ def open_hours_by(df: DataFrame, category: str, opened: str, as_of: str) -> Data
     return df.groupBy(category).agg(F.count(F.lit(1)).alias("open_rows"), F.round(total / F.count(F.lit(1)) / 3_600_000_000, 4).alias("avg_hours_open"))
 
 
-def case_rate(base: DataFrame, cases: DataFrame, base_key: str, group: str, case_key: str, more_than: int = 10, top: int = 20) -> DataFrame:
-    """Cases per base row and group; groups with more than ``more_than`` base rows, the highest rates.
+def case_rate(base: DataFrame, cases: DataFrame, base_key: str, group: str, case_key: str, more_than: int = 10, top: int | None = None) -> DataFrame:
+    """Cases per base row and group; groups with more than ``more_than`` base rows, all or those of the highest rates.
 
     Cases are counted per base row before the join, so a base row with many cases is still one row.
     """
@@ -252,7 +252,7 @@ def case_rate(base: DataFrame, cases: DataFrame, base_key: str, group: str, case
     rows = base.join(per, F.col(base_key) == F.col("_k"), "left")
     out = rows.groupBy(group).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("case_count"), F.count(F.lit(1)).alias("base_count"))
     out = out.filter(F.col("base_count") > more_than).withColumn("case_rate", percent(F.col("case_count"), F.col("base_count")))
-    return out.orderBy(F.desc("case_rate"), F.asc(group)).limit(top)
+    return highest(out, [F.desc("case_rate"), F.asc(group)], top)
 
 
 def category_share(categories: DataFrame, rows: DataFrame, category: str, row_category: str) -> DataFrame:
@@ -317,11 +317,11 @@ def service_health(services: Mapping[str, tuple[DataFrame, str, Column, Column |
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def json_key_stats(df: DataFrame, json: str, path: str, score: str, top: int = 20) -> DataFrame:
-    """Rows and mean score per value of a JSON field, highest mean first. Rows without the field are left out."""
+def json_key_stats(df: DataFrame, json: str, path: str, score: str, top: int | None = None) -> DataFrame:
+    """Rows and mean score per value of a JSON field, all or those of the highest mean. Rows without the field are left out."""
     rows = df.select(F.get_json_object(json, path).alias("json_value"), score).filter("json_value IS NOT NULL")
     out = rows.groupBy("json_value").agg(F.count(F.lit(1)).alias("row_count"), mean(F.col(score)).alias("avg_score"))
-    return out.orderBy(F.desc("avg_score"), F.asc("json_value")).limit(top)
+    return highest(out, [F.desc("avg_score"), F.asc("json_value")], top)
 
 
 def error_rollup(df: DataFrame, key: str, kind: str, more_than: int = 1) -> DataFrame:
@@ -377,10 +377,10 @@ def ab_compare(df: DataFrame, key: str, flagged: DataFrame, start: str, end: str
     )
 
 
-def table_inventory(df: DataFrame, group: str, rows: str, size: str, name: str, top: int = 100) -> DataFrame:
-    """Tables ranked by size with their share of the total."""
+def table_inventory(df: DataFrame, group: str, rows: str, size: str, name: str, top: int | None = None) -> DataFrame:
+    """Tables, all or the largest, with their share of the total size."""
     total = df.agg(F.sum(size).alias("_total"))
-    out = df.orderBy(F.desc(size), F.desc(rows), F.asc(name)).limit(top)
+    out = highest(df, [F.desc(size), F.desc(rows), F.asc(name)], top)
     return with_figures(out, total).withColumn("size_pct", percent(F.col(size), F.col("_total"))).drop("_total")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import all_of, any_of, count_if, first_match, norm_value, percent
-from crosswalk.functions.scale import with_figures
+from crosswalk.functions.scale import highest, highest_per_key, with_figures
 
 
 def expect(df: DataFrame, drop: Mapping[str, Column]) -> DataFrame:
@@ -121,9 +121,10 @@ def schema_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return left.join(right, "column_name", "full_outer").withColumn("status", status)
 
 
-def sample_lookup(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str], n: int = 10) -> DataFrame:
-    """M8: the first n keys of a with their values on both sides, as a spot check a person can read."""
-    picked = a.select(key, *[F.col(c).alias(f"a_{c}") for c in columns]).orderBy(key).limit(n)
+def sample_lookup(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str], n: int | None = None) -> DataFrame:
+    """M8: keys of a with their values on both sides; with ``n`` the first ones, as a spot check a person can read."""
+    picked = a.select(key, *[F.col(c).alias(f"a_{c}") for c in columns])
+    picked = highest(picked, [F.col(key)], n)
     other = b.select(key, F.lit(True).alias("in_b"), *[F.col(c).alias(f"b_{c}") for c in columns])
     return picked.join(other, key, "left").fillna(False, ["in_b"])
 
@@ -299,13 +300,14 @@ def key_profile(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def change_impact(history: DataFrame, measures: Sequence[str], version: str, columns: Sequence[str], top: int = 10) -> DataFrame:
-    """The largest operations by each measure (rows deleted, rows updated, bytes removed ...)."""
-    parts = []
-    for m in measures:
-        largest = history.filter(F.col(m) > 0).orderBy(F.desc(m), F.asc(version)).limit(top)
-        parts.append(largest.select(F.lit(m).alias("measure"), version, *columns, F.col(m).cast("bigint").alias("amount")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def change_impact(history: DataFrame, measures: Sequence[str], version: str, columns: Sequence[str], top: int | None = None) -> DataFrame:
+    """Operations by each measure (rows deleted, rows updated, bytes removed ...), all or the largest of each.
+
+    The history is read once, however many measures there are.
+    """
+    each = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("bigint").alias("amount")) for m in measures])
+    rows = history.select(version, *columns, F.inline(each)).filter("amount > 0")
+    return highest_per_key(rows, ["measure"], [F.desc("amount"), F.asc(version)], top).select("measure", version, *columns, "amount")
 
 
 def operation_totals(history: DataFrame, operation: str, measures: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import any_of, count_if, first_match, flag_total, keyword_match, moment
+from crosswalk.functions.scale import highest
 
 KeywordRule = tuple[str, str, str]  # (kind, pattern, label); kinds as in keyword_match
 
@@ -79,11 +80,11 @@ def keyword_counts(df: DataFrame, column: str, rules: Sequence[KeywordRule], by:
     )
 
 
-def suspicion_score(df: DataFrame, signals: Mapping[str, Column], order: Sequence[Column], at_least: int = 2, top: int = 100) -> DataFrame:
-    """sum of 0/1 signals; rows scoring ``at_least``, the ``top`` highest."""
+def suspicion_score(df: DataFrame, signals: Mapping[str, Column], order: Sequence[Column], at_least: int = 2, top: int | None = None) -> DataFrame:
+    """sum of 0/1 signals; rows scoring ``at_least``, all of them or the ``top`` highest."""
     marked = df.select("*", *[F.coalesce(c.cast("int"), F.lit(0)).alias(n) for n, c in signals.items()])
     scored = marked.withColumn("suspicion_score", flag_total(list(signals)))
-    return scored.filter(F.col("suspicion_score") >= at_least).orderBy(F.col("suspicion_score").desc(), *order).limit(top)
+    return highest(scored.filter(F.col("suspicion_score") >= at_least), [F.col("suspicion_score").desc(), *order], top)
 
 
 def parent_keyword_rollup(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import any_of, count_if, first_match, flag_total
-from crosswalk.functions.scale import group_stats, latest_per_key, with_figures
+from crosswalk.functions.scale import group_stats, highest, latest_per_key, with_figures
 
 
 @dataclass
@@ -78,24 +78,23 @@ def aggregate_many_to_one(
     """A1: one row per key. ``flags`` maps each flag to its enabled-at column.
 
     Counts, any-flag, earliest flag time, number of flags, multi marker, newest update, and the metadata of the
-    newest row (ties: largest id), all in one partial aggregation. Distinct ids are counted apart, over (key, id)
-    alone: inside the same aggregation they would send every row's metadata through the shuffle. The ids of a key
-    are not collected here, since one key may own a third of all rows: ``functions.scale.chunked_list`` lists them
+    newest row (ties: largest id). Rows are first reduced to one per (key, id), which counts the distinct ids on the way, then to
+    one per key; the newest row comes from ``latest_per_key``, so metadata of all other rows stays where it is. The ids of a key
+    are not collected here, since one key may own a third of all rows: ``functions.scale.member_lists`` lists them
     in bounded pieces.
     """
-    newest = F.struct(F.col(updated), F.col(id_col))
-    aggs = [
-        F.count(F.lit(1)).alias("active_count"),
-        F.max(updated).alias("last_updated_at"),
-        F.max_by(F.struct(id_col, *metadata), newest).alias("_meta"),
-    ]
-    aggs += [F.coalesce(F.max(F.col(f)), F.lit(False)).alias(f) for f in flags]
-    aggs += [F.min(at).alias(f"{f}_at") for f, at in flags.items() if at]
-    ids = df.select(key, id_col).distinct().groupBy(F.col(key).alias("_k")).agg(F.count(id_col).alias("unique_count"))
-    out = df.groupBy(key).agg(*aggs).join(ids, F.col(key).eqNullSafe(F.col("_k")))
+    stamps = {f"{f}_at": at for f, at in flags.items() if at}
+    per_id = df.groupBy(key, id_col).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(updated).alias("_updated"), *[F.max(f).alias(f) for f in flags], *[F.min(at).alias(n) for n, at in stamps.items()]
+    )
+    out = per_id.groupBy(F.col(key).alias("_k")).agg(
+        F.sum("_n").alias("active_count"), F.count(id_col).alias("unique_count"), F.max("_updated").alias("last_updated_at"),
+        *[F.coalesce(F.max(f), F.lit(False)).alias(f) for f in flags], *[F.min(n).alias(n) for n in stamps],
+    )
+    newest = latest_per_key(df.select(key, id_col, updated, *metadata), [key], [F.col(updated).desc_nulls_last(), F.col(id_col).desc_nulls_last()])
     total = flag_total(list(flags))
-    return out.select(
-        key, "_meta.*", *flags, *[f"{f}_at" for f, at in flags.items() if at], "last_updated_at", "active_count", "unique_count",
+    return newest.select(key, id_col, *metadata).join(out, F.col(key).eqNullSafe(F.col("_k"))).select(
+        key, id_col, *metadata, *flags, *stamps, "last_updated_at", "active_count", "unique_count",
         total.alias("total_flag_count"), (F.col("active_count") > 1).alias("is_multi"), (total > 0).alias("has_any_flag"),
     )
 
@@ -127,8 +126,8 @@ def has_text(column: str) -> Column:
     return F.col(column).isNotNull() & (F.trim(column) != "")
 
 
-def gap_profile(gap: DataFrame, status: str, created: str, key: str, months: int = 12) -> DataFrame:
-    """The gap by status, by creation month (latest ones) and by whether a key is stored, as one long table."""
+def gap_profile(gap: DataFrame, status: str, created: str, key: str, months: int | None = None) -> DataFrame:
+    """The gap by status, by creation month (all or the latest ones) and by whether a key is stored, as one long table."""
     base = gap.groupBy(
         F.col(status).alias("_status"), F.date_format(created, "yyyy-MM").alias("_month"), has_text(key).cast("string").alias("_key")
     ).agg(F.count(F.lit(1)).alias("_n"))
@@ -137,7 +136,7 @@ def gap_profile(gap: DataFrame, status: str, created: str, key: str, months: int
           (("status", "_status"), ("month", "_month"), ("has_key", "_key"))]
     )
     counts = base.select(F.inline(parts), "_n").groupBy("profile", "bucket").agg(F.sum("_n").alias("row_count"))
-    latest = counts.filter("profile = 'month' AND bucket IS NOT NULL").orderBy(F.desc("bucket")).limit(months)
+    latest = highest(counts.filter("profile = 'month' AND bucket IS NOT NULL"), [F.desc("bucket")], months)
     return counts.filter("profile <> 'month'").unionByName(latest)
 
 

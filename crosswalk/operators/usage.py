@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import count_if, moment, percent
+from crosswalk.functions.scale import highest_per_key
 
 
 def references(df: DataFrame, text: str, pattern: str, name: str = "name", group: int = 1) -> DataFrame:
@@ -44,11 +45,14 @@ def column_keyword_search(tables: Mapping[str, DataFrame], keywords: Mapping[str
     ]
 
 
-def top_values(tables: Mapping[str, DataFrame], found: Sequence[tuple[str, str, str]], n: int = 5) -> DataFrame:
-    """The most frequent values of each found column."""
+def top_values(tables: Mapping[str, DataFrame], found: Sequence[tuple[str, str, str]], n: int | None = None) -> DataFrame:
+    """The values of each found column with their rows, all or the most frequent ones. A table is read once, however many
+    of its columns were found."""
     parts = []
-    for feature, table, column in found:
-        counts = tables[table].groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
-        top = counts.orderBy(F.desc("row_count"), F.asc("value")).limit(n)
-        parts.append(top.select(F.lit(feature).alias("feature"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "value", "row_count"))
+    for table in dict.fromkeys(t for _, t, _ in found):
+        columns = [(feature, column) for feature, t, column in found if t == table]
+        each = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for f, c in columns])
+        counts = tables[table].select(F.inline(each)).groupBy("feature", "column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
+        top = highest_per_key(counts, ["feature", "column_name"], [F.desc("row_count"), F.asc("value")], n)
+        parts.append(top.select("feature", F.lit(table).alias("table_name"), "column_name", "value", "row_count"))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -1,7 +1,8 @@
 """Staged, appended, batched, backed-up and archived tables.
 
-Snapshots are written to a new folder and read back, never overwritten in place: a lost executor or a failed job
-leaves the earlier snapshot whole.
+Tables are never overwritten in place: a run writes a folder of its own, and the table's pointer then names it (see
+``sources.runs``). A lost executor or a failed job leaves the earlier table whole, and a run that is repeated under its id adds
+nothing. Read such tables with ``runs.read_runs``.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from crosswalk.functions.columns import moment
 from crosswalk.functions.scale import number_rows
+from crosswalk.sources.runs import write_run
 
 AUDIT_SCHEMA = StructType(
     [
@@ -31,29 +33,27 @@ AUDIT_SCHEMA = StructType(
 )
 
 
-def materialise(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Write a table and read it back; ``cluster_by`` range-sorts it so that later scans can skip files.
+def materialise(df: DataFrame, path: str, cluster_by: Sequence[str] = (), run_id: str | None = None) -> DataFrame:
+    """Put ``df`` in place of the table and read it back; ``cluster_by`` range-sorts it so that later scans can skip files.
 
     A row hash ends the range key, so a value held by very many rows is spread over several files.
     """
     out = df
     if cluster_by:
         out = df.repartitionByRange(*cluster_by, F.xxhash64(*df.columns)).sortWithinPartitions(*cluster_by)
-    out.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_run(out, path, run_id, replace=True)
 
 
-def stage_pending(df: DataFrame, path: str, as_of: str) -> DataFrame:
-    """Overwrite the staging table with rows stamped with the processing time and status ``pending``."""
+def stage_pending(df: DataFrame, path: str, as_of: str, run_id: str | None = None) -> DataFrame:
+    """Replace the staging table by rows stamped with the processing time and status ``pending``."""
     staged = df.withColumn("processed_at", moment(as_of)).withColumn("sync_status", F.lit("pending"))
-    return materialise(staged, path)
+    return materialise(staged, path, run_id=run_id)
 
 
-def append_audit(rows: DataFrame, path: str) -> DataFrame:
-    """Append typed audit rows to the log and return the whole log."""
+def append_audit(rows: DataFrame, path: str, run_id: str | None = None) -> DataFrame:
+    """Append typed audit rows to the log and return the whole log; a repeated run id appends nothing."""
     typed = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA])
-    typed.write.mode("append").parquet(path)
-    return rows.sparkSession.read.schema(AUDIT_SCHEMA).parquet(path)
+    return write_run(typed, path, run_id).select(*AUDIT_SCHEMA.names)
 
 
 def number_batches(df: DataFrame, order_by: str, size: int = 50, tie: str | None = None, rows: int | None = None) -> DataFrame:
@@ -116,10 +116,13 @@ def payload_projection(
 
 
 def backup_then_clear(
-    df: DataFrame, predicate: Column, key: str, columns: Sequence[str], backup_path: str
+    df: DataFrame, predicate: Column, key: str, columns: Sequence[str], backup_path: str, run_id: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Snapshot the selected rows, then return (rows with their key set to NULL, the snapshot)."""
-    backup = materialise(df.filter(predicate).select(*columns), backup_path)
+    """Snapshot the selected rows, then return (rows with their key set to NULL, the snapshot).
+
+    Repeated under its run id, when the keys may already be cleared, it keeps the first snapshot.
+    """
+    backup = materialise(df.filter(predicate).select(*columns), backup_path, run_id=run_id)
     hit = F.coalesce(predicate, F.lit(False))
     return df.withColumn(key, F.when(~hit, F.col(key))), backup
 
