@@ -57,15 +57,8 @@ def r3_stream(i):
     base = scratch_dir(i.spark, "live")
     i.events.repartition(3).write.parquet(f"{base}/in")
     stream = i.spark.readStream.schema(i.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    counts = S.live_status_counts(stream, "ts", "event_type", "40 days")
-
-    def write(batch, number):
-        batch.write.mode("overwrite").parquet(f"{base}/counts/batch={number}")
-
-    query_ = counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
-    query_.awaitTermination()
-    last = S.finished_folders(i.spark, f"{base}/counts")["batch"][-1]
-    return i.spark.read.schema(counts.schema).parquet(f"{base}/counts/batch={last}")
+    S.stream_live_counts(stream, "ts", "event_type", f"{base}/counts", f"{base}/checkpoint", "40 days", 2).awaitTermination()
+    return S.read_live_counts(i.spark, f"{base}/counts", "event_type")
 
 
 @query("r3_day_totals", """

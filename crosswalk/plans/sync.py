@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from crosswalk.operators import reconcile as R
 from crosswalk.operators.filters import valid_records
-from crosswalk.session import scratch_dir
+from crosswalk.session import cut
 from crosswalk.sources.sinks import materialise
 
 
@@ -69,14 +69,17 @@ class SyncTables:
 
 
 def run(
-    entities: DataFrame, features: DataFrame, parents: DataFrame, target: DataFrame, spec: SyncSpec, order: Sequence[Column], out_dir: str | None = None
+    entities: DataFrame, features: DataFrame, parents: DataFrame, target: DataFrame, spec: SyncSpec, order: Sequence[Column], out_dir: str | None = None,
+    run_id: str | None = None,
 ) -> SyncTables:
-    """All levels of the sync, materialised under ``out_dir`` (default: a fresh folder in the shared scratch space)."""
-    base = out_dir or scratch_dir(entities.sparkSession, "sync")
-    rows = materialise(enriched(entities, features, parents, spec, order), f"{base}/enriched")
-    agg = materialise(aggregated(rows, spec), f"{base}/aggregated")
-    creates = materialise(to_create(agg, target, spec), f"{base}/creates")
-    return SyncTables(rows, agg, creates, materialise(to_update(agg, target, spec), f"{base}/updates"))
+    """All levels of the sync, each written once: as tables under ``out_dir``, which a repeated ``run_id`` leaves as they are,
+    or in fresh folders of the shared scratch space."""
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return materialise(df, f"{out_dir}/{name}", run_id=run_id) if out_dir else cut(df, name)
+
+    rows = written(enriched(entities, features, parents, spec, order), "enriched")
+    agg = written(aggregated(rows, spec), "aggregated")
+    return SyncTables(rows, agg, written(to_create(agg, target, spec), "creates"), written(to_update(agg, target, spec), "updates"))
 
 
 def to_fix(agg: DataFrame, target: DataFrame, spec: SyncSpec, pairs: Mapping[str, str]) -> DataFrame:

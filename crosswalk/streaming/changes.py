@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from crosswalk.functions.columns import count_if, percent
 from crosswalk.functions.scale import latest_per_key
+from crosswalk.sources.runs import read_pointer, remove_folders, write_pointer
 
 CHANGE_COLUMNS = ("_change_type", "_commit_version", "_change_timestamp")  # fixed values: names in a change feed
 
@@ -43,6 +44,8 @@ def run_all(queries: Mapping[str, StreamingQuery]) -> None:
         q.awaitTermination()
 
 
+BATCH = "_batch"  # the number of the batch that a count comes from
+
 # Fixed value: how a change feed marks a row as it was before an update.
 PRE_IMAGE = "update_preimage"
 
@@ -83,20 +86,45 @@ def stream_snapshot(
 ) -> StreamingQuery:
     """R2: keeps the newest change per key of a stream under ``base``; ``read_snapshot`` gives the live rows.
 
-    Each micro-batch writes its own newest changes to ``delta=<n>``, so its cost follows the batch, not the table.
-    Every ``merge_every`` batches the last ``merged=<m>`` and the deltas after it become a new ``merged=<n>``. Folders
-    are only ever added and a repeated batch rewrites its own, so a failure in between changes nothing.
+    Each micro-batch is one ``add_batch``. ``base`` and ``checkpoint`` belong together: start both anew or neither.
     """
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        newest_changes(batch, keys, sequence).select(*batch.columns).write.mode("overwrite").parquet(f"{base}/delta={number}")
-        if (number + 1) % merge_every == 0:
-            rows = _snapshot_rows(spark, base, batch.schema, number)
-            newest_changes(rows, keys, sequence).select(*batch.columns).write.mode("overwrite").parquet(f"{base}/merged={number}")
+        add_batch(batch, number, keys, sequence, base, merge_every)
 
     return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def add_batch(batch: DataFrame, number: int, keys: Sequence[str], sequence: Sequence[str], base: str, merge_every: int = 10) -> None:
+    """Adds the newest changes of batch ``number`` (batches are numbered without gaps) to the generation under ``base``.
+
+    A generation is ``merged=<m>`` and the ``delta=<n>`` after it; a pointer (see ``sources.runs``) names it. The batch's own newest changes
+    become a delta, so its cost follows the batch, not the table. Every ``merge_every`` batches a new generation begins, with
+    everything merged. Folders count once the pointer names them; a batch that the pointer already holds is not written again. The
+    generation before the last one stays for readers that have begun; older folders go. So a batch reads the pointer, writes
+    one or two folders, and touches no others, however old the table is.
+    """
+    spark = batch.sparkSession
+    state = read_pointer(spark, base) or {"number": 0, "merged": None, "first": number, "last": number - 1, "before": []}
+    if number <= state["last"]:
+        return
+    newest_changes(batch, keys, sequence).select(*batch.columns).write.mode("overwrite").parquet(f"{base}/delta={number}")
+    state |= {"number": state["number"] + 1, "last": number}
+    if (number + 1) % merge_every:
+        write_pointer(spark, base, state)
+        return
+    rows = spark.read.schema(batch.schema).parquet(*generation(base, state))
+    newest_changes(rows, keys, sequence).select(*batch.columns).write.mode("overwrite").parquet(f"{base}/merged={number}")
+    gone, state["before"] = state["before"], generation("", state)
+    write_pointer(spark, base, state | {"merged": number, "first": number + 1})
+    remove_folders(spark, [f"{base}{f}" for f in gone])
+
+
+def generation(base: str, state: Mapping) -> list[str]:
+    """The folders that a pointer names."""
+    merged = [f"{base}/merged={state['merged']}"] if state["merged"] is not None else []
+    return merged + [f"{base}/delta={n}" for n in range(state["first"], state["last"] + 1)]
+
+
 def finished_folders(spark: SparkSession, base: str) -> dict[str, list[int]]:
     """Numbers of the completely written ``<kind>=<n>`` folders under ``base``, by kind.
 
@@ -115,13 +143,16 @@ def finished_folders(spark: SparkSession, base: str) -> dict[str, list[int]]:
     return {k: sorted(v) for k, v in found.items()}
 
 
-def _snapshot_rows(spark: SparkSession, base: str, schema: StructType, upto: int | None = None) -> DataFrame:
-    """Rows of the last merged table and of the deltas after it."""
+def _snapshot_rows(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
+    """Rows of the last merged table and of the deltas after it. Folders without a pointer are taken if they are finished."""
+    state = read_pointer(spark, base)
+    if state:
+        return spark.read.schema(schema).parquet(*generation(base, state))
     found = finished_folders(spark, base)
-    merged = [n for n in found.get("merged", []) if upto is None or n < upto]
+    merged = found.get("merged", [])
     after = merged[-1] if merged else -1
     paths = [f"{base}/merged={after}"] if merged else []
-    paths += [f"{base}/delta={n}" for n in found.get("delta", []) if n > after and (upto is None or n <= upto)]
+    paths += [f"{base}/delta={n}" for n in found.get("delta", []) if n > after]
     return spark.read.schema(schema).parquet(*paths)
 
 
@@ -141,6 +172,32 @@ def live_status_counts(df: DataFrame, ts: str, kind: str, watermark: str | None
     return counts.select(F.col("window.start").cast("date").cast("string").alias("day"), kind, "row_count")
 
 
+def stream_live_counts(
+    events: DataFrame, ts: str, kind: str, base: str, checkpoint: str, watermark: str = "7 days", merge_every: int = 10
+) -> StreamingQuery:
+    """Keeps the counts per day and kind of a stream under ``base``; ``read_live_counts`` gives them.
+
+    The stream holds the counts of days that the watermark has not passed, gives out those that a batch has changed, and
+    drops a day's state once the watermark passes its end; so state and output of a batch follow what is open, not all
+    that ever was. Each batch's counts are merged by day and kind, the later batch first (see ``add_batch``); a repeated batch changes
+    nothing. A row that is later than the watermark is no longer counted here; ``live_status_counts`` over the stored
+    events counts it.
+    """
+    counts = live_status_counts(events, ts, kind, watermark)
+
+    def write(batch: DataFrame, number: int) -> None:
+        add_batch(batch.withColumn(BATCH, F.lit(number).cast("bigint")), number, ["day", kind], [BATCH], base, merge_every)
+
+    writer = counts.writeStream.outputMode("update").foreachBatch(write)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_live_counts(spark: SparkSession, base: str, kind: str) -> DataFrame:
+    """Rows per day and kind as of the last finished batch."""
+    schema = StructType.fromDDL(f"day string, {kind} string, row_count bigint, {BATCH} bigint")
+    return newest_changes(_snapshot_rows(spark, base, schema), ["day", kind], [BATCH]).select("day", kind, "row_count")
+
+
 def day_totals(counts: DataFrame, kind: str, created: str, updated: str) -> DataFrame:
     """Created, updated and total per day out of the status counts."""
     n = F.col("row_count")

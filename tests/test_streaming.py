@@ -142,3 +142,73 @@ def test_both_images_and_equal_versions(spark, rows):
     ]
     found = [rows(S.apply_changes(spark.createDataFrame(data, schema).repartition(n), ["id"], ["version"]), "id", "v") for data, n in ((feed, 1), (feed[::-1], 3))]
     assert found[0] == found[1] and found[0][:2] == [(1, 11), (3, 31)] and [r[0] for r in found[0]] == [1, 3, 4]
+
+
+@pytest.fixture
+def few_partitions(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_fifty_batches_touch_as_many_folders_as_ten(spark, tmp_path, few_partitions, monkeypatch):
+    """What a batch asks of storage does not grow with the age of the snapshot, nor does what lies there."""
+    base, listed, read, removed = f"{tmp_path}/snap", [], [], []
+    real = S.generation
+    monkeypatch.setattr(S, "generation", lambda b, state: read.append(len(real(b, state))) or real(b, state))
+    monkeypatch.setattr(S, "finished_folders", lambda *a: pytest.fail("lists the folder"))
+    remove = S.remove_folders
+    monkeypatch.setattr(S, "remove_folders", lambda spark, paths: removed.append(len(list(paths))) or remove(spark, paths))
+    want = {}
+    for n in range(50):
+        rows = [(n % 7, f"v{n}", "delete" if n % 5 == 0 else "update", n), (100 + n, "x", "insert", n), (3, "late", "update", n - 40)]
+        for i, v, kind, version in rows:
+            if version >= want.get(i, (-1000,))[0]:
+                want[i] = (version, v, kind)
+        batch = feed(spark, *rows)
+        S.add_batch(batch, n, ["id"], ["_commit_version"], base, 5)
+        if n % 9 == 0:
+            S.add_batch(feed(spark, (1, "twice", "update", 10**6)), n, ["id"], ["_commit_version"], base, 5)  # the same number again
+        listed.append(len(os.listdir(base)))
+    assert max(listed[10:20]) == max(listed[40:]) <= 16 and max(read) <= 6 and max(removed) <= 6
+    assert live(spark, base) == sorted((i, v) for i, (_, v, kind) in want.items() if kind != "delete")
+
+
+def test_a_batch_that_fails_before_the_pointer_is_written_again(spark, tmp_path, monkeypatch):
+    base = f"{tmp_path}/snap"
+    S.add_batch(feed(spark, (1, "a", "insert", 1)), 0, ["id"], ["_commit_version"], base, 2)
+    real = S.write_pointer
+    monkeypatch.setattr(S, "write_pointer", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        S.add_batch(feed(spark, (1, "half", "update", 2)), 1, ["id"], ["_commit_version"], base, 2)
+    assert live(spark, base) == [(1, "a")]
+    monkeypatch.setattr(S, "write_pointer", real)
+    S.add_batch(feed(spark, (1, "b", "update", 2)), 1, ["id"], ["_commit_version"], base, 2)
+    assert live(spark, base) == [(1, "b")]
+
+
+def test_live_counts_over_fifty_batches_drop_old_state(spark, tmp_path, few_partitions):
+    """A day a batch, with a late row that the watermark still admits: totals are right and state stays small."""
+    src, base, mark = f"{tmp_path}/in", f"{tmp_path}/counts", f"{tmp_path}/mark"
+    schema, want, kept = "at timestamp, kind string", {}, []
+
+    def stamp(day, hour=12):
+        return F.timestamp_seconds(F.lit(1704067200 + day * 86400 + hour * 3600)).alias("at")
+
+    for start in range(0, 50, 10):
+        for day in range(start, start + 10):
+            parts = [spark.range(3).select(stamp(day), F.lit("new").alias("kind")), spark.range(2).select(stamp(day, 3), F.lit("old").alias("kind"))]
+            if day % 10 == 5:
+                parts.append(spark.range(1).select(stamp(day - 2), F.lit("new").alias("kind")))
+            for p in parts:
+                for r in p.selectExpr("cast(cast(at as date) as string) AS day", "kind").collect():
+                    want[r["day"], r["kind"]] = want.get((r["day"], r["kind"]), 0) + 1
+            whole = parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0].unionByName(parts[1]).unionByName(parts[2])
+            whole.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        query = S.stream_live_counts(stream, "at", "kind", base, mark, "4 days", 5)
+        query.awaitTermination()
+        kept += [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    got = {(r["day"], r["kind"]): r["row_count"] for r in S.read_live_counts(spark, base, "kind").collect()}
+    assert got == want and len(want) == 100
+    assert max(kept) <= 14 and kept[-1] <= 12
