@@ -53,16 +53,20 @@ def timed_target(i):
 WITH {QUEUES}, tt AS (SELECT t.*, e.inserted_at AS created_at FROM target t JOIN entity e ON e.id = t.source_id WHERE NOT t.is_deleted),
 c AS (SELECT 'create' AS queue, (SELECT count(*) FROM cq) AS queue_size, max(created_at) AS last_sync_at, count(*) AS records_today FROM tt WHERE created_at >= TIMESTAMP '{DAY}' AND created_at < TIMESTAMP '{DAY}' + INTERVAL 1 DAY),
 u AS (SELECT 'update' AS queue, (SELECT count(*) FROM uq) AS queue_size, max(last_modified) AS last_sync_at, count(*) AS records_today FROM tt WHERE last_modified >= TIMESTAMP '{DAY}' AND last_modified < TIMESTAMP '{DAY}' + INTERVAL 1 DAY AND created_at < TIMESTAMP '{DAY}'),
-q AS (SELECT *, 100 AS hi, 50 AS lo FROM c UNION ALL SELECT *, 1000, 500 FROM u),
-bands(least_size, label) AS (VALUES (0, 'Queue empty - all synced'), (1, 'Queue draining normally'), (50, 'Moderate queue - monitor'), (101, 'High queue - may need attention'), (501, 'Very high queue - investigate'))
-SELECT queue, queue_size, last_sync_at, records_today, CASE WHEN queue_size > hi THEN 'High ' || upper(queue) || ' backlog' WHEN last_sync_at IS NULL THEN 'No syncs today' WHEN records_today = 0 THEN 'No records synced today'
-  WHEN queue_size >= lo THEN 'Moderate ' || upper(queue) || ' backlog' WHEN (epoch_us(TIMESTAMP '2001-07-30 12:00:00') - epoch_us(last_sync_at)) // 3600000000 > 2 THEN 'No sync in 2+ hours' ELSE 'Healthy' END AS status,
-  (SELECT arg_max(label, least_size) FROM bands WHERE least_size <= queue_size) AS assessment FROM q
+q AS (SELECT *, 300 AS too_many, 40 AS many FROM c UNION ALL SELECT *, 900, 200 FROM u)
+SELECT queue, queue_size, last_sync_at, records_today,
+  CASE WHEN queue_size > too_many THEN queue || ' overflows' WHEN records_today = 0 THEN 'nothing today' WHEN queue_size >= many THEN queue || ' fills up'
+    WHEN (epoch_us(TIMESTAMP '2001-07-30 12:00:00') - epoch_us(last_sync_at)) // 3600000000 > 5 THEN 'waiting for a run' ELSE 'as usual' END AS status,
+  CASE WHEN queue_size >= 250 THEN 'pile' WHEN queue_size >= 60 THEN 'stack' WHEN queue_size >= 1 THEN 'few' ELSE 'none' END AS assessment FROM q
 """)
 def m4(i):
     _, _, creates, updates = stack(i)
     activity = P.sync_activity(timed_target(i), "created_at", "last_modified", "is_deleted", DAY)
-    return P.queue_health({"create": creates, "update": updates}, activity, "2001-07-30 12:00:00", 12)
+    rules = P.QueueRules(
+        limits={"create": (300, 40), "update": (900, 200)}, stale_hours=5, full="{queue} overflows", filling="{queue} fills up", silent="nothing today", idle="nothing today",
+        stale="waiting for a run", fine="as usual", sizes=[(0, "none"), (1, "few"), (60, "stack"), (250, "pile")],
+    )
+    return P.queue_health({"create": creates, "update": updates}, activity, "2001-07-30 12:00:00", 12, rules)
 
 
 SNAP = HEALTH + f""",

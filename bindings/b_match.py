@@ -24,8 +24,9 @@ pairs AS (SELECT * FROM direct UNION ALL SELECT * FROM address)
 LABELS = KEYS + """,
 counted AS (SELECT *, CASE WHEN tgt_addr IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY tgt_addr) END AS tc, CASE WHEN src_addr IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY src_addr) END AS sc,
   CASE WHEN tgt_addr IS NULL THEN 0 ELSE count(override_id) OVER (PARTITION BY tgt_addr) END AS orr FROM pairs),
-dupes AS (SELECT *, CASE WHEN orr > 0 AND override_id IS NULL THEN 1 ELSE 0 END AS extra, if(greatest(tc, sc) = 1, 'No Dupe',
-  if(orr > 0, 'Overridden ', '') || ['Target', 'Source', 'Both'][(tc > 1)::INT + 2 * (sc > 1)::INT] || ' Dupe') AS dupe_status FROM counted),
+sides AS (SELECT *, tc > 1 AS on_target, sc > 1 AS on_source, orr > 0 AS overridden FROM counted),
+dupes AS (SELECT *, CASE WHEN overridden AND override_id IS NULL THEN 1 ELSE 0 END AS extra,
+  CASE WHEN on_target OR on_source THEN CASE WHEN overridden THEN 'Overridden ' ELSE '' END || CASE WHEN on_target AND on_source THEN 'Both' WHEN on_target THEN 'Target' ELSE 'Source' END || ' Dupe' ELSE 'No Dupe' END AS dupe_status FROM sides),
 partner AS (SELECT DISTINCT p.src_addr FROM pairs p JOIN src_site x ON x.source_id = p.source_id JOIN owner o ON o.owner_id = x.owner_id AND o.is_partner
   WHERE p.src_addr IS NOT NULL AND x.name <> 'red bolt'),
 final AS (SELECT d.*, CASE WHEN p.src_addr IS NOT NULL AND tc = 1 AND sc = 2 THEN 'No Dupe' ELSE dupe_status END AS final_status FROM dupes d LEFT JOIN partner p ON p.src_addr = d.src_addr)

@@ -163,36 +163,42 @@ us AS (SELECT applicant_id, CAST(bool_or(source_type = 'BANK_LINKING') AS INT) A
 """
 
 
-def outcome(prefix):
-    return f"""
-{prefix}_o AS (SELECT applicant_id, count(DISTINCT check_id) AS {prefix}_count, CAST(bool_or({prefix}_status = 'ACCEPTED') AS INT) AS {prefix}_accepted, CAST(bool_or({prefix}_status = 'REJECTED') AS INT) AS {prefix}_rejected,
-  max({prefix}_status) AS {prefix}_status, COALESCE(string_agg(DISTINCT {prefix}_reason, ', ' ORDER BY {prefix}_reason), '') AS {prefix}_reasons FROM submission WHERE source_type = 'BANK_LINKING' GROUP BY applicant_id)
+OUTCOMES = """
+outcomes AS (SELECT applicant_id, count(DISTINCT check_id) AS income_count, count(DISTINCT check_id) AS asset_count,
+  CAST(bool_or(income_status = 'ACCEPTED') AS INT) AS income_accepted, CAST(bool_or(income_status = 'REJECTED') AS INT) AS income_rejected, max(income_status) AS income_status,
+  COALESCE(string_agg(DISTINCT income_reason, ', ' ORDER BY income_reason), '') AS income_reasons,
+  CAST(bool_or(asset_status = 'ACCEPTED') AS INT) AS asset_accepted, CAST(bool_or(asset_status = 'REJECTED') AS INT) AS asset_rejected, max(asset_status) AS asset_status,
+  COALESCE(string_agg(DISTINCT asset_reason, ', ' ORDER BY asset_reason), '') AS asset_reasons
+  FROM submission WHERE source_type = 'BANK_LINKING' GROUP BY applicant_id)
 """
 
 
-REPORT = USAGE + "," + outcome("income") + "," + outcome("asset") + f""",
-base AS (SELECT a.* FROM applicant a JOIN (SELECT entity_id, min(changed_at) AS enabled_at FROM feature_log WHERE code = '1-URGENT' AND state = 'enabled' GROUP BY entity_id) f
+REPORT = USAGE + "," + OUTCOMES + f""",
+eligible AS (SELECT a.* FROM applicant a JOIN (SELECT entity_id, min(changed_at) AS enabled_at FROM feature_log WHERE code = '1-URGENT' AND state = 'enabled' GROUP BY entity_id) f
   ON f.entity_id = a.entity_id AND a.submitted_at >= f.enabled_at WHERE a.created_at >= TIMESTAMP '1996-01-01 00:00:00'),
-idc AS (SELECT applicant_id, count(DISTINCT check_id) AS id_count, CAST(bool_or(status = 'SUCCESS') AS INT) AS id_passed FROM identity_check GROUP BY applicant_id),
-j AS (SELECT b.applicant_id, b.entity_id, b.place_id, b.submitted_at, COALESCE(used_bank, 0) AS used_bank, COALESCE(used_payroll, 0) AS used_payroll, COALESCE(used_document, 0) AS used_document, COALESCE(total_submissions, 0) AS total_submissions,
-  COALESCE(bank_submissions, 0) AS bank_submissions, first_bank_at, last_bank_at, COALESCE(id_count, 0) AS id_count, COALESCE(id_passed, 0) AS id_passed, COALESCE(income_count, 0) AS income_count, COALESCE(income_accepted, 0) AS income_accepted,
-  COALESCE(income_rejected, 0) AS income_rejected, income_reasons, COALESCE(asset_count, 0) AS asset_count, COALESCE(asset_accepted, 0) AS asset_accepted, COALESCE(asset_rejected, 0) AS asset_rejected, asset_reasons,
-  (epoch_us(last_bank_at) - epoch_us(first_bank_at)) // 60000000 AS duration_minutes, (epoch_us(TIMESTAMP '{AS_OF_ORDERS}') - epoch_us(b.submitted_at)) // 3600000000 AS hours_since_submission
-  FROM base b LEFT JOIN us ON us.applicant_id = b.applicant_id LEFT JOIN idc ON idc.applicant_id = b.applicant_id LEFT JOIN income_o ON income_o.applicant_id = b.applicant_id LEFT JOIN asset_o ON asset_o.applicant_id = b.applicant_id),
-known AS (SELECT *, used_bank = 1 AS with_bank, id_count > 0 AS with_id, income_count + asset_count > 0 AS with_result FROM j),
-workflow(with_bank, with_id, with_result, correlation_status, usage_assessment, workflow_issue) AS (VALUES
-  (FALSE, FALSE, FALSE, 'NO_VERIFICATION', 'NOT_USING_CHANNEL', NULL), (FALSE, FALSE, TRUE, 'NO_VERIFICATION', 'NOT_USING_CHANNEL', NULL),
-  (FALSE, TRUE, FALSE, 'ID_ONLY', 'NOT_USING_CHANNEL', NULL), (FALSE, TRUE, TRUE, 'ID_ONLY', 'NOT_USING_CHANNEL', NULL),
-  (TRUE, FALSE, FALSE, 'MISSING_ID_VERIFICATION', 'INCOMPLETE_WORKFLOW', 'NO_ID_VERIFICATION'), (TRUE, FALSE, TRUE, 'MISSING_ID_VERIFICATION', 'INCOMPLETE_WORKFLOW', 'NO_ID_VERIFICATION'),
-  (TRUE, TRUE, FALSE, 'CORRELATED', 'PARTIAL_USAGE', 'NO_VERIFICATION_RESULTS'), (TRUE, TRUE, TRUE, 'CORRELATED', 'PROPER_USAGE', NULL)),
-rep AS (SELECT known.*, correlation_status, usage_assessment, ['FAIL', 'PASS'][1 + (income_accepted = 1)::INT] AS income_pass_fail, ['FAIL', 'PASS'][1 + (asset_accepted = 1)::INT] AS asset_pass_fail,
-  ['NO_DECISION', 'PENDING', 'FAIL', 'PASS'][1 + greatest(with_result::INT, 2 * (1 IN (income_rejected, asset_rejected))::INT, 3 * (1 IN (income_accepted, asset_accepted))::INT)] AS recommendation,
-  coalesce(workflow_issue, if(bank_submissions > 3, 'MULTIPLE_ATTEMPTS', if(duration_minutes > 60, 'LONG_COMPLETION_TIME', NULL))) AS issue_flag,
-  if(hours_since_submission > 48, 'DELAYED', 'TIMELY') AS timeliness FROM known JOIN workflow USING (with_bank, with_id, with_result))
+identity_counts AS (SELECT applicant_id, count(DISTINCT check_id) AS id_count FROM identity_check GROUP BY applicant_id),
+facts AS (SELECT e.applicant_id, e.entity_id, e.place_id, e.submitted_at, COALESCE(used_bank, 0) AS used_bank, COALESCE(used_payroll, 0) AS used_payroll, COALESCE(used_document, 0) AS used_document,
+  COALESCE(total_submissions, 0) AS total_submissions, COALESCE(bank_submissions, 0) AS bank_submissions, first_bank_at, COALESCE(id_count, 0) AS id_count, COALESCE(income_count, 0) AS income_count,
+  COALESCE(asset_count, 0) AS asset_count, income_reasons, asset_reasons, COALESCE(used_bank = 1, FALSE) AS used, id_count IS NOT NULL AS identified, income_count IS NOT NULL AS decided,
+  COALESCE(income_accepted = 1, FALSE) AS income_good, COALESCE(asset_accepted = 1, FALSE) AS asset_good, COALESCE(income_rejected = 1, FALSE) AS income_bad, COALESCE(asset_rejected = 1, FALSE) AS asset_bad,
+  (epoch_us(last_bank_at) - epoch_us(first_bank_at)) // 60000000 AS duration_minutes, (epoch_us(TIMESTAMP '{AS_OF_ORDERS}') - epoch_us(e.submitted_at)) // 3600000000 AS hours_since_submission
+  FROM eligible e LEFT JOIN us USING (applicant_id) LEFT JOIN identity_counts USING (applicant_id) LEFT JOIN outcomes USING (applicant_id)),
+rep AS (SELECT *, income_good OR asset_good AS good, income_bad OR asset_bad AS bad,
+  CASE WHEN used AND identified THEN 'both' WHEN used THEN 'bank only' WHEN identified THEN 'identity only' ELSE 'none' END AS pairing,
+  CASE WHEN income_good THEN 'yes' ELSE 'no' END AS income_result, CASE WHEN asset_good THEN 'yes' ELSE 'no' END AS asset_result,
+  CASE WHEN income_good OR asset_good THEN 'yes' WHEN income_bad OR asset_bad THEN 'no' WHEN decided THEN 'open' ELSE 'undecided' END AS recommendation,
+  CASE WHEN used AND identified AND decided THEN 'whole' WHEN used AND identified THEN 'unfinished' WHEN used THEN 'unidentified' ELSE 'elsewhere' END AS usage,
+  CASE WHEN used AND NOT identified THEN 'identity missing' WHEN used AND NOT decided THEN 'result missing' WHEN bank_submissions > 3 THEN 'many tries' WHEN duration_minutes > 60 THEN 'took long' END AS issue,
+  CASE WHEN hours_since_submission > 48 THEN 'late' ELSE 'in time' END AS timeliness FROM facts)
 """
+WORDS_REPORT = funnel.Words(
+    paired="both", channel_only="bank only", identity_only="identity only", neither="none", complete="whole", no_identity="unidentified", no_result="unfinished", other_way="elsewhere",
+    accepted="yes", rejected="no", waiting="open", undecided="undecided", nothing="nothing", late="late", on_time="in time", no_reason="?",
+)
+KINDS = {p: (f"{p}_status", f"{p}_reason") for p in ("income", "asset")}
 SHOWN = [
-    "applicant_id", "entity_id", "submitted_at", "used_bank", "used_payroll", "used_document", "total_submissions", "bank_submissions", "first_bank_at", "duration_minutes", "id_count", "correlation_status",
-    "income_count", "income_pass_fail", "income_reasons", "asset_count", "asset_pass_fail", "asset_reasons", "recommendation", "usage_assessment", "issue_flag", "hours_since_submission", "timeliness",
+    "applicant_id", "entity_id", "submitted_at", "used_bank", "used_payroll", "used_document", "total_submissions", "bank_submissions", "first_bank_at", "duration_minutes", "id_count", "pairing",
+    "income_count", "income_result", "income_reasons", "asset_count", "asset_result", "asset_reasons", "recommendation", "usage", "issue", "hours_since_submission", "timeliness",
 ]
 
 
@@ -200,10 +206,8 @@ def usage(i):
     return funnel.usage_flags(i.submission, "applicant_id", "submission_id", "source_type", "created_at", CHANNELS, "bank")
 
 
-def outcomes(i, prefix):
-    return funnel.verification_outcomes(
-        i.submission, "applicant_id", "check_id", f"{prefix}_status", f"{prefix}_reason", prefix, "ACCEPTED", "REJECTED", F.col("source_type") == "BANK_LINKING"
-    )
+def outcomes(i, kinds=KINDS):
+    return funnel.verification_outcomes(i.submission, "applicant_id", "check_id", kinds, "ACCEPTED", "REJECTED", F.col("source_type") == "BANK_LINKING")
 
 
 def report(i):
@@ -212,8 +216,13 @@ def report(i):
     ids = i.identity_check.groupBy("applicant_id").agg(
         F.count_distinct("check_id").alias("id_count"), F.max((F.col("status") == "SUCCESS").cast("int")).alias("id_passed")
     )
+    known = funnel.facts("bank")
+    issues = [
+        (known.used & ~known.identified, "identity missing"), (known.used & ~known.decided, "result missing"),
+        (F.col("bank_submissions") > 3, "many tries"), (F.col("duration_minutes") > 60, "took long"),
+    ]
     base = base.drop("created_at", "enabled_at")
-    return funnel.applicant_report(base, usage(i), ids, outcomes(i, "income"), outcomes(i, "asset"), "applicant_id", "submitted_at", "bank", AS_OF_ORDERS)
+    return funnel.applicant_report(base, [usage(i), ids, outcomes(i)], "applicant_id", "submitted_at", "bank", AS_OF_ORDERS, issues, 48, WORDS_REPORT)
 
 
 @query("a11_usage_flags", f"WITH {USAGE} SELECT * FROM us")
@@ -221,9 +230,17 @@ def a11(i):
     return usage(i)
 
 
-@query("a12_verification_outcomes", f"WITH {outcome('income')} SELECT * FROM income_o")
+@query("a12_verification_outcomes", f"WITH {OUTCOMES} SELECT applicant_id, income_count, income_accepted, income_rejected, income_status, income_reasons FROM outcomes")
 def a12(i):
-    return outcomes(i, "income")
+    return outcomes(i, {"income": KINDS["income"]})
+
+
+@query("a12_outcome_reasons", """
+WITH r AS (SELECT 'income' AS kind, income_reason AS reason, applicant_id FROM submission WHERE source_type = 'BANK_LINKING' UNION ALL SELECT 'asset', asset_reason, applicant_id FROM submission WHERE source_type = 'BANK_LINKING')
+SELECT kind, reason, count(*) AS rejections, count(DISTINCT applicant_id) AS applicants FROM r WHERE reason IS NOT NULL GROUP BY kind, reason
+""")
+def a12_reasons(i):
+    return funnel.outcome_reasons(i.submission, "applicant_id", KINDS, F.col("source_type") == "BANK_LINKING")
 
 
 @query("a13_applicant_report", f"WITH {REPORT} SELECT {', '.join(SHOWN)} FROM rep")
@@ -232,12 +249,13 @@ def a13(i):
 
 
 @query("a13_ruling_reason", f"""
-WITH {REPORT} SELECT applicant_id, CASE WHEN income_accepted = 1 OR asset_accepted = 1 THEN 'PASS' WHEN income_rejected = 1 OR asset_rejected = 1 THEN 'FAIL' WHEN used_bank = 1 OR used_payroll = 1 OR used_document = 1 THEN 'PENDING' ELSE 'NO SUBMISSION' END AS ruling,
-  CASE WHEN income_accepted = 1 THEN 'Income verification accepted' WHEN asset_accepted = 1 THEN 'Asset verification accepted' WHEN income_rejected = 1 THEN 'Income rejected: ' || COALESCE(NULLIF(income_reasons, ''), 'See details')
-  WHEN asset_rejected = 1 THEN 'Assets rejected: ' || COALESCE(NULLIF(asset_reasons, ''), 'See details') WHEN used_bank = 1 OR used_payroll = 1 OR used_document = 1 THEN 'Verification in progress' ELSE 'No financial data submitted' END AS reason FROM rep
+WITH {REPORT}, w AS (SELECT *, used OR used_payroll = 1 OR used_document = 1 AS sent FROM rep)
+SELECT applicant_id, CASE WHEN good THEN 'yes' WHEN bad THEN 'no' WHEN sent THEN 'open' ELSE 'nothing' END AS ruling,
+  CASE WHEN income_good THEN 'income yes' WHEN asset_good THEN 'assets yes' WHEN income_bad THEN 'income no: ' || COALESCE(NULLIF(income_reasons, ''), '?')
+  WHEN asset_bad THEN 'assets no: ' || COALESCE(NULLIF(asset_reasons, ''), '?') WHEN sent THEN 'open' ELSE 'nothing' END AS reason FROM w
 """)
 def a13_ruling(i):
-    return funnel.ruling_reason(report(i), list(CHANNELS)).select("applicant_id", "ruling", "reason")
+    return funnel.ruling_reason(report(i), list(CHANNELS), {"income": "income", "asset": "assets"}, WORDS_REPORT).select("applicant_id", "ruling", "reason")
 
 
 KPI = {"total": "Total Applicants", "channel": "Bank Linking Adoption", "identity": "ID Verification Adoption", "paired": "Bank Linking + ID Verification", "passed": "Passed Recommendations",
@@ -249,8 +267,8 @@ KPI_ROWS = "\n UNION ALL ".join(
 
 
 @query("a14_kpi_table", f"""
-WITH {REPORT}, one AS (SELECT count(*) AS total, count(*) FILTER (WHERE used_bank = 1) AS channel, count(*) FILTER (WHERE id_count > 0) AS identity, count(*) FILTER (WHERE used_bank = 1 AND id_count > 0) AS paired,
-  count(*) FILTER (WHERE income_accepted = 1 OR asset_accepted = 1) AS passed, count(*) FILTER (WHERE income_rejected = 1 OR asset_rejected = 1) AS failed, count(*) FILTER (WHERE issue_flag IS NOT NULL) AS issues FROM rep)
+WITH {REPORT}, one AS (SELECT count(*) AS total, count(*) FILTER (WHERE used) AS channel, count(*) FILTER (WHERE identified) AS identity, count(*) FILTER (WHERE used AND identified) AS paired,
+  count(*) FILTER (WHERE good) AS passed, count(*) FILTER (WHERE bad) AS failed, count(issue) AS issues FROM rep)
 SELECT 'Total Applicants' AS metric, total AS count, '100%' AS percentage, NULL AS notes FROM one UNION ALL {KPI_ROWS}
 """)
 def a14(i):
@@ -258,21 +276,21 @@ def a14(i):
 
 
 @query("a15_issue_breakdown", f"""
-WITH {REPORT} SELECT issue_flag, count(*) AS applicants, count(DISTINCT place_id) AS places, min(submitted_at) AS first_at, max(submitted_at) AS last_at FROM rep WHERE issue_flag IS NOT NULL GROUP BY issue_flag
+WITH {REPORT} SELECT issue, count(*) AS applicants, count(DISTINCT place_id) AS places, min(submitted_at) AS first_at, max(submitted_at) AS last_at FROM rep WHERE issue IS NOT NULL GROUP BY issue
 """)
 def a15(i):
     return funnel.issue_breakdown(report(i), "applicant_id", "place_id", "submitted_at")
 
 
-@query("a15_issue_places", f"WITH {REPORT} SELECT issue_flag, place_id, count(*) AS applicants FROM rep WHERE issue_flag IS NOT NULL GROUP BY 1, 2")
+@query("a15_issue_places", f"WITH {REPORT} SELECT issue, place_id, count(*) AS applicants FROM rep WHERE issue IS NOT NULL GROUP BY 1, 2")
 def a15_places(i):
     return funnel.issue_places(report(i), "place_id")
 
 
 @query("a15_place_performance", f"""
-WITH {REPORT} SELECT place_id, count(*) AS total_applicants, count(*) FILTER (WHERE used_bank = 1) AS channel_users, round(100.0::DOUBLE * count(*) FILTER (WHERE used_bank = 1) / count(*), 2) AS adoption_pct,
-  round(100.0::DOUBLE * count(*) FILTER (WHERE used_bank = 1 AND id_count > 0) / NULLIF(count(*) FILTER (WHERE used_bank = 1), 0), 2) AS id_correlation_pct,
-  round(100.0::DOUBLE * count(*) FILTER (WHERE income_accepted = 1 OR asset_accepted = 1) / NULLIF(count(*) FILTER (WHERE used_bank = 1), 0), 2) AS success_pct, count(*) FILTER (WHERE issue_flag IS NOT NULL) AS issues FROM rep GROUP BY place_id
+WITH {REPORT}, n AS (SELECT place_id, count(*) AS total_applicants, count(*) FILTER (WHERE used) AS channel_users, count(*) FILTER (WHERE used AND identified) AS paired, count(*) FILTER (WHERE good) AS passed, count(issue) AS issues FROM rep GROUP BY place_id)
+SELECT place_id, total_applicants, channel_users, round(100.0::DOUBLE * channel_users / total_applicants, 2) AS adoption_pct, round(100.0::DOUBLE * paired / NULLIF(channel_users, 0), 2) AS id_correlation_pct,
+  round(100.0::DOUBLE * passed / NULLIF(channel_users, 0), 2) AS success_pct, issues FROM n
 """)
 def a15_performance(i):
     return funnel.place_performance(report(i), "place_id", "bank")
@@ -310,37 +328,50 @@ def a22(i):
 
 
 MASTER = PROPS + """,
-acc AS (SELECT * FROM (SELECT trim(lower(name)) AS name_key, account_id, csm_id, segment, row_number() OVER (PARTITION BY trim(lower(name)) ORDER BY modified DESC, account_id) AS rn FROM (
-    SELECT s_suppkey AS account_id, 'nation_' || CAST(s_nationkey AS STRING) AS name, s_acctbal AS modified, s_suppkey + 40 AS csm_id, CASE WHEN s_acctbal > 8000 THEN 'Large' END AS segment FROM supplier)) WHERE rn = 1),
-acct AS (SELECT a.*, s.s_name AS csm FROM acc a LEFT JOIN supplier s ON s.s_suppkey = a.csm_id),
-integ AS (SELECT o_custkey AS id, o_orderdate AS activated_at, '{"k": "x' || CAST(o_orderkey AS STRING) || '"}' AS details, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders WHERE o_totalprice > 450000),
-feat AS (SELECT entity_id, min(changed_at) AS feature_enabled_at FROM feature_log WHERE code = '2-HIGH' AND state = 'enabled' GROUP BY entity_id),
-chk AS (SELECT entity_id, min(inserted_at) AS first_check_at FROM checks GROUP BY entity_id),
-mast AS (SELECT p.id, p.company_id, p.status, p.units, c.name AS company_name, m.manager_id, m.name AS manager_name, m.channel AS manager_channel, COALESCE(m.name, c.name) AS display_name, CASE WHEN pc.company_id IS NOT NULL THEN 'Partner' ELSE 'Direct' END AS company_channel,
-  CASE WHEN i.id IS NOT NULL OR pc.company_id IS NOT NULL THEN 'yes' ELSE 'no' END AS uses_integration, CASE WHEN i.id IS NOT NULL THEN i.activated_at WHEN pc.company_id IS NOT NULL THEN p.inserted_at END AS integration_enabled_at,
-  json_extract_string(i.details, '$.k') AS external_id, f.feature_enabled_at, f.feature_enabled_at IS NOT NULL AS feature_enabled, CASE WHEN p.status = 'DISABLED' THEN p.updated_at END AS deactivated_at,
-  CASE WHEN k.first_check_at IS NOT NULL THEN k.first_check_at WHEN f.feature_enabled_at IS NOT NULL AND p.status = 'ACTIVE' THEN p.updated_at WHEN f.feature_enabled_at IS NOT NULL AND p.status = 'DISABLED' THEN p.inserted_at END AS check_enabled_at,
-  CASE WHEN a.csm IS NULL AND pc.company_id IS NOT NULL THEN 'Partner: ' || c.name WHEN a.csm IS NULL THEN 'None Assigned' ELSE a.csm END AS company_owner,
-  CASE WHEN a.segment IS NULL AND a.account_id IS NOT NULL THEN 'Unassigned' WHEN a.segment IS NULL THEN 'No account' ELSE a.segment END AS company_tier
-  FROM prop p JOIN parent c ON c.id = p.company_id LEFT JOIN mgr m ON m.name_key = trim(lower(p.manager_name)) LEFT JOIN integ i ON i.id = p.id AND i.rn = 1 LEFT JOIN feat f ON f.entity_id = p.id LEFT JOIN chk k ON k.entity_id = p.id
-  LEFT JOIN part_co pc ON pc.company_id = p.company_id LEFT JOIN acct a ON a.name_key = trim(lower(c.name)))
+newest_account AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name_key ORDER BY modified DESC, account_id) AS rn FROM (
+    SELECT s_suppkey AS account_id, 'nation_' || CAST(s_nationkey AS STRING) AS name_key, s_acctbal AS modified, s_suppkey + 40 AS csm_id, s_suppkey + 7 AS seller_id, 'a' || CAST(s_suppkey AS STRING) || '@x' AS mail,
+      CASE WHEN s_acctbal > 8000 THEN 'Large' END AS segment FROM supplier)) WHERE rn = 1),
+account AS (SELECT n.*, c.s_name AS csm, s.s_name AS seller FROM newest_account n LEFT JOIN supplier c ON c.s_suppkey = n.csm_id LEFT JOIN supplier s ON s.s_suppkey = n.seller_id),
+config AS (SELECT n_nationkey AS config_id, r_name AS kind FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_regionkey <> 2 AND n_name NOT LIKE '%_3'),
+integration AS (SELECT * FROM (SELECT o_custkey AS id, o_orderdate AS activated_at, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, 'x' || CAST(o_orderkey AS STRING)) AS rn FROM orders WHERE o_totalprice > 450000) WHERE rn = 1),
+outbound AS (SELECT i.*, c.kind FROM integration i LEFT JOIN config c ON c.config_id = i.o_orderkey % 25),
+feature AS (SELECT entity_id AS id, min(changed_at) AS feature_enabled_at FROM feature_log WHERE code = '2-HIGH' AND state = 'enabled' GROUP BY entity_id),
+check_start AS (SELECT entity_id AS id, min(inserted_at) AS first_check_at FROM checks GROUP BY entity_id),
+area AS (SELECT o_custkey AS id, min('county ' || CAST(o_orderkey % 9 AS STRING)) AS county FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey),
+known AS (SELECT p.*, c.name AS company_name, m.manager_id, m.name AS manager, m.channel AS manager_channel, pc.company_id IS NOT NULL AS partnered, o.activated_at, o.kind, o.o_orderkey, f.feature_enabled_at, k.first_check_at, r.county,
+    a.csm, a.segment, a.account_id, a.seller, a.mail, b.csm AS manager_csm
+  FROM prop p JOIN parent c ON c.id = p.company_id LEFT JOIN mgr m ON m.name_key = trim(lower(p.manager_name)) LEFT JOIN part_co pc ON pc.company_id = p.company_id LEFT JOIN outbound o ON o.id = p.id
+  LEFT JOIN feature f ON f.id = p.id LEFT JOIN check_start k ON k.id = p.id LEFT JOIN area r ON r.id = p.id LEFT JOIN account a ON a.name_key = trim(lower(c.name)) LEFT JOIN account b ON b.name_key = m.name_key),
+mast AS (SELECT id, company_id, status, units, company_name, manager_id, manager AS manager_name, manager_channel, COALESCE(manager, company_name) AS display_name, if(partnered, 'Partner', 'Direct') AS company_channel,
+  if(partnered OR activated_at IS NOT NULL, 'yes', 'no') AS uses_integration, COALESCE(activated_at, if(partnered, inserted_at, NULL)) AS integration_enabled_at, kind AS outbound_kind, if(partnered, company_name, NULL) AS inbound_kind,
+  if(activated_at IS NULL, NULL, 'x' || CAST(o_orderkey AS STRING)) AS external_id, feature_enabled_at IS NOT NULL AS feature_enabled, if(status = 'DISABLED', updated_at, NULL) AS deactivated_at,
+  COALESCE(first_check_at, if(feature_enabled_at IS NULL, NULL, map {'ACTIVE': updated_at, 'DISABLED': inserted_at}[status])) AS check_enabled_at, county AS area_county,
+  COALESCE(csm, if(partnered, 'partner ' || company_name, 'open')) AS company_owner, COALESCE(segment, if(account_id IS NULL, 'unknown', 'no tier')) AS company_tier, seller AS company_seller, mail AS company_mail, manager_csm FROM known)
 """
 MASTER_COLUMNS = ["id", "company_id", "company_name", "manager_id", "manager_name", "manager_channel", "display_name", "company_channel", "uses_integration", "integration_enabled_at", "external_id", "feature_enabled",
-                  "deactivated_at", "check_enabled_at", "company_owner", "company_tier"]
+                  "deactivated_at", "check_enabled_at", "company_owner", "company_tier", "outbound_kind", "inbound_kind", "area_county", "company_seller", "company_mail", "manager_csm"]
 
 
 def property_master(i):
     accounts = i.supplier.select(
         F.col("s_suppkey").alias("account_id"), F.concat(F.lit("nation_"), F.col("s_nationkey").cast("string")).alias("name"), F.col("s_acctbal").alias("modified"),
-        (F.col("s_suppkey") + 40).alias("csm_id"), F.when(F.col("s_acctbal") > 8000, "Large").alias("segment"),
+        (F.col("s_suppkey") + 40).alias("csm_id"), (F.col("s_suppkey") + 7).alias("seller_id"), F.concat(F.lit("a"), F.col("s_suppkey").cast("string"), F.lit("@x")).alias("mail"),
+        F.when(F.col("s_acctbal") > 8000, "Large").alias("segment"),
     )
-    accounts = M.account_lookup(accounts, i.supplier, "account_id", "name", "modified", {"csm": "csm_id"}, "s_suppkey", "s_name", ["segment"])
+    accounts = M.account_lookup(accounts, i.supplier, "account_id", "name", "modified", {"csm": "csm_id", "seller": "seller_id"}, "s_suppkey", "s_name", ["segment", "mail"])
     integrations = i.orders.filter("o_totalprice > 450000").select(
-        F.col("o_custkey").alias("id"), F.col("o_orderdate").alias("activated_at"), F.to_json(F.struct(F.concat(F.lit("x"), F.col("o_orderkey").cast("string")).alias("k"))).alias("details")
+        F.col("o_custkey").alias("id"), F.col("o_orderdate").alias("activated_at"), (F.col("o_orderkey") % 25).alias("config_id"),
+        F.to_json(F.struct(F.concat(F.lit("x"), F.col("o_orderkey").cast("string")).alias("k"))).alias("details"),
     )
+    in_use = i.nation.filter("n_regionkey <> 2 AND n_name NOT LIKE '%_3'").join(i.region, F.col("r_regionkey") == F.col("n_regionkey"))
+    configurations = in_use.select(F.col("n_nationkey").alias("config_id"), F.col("n_name").alias("name"), F.col("r_name").alias("kind"))
     features = i.feature_log.filter("code = '2-HIGH' AND state = 'enabled'").select(F.col("entity_id").alias("id"), F.col("changed_at").alias("enabled_at"))
     checks = i.checks.select(F.col("entity_id").alias("id"), "inserted_at")
-    return master.property_master(properties(i).drop("name").withColumnRenamed("manager_name", "manager_raw"), i.parent, managers(i), integrations, features, checks, partners(i), accounts, "id", "company_id", "manager_raw")
+    areas = i.orders.filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"), F.concat(F.lit("county "), (F.col("o_orderkey") % 9).cast("string")).alias("county"))
+    return master.property_master(
+        properties(i).drop("name").withColumnRenamed("manager_name", "manager_raw"), i.parent, managers(i), integrations, features, checks, partners(i), accounts, "id", "company_id", "manager_raw",
+        areas, configurations, ["account_id", "csm", "segment", "seller", "mail"], ["$.propertyId", "$.k"], master.MasterWords("partner ", "open", "no tier", "unknown"),
+    )
 
 
 @query("j25_property_master", f"WITH {MASTER} SELECT {', '.join(MASTER_COLUMNS)} FROM mast")

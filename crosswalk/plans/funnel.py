@@ -7,6 +7,8 @@ applicants: no repeated rows and no distinct counts over exploded joins.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +18,42 @@ from crosswalk.operators.aggregates import kpi_rows
 from crosswalk.operators.history import feature_effective_join
 
 
-# Report labels
-CORRELATED, MISSING_ID, ID_ONLY, NO_VERIFICATION = "CORRELATED", "MISSING_ID_VERIFICATION", "ID_ONLY", "NO_VERIFICATION"
-PASS, FAIL, PENDING, NO_DECISION, NO_SUBMISSION = "PASS", "FAIL", "PENDING", "NO_DECISION", "NO SUBMISSION"
-PROPER, INCOMPLETE, NOT_USING, PARTIAL = "PROPER_USAGE", "INCOMPLETE_WORKFLOW", "NOT_USING_CHANNEL", "PARTIAL_USAGE"
-ISSUES = ("NO_ID_VERIFICATION", "NO_VERIFICATION_RESULTS", "MULTIPLE_ATTEMPTS", "LONG_COMPLETION_TIME")
-DELAYED, TIMELY = "DELAYED", "TIMELY"
-MANY_ATTEMPTS, LONG_MINUTES, LATE_HOURS = 3, 60, 48
+@dataclass(frozen=True)
+class Words:
+    """What a report calls its findings."""
+
+    paired: str = "channel with identity"
+    channel_only: str = "channel, identity missing"
+    identity_only: str = "identity without channel"
+    neither: str = "neither"
+    complete: str = "complete"
+    no_identity: str = "identity step left out"
+    no_result: str = "result step left out"
+    other_way: str = "channel not used"
+    accepted: str = "accepted"
+    rejected: str = "rejected"
+    waiting: str = "in review"
+    undecided: str = "nothing to decide"
+    nothing: str = "nothing sent"
+    late: str = "late"
+    on_time: str = "on time"
+    no_reason: str = "no reason given"
+
+
+@dataclass(frozen=True)
+class Facts:
+    """What is known of an applicant, as conditions on the columns of a report."""
+
+    used: Column  # the main channel
+    identified: Column  # there is an identity check
+    decided: Column  # there is a result on income or assets
+    accepted: Column
+    rejected: Column
+
+
+def facts(main: str) -> Facts:
+    either = lambda end: (F.col(f"income_{end}") > 0) | (F.col(f"asset_{end}") > 0)
+    return Facts(F.col(f"used_{main}") > 0, F.col("id_count") > 0, either("count"), either("accepted"), either("rejected"))
 
 
 def eligible_applicants(applicants: DataFrame, features: DataFrame, key: str, submitted: str, enabled_at: str, since: str, created: str) -> DataFrame:
@@ -49,82 +80,84 @@ def usage_flags(sources: DataFrame, applicant: str, submission: str, source_type
     )
 
 
-def verification_outcomes(rows: DataFrame, applicant: str, id_col: str, status: str, reason: str, prefix: str, accepted: str, rejected: str, condition: Column) -> DataFrame:
-    """Per applicant: verifications, accepted, rejected, largest status text and distinct reasons.
+def verification_outcomes(
+    rows: DataFrame, applicant: str, id_col: str, kinds: Mapping[str, tuple[str, str]], accepted: str, rejected: str, condition: Column
+) -> DataFrame:
+    """Per applicant and kind of verification: how many, accepted, rejected, largest status text and distinct reasons.
 
-    The channel condition restricts the rows counted, not the applicants kept. Reasons come from a fixed list.
+    ``kinds`` maps a prefix to its status and reason columns; all kinds come from one aggregate over the rows. The channel
+    condition restricts the rows counted, not the applicants kept. Reasons are listed per applicant, who has few;
+    ``outcome_reasons`` has them as rows.
     """
-    kept = rows.filter(condition)
-    return kept.groupBy(applicant).agg(
-        F.count_distinct(id_col).alias(f"{prefix}_count"), F.max((F.col(status) == accepted).cast("int")).alias(f"{prefix}_accepted"),
-        F.max((F.col(status) == rejected).cast("int")).alias(f"{prefix}_rejected"), F.max(status).alias(f"{prefix}_status"),
-        F.array_join(F.array_sort(F.collect_set(reason)), ", ").alias(f"{prefix}_reasons"),
-    )
+    aggs = []
+    for prefix, (status, reason) in kinds.items():
+        aggs += [
+            F.max((F.col(status) == accepted).cast("int")).alias(f"{prefix}_accepted"), F.max((F.col(status) == rejected).cast("int")).alias(f"{prefix}_rejected"),
+            F.max(status).alias(f"{prefix}_status"), F.array_join(F.array_sort(F.collect_set(reason)), ", ").alias(f"{prefix}_reasons"),
+        ]
+    out = rows.filter(condition).groupBy(applicant).agg(F.count_distinct(id_col).alias("_n"), *aggs)
+    return out.withColumns({f"{prefix}_count": F.col("_n") for prefix in kinds}).drop("_n")
+
+
+def outcome_reasons(rows: DataFrame, applicant: str, kinds: Mapping[str, tuple[str, str]], condition: Column) -> DataFrame:
+    """Kind, reason, and how many rows and applicants have it: a row per reason, however many there are."""
+    each = F.array(*[F.struct(F.lit(prefix).alias("kind"), F.col(reason).alias("reason")) for prefix, (_, reason) in kinds.items()])
+    per = rows.filter(condition).select(applicant, F.inline(each)).filter("reason IS NOT NULL").groupBy("kind", "reason", applicant).agg(F.count(F.lit(1)).alias("_n"))
+    return per.groupBy("kind", "reason").agg(F.sum("_n").alias("rejections"), F.count(F.lit(1)).alias("applicants"))
 
 
 def applicant_report(
-    applicants: DataFrame, usage: DataFrame, identity: DataFrame, income: DataFrame, asset: DataFrame, applicant: str, submitted: str, main: str, as_of: str
+    applicants: DataFrame, children: Sequence[DataFrame], applicant: str, submitted: str, main: str, as_of: str,
+    issues: Sequence[tuple[Column, str]] = (), late_hours: int = 48, words: Words = Words(),
 ) -> DataFrame:
-    """One row per applicant: correlation, pass or fail, recommendation, usage, issue and timeliness.
+    """One row per applicant: pairing of channel and identity, results, recommendation, use, issue and timeliness.
 
-    ``identity`` has (applicant, id_count, id_passed); ``income`` and ``asset`` come from ``verification_outcomes``.
-    Applicants without child rows have counts of 0.
+    ``children`` have one row per applicant: ``usage_flags``, (applicant, id_count, id_passed), and ``verification_outcomes`` of
+    income and asset. Applicants without child rows have counts of 0. ``issues`` are conditions, most pressing first, on the columns of the report
+    (see ``facts``) with the name of the issue; ``duration_minutes`` is the time between first and last use of the main channel.
     """
     out = applicants
-    for child in (usage, identity, income, asset):
+    for child in children:
         out = out.join(child, applicant, "left")
-    zeros = [c for c in out.columns if c.startswith("used_") or c.endswith(("_count", "_accepted", "_rejected", "_submissions", "_passed"))]
-    out = out.fillna(0, zeros)
-    used, id_n = F.col(f"used_{main}") == 1, F.col("id_count")
-    money = (F.col("income_count") > 0) | (F.col("asset_count") > 0)
-    passed = (F.col("income_accepted") == 1) | (F.col("asset_accepted") == 1)
-    failed = (F.col("income_rejected") == 1) | (F.col("asset_rejected") == 1)
-    minutes = elapsed(F.col(f"first_{main}_at"), F.col(f"last_{main}_at"), "minute")
+    out = out.fillna(0, [c for c in out.columns if c.startswith("used_") or c.endswith(("_count", "_accepted", "_rejected", "_submissions", "_passed"))])
+    known = facts(main)
     hours = elapsed(F.col(submitted), moment(as_of), "hour")
-    faults = [used & (id_n == 0), used & ~money, F.col(f"{main}_submissions") > MANY_ATTEMPTS, minutes > LONG_MINUTES]
+    out = out.withColumns({"duration_minutes": elapsed(F.col(f"first_{main}_at"), F.col(f"last_{main}_at"), "minute"), "hours_since_submission": hours})
+    with_channel = F.when(known.identified, words.paired).otherwise(words.channel_only)
+    without = F.when(known.identified, words.identity_only).otherwise(words.neither)
+    steps = F.when(~known.identified, words.no_identity).when(~known.decided, words.no_result).otherwise(words.complete)
+    result = {p: F.when(F.col(f"{p}_accepted") > 0, words.accepted).otherwise(words.rejected) for p in ("income", "asset")}
     return out.withColumns({
-        "duration_minutes": minutes,
-        "correlation_status": first_match([
-            (used & (id_n > 0), CORRELATED), (used & (id_n == 0), MISSING_ID), (~used & (id_n > 0), ID_ONLY)
-        ], NO_VERIFICATION),
-        "income_pass_fail": F.when(F.col("income_accepted") == 1, PASS).otherwise(FAIL),
-        "asset_pass_fail": F.when(F.col("asset_accepted") == 1, PASS).otherwise(FAIL),
-        "recommendation": first_match([(passed, PASS), (failed, FAIL), (money, PENDING)], NO_DECISION),
-        "usage_assessment": first_match([
-            (used & (id_n > 0) & money, PROPER), (used & (id_n == 0), INCOMPLETE), (~used, NOT_USING)
-        ], PARTIAL),
-        "issue_flag": first_match(list(zip(faults, ISSUES))),
-        "hours_since_submission": hours,
-        "timeliness": F.when(hours > LATE_HOURS, DELAYED).otherwise(TIMELY),
+        "pairing": F.when(known.used, with_channel).otherwise(without),
+        "income_result": result["income"],
+        "asset_result": result["asset"],
+        "recommendation": first_match([(known.accepted, words.accepted), (known.rejected, words.rejected), (known.decided, words.waiting)], words.undecided),
+        "usage": F.when(known.used, steps).otherwise(words.other_way),
+        "issue": first_match(list(issues)) if issues else F.lit(None).cast("string"),
+        "timeliness": F.when(hours > late_hours, words.late).otherwise(words.on_time),
     })
 
 
-def ruling_reason(report: DataFrame, channels: Sequence[str]) -> DataFrame:
-    """Simple ruling and the reason behind it."""
-    any_use = F.lit(False)
-    for c in channels:
-        any_use = any_use | (F.col(f"used_{c}") == 1)
-    shown = {p: F.coalesce(F.when(F.col(f"{p}_reasons") != "", F.col(f"{p}_reasons")), F.lit("See details")) for p in ("income", "asset")}
-    passed = (F.col("income_accepted") == 1) | (F.col("asset_accepted") == 1)
-    failed = (F.col("income_rejected") == 1) | (F.col("asset_rejected") == 1)
+def ruling_reason(report: DataFrame, channels: Sequence[str], names: Mapping[str, str], words: Words = Words()) -> DataFrame:
+    """Simple ruling and the reason behind it. ``names`` says what the income and asset results are called."""
+    any_use = reduce(lambda a, b: a | b, [F.col(f"used_{c}") > 0 for c in channels])
+    why = {p: F.when(F.col(f"{p}_reasons") != "", F.col(f"{p}_reasons")).otherwise(words.no_reason) for p in names}
+    good = [(F.col(f"{p}_accepted") > 0, F.lit(f"{label} {words.accepted}")) for p, label in names.items()]
+    bad = [(F.col(f"{p}_rejected") > 0, F.concat(F.lit(f"{label} {words.rejected}: "), why[p])) for p, label in names.items()]
+    any_of = lambda found: reduce(lambda a, b: a | b, [c for c, _ in found])
     return report.withColumns({
-        "ruling": first_match([(passed, PASS), (failed, FAIL), (any_use, PENDING)], NO_SUBMISSION),
-        "reason": first_match([
-            (F.col("income_accepted") == 1, "Income verification accepted"), (F.col("asset_accepted") == 1, "Asset verification accepted"),
-            (F.col("income_rejected") == 1, F.concat(F.lit("Income rejected: "), shown["income"])),
-            (F.col("asset_rejected") == 1, F.concat(F.lit("Assets rejected: "), shown["asset"])), (any_use, "Verification in progress"),
-        ], "No financial data submitted"),
+        "ruling": first_match([(any_of(good), words.accepted), (any_of(bad), words.rejected), (any_use, words.waiting)], words.nothing),
+        "reason": first_match([*good, *bad, (any_use, words.waiting)], words.nothing),
     })
 
 
 def kpi_table(report: DataFrame, main: str, names: Mapping[str, str]) -> DataFrame:
     """The KPI rows, from one aggregate over the report."""
-    used, ids = F.col(f"used_{main}") == 1, F.col("id_count") > 0
+    known = facts(main)
     one = report.agg(
-        F.count(F.lit(1)).alias("total"), count_if(used).alias("channel"), count_if(ids).alias("identity"), count_if(used & ids).alias("paired"),
-        count_if((F.col("income_accepted") == 1) | (F.col("asset_accepted") == 1)).alias("passed"),
-        count_if((F.col("income_rejected") == 1) | (F.col("asset_rejected") == 1)).alias("failed"),
-        count_if(F.col("issue_flag").isNotNull()).alias("issues"),
+        F.count(F.lit(1)).alias("total"), count_if(known.used).alias("channel"), count_if(known.identified).alias("identity"),
+        count_if(known.used & known.identified).alias("paired"), count_if(known.accepted).alias("passed"), count_if(known.rejected).alias("failed"),
+        count_if(F.col("issue").isNotNull()).alias("issues"),
     )
     base = {"total": None, "channel": "total", "identity": "total", "paired": "channel", "passed": "channel", "failed": "channel", "issues": "total"}
     return kpi_rows(one, [(label, k, base[k], None if base[k] is None else f"Share of {base[k]}") for k, label in names.items()])
@@ -132,22 +165,22 @@ def kpi_table(report: DataFrame, main: str, names: Mapping[str, str]) -> DataFra
 
 def issue_breakdown(report: DataFrame, applicant: str, place: str, submitted: str) -> DataFrame:
     """Applicants, places and time range per issue."""
-    return report.filter(F.col("issue_flag").isNotNull()).groupBy("issue_flag").agg(
+    return report.filter(F.col("issue").isNotNull()).groupBy("issue").agg(
         F.count(F.lit(1)).alias("applicants"), F.count_distinct(place).alias("places"), F.min(submitted).alias("first_at"), F.max(submitted).alias("last_at")
     )
 
 
 def issue_places(report: DataFrame, place: str) -> DataFrame:
     """The places each issue occurs at, as rows (a list would grow with the data)."""
-    return report.filter(F.col("issue_flag").isNotNull()).groupBy("issue_flag", place).agg(F.count(F.lit(1)).alias("applicants"))
+    return report.filter(F.col("issue").isNotNull()).groupBy("issue", place).agg(F.count(F.lit(1)).alias("applicants"))
 
 
 def place_performance(report: DataFrame, place: str, main: str) -> DataFrame:
     """Adoption, correlation and success rates per place."""
-    used = F.col(f"used_{main}") == 1
-    passed = (F.col("income_accepted") == 1) | (F.col("asset_accepted") == 1)
+    known = facts(main)
+    users = count_if(known.used)
     return report.groupBy(place).agg(
-        F.count(F.lit(1)).alias("total_applicants"), count_if(used).alias("channel_users"), percent(count_if(used), F.count(F.lit(1))).alias("adoption_pct"),
-        percent(count_if(used & (F.col("id_count") > 0)), count_if(used)).alias("id_correlation_pct"),
-        percent(count_if(passed), count_if(used)).alias("success_pct"), count_if(F.col("issue_flag").isNotNull()).alias("issues"),
+        F.count(F.lit(1)).alias("total_applicants"), users.alias("channel_users"), percent(users, F.count(F.lit(1))).alias("adoption_pct"),
+        percent(count_if(known.used & known.identified), users).alias("id_correlation_pct"),
+        percent(count_if(known.accepted), users).alias("success_pct"), count_if(F.col("issue").isNotNull()).alias("issues"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,8 +17,6 @@ from crosswalk.operators.filters import today
 # Size above which the create queue gets each label, and percent below which coverage does
 CREATE_BANDS = [(200, "High CREATE backlog"), (50, "Moderate CREATE queue"), (0, "Small CREATE queue")]
 COVERAGE_BANDS = [(90, "Coverage LOW (<90%)"), (95, "Coverage OK (90-95%)")]
-# Largest queue size for each assessment
-ASSESSMENTS = [(0, "Queue empty - all synced"), (49, "Queue draining normally"), (100, "Moderate queue - monitor"), (500, "High queue - may need attention")]
 
 
 def _cross(parts: Sequence[DataFrame]) -> DataFrame:
@@ -58,26 +57,39 @@ def health_check(
 QUEUE_LIMITS = {"create": (100, 50), "update": (1000, 500)}
 
 
-def queue_health(queues: Mapping[str, DataFrame], activity: Mapping[str, DataFrame], as_of: str, hour: int, limits: Mapping[str, tuple[int, int]] = QUEUE_LIMITS) -> DataFrame:
+@dataclass(frozen=True)
+class QueueRules:
+    """Limits of the queue check, and what its findings are called; ``{queue}`` stands for the queue's name."""
+
+    limits: Mapping[str, tuple[int, int]] = field(default_factory=lambda: QUEUE_LIMITS)
+    start_hour: int = 8  # the first sync of a day is expected by the end of this hour
+    stale_hours: int = 2
+    full: str = "{queue}: too long"
+    filling: str = "{queue}: long"
+    silent: str = "no run since midnight"
+    idle: str = "runs without rows"
+    stale: str = "last run long ago"
+    fine: str = "in order"
+    sizes: Sequence[tuple[int, str]] = ((0, "empty"), (1, "short"))  # from this size on
+
+
+def queue_health(queues: Mapping[str, DataFrame], activity: Mapping[str, DataFrame], as_of: str, hour: int, rules: QueueRules = QueueRules()) -> DataFrame:
     """M4: per queue: size, last sync, records today, status and assessment.
 
-    ``activity`` gives per queue a one-row frame (last_sync_at, records_today). Elapsed hours count across midnight.
+    ``activity`` gives per queue a one-row frame (last_sync_at, records_today). Alarms (a full queue, a day without a sync) come before
+    warnings (a filling queue, an old sync). Elapsed hours count across midnight.
     """
     parts = []
+    size, last = F.col("queue_size"), F.col("last_sync_at")
+    expected = F.lit(hour > rules.start_hour)
+    assessment = first_match([(size >= least, text) for least, text in sorted(rules.sizes, reverse=True)])
     for kind, queue in queues.items():
-        high, some = limits[kind]
+        high, some = rules.limits[kind]
+        alarms = [(size > high, rules.full.format(queue=kind)), (expected & last.isNull(), rules.silent), (expected & (F.col("records_today") == 0), rules.idle)]
+        warnings = [(size >= some, rules.filling.format(queue=kind)), (elapsed(last, moment(as_of), "hour") > rules.stale_hours, rules.stale)]
         one = _cross([queue.agg(F.count(F.lit(1)).alias("queue_size")), activity[kind]])
-        size, last = F.col("queue_size"), F.col("last_sync_at")
-        name = kind.upper()
-        status = first_match(
-            [
-                (size > high, f"High {name} backlog"), (last.isNull() & F.lit(hour > 8), "No syncs today"), ((F.col("records_today") == 0) & F.lit(hour > 8), "No records synced today"),
-                (size >= some, f"Moderate {name} backlog"), (elapsed(last, moment(as_of), "hour") > 2, "No sync in 2+ hours"),
-            ],
-            "Healthy",
-        )
-        note = first_match([(size <= n, label) for n, label in ASSESSMENTS], "Very high queue - investigate")
-        parts.append(one.select(F.lit(kind).alias("queue"), "queue_size", "last_sync_at", "records_today", status.alias("status"), note.alias("assessment")))
+        status = first_match([*alarms, *warnings], rules.fine)
+        parts.append(one.select(F.lit(kind).alias("queue"), "queue_size", "last_sync_at", "records_today", status.alias("status"), assessment.alias("assessment")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -41,18 +41,27 @@ def report(spark):
     subs = spark.createDataFrame(rows, "id int, sid string, kind string, h int").withColumn("t", F.timestamp_seconds(F.col("h") * 3600).cast("timestamp_ntz"))
     checks = spark.createDataFrame([(1, 11, "ACCEPTED", None, "BANK"), (1, 12, "REJECTED", "blurry", "BANK"), (2, 13, "REJECTED", "old", "DOC")], "id int, cid int, st string, why string, kind string")
     usage = funnel.usage_flags(subs, "id", "sid", "kind", "t", {"bank": "BANK", "doc": "DOC"}, "bank")
-    out = {p: funnel.verification_outcomes(checks, "id", "cid", "st", "why", p, "ACCEPTED", "REJECTED", F.col("kind") == "BANK") for p in ("income", "asset")}
+    income = funnel.verification_outcomes(checks, "id", "cid", {"income": ("st", "why")}, "ACCEPTED", "REJECTED", F.col("kind") == "BANK")
+    asset = funnel.verification_outcomes(checks, "id", "cid", {"asset": ("st", "why")}, "ACCEPTED", "REJECTED", F.lit(False))
     ids = spark.createDataFrame([(1, 2, 1)], "id int, id_count int, id_passed int")
-    return funnel.applicant_report(people, usage, ids, out["income"], out["asset"].limit(0), "id", "at", "bank", "2024-01-03 01:00:00")
+    issues = [(F.col("bank_submissions") > 3, "many"), (F.col("duration_minutes") > 60, "long")]
+    return funnel.applicant_report(people, [usage, ids, income, asset], "id", "at", "bank", "2024-01-03 01:00:00", issues)
 
 
 def test_applicants_without_the_channel_stay_with_zero_counts(report, rows):
-    assert rows(report, "id", "used_bank", "bank_submissions", "income_count", "recommendation", "usage_assessment", "issue_flag", "timeliness") == [
-        (1, 1, 2, 2, "PASS", "PROPER_USAGE", "LONG_COMPLETION_TIME", "DELAYED"), (2, 0, 0, 0, "NO_DECISION", "NOT_USING_CHANNEL", None, "DELAYED"), (3, 0, 0, 0, "NO_DECISION", "NOT_USING_CHANNEL", None, "DELAYED"),
-    ]
-    assert rows(funnel.ruling_reason(report, ["bank", "doc"]), "id", "ruling", "reason") == [
-        (1, "PASS", "Income verification accepted"), (2, "PENDING", "Verification in progress"), (3, "NO SUBMISSION", "No financial data submitted"),
+    w = funnel.Words()
+    assert rows(report, "id", "used_bank", "bank_submissions", "income_count", "recommendation", "usage", "issue", "timeliness") == [
+        (1, 1, 2, 2, w.accepted, w.complete, "long", w.late), (2, 0, 0, 0, w.undecided, w.other_way, None, w.late), (3, 0, 0, 0, w.undecided, w.other_way, None, w.late),
     ]
+    assert rows(report, "id", "pairing", "income_result") == [(1, w.paired, w.accepted), (2, w.neither, w.rejected), (3, w.neither, w.rejected)]
+    named = {"income": "earnings", "asset": "savings"}
+    assert rows(funnel.ruling_reason(report, ["bank", "doc"], named), "id", "ruling", "reason") == [(1, w.accepted, "earnings accepted"), (2, w.waiting, w.waiting), (3, w.nothing, w.nothing)]
+
+
+def test_outcome_reasons_are_rows(spark, rows):
+    df = spark.createDataFrame([(1, "old", None, True), (1, "old", "thin", True), (2, "old", None, True), (3, "odd", None, False)], "id int, a string, b string, here boolean")
+    got = funnel.outcome_reasons(df, "id", {"x": ("s", "a"), "y": ("s", "b")}, F.col("here"))
+    assert rows(got, "kind", "reason", "rejections", "applicants") == [("x", "old", 3, 2), ("y", "thin", 1, 1)]
 
 
 def test_kpi_rows(report):
@@ -74,7 +83,12 @@ def test_queue_health_bands(spark):
     queue = spark.range(60)
     activity = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 23:00:00' AS last_sync_at, 3L AS records_today")
     got = monitoring.queue_health({"create": queue, "update": queue.limit(0)}, {"create": activity, "update": activity}, "2024-01-02 02:30:00", 2).collect()
-    assert [(r["status"], r["assessment"]) for r in got] == [("Moderate CREATE backlog", "Moderate queue - monitor"), ("No sync in 2+ hours", "Queue empty - all synced")]
+    w = monitoring.QueueRules()
+    assert [(r["status"], r["assessment"]) for r in got] == [("create: long", "short"), (w.stale, "empty")]
+    late = monitoring.queue_health({"update": queue}, {"update": activity.withColumn("records_today", F.lit(0))}, "2024-01-02 10:30:00", 10, monitoring.QueueRules({"update": (59, 1)})).first()
+    assert late["status"] == "update: too long"
+    quiet = monitoring.queue_health({"update": queue}, {"update": activity.withColumn("records_today", F.lit(0))}, "2024-01-02 10:30:00", 10).first()
+    assert quiet["status"] == w.idle
 
 
 def test_quality_suite_finds_an_induced_fault(spark):
