@@ -8,19 +8,20 @@ Lengths are whole numbers up to the capacity, so the plan is made from the count
 items of a length goes to which run of sequences at which offset. The plan's size is bounded by the capacity, not
 by the number of documents. The items of a length are numbered by Spark in pieces and then look up their run.
 
-Defined results: a null or empty text is one piece holding only the end mark. Repeated rows are packed each on their
-own. Special marks written out in a text are what the tokenizer makes of them. An empty table gives an empty result.
+Defined results: a null or empty text is one piece holding only the end mark, a very long one as many pieces as it takes. Repeated rows are packed each on their
+own, and equal ones are numbered in as many tasks as others. Columns beside id and text are left out, whatever their names. Special marks written out in a text are what the tokenizer makes of them. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,20 +29,20 @@ from crosswalk.llm.common import map_batches, number_in_groups, texts
 from crosswalk.session import cut
 
 PIECE_ROWS = 500  # items of one length that are numbered in one task, about
-CACHE = 600_000  # words whose ids a task remembers before it starts anew
-PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!#$%&()*+,./:;=?@-]*)")
+CACHE = 600_000  # units whose ids a task remembers before it starts anew
+PLAIN = "^(?P<letters>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[!#$%&()*+,./:;=?@-]*)$"
 
 
-class WordIds(dict):
-    """Ids of words as little-endian unsigned 32-bit numbers, looked up once per word.
+class WordIds:
+    """Ids of words, looked up once per unit and put together for all words of a batch at once.
 
     The tokenizer splits at white space before anything else, so the ids of a text are those of its words in order. A
     word of plain letters, with marks behind or not, is two of the tokenizer's own units; many units are handed over
-    as one string and the ids are told apart by the mark that ends each unit. All other words are encoded one by one.
+    as one string and the ids are told apart by the mark that ends each unit. All other words are units of their own and
+    are encoded one by one. Unit n has the ids ``ids[first[n] : first[n] + size[n]]``; unit 0 has none.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -49,58 +50,65 @@ class WordIds(dict):
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.units: dict[str, bytes] = {"": b""}
-
-    def __missing__(self, word: str) -> bytes:
-        return self._one(word)
-
-    def _one(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def learn(self, words: Sequence[str]) -> None:
-        new = [w for w in set(words) if w not in self]
-        if len(self) + len(new) > CACHE:
-            self.clear()
-            self.units = {"": b""}
-            new = list(set(words))
-        plain, split = [], []
-        for word in new:
-            found = PLAIN.fullmatch(word)
-            if found:
-                plain.append(word)
-                split.append((found.group(1).lower(), found.group(2)))
-            else:
-                self[word] = self._one(word)
-        self._learn_units(list({u for pair in split for u in pair} - self.units.keys()))
-        units = self.units
-        for word, (letters, marks) in zip(plain, split):
-            self[word] = units[letters] + units[marks]
-
-    def _learn_units(self, units: list[str]) -> None:
-        for start in range(0, len(units), 500):
-            part = units[start : start + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+        self.clear()
+
+    def clear(self) -> None:
+        self.units: dict[str, int] = {"": 0}
+        self.odd: dict[str, int] = {"": 0}
+        self.first, self.size = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> range:
+        """Numbers of new units whose ids stand one after the other."""
+        known = len(self.size)
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+        return range(known, known + len(sizes))
+
+    def one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+        return np.array([i for ids in found for i in ids], dtype="<u4"), np.array([len(ids) for ids in found], dtype=np.int64)
+
+    def learn_units(self, units: list[str]) -> None:
+        parts = [units[start : start + 500] for start in range(0, len(units), 500)]
+        found = []
+        for part, encoded in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(encoded.ids, dtype="<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(part):
-                data, at = ids.tobytes(), 0
-                for unit, end in zip(part, ends.tolist()):
-                    self.units[unit] = data[4 * at : 4 * end]
-                    at = end
-            else:
-                self.units.update((u, self._one(u)) for u in part)
-
-    def encode(self, words: Sequence[str]) -> bytes:
-        return b"".join(map(self.__getitem__, words))
-
-
-def words_of(text: str | None) -> list[str]:
-    """Words between ASCII white space."""
-    if not text:
-        return []
-    for c in "\t\n\x0b\x0c\r":
-        if c in text:
-            text = text.replace(c, " ")
-    return [w for w in text.split(" ") if w]
+            found.append((ids, np.diff(ends, prepend=0)) if len(ends) == len(part) else self.one_by_one(part))
+        if found:
+            self.units.update(zip(units, self.add(*map(np.concatenate, zip(*found)))))
+
+    def numbers(self, known: dict[str, int], words: list[str], learn) -> np.ndarray:
+        new = [w for w in words if w not in known]
+        if new:
+            learn(new)
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def learn_odd(self, words: list[str]) -> None:
+        self.odd.update(zip(words, self.add(*self.one_by_one(words))))
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and where those of each word begin (one more entry for the end)."""
+        if len(self.size) > CACHE:
+            self.clear()
+        coded = words.dictionary_encode()
+        parts = pc.extract_regex(coded.dictionary, PLAIN)
+        letters, marks = parts.field("letters").filter(parts.is_valid()), parts.field("marks").filter(parts.is_valid())
+        plain = parts.is_valid().to_numpy(zero_copy_only=False)
+        unit = np.zeros((2, len(plain)), dtype=np.int64)
+        for side, values in enumerate((pc.utf8_lower(letters), marks)):
+            values = values.dictionary_encode()
+            unit[side, plain] = self.numbers(self.units, values.dictionary.to_pylist(), self.learn_units)[values.indices.to_numpy()]
+        unit[0, ~plain] = self.numbers(self.odd, coded.dictionary.filter(pc.invert(parts.is_valid())).to_pylist(), self.learn_odd)
+        both = unit[:, coded.indices.to_numpy()].T.ravel()
+        size = self.size[both]
+        ends = np.cumsum(size)
+        used = np.flatnonzero(size)
+        both, size = both[used], size[used]
+        place = np.arange(int(size.sum())) + np.repeat(self.first[both] - (np.cumsum(size) - size), size)
+        return self.ids[place], np.concatenate([[0], ends[1::2]])
 
 
 _open: dict[str, WordIds] = {}  # one tokenizer per task process
@@ -110,19 +118,21 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0
     """A row per piece: ``doc_id``, ``piece``, ``start``, ``length`` and ``ids_crc32``."""
 
     def run(batch):
-        ids = _open.get(tokenizer) or _open.setdefault(tokenizer, WordIds(tokenizer))
-        out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
-        end = np.array([end_id], dtype="<u4").tobytes()
-        columns = batch.to_pydict()
-        split = [words_of(t) for t in columns["text"]]
-        ids.learn([w for words in split for w in words])
-        for doc_id, words in zip(columns["doc_id"], split):
-            data = ids.encode(words) + end
-            for piece, at in enumerate(range(0, len(data) // 4, capacity)):
-                part = data[4 * at : 4 * (at + capacity)]
-                for name, value in (("doc_id", doc_id), ("piece", piece), ("start", at), ("length", len(part) // 4), ("ids_crc32", zlib.crc32(part))):
-                    out[name].append(value)
-        return out
+        known = _open.get(tokenizer) or _open.setdefault(tokenizer, WordIds(tokenizer))
+        # Words between ASCII white space, of all texts one after the other; a null text has none.
+        words = pc.ascii_split_whitespace(pc.fill_null(batch.column("text"), ""))
+        ids, begin = known.encode(words.flatten())
+        offsets = words.offsets.to_numpy()
+        stop = begin[offsets[1:] - offsets[0]]  # where each text's ids end
+        data = memoryview(np.insert(ids, stop, end_id)).cast("B")
+        total = np.diff(stop, prepend=0) + 1
+        pieces = -(-total // capacity)
+        doc = np.repeat(np.arange(len(total)), pieces)
+        piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        length = np.minimum(capacity, total[doc] - piece * capacity)
+        at = (4 * ((np.cumsum(total) - total)[doc] + piece * capacity)).tolist()
+        crc = [zlib.crc32(data[x : x + 4 * n]) for x, n in zip(at, length.tolist())]
+        return {"doc_id": batch.column("doc_id").take(pa.array(doc)), "piece": piece.astype(np.int32), "start": piece * capacity, "length": length, "ids_crc32": crc}
 
     return map_batches(texts(docs), run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -188,15 +198,15 @@ def plan(counts: Mapping[int, int], capacity: int) -> list[tuple[int, int, int,
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id`` and ``offset`` of every piece."""
-    pieces = cut(token_pieces(docs, tokenizer, capacity, end_id), "token-pieces")
+    rows = token_pieces(docs, tokenizer, capacity, end_id)
+    pieces = cut(rows.withColumn("row", F.monotonically_increasing_id()), "token-pieces")  # stored, so a row keeps its number
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     hot = {length: -(-n // PIECE_ROWS) for length, n in counts.items() if n > PIECE_ROWS}
     split = F.lit(1)
     if hot:  # at most one entry per length
         split = F.coalesce(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])[F.col("length").cast("int")], split)
-    cell = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), split.cast("long"))
-    order = [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
-    numbered = number_in_groups(pieces, ["length"], order, cell, "item")
+    cell = F.pmod(F.xxhash64("row"), split.cast("long"))
+    numbered = number_in_groups(pieces, ["length"], [F.col("row")], cell, "item")
     runs = sorted(plan(counts, capacity))
     keys = np.array([(length << 40) + first for length, first, *_ in runs], dtype=np.int64)
     first, sequence, offset = (np.array([r[k] for r in runs], dtype=np.int64) for k in (1, 3, 4))
