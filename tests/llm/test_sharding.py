@@ -69,3 +69,52 @@ def test_shards_are_numbered_in_pieces(spark, monkeypatch):
     texts = [(i % 200, "y" * (i % 7)) for i in range(1000)]
     rows = sharding.shard_rows(spark.createDataFrame(texts, "doc_id long, text string"), 4, slots=8).collect()
     check_laws(rows, texts, 4)
+
+
+@pytest.mark.parametrize("case", ["no ids", "one id", "equal rows"])
+def test_crowded_ids_and_texts_are_dealt_out(spark, case):
+    """A third of all rows without an id, under one id, or equal in all columns: shards stay within 1 % of each other."""
+    texts = []
+    for i in range(20_000):
+        hot = i % 3 == 0
+        doc_id = i if not hot else {"no ids": None, "one id": 7, "equal rows": None}[case]
+        texts.append((doc_id, "same" * 5 if hot and case == "equal rows" else f"text {i:015d}"))
+    rows = sharding.shard_rows(spark.createDataFrame(texts, "doc_id long, text string"), 40).collect()
+    total = check_laws(rows, texts, 40)
+    assert total.max() - total.min() <= 0.01 * total.mean()
+    in_slot = np.bincount([r.virtual_slot for r in rows], minlength=4096)
+    assert in_slot.max() < 30
+
+
+def test_equal_rows_are_numbered_in_several_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PIECE_ROWS", 1)
+    texts = [(None, "same")] * 3000
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    check_laws(sharding.shard_rows(df, 4, slots=64).collect(), texts, 4)
+    stored = sharding.with_slots(sharding.cut(sharding.sizes(df), "t"), 64)
+    assert stored.select("virtual_slot").distinct().count() == 64
+
+
+def test_a_second_run_edits_the_stored_map(spark, tmp_path):
+    path = str(tmp_path / "map")
+    texts = [(i, "x" * (i % 50)) for i in range(30_000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+
+    def owners(version=None):
+        return np.array([r.shard for r in sharding.read_map(spark, path, version).orderBy("virtual_slot").collect()])
+
+    sharding.shard_rows(df, 40, path=path).count()
+    assert sharding.newest_version(spark, path) == 2
+    more = texts + [(40_000 + i, "y" * 30) for i in range(2000)]
+    rows = sharding.shard_rows(spark.createDataFrame(more, "doc_id long, text string"), 40, path=path).collect()
+    total = check_laws(rows, more, 40)
+    assert total.max() - total.min() <= 0.002 * total.mean()
+    assert sharding.newest_version(spark, path) == 3
+    moved = (owners(2) != owners(3)).mean()
+    assert 0 < moved < 0.05
+    grown = check_laws(sharding.shard_rows(df, 41, path=path).collect(), texts, 41)
+    assert grown.max() - grown.min() <= 0.002 * grown.mean() and (owners(3) != owners(4)).mean() < 0.1
+    fewer = check_laws(sharding.shard_rows(df, 38, path=path).collect(), texts, 38)
+    assert fewer.max() - fewer.min() <= 0.002 * fewer.mean() and owners().max() == 37 and (owners(4) != owners(5)).mean() < 0.2
+    with pytest.raises(ValueError, match="slots"):
+        sharding.shard_rows(df, 40, slots=64, path=path)
