@@ -17,7 +17,7 @@ A piece's probability follows Zipf's law over the order of the vocabulary, as me
 probabilities; characters outside the vocabulary become bytes. Noise is a hash of the row key, the sample and the
 place, so a row's result does not depend on its neighbours or on a repeated task.
 
-Defined results: null and empty texts have one segmentation without pieces. A text with fewer than k segmentations
+Defined results: null and empty texts have one segmentation without pieces; very long ones are walked like others, whole. A text with fewer than k segmentations
 returns all it has. A null key counts as 0. Rows that repeat a key and a text get equal results. An empty table
 gives an empty result.
 """
@@ -25,20 +25,18 @@ gives an empty result.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Sequence
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from crosswalk.llm.common import map_batches, texts
 
 MARK = "▁"  # stands for a space
-CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 PIECE_ROWS = 200  # texts that are walked through together
-CACHE = 250_000  # chunks whose lattices a task remembers before it starts anew
+CACHE = 250_000  # units whose lattices a task remembers before it starts anew
 BLOCK_CHARS = 200_000  # characters of units whose lattices are built side by side
 SCALE = 64.0  # keeps the products of piece probabilities within range; it cancels out
 
@@ -60,49 +58,62 @@ class Pieces:
         self.p = {self.model.id_to_piece(i): (i, w / total) for i, w in zip(plain, weight)}
         self.longest = max(map(len, self.p))
         # Tree nodes and their steps: (node, character) -> node; node 0 is the root.
-        steps: dict[int, int] = {}
+        steps: dict[tuple[int, str], int] = {}
         ids, probs, pairs = [-1], [0.0], set()
         for piece, (i, p) in self.p.items():
             node = 0
             for c in piece:
-                node = steps.setdefault((node << 21) + ord(c), len(ids))
+                node = steps.setdefault((node, c), len(ids))
                 if node == len(ids):
                     ids.append(-1)
                     probs.append(0.0)
             ids[node], probs[node] = i, p
-            pairs.update((ord(x) << 21) + ord(y) for x, y in zip(piece, piece[1:]))
-        self.step_keys = np.array(sorted(steps), dtype=np.int64)
-        self.step_to = np.array([steps[k] for k in sorted(steps)], dtype=np.int64)
+            pairs.update(zip(piece, piece[1:]))
         self.ids, self.probs = np.array(ids, dtype=np.int32), np.array(probs)
-        self.pairs = np.array(sorted(pairs), dtype=np.int64)  # characters that stand side by side in some piece
-
-    def chunks(self, text: str | None) -> list[str]:
-        return CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
-
-    def units(self, chunks: Sequence[str]) -> tuple[list[str], np.ndarray]:
-        """The chunks cut between characters that stand side by side in no piece, and the number of units of each."""
-        joined = "".join(chunks)
+        # Steps as tables: from the root by character; from the nodes that have any, by the number of the character
+        # among those that stand beside another in some piece (0: all others). 0 in a table is no step.
+        beside = sorted({c for pair in pairs for c in pair})
+        number = {c: n for n, c in enumerate(beside, 1)}
+        self.number_of = np.zeros(0x110000, dtype=np.int32)
+        self.number_of[[ord(c) for c in beside]] = np.arange(1, len(beside) + 1)
+        self.pairs = np.zeros((len(beside) + 1, len(beside) + 1), dtype=bool)
+        self.pairs[[number[x] for x, _ in pairs], [number[y] for _, y in pairs]] = True
+        inner = {node: n for n, node in enumerate(sorted({node for node, _ in steps if node}), 1)}
+        self.from_root = np.zeros(0x110000, dtype=np.int32)
+        self.row_of = np.zeros(len(ids), dtype=np.int32)
+        self.row_of[list(inner)] = list(inner.values())
+        self.steps = np.zeros((len(inner) + 1, len(beside) + 1), dtype=np.int32)
+        for (node, c), to in steps.items():
+            if node:
+                self.steps[inner[node], number[c]] = to
+            else:
+                self.from_root[ord(c)] = to
+
+    def units(self, texts: Sequence[str | None]) -> tuple[pa.StringArray, np.ndarray]:
+        """The units of all texts one after the other, and the number of units of each text.
+
+        A text is cut before a mark that follows another character, and between characters that stand side by side in no
+        piece. Units are slices of one buffer; none of them becomes a string of Python's.
+        """
+        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
+        joined = "".join(marked)
         points = code_points(joined)
+        number, mark = self.number_of[points], points == ord(MARK)
         cut = np.ones(len(points) + 1, dtype=bool)
-        cut[1:-1] = ~contains(self.pairs, (points[:-1] << 21) + points[1:])[1]
-        ends = np.cumsum([len(c) for c in chunks], dtype=np.int64)
+        cut[1:-1] = ~self.pairs[number[:-1], number[1:]] | (mark[1:] & ~mark[:-1])
+        ends = np.cumsum([len(t) for t in marked], dtype=np.int64)
         cut[ends] = True
         at = np.flatnonzero(cut)
-        numbers = np.diff(np.searchsorted(at, np.concatenate([[0], ends])))
-        places = at.tolist()
-        return [joined[x:y] for x, y in zip(places, places[1:])], numbers
+        width = np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))  # bytes of UTF-8 up to each character
+        offsets = np.concatenate([[0], width])[at].astype(np.int32)
+        counts = np.diff(np.searchsorted(at, np.concatenate([[0], ends])))
+        return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(offsets), pa.py_buffer(joined.encode())), counts
 
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
 
 
-def contains(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of keys in a sorted table, and whether they are in it."""
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
-
-
 class Lattices:
     """Lattices of units in flat arrays: node k has the edges ``first[k]`` up to ``first[k + 1]``, longest first.
 
@@ -114,23 +125,21 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, tuple[int, ...]] = {}  # chunk -> first nodes of its units
-        self.unit: dict[str, int] = {}
+        self.unit: dict[str, int] = {}  # unit -> its first node
         self.first = np.zeros(1, dtype=np.int64)
         self.to, self.piece = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
         self.prob, self.paths = np.zeros(0), np.zeros(0)
         self.nodes = self.edges = 0
 
-    def learn(self, chunks: Sequence[str]) -> None:
-        new = list(set(chunks).difference(self.at))
-        if len(self.at) + len(new) > CACHE:
+    def starts(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        """For each text the first nodes of its units; new units get their lattices."""
+        units, counts = self.pieces.units(texts)
+        coded = units.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        if len(self.unit) + len(names) > CACHE:
             self.clear()
-            new = list(set(chunks))
-        if not new:
-            return
-        units, numbers = self.pieces.units(new)
         block, size = [], 0
-        for u in dict.fromkeys(units):
+        for u in names:
             if u not in self.unit:
                 block.append(u)
                 size += len(u)
@@ -138,13 +147,8 @@ class Lattices:
                     self.add(block)
                     block, size = [], 0
         self.add(block)
-        nodes, at = [self.unit[u] for u in units], 0
-        for c, n in zip(new, numbers.tolist()):
-            self.at[c] = tuple(nodes[at : at + n])
-            at += n
-
-    def starts(self, chunks: Sequence[str]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.at.__getitem__, chunks)), dtype=np.int64)
+        nodes = np.fromiter(map(self.unit.__getitem__, names), dtype=np.int64, count=len(names))
+        return np.split(nodes[coded.indices.to_numpy()], np.cumsum(counts)[:-1])
 
     def add(self, units: list[str]) -> None:
         """Build the lattices of new units side by side."""
@@ -159,12 +163,16 @@ class Lattices:
         node = place + np.repeat(np.arange(len(units)), sizes)  # each unit has one more node, its end
         weight = np.zeros((len(points), reach))
         ids = np.full((len(points), reach), -1, dtype=np.int32)
-        live, state = place, np.zeros(len(points), dtype=np.int64)
+        live, number = place, pieces.number_of[points]
         for n in range(reach):
-            inside = far[live] > n
-            live, state = live[inside], state[inside]
-            at, known = contains(pieces.step_keys, (state << 21) + points[live + n])
-            live, state = live[known], pieces.step_to[at[known]]
+            if n == 0:
+                to = pieces.from_root[points]
+            else:
+                inside = far[live] > n
+                live, state = live[inside], state[inside]
+                to = pieces.steps[pieces.row_of[state], number[live + n]]
+            known = np.flatnonzero(to)
+            live, state = live[known], to[known]
             weight[live, n] = pieces.probs[state] * SCALE ** (n + 1)
             ids[live, n] = pieces.ids[state]
         strange = np.flatnonzero(ids[:, 0] < 0)  # characters outside the vocabulary
@@ -322,7 +330,7 @@ def noise_at(key: int, place: int) -> float:
     return ((key_at(key, place) >> 11) + 0.5) * 2.0**-53
 
 
-def cut_gumbel(phi: np.ndarray, top: float, u: np.ndarray) -> np.ndarray:
+def cut_gumbel(phi: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel values around ``phi``, given that they lie below ``top``."""
     with np.errstate(over="ignore", divide="ignore"):
         return -np.logaddexp(-top, np.log(-np.log(u)) - phi)
@@ -364,6 +372,7 @@ def draw(lattices: Lattices, starts: list[np.ndarray], keys: Sequence[int], k: i
         place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes - np.array(heads, dtype=np.int64), sizes)
         edges, steps, log_p = lattices.walk(np.concatenate(tails), keyed(row_key, place)) if jobs else (None, None, None)
         at = at_edge = 0
+        open_sets: list[tuple[int, Drawn, int, list, int]] = []
         for (t, value, branch), size in zip(jobs, sizes.tolist()):
             own_steps, own_log = steps[at : at + size], log_p[at : at + size]
             n_edges = int(own_steps.sum())
@@ -378,7 +387,9 @@ def draw(lattices: Lattices, starts: list[np.ndarray], keys: Sequence[int], k: i
             new = Drawn(own_edges, own_steps, own_log, value)
             found[t].append(new)
             if offset < len(own_log):
-                sets[t].append((new, branch_values(lattices, starts[t], new, offset, avoid, key_at(keys[t], 2 * number + 1)), offset, avoid))
+                open_sets.append((t, new, offset, avoid, key_at(keys[t], 2 * number + 1)))
+        for (t, new, offset, avoid, _), values in zip(open_sets, branch_values(lattices, starts, open_sets)):
+            sets[t].append((new, values, offset, avoid))
         jobs = [open_best(lattices, t, starts[t], sets[t], key_at(keys[t], 2 * number + 2), number + 1 < k) for t, *_ in jobs]
         jobs = [job for job in jobs if job]
     for t, value, _ in jobs:
@@ -386,17 +397,26 @@ def draw(lattices: Lattices, starts: list[np.ndarray], keys: Sequence[int], k: i
     return list(zip(found, threshold))
 
 
-def branch_values(lattices: Lattices, start: np.ndarray, new: Drawn, offset: int, avoid: list, key: int) -> np.ndarray:
-    """Perturbed values of the sets that differ from ``new`` first at each unit from ``offset`` on."""
-    log_p = new.log_p[offset:]
-    before = float(new.log_p[:offset].sum()) + np.cumsum(log_p) - log_p
-    phi = before + log_rest(log_p)
-    phi[lattices.paths[start[offset:]] <= 1] = -math.inf
-    if avoid:  # paths drawn earlier at the first of these units are not in its set either
-        gone = sum(lattices.path_p(a) for a in [*avoid, new.unit(offset)])
-        left = float(lattices.paths[start[offset]]) - len(avoid) - 1
-        phi[0] = float(before[0]) + math.log(max(1.0 - gone, 1e-300)) if left > 0 else -math.inf
-    return cut_gumbel(phi, new.value, noise(np.uint64(key), np.arange(offset, offset + len(phi))))
+def branch_values(lattices: Lattices, starts: list[np.ndarray], drawn: list[tuple[int, Drawn, int, list, int]]) -> list[np.ndarray]:
+    """For each (text, segmentation, first unit, paths to avoid there, key) the perturbed values of the sets that
+    differ from the segmentation first at each unit from the first one on."""
+    if not drawn:
+        return []
+    tails = [new.log_p[offset:] for _, new, offset, _, _ in drawn]
+    before = [float(new.log_p[:offset].sum()) + np.cumsum(tail) - tail for (_, new, offset, _, _), tail in zip(drawn, tails)]
+    sizes = np.array([len(tail) for tail in tails], dtype=np.int64)
+    first = np.cumsum(sizes) - sizes
+    phi = np.concatenate(before) + log_rest(np.concatenate(tails))
+    phi[lattices.paths[np.concatenate([starts[t][offset:] for t, _, offset, _, _ in drawn])] <= 1] = -math.inf
+    for at, own, (t, new, offset, avoid, _) in zip(first.tolist(), before, drawn):
+        if avoid:  # paths drawn earlier at the first of these units are not in its set either
+            gone = sum(lattices.path_p(a) for a in [*avoid, new.unit(offset)])
+            left = float(lattices.paths[starts[t][offset]]) - len(avoid) - 1
+            phi[at] = float(own[0]) + math.log(max(1.0 - gone, 1e-300)) if left > 0 else -math.inf
+    key = np.repeat(np.array([key for *_, key in drawn], dtype=np.uint64), sizes)
+    place = np.arange(len(phi)) - np.repeat(first - np.array([offset for _, _, offset, _, _ in drawn]), sizes)
+    top = np.repeat(np.array([new.value for _, new, _, _, _ in drawn]), sizes)
+    return np.split(cut_gumbel(phi, top, noise(key, place)), first[1:])
 
 
 def open_best(lattices: Lattices, t: int, start: np.ndarray, sets: list, key: int, follow: bool) -> tuple | None:
@@ -416,6 +436,16 @@ def open_best(lattices: Lattices, t: int, start: np.ndarray, sets: list, key: in
     return t, value, (base, unit, path, log_p, avoid)
 
 
+def lists(pieces: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, pieces)], dtype=np.int32)
+    flat = np.concatenate(pieces) if pieces else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+
+
+def inclusion(log_prob: float, threshold: float) -> float:
+    return -math.expm1(-math.exp(min(700.0, log_prob - threshold))) if threshold > -math.inf else 1.0
+
+
 _open: dict[tuple, Lattices] = {}  # one vocabulary per task process
 
 
@@ -425,22 +455,21 @@ def sample(docs: DataFrame, model: str, k: int = 2, theta: float = 1.0, seed: in
 
     def run(batch):
         lattices = _open.get((model, theta)) or _open.setdefault((model, theta), Lattices(Pieces(model, theta)))
-        split = [lattices.pieces.chunks(t) for t in batch.column("text").to_pylist()]
-        lattices.learn([c for chunks in split for c in chunks])
-        starts = [lattices.starts(chunks) for chunks in split]
-        ids = batch.column("doc_id").to_pylist()
-        keys = [key_at((i or 0) & FULL, seed) for i in ids]
-        names = ["doc_id", "sample", "n_pieces", "ids_crc32", "log_prob", "value", "inclusion", *(["ids"] if with_ids else [])]
-        out: dict[str, list] = {n: [] for n in names}
-        for doc_id, (drawn, threshold) in zip(ids, draw(lattices, starts, keys, k)):
-            for number, d in enumerate(drawn, 1):
-                pieces = lattices.piece[d.edges].astype("<u4")
-                log_prob = float(d.log_p.sum())
-                inclusion = -math.expm1(-math.exp(min(700.0, log_prob - threshold))) if threshold > -math.inf else 1.0
-                row = (doc_id, number, len(pieces), zlib.crc32(pieces.tobytes()), log_prob, d.value, inclusion, pieces.tolist() if with_ids else None)
-                for name, value in zip(names, row):
-                    out[name].append(value)
-        return out
+        starts = lattices.starts(batch.column("text").to_pylist())
+        ids = batch.column("doc_id")
+        keys = [key_at((i or 0) & FULL, seed) for i in ids.to_pylist()]
+        found = draw(lattices, starts, keys, k)
+        every = [d for drawn, _ in found for d in drawn]
+        pieces = [lattices.piece[d.edges].astype("<u4") for d in every]
+        log_prob = [float(d.log_p.sum()) for d in every]
+        thresholds = [threshold for drawn, threshold in found for _ in drawn]
+        row = np.repeat(np.arange(len(found)), [len(drawn) for drawn, _ in found])
+        out = {
+            "doc_id": ids.take(pa.array(row)), "sample": [n for drawn, _ in found for n in range(1, len(drawn) + 1)], "n_pieces": [len(p) for p in pieces],
+            "ids_crc32": [zlib.crc32(p.tobytes()) for p in pieces], "log_prob": log_prob, "value": [d.value for d in every],
+            "inclusion": [inclusion(*x) for x in zip(log_prob, thresholds)],
+        }
+        return out | ({"ids": lists(pieces)} if with_ids else {})
 
     schema = "doc_id long, sample int, n_pieces long, ids_crc32 long, log_prob double, value double, inclusion double"
     return map_batches(texts(docs), run, schema + (", ids array<int>" if with_ids else ""), PIECE_ROWS)
