@@ -102,7 +102,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
-    return segment.sample(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2)
+    return segment.sample(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2, packed=True)
 
 
 # Schemas of the tools that turns of the conversations table are read as calls of.

@@ -117,4 +117,6 @@ def test_query_covers_every_document(spark, data_dir, docs):
     rows = queries.QUERIES["op8_gumbel_segmentations"](spark, data_dir).collect()
     assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
     assert all(0 < r.inclusion <= 1 for r in rows)
-    assert all(len(r.ids) == r.n_pieces and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32 for r in rows)
+    assert all(len(r.ids) == 4 * r.n_pieces and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+    spelled = segment.decode(spark.createDataFrame(rows), PATH).collect()
+    assert {(r.doc_id, r.text) for r in spelled} == {(r.doc_id, (r.text or "").replace(segment.MARK, " ")) for r in docs.collect()}
