@@ -1,6 +1,8 @@
 import random
 import re
+import time
 from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pytest
@@ -79,7 +81,7 @@ def clusters():
 
 @pytest.mark.parametrize("limit", [1_000_000, 5])
 def test_links_join_what_brute_force_joins(spark, clusters, limit):
-    """With a small limit every larger bucket goes through middles, with the same groups."""
+    """With a small limit every larger bucket is narrowed, with the same groups."""
     signed = [int(np.uint64(f).astype(np.int64)) for f in clusters]
     fps = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(3)
     edges = simhash.links(fps, limit=limit)
@@ -102,8 +104,11 @@ def test_every_pair_within_distance_shares_a_key(spark):
             y ^= 1 << k
         pairs.append(tuple(int(np.uint64(v).astype(np.int64)) for v in (x, y)))
     df = spark.createDataFrame(pairs, "x long, y long")
-    keys = [F.array(*simhash.block_keys(F.col(c), 7, 4)) for c in ("x", "y")]
-    assert df.filter(~F.arrays_overlap(*keys)).count() == 0
+    masks = simhash.choices(list(range(64)), 7, 4)
+    some = simhash.narrowed(masks[:3], 7, 4)
+    assert len(masks) == 35 and all(len(ms) == 35 and all(m & masks[k] == masks[k] for m in ms) for k, ms in enumerate(some))
+    shared = [F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(F.lit(simhash.signed(m))) == 0 for m in masks]
+    assert df.filter(~reduce(lambda a, b: a | b, shared)).count() == 0
 
 
 def test_components_of_paths_stars_and_cycles(spark):
@@ -111,3 +116,30 @@ def test_components_of_paths_stars_and_cycles(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 160)} | {i: 200 for i in range(200, 203)}
     assert components(spark.createDataFrame([], "a long, b long"), "t").count() == 0
+
+
+@pytest.mark.parametrize("distance,blocks", [(3, 6), (1, 3), (2, 4)])
+def test_other_distances_with_narrowed_buckets(spark, clusters, distance, blocks):
+    """Odd distances too, with buckets that are narrowed."""
+    signed = [int(np.uint64(f).astype(np.int64)) for f in clusters]
+    fps = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(3)
+    got = {r.node: r.root for r in components(simhash.links(fps, distance, blocks, limit=20), "t").collect()}
+    want = plain_groups(clusters, distance)
+    same = defaultdict(set)
+    for f, s in zip(clusters, signed):
+        same[got.get(s, s)].add(want[f])
+    assert all(len(v) == 1 for v in same.values()) and len(same) == len(set(want.values()))
+
+
+def test_a_bucket_of_many_unlinked_fingerprints(spark):
+    """200,000 fingerprints that agree on three blocks and are far apart otherwise, and a few pairs among them."""
+    rnd = np.random.default_rng(8)
+    values = np.unique(rnd.integers(0, 1 << 37, 200_000, dtype=np.uint64) << np.uint64(27) | np.uint64(0x5A5A5A5))
+    near = values[:50] ^ np.uint64(1 << 40 | 1 << 60)
+    fps = spark.createDataFrame([(int(v),) for v in np.concatenate([values, near]).view(np.int64)], "fp long").distinct()
+    start = time.time()
+    got = {tuple(sorted((r.a, r.b))) for r in simhash.links(fps).collect()}
+    took = time.time() - start
+    assert {tuple(sorted((int(a), int(b)))) for a, b in zip(values[:50].view(np.int64), near.view(np.int64))} <= got
+    assert len(got) < 60_000  # about a tenth of them have another one within four bits by chance
+    assert took < 60, took
