@@ -2,7 +2,9 @@
 
 Calls and results are joined by conversation and identifier. Calls may depend on other calls of their conversation; a
 topological level puts each call after all it depends on. Arguments are checked against the schema of the called tool,
-and every call is serialised as canonical JSON: keys sorted, no white space, numbers in shortest form.
+and every call is serialised as canonical JSON: keys sorted, no white space, and one form for each number, however it was
+written: ``1``, ``1.0`` and ``1e0`` are the integer 1 (up to 20 digits before and 18 behind the point; beyond that, the
+shortest form of a double). Schemas compare numbers by value in the same way.
 
 Levels are longest paths, found in rounds: a dependency on a call whose own level is known is settled; a dependency on
 a call that waits for one other call only is handed on to that call, adding up the distance. So a chain of any length
@@ -13,8 +15,9 @@ no level. Each round is written to the shared folder.
 Defined results: rows with a null conversation or identifier are left out. Of several calls (or results) with one
 identifier the first counts, by turn (nulls last), then content; the numbers of calls and results are given. A
 result without a call is a row of its own. Status is, in this order of precedence, ``orphan result``, ``cycle``,
-``invalid`` (see ``errors``), ``no result`` or ``ok``. Null or unreadable arguments are the error ``not a JSON object``, and
-canonical JSON then holds null for them. A schema word that is not supported raises an error. Empty tables give an empty result.
+``invalid`` (see ``errors``), ``no result`` or ``ok``. Null or unreadable arguments are the error ``not a JSON object``, arguments that
+name a key twice the error ``repeated keys`` with the keys (or ``not a JSON object``, if only an inner object does), and
+canonical JSON then holds null for them. Very long arguments and contents are read whole. A schema word that is not supported raises an error. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -76,6 +79,26 @@ def levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.select("node", F.when(F.col("base") < BLOCKED, F.col("base")).alias("level"))
 
 
+# A JSON text falls into strings, numbers, and what stands between them.
+TOKENS = r'"(?:[^"\\]|\\.)*+"|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|[^"0-9-]++|-'
+
+
+def one_form(json_text: Column) -> Column:
+    """JSON text with each number in its one form; null if it is no JSON."""
+
+    def number(token: Column) -> Column:
+        exact = token.try_cast("decimal(38,18)")
+        double = token.try_cast("double")
+        digits = F.length(F.regexp_extract(token, r"\.([0-9]+)", 1))
+        plain = (digits <= 18) & (F.abs(double) < 1e20) & ((double == 0) | (F.abs(double) >= 1e-6)) & exact.isNotNull() & ~token.rlike("[eE]-")
+        short = F.regexp_replace(F.regexp_replace(exact.cast("string"), r"\.?0+$", ""), "^-0$", "0")
+        return F.when(token.rlike("^-?[0-9]+$"), F.regexp_replace(token, "^-0$", "0")).when(plain | (double == F.floor(double)) & (F.abs(double) < 1e18), short).otherwise(double.cast("string"))
+
+    tokens = F.regexp_extract_all(json_text, F.lit(TOKENS), F.lit(0))
+    written = F.array_join(F.transform(tokens, lambda t: F.when(t.rlike("^-?[0-9]"), number(t)).otherwise(t)), "")
+    return F.when(F.try_parse_json(json_text).isNotNull(), F.when(json_text.rlike(r"[0-9][.eE]|-0"), written).otherwise(json_text))
+
+
 def step_to(name: str) -> str:
     """Path of a property, whatever characters its name holds."""
     if "'" in name and '"' in name:
@@ -102,7 +125,7 @@ def checked(value: Column, rule: Mapping | bool, path: str = "") -> Column:
     text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
     number = F.when(kind.rlike(TYPES["number"]), F.try_variant_get(value, "$", "double"))
     members = F.when(is_array, F.try_variant_get(value, "$", "array<variant>"))
-    same = lambda v: F.to_json(value) == F.to_json(F.parse_json(F.lit(json.dumps(v))))
+    same = lambda v: F.to_json(value) == F.to_json(F.parse_json(one_form(F.lit(json.dumps(v)))))
     bad = {
         "enum": lambda x: ~reduce(Column.__or__, [same(v) for v in x], F.lit(False)), "const": lambda x: ~same(x), "minimum": lambda x: number < x, "maximum": lambda x: number > x,
         "exclusiveMinimum": lambda x: number <= x, "exclusiveMaximum": lambda x: number >= x, "minLength": lambda x: F.length(text) < x, "maxLength": lambda x: F.length(text) > x,
@@ -129,12 +152,15 @@ def checked(value: Column, rule: Mapping | bool, path: str = "") -> Column:
 
 def schema_errors(name: Column, arguments: Column, schemas: Mapping[str, Mapping]) -> Column:
     """Errors of a call's arguments by the schema of its tool, at all depths (``checked``)."""
-    value = F.try_parse_json(arguments)
+    value = F.try_parse_json(one_form(arguments))
     readable = F.coalesce(F.schema_of_variant(value).startswith("OBJECT<"), F.lit(False))
     chosen = F.array(F.lit("unknown tool"))
     for tool, schema in schemas.items():
         chosen = F.when(name == tool, checked(value, schema)).otherwise(chosen)
-    return F.when(readable, chosen).otherwise(F.array(F.lit("not a JSON object")))
+    keys = F.json_object_keys(arguments)
+    repeated = F.array_sort(F.array_distinct(F.filter(keys, lambda k: F.size(F.filter(keys, lambda other: other == k)) > 1)))
+    named = F.array(F.concat(F.lit("repeated keys "), F.array_join(repeated, " ")))
+    return F.when(readable, chosen).when(F.size(repeated) > 0, named).otherwise(F.array(F.lit("not a JSON object")))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
@@ -165,7 +191,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -
         F.when(~F.col("is_call"), "orphan result").when(F.col("level").isNull(), "cycle").when(F.size("_errors") > 0, "invalid").when(F.col("n_results").isNull(), "no result").otherwise("ok")
     )
     canonical = F.to_json(
-        F.struct(F.try_parse_json("arguments").alias("arguments"), "call_id", F.col("_errors").alias("errors"), "level", "name", F.col("content").alias("result"), status.alias("status")),
+        F.struct(F.try_parse_json(one_form(F.col("arguments"))).alias("arguments"), "call_id", F.col("_errors").alias("errors"), "level", "name", F.col("content").alias("result"), status.alias("status")),
         {"ignoreNullFields": "false"},
     )
     return out.select(

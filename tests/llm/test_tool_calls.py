@@ -114,3 +114,26 @@ def test_schemas_are_checked_at_all_depths(spark):
     for odd in ({"not": {}}, {"properties": {"a": {"format": "email"}}}, {"items": {"uniqueItems": True}}, {"additionalProperties": {"type": "string"}}):
         with pytest.raises(ValueError):
             tool_calls.checked(F.col("v"), odd)
+
+
+def test_numbers_have_one_form_whatever_they_are_written_like(spark):
+    same = ['{"n":1}', '{"n":1.0}', '{"n":1e0}', '{"n":10E-1}', ' { "n" : 1.000 } ', '{"n":0.1e1}']
+    schema = {"t": {"properties": {"n": {"type": "integer", "enum": [1, 2], "const": 1.0, "maximum": 1}}}}
+    other = {'{"n":1e2,"s":"1.0 -0 1e0 \\" 2.50"}': '{"n":100,"s":"1.0 -0 1e0 \\" 2.50"}', '{"n":[2.50,-0,-0.0,0.0,1.5e3,-2.0,1e-7,12345678901234567890.5,1e300]}': None, '{"n":-3.140}': '{"n":-3.14}', '{"n":1.0': None}
+    texts = [*same, *other]
+    calls = spark.createDataFrame([(1, f"c{i}", i, "t", t, None) for i, t in enumerate(texts)], "conv_id long, call_id string, turn int, name string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame([], "conv_id long, call_id string, turn int, content string")
+    got = {r.call_id: r for r in tool_calls.link(calls, results, schema).collect()}
+    shown = lambda i: json.loads(got[f"c{i}"].json)["arguments"]
+    raw = lambda i: got[f"c{i}"].json[len('{"arguments":') :].split(',"call_id"')[0]
+    assert all(raw(i) == '{"n":1}' and got[f"c{i}"].errors == "" for i in range(len(same)))
+    n = len(same)
+    assert raw(n) == list(other.values())[0] and raw(n + 2) == '{"n":-3.14}'
+    assert raw(n + 1).startswith('{"n":[2.5,0,0,0,1500,-2,') and shown(n + 1)["n"] == [2.5, 0, 0, 0, 1500, -2, 1e-7, 12345678901234567890.5, 1e300]
+    assert got[f"c{n + 3}"].errors == "not a JSON object" and raw(n + 3) == "null"
+
+
+def test_repeated_keys_are_named(spark):
+    calls = spark.createDataFrame([(1, "a", 1, "t", '{"x":1,"y":2,"x":3}', None), (1, "b", 2, "t", '{"x":{"z":1,"z":2}}', None)], "conv_id long, call_id string, turn int, name string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame([], "conv_id long, call_id string, turn int, content string")
+    assert {r.call_id: r.errors for r in tool_calls.link(calls, results, {"t": {}}).collect()} == {"a": "repeated keys x", "b": "not a JSON object"}
