@@ -21,10 +21,11 @@ from collections import Counter
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.llm.common import add_columns, keep_columns, map_batches, texts
+from crosswalk.session import cut
 
 WORD = re.compile(r"[^\W\d_]+")
 LENGTHS = (5, 4, 3, 2, 1)
@@ -113,18 +114,17 @@ def training_rows(docs: DataFrame, per_language: int, learned: bool = True) -> D
     """``lang``, ``text`` of the rows learned from, or else held out, with the smallest hashes: about ``per_language`` a
     language.
 
-    Only the hash below which a language has that many documents is collected, one figure per language. It is found
-    from ids alone, without reading texts.
+    The hash below which documents are taken follows from the number of a language's documents, which is all that is
+    collected, one figure per language; texts are not read for it, and no rows are moved or ranked.
     """
     rows = texts(docs, F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (held_out(F.col("doc_id")) != F.lit(learned)))
     rows = rows.withColumn("h", F.xxhash64("doc_id"))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    ids = rows.select("lang", "doc_id", "h").distinct()
-    limits = ids.withColumn("n", first).filter(F.col("n") <= per_language).groupBy("lang").agg(F.max("h").alias("most")).collect()
-    if not limits:
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n")).collect()
+    if not sizes:
         return rows.select("lang", "text").limit(0)
-    most = F.create_map(*[F.lit(v) for r in limits for v in (r["lang"], r["most"])])
+    below = {r["lang"]: min((1 << 63) - 1, int(per_language / max(1, r["n"]) * (1 << 64)) - (1 << 63)) for r in sizes}
+    most = F.create_map(*[F.lit(v) for pair in below.items() for v in pair])
     chosen = rows.filter(F.col("h") <= most[F.col("lang")])
     return chosen.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text")
 
@@ -151,15 +151,16 @@ def count_entries(rows: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "n", "entry").agg(F.sum("c").alias("c"))
 
 
-def fit(docs: DataFrame, per_language: int = 1500, entries: int = 12_000, alpha: float = 0.5) -> Model:
+def fit(docs: DataFrame, per_language: int = 1500, floor: float = 1e-5, least: int = 2, alpha: float = 0.5) -> Model:
     """Learn from a bounded sample of about ``per_language`` documents of each language.
 
-    The model keeps the ``entries`` most frequent words, and n-grams of each length, of each language, so its size
-    depends on the parameters and the number of languages only.
+    A word, or an n-gram of a length, is an entry of a language if it makes up a share of ``floor`` or more of the language's words or n-grams of that
+    length, and occurs ``least`` times. What is rarer counts as unseen. So a language has 1 / ``floor`` entries of a length at most, whatever
+    the texts are.
     """
-    found = count_entries(training_rows(docs, per_language))
-    order = Window.partitionBy("lang", "n").orderBy(F.col("c").desc(), "entry")
-    top = found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= entries).drop("place").toPandas()
+    found = cut(count_entries(training_rows(docs, per_language)), "language-counts")
+    sizes = found.groupBy("lang", "n").agg(F.greatest(F.lit(least), F.ceil(F.sum("c") * F.lit(floor))).alias("fewest"))
+    top = found.join(F.broadcast(sizes), ["lang", "n"]).filter(F.col("c") >= F.col("fewest")).drop("fewest").toPandas()  # six rows a language
     languages = sorted(top["lang"].unique().tolist())
     at = {lang: i for i, lang in enumerate(languages)}
     tables, known = {}, None
@@ -174,11 +175,12 @@ def fit(docs: DataFrame, per_language: int = 1500, entries: int = 12_000, alpha:
     return Model(languages, tables, known)
 
 
-def least_known(docs: DataFrame, model: Model, per_language: int = 300, enough: int = 20) -> dict[str, float]:
+def least_known(docs: DataFrame, model: Model, per_language: int = 300, enough: int = 20) -> dict[str | None, float]:
     """The share of known words below which a text does not fit its predicted language: half the 5th percentile among
     about ``per_language`` held-out texts of the language that are identified as such.
 
-    It does not depend on the number of languages. A language with fewer than ``enough`` such texts has no entry.
+    It does not depend on the number of languages. A language with fewer than ``enough`` such texts is judged by the
+    figure of all languages together, which is the entry None; without any such text there is none and all texts fit.
     """
 
     def run(batch):
@@ -187,18 +189,18 @@ def least_known(docs: DataFrame, model: Model, per_language: int = 300, enough:
         return {"lang": [r[0] for r in right], "share": [r[1] for r in right]}
 
     shares = map_batches(training_rows(docs, per_language, learned=False), run, "lang string, share double")
-    low = shares.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile("share", F.lit(0.05)).alias("low"))
-    return {r["lang"]: r["low"] / 2 for r in low.collect() if r["n"] >= enough}
+    low = shares.rollup("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile("share", F.lit(0.05)).alias("low"))
+    return {r["lang"]: r["low"] / 2 for r in low.collect() if r["n"] >= (1 if r["lang"] is None else enough)}
 
 
-def identify(docs: DataFrame, model: Model, keep: Sequence[str] = (), least: Mapping[str, float] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: Model, keep: Sequence[str] = (), least: Mapping[str | None, float] | None = None) -> DataFrame:
     """``doc_id``, the columns in ``keep``, ``held_out``, ``lang_pred`` and ``score`` of every row; with ``least`` (see
     ``least_known``) also ``fits``, whether the text has the share of known words that its language asks for."""
 
     def run(batch):
         found = [model.judge(t) for t in batch.column("text").to_pylist()]
         out = {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
-        return out if least is None else out | {"fits": [f[0] != "und" and f[2] >= least.get(f[0], 0.0) for f in found]}
+        return out if least is None else out | {"fits": [f[0] != "und" and f[2] >= least.get(f[0], least.get(None, 0.0)) for f in found]}
 
     new = ["lang_pred", "score"] + ([] if least is None else ["fits"])
     out = add_columns(texts(docs, *keep_columns(docs, keep)), run, "lang_pred string, score double" + ("" if least is None else ", fits boolean"))

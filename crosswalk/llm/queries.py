@@ -37,7 +37,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its category probabilities; ``toxic`` documents are the ones to reject."""
     docs = table(spark, folder, "documents")
-    chain = toxicity.fit_chain(docs, table(spark, folder, "labels"), MARKERS)
+    chain = toxicity.fit_chain(docs, table(spark, folder, "labels"))
     return toxicity.score(docs, chain).withColumn("kept", ~F.col("toxic"))
 
 

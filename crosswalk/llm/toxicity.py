@@ -4,9 +4,13 @@ Categories are predicted one after another. The linear model of each category se
 probabilities of all earlier categories; while training, these are out-of-fold predictions, so a later model learns
 from earlier probabilities as good as it will meet them on new text.
 
-Features are words and their first letters (4 and 5), since a stem may be all that a group of words shares. The most
-telling features are chosen by their chi-squared figure on a bounded sample of labelled documents; the value of a
-feature is log(1 + count). Words are runs of letters, lower-cased; whole texts are read.
+The categories come from the labels. Where labels tell one kind of toxicity from another, their words can be given; otherwise the
+telling words of the sample are put into groups by the documents they occur in together, and each group is a category
+that comes before the label itself.
+
+Features are words and their first letters (4 and 5), since a stem may be all that a group of words shares. Those are
+chosen whose chi-squared figure on a bounded sample of labelled documents is above what chance gives; the value of a
+feature is log(1 + count). Words are runs of letters, lower-cased; whole texts are read, also very long ones.
 
 Defined results: a null or empty text, or one without letters, has no features and gets the probabilities of an empty
 text, but is never rejected. Repeated rows get equal results. Without labelled rows of both classes a category has
@@ -99,10 +103,11 @@ def count_features(sample: DataFrame, label: str) -> DataFrame:
     return counts.groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def choose_features(sample: DataFrame, label: str, n_features: int, min_docs: int, min_chi: float) -> list[str]:
-    """The ``n_features`` features with the largest chi-squared figure against ``label``, more frequent in class 1.
+def choose_features(sample: DataFrame, label: str, min_docs: int, min_chi: float) -> list[str]:
+    """The features that are more frequent in class 1, by falling chi-squared figure.
 
-    ``min_chi`` keeps out what is more frequent by chance only, as many thousands of features are looked at.
+    ``min_chi`` keeps out what is more frequent by chance only, as many thousands of features are looked at. The sample
+    bounds what can pass it.
     """
     size = {r[label]: r["n"] for r in sample.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     t, c = float(size.get(1, 0)), float(size.get(0, 0))
@@ -114,18 +119,39 @@ def choose_features(sample: DataFrame, label: str, n_features: int, min_docs: in
         count_features(sample, label)
         .filter((F.col("n1") >= min_docs) & (a * F.lit(c) > b * F.lit(t)) & (chi >= min_chi))
         .orderBy(chi.desc(), "feature")
-        .limit(n_features)
     )
     return [r["feature"] for r in top.collect()]
 
 
+def word_kinds(present: np.ndarray, words: Sequence[int], kinds: int) -> list[list[int]]:
+    """The features in ``words`` in ``kinds`` groups; ``present`` says which features each document of class 1 has.
+
+    The first group grows around the most frequent word, each further one around the word that shares the fewest documents with the
+    words before; every other word joins the group with which it shares the largest part of its documents. With fewer words than groups the
+    last ones are empty.
+    """
+    if not len(words):
+        return [[] for _ in range(kinds)]
+    have = present[:, list(words)].astype(float)
+    size = have.sum(axis=0)
+    alike = (have.T @ have) / np.sqrt(np.outer(size, size) + 1e-9)
+    seeds = [int(size.argmax())]
+    while len(seeds) < min(kinds, len(words)):
+        apart = alike[:, seeds].max(axis=1) - 1e-6 * size / (size.max() + 1e-9)
+        apart[seeds] = np.inf
+        seeds.append(int(apart.argmin()))
+    near = alike[:, seeds].argmax(axis=1)
+    near[seeds] = range(len(seeds))
+    return [[words[i] for i in np.flatnonzero(near == k)] for k in range(kinds)]
+
+
 def fit_chain(
     docs: DataFrame,
     labels: DataFrame,
-    markers: Mapping[str, Sequence[str]],
+    markers: Mapping[str, Sequence[str]] | None = None,
+    kinds: int = 2,
     label: str = "toxic",
     per_class: int = 4096,
-    n_features: int = 384,
     min_docs: int = 4,
     min_chi: float = 20.0,
     folds: int = 3,
@@ -134,14 +160,16 @@ def fit_chain(
 ) -> Chain:
     """Fit a chain on at most ``per_class`` labelled documents of each class of ``label``.
 
-    The chain's categories are the keys of ``markers`` in order, then ``label`` itself. A document belongs to a marker
-    category if it is labelled 1 and holds one of the category's words. The sample is bounded, so the last step, the
-    fit, runs in one task; choosing features and reading texts is spread over all tasks.
+    The chain's categories are the keys of ``markers`` in order, or else ``kinds`` groups of words found in the sample (``kind_1``
+    and so on), then ``label`` itself. A document belongs to an earlier category if it is labelled 1 and holds one of the
+    category's words. The sample is bounded, so the last step, the fit, runs in one task; choosing features and reading texts is spread
+    over all tasks.
     """
     sample = sample_texts(docs, sample_ids(labels, label, per_class), "toxicity-sample")
-    features = choose_features(sample, label, n_features, min_docs, min_chi)
-    categories = [*markers, label]
-    words = {k: frozenset(v) for k, v in markers.items()}
+    features = choose_features(sample, label, min_docs, min_chi)
+    words = {k: frozenset(v) for k, v in (markers or {}).items()}
+    categories = [*(words if markers is not None else [f"kind_{k + 1}" for k in range(kinds)]), label]
+    whole = [i for i, f in enumerate(features) if not f.endswith("*")]
     blank = Chain(categories, features, [])
 
     def featurise(batch):
@@ -162,7 +190,11 @@ def fit_chain(
         x = np.zeros((len(group), len(features)))
         for i, (at, value) in enumerate(zip(group["at"], group["value"])):
             x[i, np.asarray(at, dtype=int)] = value
-        y = np.array(group["y"].tolist(), dtype=float).reshape(len(group), len(categories))
+        y = np.array(group["y"].tolist(), dtype=float).reshape(len(group), len(words) + 1)
+        if markers is None:
+            toxic = y[:, -1] > 0
+            found = [toxic & (x[:, g] > 0).any(axis=1) for g in word_kinds(x[toxic] > 0, whole, kinds)]
+            y = np.column_stack([*found, y[:, -1]]).astype(float)
         fold = np.arange(len(group)) % folds
         weights = []
         for k in range(len(categories)):

@@ -1,4 +1,6 @@
+import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -7,7 +9,6 @@ from pyspark.sql import functions as F
 
 from crosswalk.llm import language, line_quality, queries, toxicity
 from crosswalk.llm.common import fit_logistic, sigmoid
-from crosswalk.llm.queries import MARKERS
 
 
 @pytest.fixture(scope="module")
@@ -95,8 +96,8 @@ def test_decoding_and_gradients_equal_enumeration():
 def test_chain_on_held_out_labels(spark, tables):
     docs, labels = tables
     learned, held = labels.filter("doc_id % 4 <> 0"), labels.filter("doc_id % 4 = 0")
-    chain = toxicity.fit_chain(docs, learned, MARKERS)
-    assert chain.categories == ["insult", "contempt", "toxic"] and [len(w) for w in chain.weights] == [len(chain.features) + k + 1 for k in range(3)]
+    chain = toxicity.fit_chain(docs, learned)
+    assert chain.categories == ["kind_1", "kind_2", "toxic"] and [len(w) for w in chain.weights] == [len(chain.features) + k + 1 for k in range(3)]
     # Few rows are labelled here in other languages, so only the one with enough is judged.
     truth = held.select("doc_id", F.col("toxic").alias("label")).join(docs.filter("lang = 'en'").select("doc_id"), "doc_id")
     rows = toxicity.score(docs, chain).join(truth, "doc_id").collect()
@@ -106,17 +107,17 @@ def test_chain_on_held_out_labels(spark, tables):
 
 def test_chain_scores_equal_plain_python_and_odd_rows(spark, odd_docs, no_docs, no_labels, tables):
     docs, labels = tables
-    chain = toxicity.fit_chain(docs, labels, MARKERS)
+    chain = toxicity.fit_chain(docs, labels)
     for r in toxicity.score(odd_docs, chain, keep=["kept", "text"]).collect():
         counts = Counter(w for w in re.findall(r"[^\W\d_]+", (r.text or "").lower()))
         z = {i: np.log1p(sum(n for w, n in counts.items() if f in toxicity.word_features(w))) for i, f in enumerate(chain.features)}
         p = []
         for w in chain.weights:
             p.append(sigmoid(np.float64(w[-1] + sum(w[i] * v for i, v in z.items()) + sum(a * b for a, b in zip(w[len(chain.features) : -1], p)))))
-        assert np.allclose([r.p_insult, r.p_contempt, r.p_toxic], p)
+        assert np.allclose([r.p_kind_1, r.p_kind_2, r.p_toxic], p)
         assert r.kept == "x" and r.toxic == bool(counts and p[-1] >= 0.5)
     assert toxicity.score(no_docs, chain).count() == 0
-    blank = toxicity.fit_chain(odd_docs, no_labels, MARKERS)
+    blank = toxicity.fit_chain(odd_docs, no_labels)
     assert not toxicity.score(odd_docs, blank).filter("toxic").count() and blank.features == []
 
 
@@ -162,3 +163,113 @@ def test_language_of_odd_rows(spark, odd_docs, no_docs):
     assert language.identify(no_docs, model).count() == 0
     assert {r.lang_pred for r in language.identify(odd_docs, empty).collect()} == {"und"}
     assert got.filter(F.col("score") > 1).count() == 0
+
+
+def test_kinds_of_toxicity_come_from_the_labels(spark):
+    """Two kinds with words of their own, which no list in the code has, in other words' company."""
+    rnd = np.random.default_rng(2)
+    plain_words = [f"{a}{b}" for a in ("ba", "do", "ki", "lu", "mo", "ne") for b in ("ra", "sti", "tuk", "ven", "zol")]
+    first, second = ["grumsh", "vokta", "zarn"], ["pelk", "quib", "thrun"]
+    rows, labels = [], []
+    for i in range(900):
+        kind = [0, 0, 1, 2][i % 4]
+        words = list(rnd.choice(plain_words, 30)) + list(rnd.choice([[], first, second][kind], 2 if kind else 0))
+        rnd.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(kind > 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chain = toxicity.fit_chain(docs, spark.createDataFrame(labels[:600], "doc_id long, toxic int"))
+    got = {r.doc_id: r for r in toxicity.score(docs, chain).collect()}
+    for i in range(600, 900):
+        kind, g = [0, 0, 1, 2][i % 4], got[i]
+        assert g.toxic == bool(kind)
+        assert (max(g.p_kind_1, g.p_kind_2) > 0.5) == bool(kind)
+    held = [got[i] for i in range(600, 900)]
+    split = {kind: {g.p_kind_1 > g.p_kind_2 for i, g in zip(range(600, 900), held) if [0, 0, 1, 2][i % 4] == kind} for kind in (1, 2)}
+    assert len(split[1]) == len(split[2]) == 1 and split[1] != split[2]
+
+
+def test_given_words_are_categories(spark, tables):
+    docs, labels = tables
+    chain = toxicity.fit_chain(docs, labels, {"a": ["idiot"], "b": ["no such word"]})
+    assert chain.categories == ["a", "b", "toxic"]
+
+
+def plain_language(rows, per_language, floor=1e-5, least=2, alpha=0.5):
+    """(doc_id, prediction, score) from the definition, without tables of entries."""
+    learn = {}
+    for i, text, lang, hashed, below in rows:
+        if lang is not None and i is not None and zlib.crc32(str(i).encode()) % 3 != 1 and hashed <= below[lang]:
+            learn[lang, i] = min(text, learn.get((lang, i), text), key=lambda t: (t is None, t))
+    words = {}
+    for (lang, _), text in learn.items():
+        words.setdefault(lang, Counter()).update(re.findall(r"[^\W\d_]+", (text or "").lower()))
+    languages = sorted(k for k, v in words.items() if v)
+    entries = {}
+    for n in (0, 5, 4, 3, 2, 1):
+        for lang in languages:
+            c = Counter()
+            for w, k in words[lang].items():
+                marked = w if n < 2 else f"<{w}>"
+                for g in [w] if n == 0 else [marked[j : j + n] for j in range(len(marked) - n + 1)]:
+                    c[g] += k
+            fewest = max(least, math.ceil(sum(c.values()) * floor))
+            entries[n, lang] = {g: k for g, k in c.items() if k >= fewest}
+    size = {n: len({g for lang in languages for g in entries[n, lang]}) for n in (0, 5, 4, 3, 2, 1)}
+    total = {key: sum(c.values()) for key, c in entries.items()}
+
+    def figure(n, lang, g):
+        return math.log(entries[n, lang].get(g, 0) + alpha) - math.log(total[n, lang] + alpha * max(1, size[n]))
+
+    def scores(word):
+        for n in (0, 5, 4, 3, 2, 1):
+            marked = word if n < 2 else f"<{word}>"
+            grams = [word] if n == 0 else [marked[j : j + n] for j in range(len(marked) - n + 1)]
+            known = [g for g in grams if any(g in entries[n, lang] for lang in languages)]
+            if known:
+                return [sum(figure(n, lang, g) for g in known) / len(known) for lang in languages]
+        return [0.0] * len(languages)
+
+    out = {}
+    for i, text, *_ in rows:
+        found = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not languages or not any(c.isalpha() for w in found for c in w):
+            out[i] = ("und", 0.0)
+            continue
+        sums = [sum(s) for s in zip(*[scores(w) for w in found])]
+        best = max(range(len(sums)), key=lambda k: sums[k])
+        out[i] = (languages[best], 1 / sum(math.exp((s - sums[best]) / math.sqrt(len(found))) for s in sums))
+    return out
+
+
+def test_language_query_equals_plain_python(spark, data_dir):
+    """The whole query: which documents are learned from, counts, floors, back-off, prediction and score."""
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    known = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~language.held_out(F.col("doc_id")))
+    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n")).collect()}
+    below = {lang: min((1 << 63) - 1, int(1500 / n * (1 << 64)) - (1 << 63)) for lang, n in sizes.items()}
+    rows = [(*r, below) for r in docs.select("doc_id", "text", "lang", F.xxhash64(F.col("doc_id").cast("long"))).collect()]
+    want = plain_language(rows, 1500)
+    got = queries.QUERIES["op6_word_first_language"](spark, data_dir).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert r.lang_pred == want[r.doc_id][0] and np.isclose(r.score, want[r.doc_id][1], atol=1e-9)
+
+
+def test_learned_documents_are_about_as_many_as_asked_for(spark):
+    rows = [(i, f"text {i}", "a" if i % 10 else "b") for i in range(20_000)] + [(7, "text 7", "a")] * 5000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    n = Counter(r.lang for r in language.training_rows(docs, 500).collect())
+    assert 400 <= n["a"] <= 600 and 400 <= n["b"] <= 600
+    assert language.training_rows(docs, 10**6).count() == docs.select("doc_id").distinct().filter(~language.held_out(F.col("doc_id"))).count()
+
+
+def test_languages_with_few_held_out_texts_are_judged_by_all(spark):
+    rows = [(i, "alpha beta gamma delta words of a kind here again", "en") for i in range(400)] + [(1000 + i, "uno dos tres cuatro cinco", "es") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    least = language.least_known(docs, model)
+    assert set(least) == {"en", None} and least[None] > 0.3
+    noise = spark.createDataFrame([(1, "uno qqq www eee rrr ttt yyy uuu iii ooo", None), (2, "uno dos tres", None)], docs.schema)
+    assert {r.doc_id: r.fits for r in language.identify(noise, model, least=least).collect()} == {1: False, 2: True}
