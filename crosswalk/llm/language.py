@@ -151,15 +151,15 @@ def count_entries(rows: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "n", "entry").agg(F.sum("c").alias("c"))
 
 
-def fit(docs: DataFrame, per_language: int = 1500, floor: float = 1e-5, least: int = 2, alpha: float = 0.5) -> Model:
+def fit(docs: DataFrame, per_language: int = 1500, floor: float = 1e-5, alpha: float = 0.5) -> Model:
     """Learn from a bounded sample of about ``per_language`` documents of each language.
 
     A word, or an n-gram of a length, is an entry of a language if it makes up a share of ``floor`` or more of the language's words or n-grams of that
-    length, and occurs ``least`` times. What is rarer counts as unseen. So a language has 1 / ``floor`` entries of a length at most, whatever
+    length. What is rarer counts as unseen. So a language has 1 / ``floor`` entries of a length at most, whatever
     the texts are.
     """
     found = cut(count_entries(training_rows(docs, per_language)), "language-counts")
-    sizes = found.groupBy("lang", "n").agg(F.greatest(F.lit(least), F.ceil(F.sum("c") * F.lit(floor))).alias("fewest"))
+    sizes = found.groupBy("lang", "n").agg(F.ceil(F.sum("c") * F.lit(floor)).alias("fewest"))
     top = found.join(F.broadcast(sizes), ["lang", "n"]).filter(F.col("c") >= F.col("fewest")).drop("fewest").toPandas()  # six rows a language
     languages = sorted(top["lang"].unique().tolist())
     at = {lang: i for i, lang in enumerate(languages)}

@@ -12,13 +12,6 @@ from crosswalk.llm import codes, language, line_quality, negatives, packing, rou
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-# Words that mark the first two categories of the toxicity chain.
-MARKERS = {
-    "insult": ["clown", "idiot", "loser", "moron", "scum", "trash"],
-    "contempt": ["disgusting", "pathetic", "stupid", "worthless"],
-}
-
-
 def query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn

@@ -195,7 +195,7 @@ def test_given_words_are_categories(spark, tables):
     assert chain.categories == ["a", "b", "toxic"]
 
 
-def plain_language(rows, per_language, floor=1e-5, least=2, alpha=0.5):
+def plain_language(rows, per_language, floor=1e-5, alpha=0.5):
     """(doc_id, prediction, score) from the definition, without tables of entries."""
     learn = {}
     for i, text, lang, hashed, below in rows:
@@ -213,7 +213,7 @@ def plain_language(rows, per_language, floor=1e-5, least=2, alpha=0.5):
                 marked = w if n < 2 else f"<{w}>"
                 for g in [w] if n == 0 else [marked[j : j + n] for j in range(len(marked) - n + 1)]:
                     c[g] += k
-            fewest = max(least, math.ceil(sum(c.values()) * floor))
+            fewest = math.ceil(sum(c.values()) * floor)
             entries[n, lang] = {g: k for g, k in c.items() if k >= fewest}
     size = {n: len({g for lang in languages for g in entries[n, lang]}) for n in (0, 5, 4, 3, 2, 1)}
     total = {key: sum(c.values()) for key, c in entries.items()}
