@@ -29,7 +29,8 @@ from crosswalk.llm.common import map_batches, number_in_groups, texts
 from crosswalk.session import cut
 
 PIECE_ROWS = 500  # items of one length that are numbered in one task, about
-CACHE = 600_000  # units whose ids a task remembers before it starts anew
+TEXT_ROWS = 1_000  # texts whose words are looked up together
+CACHE = 400_000  # units whose ids a task remembers before it starts anew
 PLAIN = "^(?P<letters>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[!#$%&()*+,./:;=?@-]*)$"
 
 
@@ -97,18 +98,19 @@ class WordIds:
         parts = pc.extract_regex(coded.dictionary, PLAIN)
         letters, marks = parts.field("letters").filter(parts.is_valid()), parts.field("marks").filter(parts.is_valid())
         plain = parts.is_valid().to_numpy(zero_copy_only=False)
-        unit = np.zeros((2, len(plain)), dtype=np.int64)
+        unit = np.zeros((2, len(plain)), dtype=np.int32)
         for side, values in enumerate((pc.utf8_lower(letters), marks)):
             values = values.dictionary_encode()
             unit[side, plain] = self.numbers(self.units, values.dictionary.to_pylist(), self.learn_units)[values.indices.to_numpy()]
         unit[0, ~plain] = self.numbers(self.odd, coded.dictionary.filter(pc.invert(parts.is_valid())).to_pylist(), self.learn_odd)
-        both = unit[:, coded.indices.to_numpy()].T.ravel()
+        both = unit.T[coded.indices.to_numpy()].ravel()  # for each word its letters and its marks
         size = self.size[both]
         ends = np.cumsum(size)
-        used = np.flatnonzero(size)
-        both, size = both[used], size[used]
-        place = np.arange(int(size.sum())) + np.repeat(self.first[both] - (np.cumsum(size) - size), size)
-        return self.ids[place], np.concatenate([[0], ends[1::2]])
+        begin = np.concatenate([[0], ends[1::2]])
+        shift = (self.first[both] - ends + size).astype(np.int32)
+        place = np.repeat(shift, size)
+        place += np.arange(len(place), dtype=np.int32)
+        return self.ids[place], begin
 
 
 _open: dict[str, WordIds] = {}  # one tokenizer per task process
@@ -134,7 +136,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0
         crc = [zlib.crc32(data[x : x + 4 * n]) for x, n in zip(at, length.tolist())]
         return {"doc_id": batch.column("doc_id").take(pa.array(doc)), "piece": piece.astype(np.int32), "start": piece * capacity, "length": length, "ids_crc32": crc}
 
-    return map_batches(texts(docs), run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_batches(texts(docs), run, "doc_id long, piece int, start long, length long, ids_crc32 long", TEXT_ROWS)
 
 
 def plan(counts: Mapping[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

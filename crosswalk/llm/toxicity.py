@@ -106,8 +106,8 @@ def count_features(sample: DataFrame, label: str) -> DataFrame:
 def choose_features(sample: DataFrame, label: str, min_docs: int, min_chi: float) -> list[str]:
     """The features that are more frequent in class 1, by falling chi-squared figure.
 
-    ``min_chi`` keeps out what is more frequent by chance only, as many thousands of features are looked at. The sample
-    bounds what can pass it.
+    ``min_chi`` keeps out what is more frequent by chance only, as many thousands of features are looked at, and what a
+    group of near copies has in common. The sample bounds what can pass it.
     """
     size = {r[label]: r["n"] for r in sample.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     t, c = float(size.get(1, 0)), float(size.get(0, 0))
@@ -153,7 +153,7 @@ def fit_chain(
     label: str = "toxic",
     per_class: int = 4096,
     min_docs: int = 4,
-    min_chi: float = 20.0,
+    min_chi: float = 60.0,
     folds: int = 3,
     l2: float = 1e-4,
     steps: int = 250,
