@@ -451,16 +451,17 @@ def sample(docs: DataFrame, model: str, k: int = 2, theta: float = 1.0, seed: in
         keys = [key_at((i or 0) & FULL, seed) for i in ids.to_pylist()]
         found = draw(lattices, starts, keys, k)
         every = [d for drawn, _ in found for d in drawn]
-        pieces = [lattices.piece[d.edges].astype("<u4") for d in every]
+        pieces = [lattices.piece[d.edges] for d in every]
+        data = [p.tobytes() for p in pieces]  # little-endian, as the machine is
         log_prob = [float(d.log_p.sum()) for d in every]
         thresholds = [threshold for drawn, threshold in found for _ in drawn]
         row = np.repeat(np.arange(len(found)), [len(drawn) for drawn, _ in found])
         out = {
             "doc_id": ids.take(pa.array(row)), "sample": [n for drawn, _ in found for n in range(1, len(drawn) + 1)], "n_pieces": [len(p) for p in pieces],
-            "ids_crc32": [zlib.crc32(p.tobytes()) for p in pieces], "log_prob": log_prob, "value": [d.value for d in every],
+            "ids_crc32": [zlib.crc32(b) for b in data], "log_prob": log_prob, "value": [d.value for d in every],
             "inclusion": [inclusion(*x) for x in zip(log_prob, thresholds)],
         }
-        return out | ({"ids": [p.tobytes() for p in pieces] if packed else [p.tolist() for p in pieces]} if with_ids else {})
+        return out | ({"ids": data if packed else [p.tolist() for p in pieces]} if with_ids else {})
 
     schema = "doc_id long, sample int, n_pieces long, ids_crc32 long, log_prob double, value double, inclusion double"
     return map_batches(texts(docs), run, schema + (f", ids {'binary' if packed else 'array<int>'}" if with_ids else ""), PIECE_ROWS)
