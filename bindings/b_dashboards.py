@@ -23,7 +23,7 @@ t AS (SELECT e.id, count(DISTINCT f.code) AS feature_count, COALESCE(string_agg(
 def typed(i):
     family = F.col("code").contains("URGENT") | F.col("code").contains("HIGH")
     return A.feature_family_type(
-        i.entity.filter("status = 'ACTIVE'"), i.feature_log.filter("state = 'enabled'"), "id", "entity_id", "code", family, "Urgent Only"
+        i.entity.filter("status = 'ACTIVE'"), i.feature_log.filter("state = 'enabled'"), "id", "entity_id", "code", family, "Urgent Only", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     )
 
 

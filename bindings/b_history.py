@@ -186,7 +186,7 @@ WITH {CURRENT} SELECT entity_id, COALESCE(string_agg(code, ',' ORDER BY code) FI
   CAST(count(*) FILTER (WHERE state = 'enabled') AS INT) AS enabled_count FROM cur GROUP BY entity_id
 """)
 def w12_set(i):
-    return H.enabled_set(H.event_current_state(i.feature_log, "entity_id", "code", "state", "changed_at", "log_id"), "entity_id", "code", "state")
+    return H.enabled_set(H.event_current_state(i.feature_log, "entity_id", "code", "state", "changed_at", "log_id"), "entity_id", "code", "state", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
 
 
 @query("a40_lifecycle_duration", """

@@ -223,7 +223,12 @@ def a32(i):
 SELECT o_custkey, count(*) AS error_count, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS error_types FROM orders WHERE o_orderstatus = 'P' GROUP BY 1 HAVING count(*) > 1
 """)
 def a33(i):
-    return A.error_rollup(i.orders.filter("o_orderstatus = 'P'"), "o_custkey", "o_orderpriority")
+    return A.error_rollup(i.orders.filter("o_orderstatus = 'P'"), "o_custkey", "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
+
+
+@query("a33_error_kinds", "SELECT o_custkey, o_orderpriority, count(*) AS error_count FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2")
+def a33_kinds(i):
+    return A.error_kinds(i.orders.filter("o_orderstatus = 'P'"), "o_custkey", "o_orderpriority")
 
 
 @query("a34_token_cost", """

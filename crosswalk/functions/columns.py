@@ -98,6 +98,15 @@ def flag_total(flags: Sequence[str | Column]) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(c.cast("int"), F.lit(0)) for c in cols])
 
 
+def codes_present(code: Column, codes: Sequence[str], condition: Column | None = None, separator: str = ", ") -> tuple[Column, Column]:
+    """Aggregates over rows: those of ``codes`` that occur (where ``condition`` holds) as sorted text, and how many they are.
+
+    One flag per given code: unlike a set gathered from the rows, it can't grow with them.
+    """
+    seen = [F.max(F.when((code == c) if condition is None else ((code == c) & condition), F.lit(c))) for c in sorted(codes)]
+    return F.concat_ws(separator, *seen), reduce(lambda a, b: a + b, [s.isNotNull().cast("int") for s in seen])
+
+
 def recency_bucket(age_days: Column, edges: Sequence[tuple[int, str]], beyond: str, missing: str | None = None) -> Column:
     """first label whose edge is not exceeded by the age."""
     rules: list[Rule] = [(age_days.isNull(), missing)] + [(age_days <= edge, label) for edge, label in edges]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import (
     Rule,
+    codes_present,
     count_if,
     first_match,
     hours_between,
@@ -22,7 +23,7 @@ from crosswalk.functions.columns import (
     percent,
     week_text,
 )
-from crosswalk.functions.scale import group_stats, highest, percentiles, with_figures
+from crosswalk.functions.scale import group_stats, highest, latest_per_key, percentiles, with_figures
 from crosswalk.operators.windows import percent_of_total
 
 
@@ -36,17 +37,16 @@ def label_counts(status: str, labels: Mapping[str, str]) -> list[Column]:
 
 
 def feature_family_type(
-    entities: DataFrame, features: DataFrame, entity_id: str, feature_key: str, code: str, in_family: Column, only_label: str
+    entities: DataFrame, features: DataFrame, entity_id: str, feature_key: str, code: str, in_family: Column, only_label: str, codes: Sequence[str]
 ) -> DataFrame:
-    """A3: each entity with its enabled features counted and typed: none, only the family, or mixed.
+    """A3: each entity with its enabled features (of ``codes``, the features there are) counted and typed: none, only the family, or mixed.
 
     Features are reduced to one row per entity first; grouping is by the entity's own id, so entities without
     features stay apart.
     """
-    per = features.groupBy(F.col(feature_key).alias(entity_id)).agg(F.collect_set(code).alias("_codes"), count_if(~in_family).alias("_other"))
-    per = per.select(
-        entity_id, F.size("_codes").cast("bigint").alias("feature_count"), F.array_join(F.array_sort("_codes"), ", ").alias("feature_list"), "_other"
-    )
+    listed, number = codes_present(F.col(code), codes)
+    known = features.filter(F.col(code).isin(*codes))
+    per = known.groupBy(F.col(feature_key).alias(entity_id)).agg(number.cast("bigint").alias("feature_count"), listed.alias("feature_list"), count_if(~in_family).alias("_other"))
     out = entities.join(per, entity_id, "left").fillna(0, ["feature_count", "_other"]).fillna("", ["feature_list"])
     kind = first_match([(F.col("feature_count") == 0, "No Features"), (F.col("_other") == 0, only_label)], "Mixed Features")
     return out.withColumn("feature_type", kind).drop("_other")
@@ -269,10 +269,10 @@ def category_trend(df: DataFrame, ts: str, category: str) -> DataFrame:
 
 def first_response(opened: DataFrame, replies: DataFrame, key: str, opened_at: str, reply_at: str, agent: str, tie: str) -> DataFrame:
     """The first reply of each case, who gave it and the hours it took."""
-    first = replies.groupBy(key).agg(F.min_by(F.struct(F.col(reply_at), F.col(agent)), F.struct(reply_at, tie)).alias("_f"))
+    first = latest_per_key(replies, [key], [F.col(reply_at).asc(), F.col(tie).asc()]).select(key, F.col(reply_at).alias("_at"), F.col(agent).alias("_agent"))
     out = opened.join(first, key)
-    hours = hours_between(F.col(opened_at), F.col(f"_f.{reply_at}"))
-    return out.select(key, opened_at, F.col(f"_f.{reply_at}").alias("first_response_at"), F.col(f"_f.{agent}").alias("agent"), F.round(hours, 4).alias("response_hours"))
+    hours = hours_between(F.col(opened_at), F.col("_at"))
+    return out.select(key, opened_at, F.col("_at").alias("first_response_at"), F.col("_agent").alias("agent"), F.round(hours, 4).alias("response_hours"))
 
 
 def response_by_agent(first: DataFrame, opened_at: str) -> DataFrame:
@@ -324,12 +324,17 @@ def json_key_stats(df: DataFrame, json: str, path: str, score: str, top: int | N
     return highest(out, [F.desc("avg_score"), F.asc("json_value")], top)
 
 
-def error_rollup(df: DataFrame, key: str, kind: str, more_than: int = 1) -> DataFrame:
-    """Entities with several errors and their distinct kinds (a fixed, small set of codes)."""
-    out = df.groupBy(key).agg(F.count(F.lit(1)).alias("error_count"), F.array_join(F.array_sort(F.collect_set(kind)), ", ").alias("error_types"))
+def error_rollup(df: DataFrame, key: str, kind: str, kinds: Sequence[str], more_than: int = 1) -> DataFrame:
+    """Entities with several errors and those of the known ``kinds`` that they have; ``error_kinds`` has all kinds as rows."""
+    out = df.groupBy(key).agg(F.count(F.lit(1)).alias("error_count"), codes_present(F.col(kind), kinds)[0].alias("error_types"))
     return out.filter(F.col("error_count") > more_than)
 
 
+def error_kinds(df: DataFrame, key: str, kind: str) -> DataFrame:
+    """A row per entity and kind of error, however many kinds there are."""
+    return df.groupBy(key, kind).agg(F.count(F.lit(1)).alias("error_count"))
+
+
 def token_cost(df: DataFrame, model: str, inputs: str, outputs: str, input_price: float = 0.03, output_price: float = 0.06) -> DataFrame:
     """Cost per model from token sums and prices per thousand tokens."""
     out = df.groupBy(model).agg(F.sum(inputs).alias("input_tokens"), F.sum(outputs).alias("output_tokens"))

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crosswalk.functions.columns import count_if, day_text, elapsed, hours_between, micros, moment
+from crosswalk.functions.columns import codes_present, count_if, day_text, elapsed, hours_between, micros, moment
 from crosswalk.functions.scale import carried, join_back, lag_in_key, latest_per_key, pieces
 
 FOREVER = "9999-12-31 00:00:00"  # the end of a period that is still open
@@ -141,12 +141,10 @@ def event_current_state(df: DataFrame, entity: str, code: str, state: str, ts: s
     return latest_per_key(df, [entity, code], [F.col(ts).desc_nulls_last(), F.col(tie).desc()]).select(entity, code, state, F.col(ts).alias("since"))
 
 
-def enabled_set(current: DataFrame, entity: str, code: str, state: str, enabled: str = "enabled") -> DataFrame:
-    """Enabled codes of each entity as sorted text, and their number. Codes per entity are few and distinct."""
-    codes = F.array_sort(F.collect_set(F.when(F.col(state) == enabled, F.col(code))))
-    return current.groupBy(entity).agg(codes.alias("_c")).select(
-        entity, F.array_join("_c", ",").alias("enabled_codes"), F.size("_c").alias("enabled_count")
-    )
+def enabled_set(current: DataFrame, entity: str, code: str, state: str, codes: Sequence[str], enabled: str = "enabled") -> DataFrame:
+    """Those of ``codes`` that are enabled for each entity as sorted text, and their number."""
+    listed, number = codes_present(F.col(code), codes, F.col(state) == enabled, ",")
+    return current.groupBy(entity).agg(listed.alias("enabled_codes"), number.alias("enabled_count"))
 
 
 def lifecycle_duration(df: DataFrame, key: str, status: str, ts: str, start: str, end: str) -> DataFrame:
@@ -170,11 +168,11 @@ def cross_service_context(root: DataFrame, key: str, services: Mapping[str, tupl
     """
     out = root.withColumn("_k", F.col(key).cast("string"))
     for prefix, (df, theirs, order, columns) in services.items():
-        newest = df.groupBy(F.col(theirs).cast("string").alias("_k")).agg(
-            F.max_by(F.struct(*columns), F.struct(order, *columns)).alias("_v"), F.count(F.lit(1)).alias(f"{prefix}_records")
-        )
-        side = newest.select("_k", f"{prefix}_records", *[F.col(f"_v.{c}").alias(f"{prefix}_{c}") for c in columns])
-        out = out.join(side, "_k", "left").fillna(0, [f"{prefix}_records"])
+        keyed = df.withColumn("_k", F.col(theirs).cast("string")).filter(F.col("_k").isNotNull())
+        newest = latest_per_key(keyed, ["_k"], [F.col(c).desc_nulls_last() for c in (order, *columns)])
+        counts = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias(f"{prefix}_records"))
+        side = newest.select("_k", *[F.col(c).alias(f"{prefix}_{c}") for c in columns])
+        out = out.join(counts, "_k", "left").join(side, "_k", "left").fillna(0, [f"{prefix}_records"])
     return out.drop("_k")
 
 
@@ -187,11 +185,9 @@ def eligible_next(
     are not paired with reviewers.
     """
     waiting = items.filter(ready & (F.col(due) <= moment(as_of))).withColumn("_p", priority)
-    order = F.struct(F.col("_p"), F.col(due), F.col(item))
-    best = waiting.groupBy(group).agg(F.min(order).alias("_b"))
+    order = [F.col("_p").asc(), F.col(due).asc(), F.col(item).asc()]
+    best = latest_per_key(waiting.select(group, "_p", due, item), [group], order)
     allowed = permissions.select(who, group).distinct().join(best, group)
-    return allowed.groupBy(who).agg(F.min(F.struct("_b", group)).alias("_x")).select(
-        who, F.col(f"_x.{group}").alias(group), F.col("_x._b._p").alias("priority"), F.col(f"_x._b.{due}").alias(due), F.col(f"_x._b.{item}").alias(item)
-    )
+    return latest_per_key(allowed, [who], [*order, F.col(group).asc()]).select(who, group, F.col("_p").alias("priority"), due, item)
 
 

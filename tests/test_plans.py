@@ -30,7 +30,7 @@ def test_ledger_and_survivors_account_for_everyone(spark, rows):
 def test_feature_types_keep_entities_without_features_apart(spark, rows):
     e = spark.createDataFrame([(1, "n"), (2, "n"), (3, "n"), (4, "m")], "id int, name string")
     f = spark.createDataFrame([(3, "idv"), (3, "idv"), (4, "idv"), (4, "bank")], "eid int, code string")
-    got = A.feature_family_type(e, f, "id", "eid", "code", F.col("code").contains("idv"), "IDV Only")
+    got = A.feature_family_type(e, f, "id", "eid", "code", F.col("code").contains("idv"), "IDV Only", ["bank", "idv"])
     assert rows(got, "id", "feature_type", "feature_count") == [(1, "No Features", 0), (2, "No Features", 0), (3, "IDV Only", 1), (4, "Mixed Features", 2)]
 
 
