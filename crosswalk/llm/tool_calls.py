@@ -150,9 +150,9 @@ def checked(value: Column, rule: Mapping | bool, path: str = "") -> Column:
     return F.concat(F.array_compact(F.array(*found)), *more)
 
 
-def schema_errors(name: Column, arguments: Column, schemas: Mapping[str, Mapping]) -> Column:
-    """Errors of a call's arguments by the schema of its tool, at all depths (``checked``)."""
-    value = F.try_parse_json(one_form(arguments))
+def schema_errors(name: Column, arguments: Column, plain: Column, schemas: Mapping[str, Mapping]) -> Column:
+    """Errors of a call's arguments by the schema of its tool, at all depths (``checked``); ``plain`` are the arguments in one form."""
+    value = F.try_parse_json(plain)
     readable = F.coalesce(F.schema_of_variant(value).startswith("OBJECT<"), F.lit(False))
     chosen = F.array(F.lit("unknown tool"))
     for tool, schema in schemas.items():
@@ -175,7 +175,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -
     calls = calls.select("conv_id", F.col("call_id").cast("string").alias("call_id"), "turn", "name", "arguments", F.array_distinct(F.array_compact("depends_on")).alias("depends_on"))
     results = results.select("conv_id", F.col("call_id").cast("string").alias("call_id"), F.col("turn").alias("result_turn"), "content")
     ordered = calls.withColumn("_deps", F.array_join("depends_on", "\x1f"))
-    calls = cut(first_rows(ordered, ["turn", "name", "arguments", "_deps"], "n_calls").drop("_deps").withColumn("node", node), "calls")
+    calls = cut(first_rows(ordered, ["turn", "name", "arguments", "_deps"], "n_calls").drop("_deps").withColumn("node", node).withColumn("plain", one_form(F.col("arguments"))), "calls")
     results = first_rows(results, ["result_turn", "content"], "n_results")
     wanted = calls.select("conv_id", "node", F.explode("depends_on").alias("call_id"))
     deps = wanted.select("node", F.concat_ws("\x1f", F.col("conv_id").cast("string"), "call_id").alias("dep"))
@@ -185,13 +185,13 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -
     both = called.withColumn("is_call", F.lit(True)).join(results, ["conv_id", "call_id"], "full")
     is_call = F.col("is_call").isNotNull()
     lost = F.when(F.col("n_unknown") > 0, F.array(F.lit("unknown dependency"))).otherwise(F.array().cast("array<string>"))
-    errors = F.when(is_call, F.concat(schema_errors(F.col("name"), F.col("arguments"), schemas), lost)).otherwise(F.array().cast("array<string>"))
+    errors = F.when(is_call, F.concat(schema_errors(F.col("name"), F.col("arguments"), F.col("plain"), schemas), lost)).otherwise(F.array().cast("array<string>"))
     out = both.withColumn("_errors", errors).withColumn("is_call", is_call)
     status = (
         F.when(~F.col("is_call"), "orphan result").when(F.col("level").isNull(), "cycle").when(F.size("_errors") > 0, "invalid").when(F.col("n_results").isNull(), "no result").otherwise("ok")
     )
     canonical = F.to_json(
-        F.struct(F.try_parse_json(one_form(F.col("arguments"))).alias("arguments"), "call_id", F.col("_errors").alias("errors"), "level", "name", F.col("content").alias("result"), status.alias("status")),
+        F.struct(F.try_parse_json("plain").alias("arguments"), "call_id", F.col("_errors").alias("errors"), "level", "name", F.col("content").alias("result"), status.alias("status")),
         {"ignoreNullFields": "false"},
     )
     return out.select(
