@@ -109,7 +109,7 @@ def test_schemas_are_checked_at_all_depths(spark):
         '{"o.p":{"x":1},"u":5}': ["value of u"], '{"o.p":{"x":1},"u":true}': ["value of u"], '{"o.p":{"x":1},"w":2}': ["value of w"],
     }
     df = spark.createDataFrame([(i, text) for i, text in enumerate(cases)], "i int, a string")
-    got = df.select("i", tool_calls.schema_errors(F.lit("f"), F.col("a"), {"f": schema}).alias("e")).orderBy("i").collect()
+    got = df.select("i", tool_calls.schema_errors(F.lit("f"), F.col("a"), tool_calls.one_form(F.col("a")), {"f": schema}).alias("e")).orderBy("i").collect()
     assert [r.e for r in got] == list(cases.values())
     for odd in ({"not": {}}, {"properties": {"a": {"format": "email"}}}, {"items": {"uniqueItems": True}}, {"additionalProperties": {"type": "string"}}):
         with pytest.raises(ValueError):
