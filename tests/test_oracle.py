@@ -32,7 +32,7 @@ def test_every_inventory_id_has_a_query():
         ids = re.findall(r"^\| ([SFJAWTUMR]\d+) \|", f.read(), re.M)
     have = {n.split("_")[0].upper() for n in QUERIES}
     assert len(ids) == 160 and set(ids) <= have
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - set(ORACLE) == {"a38_storage_inventory"} and set(ORACLE) <= set(QUERIES)  # bytes and files; see test_runs
 
 
 def test_no_nested_loops_and_no_python_in_any_plan(spark, data_dir):
