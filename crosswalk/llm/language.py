@@ -24,6 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crosswalk.functions.scale import percentiles
 from crosswalk.llm.common import add_columns, keep_columns, map_batches, texts
 from crosswalk.session import cut
 
@@ -110,23 +111,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def training_rows(docs: DataFrame, per_language: int, learned: bool = True) -> DataFrame:
+def training_rows(docs: DataFrame, per_language: int | None, learned: bool = True) -> DataFrame:
     """``lang``, ``text`` of the rows learned from, or else held out, with the smallest hashes: about ``per_language`` a
-    language.
+    language. None: all of them.
 
     The hash below which documents are taken follows from the number of a language's documents, which is all that is
     collected, one figure per language; texts are not read for it, and no rows are moved or ranked.
     """
     rows = texts(docs, F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (held_out(F.col("doc_id")) != F.lit(learned)))
+    if per_language is None:
+        return once(rows)
     rows = rows.withColumn("h", F.xxhash64("doc_id"))
     sizes = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n")).collect()
     if not sizes:
         return rows.select("lang", "text").limit(0)
     below = {r["lang"]: min((1 << 63) - 1, int(per_language / max(1, r["n"]) * (1 << 64)) - (1 << 63)) for r in sizes}
     most = F.create_map(*[F.lit(v) for pair in below.items() for v in pair])
-    chosen = rows.filter(F.col("h") <= most[F.col("lang")])
-    return chosen.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text")
+    return once(rows.filter(F.col("h") <= most[F.col("lang")]))
+
+
+def once(rows: DataFrame) -> DataFrame:
+    """``lang``, ``text`` of each document once."""
+    return rows.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def count_entries(rows: DataFrame) -> DataFrame:
@@ -175,9 +182,9 @@ def fit(docs: DataFrame, per_language: int = 1500, floor: float = 1e-5, alpha: f
     return Model(languages, tables, known)
 
 
-def least_known(docs: DataFrame, model: Model, per_language: int = 300, enough: int = 20) -> dict[str | None, float]:
+def least_known(docs: DataFrame, model: Model, enough: int = 20) -> dict[str | None, float]:
     """The share of known words below which a text does not fit its predicted language: half the 5th percentile among
-    about ``per_language`` held-out texts of the language that are identified as such.
+    all held-out texts of the language that are identified as such.
 
     It does not depend on the number of languages. A language with fewer than ``enough`` such texts is judged by the
     figure of all languages together, which is the entry None; without any such text there is none and all texts fit.
@@ -188,9 +195,11 @@ def least_known(docs: DataFrame, model: Model, per_language: int = 300, enough:
         right = [(f[0], f[2]) for lang, f in found if f[0] == lang]
         return {"lang": [r[0] for r in right], "share": [r[1] for r in right]}
 
-    shares = map_batches(training_rows(docs, per_language, learned=False), run, "lang string, share double")
-    low = shares.rollup("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile("share", F.lit(0.05)).alias("low"))
-    return {r["lang"]: r["low"] / 2 for r in low.collect() if r["n"] >= (1 if r["lang"] is None else enough)}
+    shares = cut(map_batches(training_rows(docs, None, learned=False), run, "lang string, share double"), "known-shares")
+    counts = {r["lang"]: r["n"] for r in shares.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    own = percentiles(shares, ["lang"], "share", {"low": 0.05}).collect()
+    every = percentiles(shares.withColumn("every", F.lit(True)), ["every"], "share", {"low": 0.05}).collect()
+    return {r["lang"]: r["low"] / 2 for r in own if counts[r["lang"]] >= enough} | {None: r["low"] / 2 for r in every}
 
 
 def identify(docs: DataFrame, model: Model, keep: Sequence[str] = (), least: Mapping[str | None, float] | None = None) -> DataFrame:

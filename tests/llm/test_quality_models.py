@@ -273,3 +273,16 @@ def test_languages_with_few_held_out_texts_are_judged_by_all(spark):
     assert set(least) == {"en", None} and least[None] > 0.3
     noise = spark.createDataFrame([(1, "uno qqq www eee rrr ttt yyy uuu iii ooo", None), (2, "uno dos tres", None)], docs.schema)
     assert {r.doc_id: r.fits for r in language.identify(noise, model, least=least).collect()} == {1: False, 2: True}
+
+
+def test_least_share_of_known_words_comes_from_all_held_out_texts(spark):
+    """1 in 8 of 4,000 texts has few known words: a figure of some hundred texts would not be the same."""
+    known, odd = "alpha beta gamma delta words of a kind here again", "alpha beta gamma {0}q {0}w {0}e {0}r {0}t {0}y"
+    rows = [(i, odd.format("z" * (1 + i % 7)) if i % 8 == 3 and zlib.crc32(str(i).encode()) % 3 == 1 else known + " again" * (i % 11), "en") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    judged = [model.judge(t) for i, t, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    want = np.percentile([j[2] for j in judged if j[0] == "en"], 5) / 2
+    calls = language.training_rows(docs, None, learned=False)
+    assert calls.count() == len(judged)
+    assert language.least_known(docs, model) == {"en": pytest.approx(want), None: pytest.approx(want)}
