@@ -1,6 +1,8 @@
 """Building blocks that stay balanced when one key holds a large part of all rows.
 
 * ``latest_per_key``  row_number = 1; Spark prunes each map partition to one row per key before the shuffle.
+* ``distinct_rows``   copies dropped, with as many tasks as there are distinct rows for.
+* ``star_join``       left joins, those of large tables dealt by their rows; neither hot nor NULL keys fill a task.
 * ``join_back``       many-to-one join in which neither hot nor NULL keys are shuffled.
 * ``stored_ranges``   rows in stored ranges of any order, cut at sampled tuples.
 * ``pieces``          time buckets per key, the overfull ones cut again; ``carried`` sums up the pieces before each.
@@ -14,6 +16,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -28,6 +31,11 @@ RANGE_ROWS = 1_000_000  # rows of a stored range: what one task sorts
 LEAST_ROWS = 10_000  # below this a range is not worth a task of its own
 PIECE_ROWS = 1_000_000  # rows of a key's time bucket that one task sorts
 FULL_BUCKETS = 100_000  # bounds the broadcasts of buckets and ranges
+MOST_RANGES = 2_000  # stored ranges, unless they held more than RANGE_ROWS rows
+TASK_ROWS = 500_000  # rows that a task joins or compares
+PLANNED_ROWS = 5_000_000  # tables of up to this many rows are dealt as the session's settings say
+SMALL_ROWS = 100_000  # rows of a table that is broadcast beside larger ones
+SPREAD = 32  # parts of a hot key's rows
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -49,6 +57,72 @@ def highest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def tasks_for(df: DataFrame, rows: int) -> int:
+    """A task per ``TASK_ROWS`` rows, or one per shuffle partition if that is more and the rows suffice."""
+    wide = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // LEAST_ROWS)
+    return max(1, wide, -(-rows // TASK_ROWS))
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Copies dropped. ``df`` is read twice, so it should be a stored table: how many tasks compare rows follows from about
+    how many distinct ones there are. Where these are few, each map partition drops its copies before the shuffle.
+    """
+    n = df.agg(F.approx_count_distinct(F.xxhash64(*df.columns))).first()[0]
+    return df.distinct() if n <= TASK_ROWS else df.repartition(tasks_for(df, n), *df.columns).distinct()
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Hashes of the keys that about ``TASK_ROWS`` / 4 rows or more have, from one pass that keeps 10,000 counters."""
+    found = df.select(F.xxhash64(*keys).alias("k")).agg(F.expr("approx_top_k(k, 1000, 10000)").alias("top")).first()["top"]
+    return [t["item"] for t in found or [] if t["count"] >= TASK_ROWS / 4]
+
+
+def most_rows(tables: Sequence[DataFrame]) -> tuple[list[int], int]:
+    """Rows of each table, and of the largest, from one job."""
+    counts = [df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n")) for i, df in enumerate(tables)]
+    sizes = {r["i"]: r["n"] for r in reduce(lambda a, b: a.union(b), counts).collect()}
+    return [sizes[i] for i in range(len(tables))], max(sizes.values())
+
+
+def star_join(root: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[str]]]) -> tuple[DataFrame, bool]:
+    """Chained left equi joins of ``root`` with (table, left columns so far, its right columns), and whether the tables are large.
+
+    Where a table has more than ``PLANNED_ROWS`` rows, both sides of a join are dealt to a task per ``TASK_ROWS`` rows. Tables of up to
+    ``SMALL_ROWS`` rows are broadcast then. A row with a NULL key matches nothing and goes to any task; the rows of a hot key are
+    spread over ``SPREAD`` places, to each of which its rows on the right go. The joins of smaller tables are left to the planner.
+    """
+    tables = [root, *[side for side, _, _ in sides]]
+    sizes, most = most_rows(tables)
+    large, out = most > PLANNED_ROWS, root
+    for i, (side, left, right) in enumerate(sides, 1):
+        if large and sizes[i] > SMALL_ROWS:
+            out = dealt_join(out, side, left, right, next((t for t in tables[:i] if set(left) <= set(t.columns)), None), tasks_for(root, most))
+        else:
+            match = [out[a] == side[b] for a, b in zip(left, right)]
+            out = out.join(F.broadcast(side) if large else side, match, "left")
+    return out, large
+
+
+def dealt_join(df: DataFrame, side: DataFrame, left: Sequence[str], right: Sequence[str], owner: DataFrame | None, parts: int) -> DataFrame:
+    """Left equi join of two large tables in ``parts`` tasks; ``owner`` is the table that the left columns come from, if one has them all."""
+    kinds = [owner.schema[a].dataType.simpleString() for a in left] if owner else []
+    # Equal keys of these types have equal hashes; keys of other types are not spread.
+    even = set(kinds) <= {"bigint", "int", "string"} and kinds == [side.schema[b].dataType.simpleString() for b in right]
+    hot = hot_keys(owner.dropna(subset=list(left)), left) if even else []
+    named = [f.name for f in df.schema if df.columns.count(f.name) == 1 and not re.search("map<|variant", f.dataType.simpleString())]
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in named])
+    stray = reduce(lambda a, b: a | b, [F.col(a).isNull() for a in left])
+    place = F.when(stray, -1 - F.pmod(row, F.lit(1 << 20)))  # none of the places of keys
+    copies = F.array(F.lit(0).cast("bigint"))
+    if hot:
+        place = place.when(F.xxhash64(*left).isin(hot), F.pmod(row, F.lit(SPREAD)))
+        copies = F.when(F.xxhash64(*right).isin(hot), F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))).otherwise(copies)
+    dealt = df.withColumn("_place", place.otherwise(0).cast("bigint")).repartition(parts, *left, "_place")
+    other = side.withColumn("_side_place", F.explode(copies)).repartition(parts, *right, "_side_place")
+    match = [*[dealt[a] == other[b] for a, b in zip(left, right)], dealt["_place"] == other["_side_place"]]
+    return dealt.join(other, match, "left").drop("_place", "_side_place")
+
+
 def with_figures(df: DataFrame, figures: DataFrame) -> DataFrame:
     """Adds the columns of a one-row aggregate to every row, as a scalar subquery: no join and no broadcast.
 
@@ -100,13 +174,16 @@ def stored_ranges(df: DataFrame, order: Sequence[Column], rows: int | None = Non
     ``_range`` numbers the ranges and ``_place`` the rows of each, both from 0. The cut points are whole tuples of the
     order's columns, of any type that Spark can sort, from a sample of the rows; so a value that very many rows share
     is cut by the columns after it, and the last one should be unique. There is a range per ``rows`` rows (``RANGE_ROWS``), or
-    one per shuffle partition if that is more and the rows suffice. The ranges are written once to the shared folder: what is
+    one per shuffle partition if that is more and the rows suffice. Smaller ``rows`` give at most ``MOST_RANGES`` ranges, which hold more
+    rows in larger tables, so the sample, the tasks and the files do not grow with the table until a range has ``RANGE_ROWS``. The ranges are written once to the shared folder: what is
     read back is the same for every task and every attempt.
     """
     spark = df.sparkSession
     n = df.count()
     wide = min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // LEAST_ROWS)
-    parts = max(1, wide, -(-n // (rows or RANGE_ROWS)))
+    rows = rows or RANGE_ROWS
+    wanted = -(-n // rows)
+    parts = max(1, wide, wanted if wanted <= MOST_RANGES else max(MOST_RANGES, -(-n // max(rows, RANGE_ROWS))))
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
     stored = cut(ranged, "ranges")  # the upper half of _m is the partition, the lower 33 bits count its rows
     return stored.select(*df.columns, F.shiftright("_m", 33).cast("int").alias("_range"), F.col("_m").bitwiseAND((1 << 33) - 1).alias("_place")), parts
@@ -114,7 +191,8 @@ def stored_ranges(df: DataFrame, order: Sequence[Column], rows: int | None = Non
 
 def pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, rows: int | None = None, descending: bool = False) -> DataFrame:
     """Adds ``_bucket`` and ``_cell``: rows of a key in ``order`` run through its (bucket, cell) pieces one after the other,
-    and a piece holds about ``rows`` rows (``PIECE_ROWS``) at most, whatever their keys and times are.
+    and a piece holds about ``rows`` rows (``PIECE_ROWS``) at most, whatever their keys and times are (see ``stored_ranges`` for small
+    ``rows`` in large tables).
 
     A bucket of a key with more rows than that is cut again into cells at sampled tuples of ``order``; all other buckets are
     one cell and are not moved. One aggregate finds the full buckets; there is at most one for ``rows`` rows, and at most

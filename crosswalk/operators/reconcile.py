@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import any_of, count_if, first_match, flag_total
-from crosswalk.functions.scale import group_stats, highest, latest_per_key, with_figures
+from crosswalk.functions.scale import distinct_rows, group_stats, highest, latest_per_key, star_join, with_figures
+from crosswalk.session import cut
 
 
 @dataclass
@@ -25,7 +26,8 @@ def star_left_chain(root: DataFrame, edges: Sequence[Edge], select: Sequence[str
     """Chained left equi joins, one projection, copies dropped once.
 
     With ``distinct`` an edge none of whose columns are needed later can only repeat rows, so it is not joined.
-    Every join is an equi join left to the planner: small dimensions are broadcast under its size limit.
+    Joins of large tables are dealt by their rows (``functions.scale.star_join``), and so is the comparison of the stored rows
+    that drops copies; joins of smaller ones are left to the planner.
     """
     needed = set(select)
     kept = []
@@ -33,14 +35,13 @@ def star_left_chain(root: DataFrame, edges: Sequence[Edge], select: Sequence[str
         if not distinct or needed & set(edge.df.columns):
             kept.append(edge)
             needed |= set(edge.left)
-    out = root
-    for edge in reversed(kept):
-        wanted = [c for c in edge.df.columns if c in needed or c in edge.right or not distinct]
-        side = edge.df.select(*wanted)
-        match = [out[a] == side[b] for a, b in zip(edge.left, edge.right)]
-        out = out.join(side, match, "left")
+    kept.reverse()
+    sides = [(e.df.select(*[c for c in e.df.columns if c in needed or c in e.right or not distinct]), e.left, e.right) for e in kept]
+    out, large = star_join(root, sides)
     out = out.select(*select)
-    return out.distinct() if distinct else out
+    if not distinct:
+        return out
+    return distinct_rows(cut(out, "star")) if large else out.distinct()
 
 
 def pivot_flags(rows: DataFrame, key: str, code: str, value: Column, codes: Mapping[str, str]) -> DataFrame:

@@ -172,3 +172,48 @@ def test_with_figures(spark, rows):
     df = spark.createDataFrame([(1,), (2,)], "a int")
     got = scale.with_figures(df, df.agg(F.sum("a").alias("t"), F.count(F.lit(1)).alias("n")))
     assert rows(got) == [(1, 3, 2), (2, 3, 2)]
+
+
+@pytest.fixture
+def small_tasks(monkeypatch):
+    """Tables count as large, and tasks, hot keys and broadcasts are small."""
+    for name, n in {"TASK_ROWS": 200, "PLANNED_ROWS": 100, "SMALL_ROWS": 5, "LEAST_ROWS": 10}.items():
+        monkeypatch.setattr(scale, name, n)
+
+
+@pytest.mark.parametrize("kind", ["string", "binary"])
+def test_large_star_join_equals_plain_joins_and_spreads_null_and_hot_keys(spark, skewed, rows, small_tasks, tmp_path, kind):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = skewed.select("id", F.col("key").cast(kind).alias("key"), "v")
+    names = skewed.select(F.col("key").cast(kind).alias("k"), F.length("key").alias("size")).distinct()
+    names = names.filter("k IS NULL OR size <> 3").unionByName(names.filter("size = 3"))
+    values = spark.createDataFrame([(1, "one"), (1, "uno"), (2, "two")], "w int, word string")
+    try:
+        want = left.join(names, left["key"] == names["k"], "left").join(values, F.col("v") == F.col("w"), "left")
+        got, large = scale.star_join(left, [(names, ["key"], ["k"]), (values, ["v"], ["w"])])
+        assert large and rows(got) == rows(want.select(*got.columns))
+        joined, _ = scale.star_join(left, [(names, ["key"], ["k"])])
+        joined.withColumn("part", F.spark_partition_id()).write.parquet(str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    held = spark.read.parquet(str(tmp_path / "out")).groupBy(F.col("key").cast("string").alias("key"), "part").count().collect()
+    assert max(r["count"] for r in held if r["key"] is None) < 300 and sum(r["count"] for r in held if r["key"] is None) == 1000
+    hot = [r["count"] for r in held if r["key"] == "hot"]
+    assert sum(hot) == 1000 and (max(hot) < 400 if kind == "string" else len(hot) == 1)
+
+
+def test_distinct_rows_are_dealt_by_their_number(skewed, rows, small_tasks):
+    many, few = skewed.select("id", "key"), skewed.select("v")
+    got = scale.distinct_rows(many.union(many))
+    assert rows(got) == rows(many) and got.rdd.getNumPartitions() >= 14
+    few = few.filter("v < 50")
+    assert rows(scale.distinct_rows(few)) == rows(few.distinct())
+
+
+def test_many_small_ranges_are_bounded(skewed, rows, monkeypatch):
+    monkeypatch.setattr(scale, "MOST_RANGES", 12)
+    monkeypatch.setattr(scale, "LEAST_ROWS", 1000)
+    ranged, parts = scale.stored_ranges(skewed, [F.col("v"), F.col("id")], rows=10)
+    assert parts == 12 and ranged.count() == 3000
+    want = skewed.withColumn("n", F.row_number().over(Window.orderBy(F.col("v").asc_nulls_first(), "id")))
+    assert rows(scale.number_rows(skewed, "v", "id", name="n", rows=10), "id", "n") == rows(want, "id", "n")
