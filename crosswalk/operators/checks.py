@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import all_of, any_of, count_if, first_match, norm_value, percent
-from crosswalk.functions.scale import highest, highest_per_key, with_figures
+from crosswalk.functions.scale import distinct_rows, highest, highest_per_key, with_figures
+from crosswalk.session import cut
 
 
 def expect(df: DataFrame, drop: Mapping[str, Column]) -> DataFrame:
@@ -32,12 +33,12 @@ def expectation_counts(df: DataFrame, warn: Mapping[str, Column], drop: Mapping[
 
 
 def table_summary(df: DataFrame, distinct: Mapping[str, str], ts: str) -> DataFrame:
-    """M2: rows, distinct ids, earliest and latest time."""
-    per = df.groupBy(*distinct.values()).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    return per.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), *[F.count_distinct(c).alias(n) for n, c in distinct.items()], F.min("_lo").alias("earliest"),
-        F.max("_hi").alias("latest"),
-    )
+    """M2: rows, distinct ids, earliest and latest time. The few columns are stored, and each id's distinct values compared on their own."""
+    stored = cut(df.select(F.col(ts).alias("_ts"), *[F.col(c).alias(n) for n, c in distinct.items()]), "summary")
+    out = stored.agg(F.count(F.lit(1)).alias("total_rows"), F.min("_ts").alias("earliest"), F.max("_ts").alias("latest"))
+    for n in distinct:
+        out = with_figures(out, distinct_rows(stored.select(n).filter(F.col(n).isNotNull())).agg(F.count(F.lit(1)).alias(n)))
+    return out.select("total_rows", *distinct, "earliest", "latest")
 
 
 def compare_fields(a: DataFrame, b: DataFrame, a_key: str, b_key: str, mapping: Mapping[str, str], kinds: Mapping[str, str] | None = None) -> DataFrame:

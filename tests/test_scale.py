@@ -8,6 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from crosswalk.functions import scale
+from crosswalk.operators import checks
+from crosswalk.plans import medallion
 from crosswalk.session import sized_settings
 
 
@@ -217,3 +219,14 @@ def test_many_small_ranges_are_bounded(skewed, rows, monkeypatch):
     assert parts == 12 and ranged.count() == 3000
     want = skewed.withColumn("n", F.row_number().over(Window.orderBy(F.col("v").asc_nulls_first(), "id")))
     assert rows(scale.number_rows(skewed, "v", "id", name="n", rows=10), "id", "n") == rows(want, "id", "n")
+
+
+def test_summary_and_gold_compare_rows_in_many_tasks(skewed, rows, small_tasks):
+    got = medallion.gold(skewed.union(skewed), {"id": "n", "key": "k", "ts": "at"}, {"some": F.col("v") > 0})
+    want = skewed.filter("v > 0").select(F.col("id").alias("n"), F.col("key").alias("k"), F.col("ts").alias("at")).distinct()
+    assert got.rdd.getNumPartitions() >= 14 and rows(got) == rows(want)
+    summary = checks.table_summary(skewed, {"ids": "id", "keys": "key"}, "ts").first()
+    low, high = skewed.agg(F.min("ts"), F.max("ts")).first()
+    assert tuple(summary) == (3000, 3000, skewed.select("key").dropna().distinct().count(), low, high)
+    empty = checks.table_summary(skewed.limit(0), {"ids": "id", "keys": "key"}, "ts").first()
+    assert tuple(empty) == (0, 0, 0, None, None)
