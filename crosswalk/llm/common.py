@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 from crosswalk.session import cut
 
 BATCH_ROWS = 2_000  # rows of whole texts that one Python batch holds at most
+BATCH_BYTES = 3 << 20  # bytes of rows that Spark hands to Python at once, about
+BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
@@ -22,6 +24,24 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` in batches of about ``BATCH_BYTES``, or one row, however long the rows are.
+
+    Spark holds a batch several times outside its heap, and the Python process once more, so by rows alone long texts would fill an
+    executor. The limit is set for the session, where it has none of its own. Python processes live on from stage to stage; what
+    Arrow still holds goes back to the system when a task ends.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BYTES_SETTING, None) is None:
+        conf.set(BYTES_SETTING, str(BATCH_BYTES))
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
     """``mapInArrow`` for functions from one batch to a dict of columns (lists or arrays) in ``schema``'s types.
 
@@ -36,7 +56,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
                 columns = [as_arrow(out[f.name], f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def keep_columns(docs: DataFrame, keep: Sequence[str]) -> list[str]:
@@ -58,7 +78,7 @@ def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
                 columns = [as_arrow(out[f.name], f.type) if f.name in out else piece.column(f.name).cast(f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return df.mapInArrow(run, StructType(old.fields + new.fields))
+    return in_arrow(df, run, StructType(old.fields + new.fields))
 
 
 def as_arrow(values, kind: pa.DataType) -> pa.Array:
