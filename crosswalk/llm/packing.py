@@ -30,6 +30,7 @@ from crosswalk.session import cut
 
 PIECE_ROWS = 500  # items of one length that are numbered in one task, about
 TEXT_ROWS = 1_000  # texts whose words are looked up together
+STEP = 1 << 16  # words whose ids are put together at once
 CACHE = 400_000  # units whose ids a task remembers before it starts anew
 PLAIN = "^(?P<letters>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[!#$%&()*+,./:;=?@-]*)$"
 
@@ -103,14 +104,17 @@ class WordIds:
             values = values.dictionary_encode()
             unit[side, plain] = self.numbers(self.units, values.dictionary.to_pylist(), self.learn_units)[values.indices.to_numpy()]
         unit[0, ~plain] = self.numbers(self.odd, coded.dictionary.filter(pc.invert(parts.is_valid())).to_pylist(), self.learn_odd)
-        both = unit.T[coded.indices.to_numpy()].ravel()  # for each word its letters and its marks
-        size = self.size[both]
-        ends = np.cumsum(size)
-        begin = np.concatenate([[0], ends[1::2]])
-        shift = (self.first[both] - ends + size).astype(np.int32)
-        place = np.repeat(shift, size)
-        place += np.arange(len(place), dtype=np.int32)
-        return self.ids[place], begin
+        indices, ids, begin, done = coded.indices.to_numpy(), [self.ids[:0]], [np.zeros(1, dtype=np.int64)], 0
+        for at in range(0, len(indices), STEP):
+            both = unit.T[indices[at : at + STEP]].ravel()  # for each word its letters and its marks
+            size = self.size[both]
+            ends = np.cumsum(size)
+            place = np.repeat((self.first[both] - ends + size).astype(np.int32), size)
+            place += np.arange(len(place), dtype=np.int32)
+            ids.append(self.ids[place])
+            begin.append(done + ends[1::2])
+            done += len(place)
+        return np.concatenate(ids), np.concatenate(begin)
 
 
 _open: dict[str, WordIds] = {}  # one tokenizer per task process

@@ -1,9 +1,11 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -91,3 +93,21 @@ def test_a_hot_length_is_numbered_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(packing, "PIECE_ROWS", 10)
     docs = spark.createDataFrame([(i, "the same words") for i in range(500)], "doc_id long, text string")
     check_laws(packing.pack(docs, PATH, 16).collect(), [(i, "the same words") for i in range(500)], 16)
+
+
+def test_ids_are_put_together_in_steps(monkeypatch):
+    words = ["The", "same", "words,", "it's", "12", "", "wörds.", "again"] * 50_000
+    known = packing.WordIds(PATH)
+    known.encode(pa.array(words))
+    tracemalloc.start()
+    ids, begin = known.encode(pa.array(words))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * len(words)  # the results and their parts take 30 bytes a word
+    monkeypatch.setattr(packing, "STEP", 3)
+    few, few_begin = known.encode(pa.array(words[:20]))
+    assert few.tolist() == ids[: len(few)].tolist() and few_begin.tolist() == begin[:21].tolist()
+    none, only = known.encode(pa.array([], type=pa.string()))
+    assert len(none) == 0 and only.tolist() == [0]
+    tokenizer = Tokenizer.from_file(PATH)
+    assert few.tolist() == [i for w in words[:20] for i in tokenizer.encode(w, add_special_tokens=False).ids]
