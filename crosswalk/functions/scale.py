@@ -3,6 +3,7 @@
 * ``latest_per_key``  row_number = 1; Spark prunes each map partition to one row per key before the shuffle.
 * ``distinct_rows``   copies dropped, with as many tasks as there are distinct rows for.
 * ``star_join``       left joins, those of large tables dealt by their rows; neither hot nor NULL keys fill a task.
+* ``star_rows``       the same with the rows of large tables joined and stored a slice at a time.
 * ``join_back``       many-to-one join in which neither hot nor NULL keys are shuffled.
 * ``stored_ranges``   rows in stored ranges of any order, cut at sampled tuples.
 * ``pieces``          time buckets per key, the overfull ones cut again; ``carried`` sums up the pieces before each.
@@ -17,13 +18,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
-from crosswalk.session import cut
+from crosswalk.session import cut, cut_in_turn, stored
 
 HOT_ROWS = 1_000_000  # a key with at least this many rows is not shuffled
 HOT_KEYS = 4_096  # the largest keys only; bounds the broadcast of their figures
@@ -35,7 +37,13 @@ MOST_RANGES = 2_000  # stored ranges, unless they held more than RANGE_ROWS rows
 TASK_ROWS = 500_000  # rows that a task joins or compares
 PLANNED_ROWS = 5_000_000  # tables of up to this many rows are dealt as the session's settings say
 SMALL_ROWS = 100_000  # rows of a table that is broadcast beside larger ones
+LIGHT_BYTES = 32 * 1024 * 1024  # measured size of a table that is broadcast in a star's slices
 SPREAD = 32  # parts of a hot key's rows
+SLICE_CELLS = 50_000_000  # values of a table, rows by columns, that are shuffled at one time
+MOST_SLICES = 8  # slices of a table, which hold more rows in larger ones
+FEW_COPIES = 0.8  # a table with at least this share of distinct rows, about, has few copies
+
+Side = tuple[DataFrame, Sequence[str], Sequence[str]]  # a star's table, the left columns so far and its own columns that equal them
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -63,12 +71,37 @@ def tasks_for(df: DataFrame, rows: int) -> int:
     return max(1, wide, -(-rows // TASK_ROWS))
 
 
+def slices_for(rows: int, columns: int) -> int:
+    """A slice per ``SLICE_CELLS`` values, ``MOST_SLICES`` at most."""
+    return max(1, min(MOST_SLICES, -(-rows * columns // SLICE_CELLS)))
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
-    """Copies dropped. ``df`` is read twice, so it should be a stored table: how many tasks compare rows follows from about
+    """Copies dropped. ``df`` is read again, so it should be a stored table: how many tasks compare rows follows from about
     how many distinct ones there are. Where these are few, each map partition drops its copies before the shuffle.
+    Of large tables with few copies only hashes are shuffled, and the rows whose hash is not the only one are compared. The rows of other
+    large tables are compared and stored a slice at a time, so the disk holds the shuffle of one slice.
     """
-    n = df.agg(F.approx_count_distinct(F.xxhash64(*df.columns))).first()[0]
-    return df.distinct() if n <= TASK_ROWS else df.repartition(tasks_for(df, n), *df.columns).distinct()
+    row = F.xxhash64(*df.columns)
+    n, rows = df.agg(F.approx_count_distinct(row), F.count(F.lit(1))).first()
+    if n <= TASK_ROWS:
+        return df.distinct()
+    slices = 1 if "collate" in df.schema.simpleString() else slices_for(rows, len(df.columns))  # equal texts of a collation can have unequal hashes
+    if slices == 1:
+        return df.repartition(tasks_for(df, n), *df.columns).distinct()
+    if n > FEW_COPIES * rows:
+        hashes = df.select(row.alias("_hash"))
+        counts = hashes.repartition(tasks_for(df, rows), "_hash").groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+        shared = cut_in_turn([counts.filter("_n > 1").select("_hash")], "shared-hashes")
+        found = shared.count()
+        if not found:
+            return df
+        if found <= SMALL_ROWS:
+            marked, few = df.withColumn("_hash", row), F.broadcast(shared)
+            again = marked.join(few, "_hash", "left_semi").drop("_hash").distinct()
+            return marked.join(few, "_hash", "left_anti").drop("_hash").union(again)
+    parts = [df.filter(F.pmod(row, F.lit(slices)) == i).repartition(tasks_for(df, -(-n // slices)), *df.columns).distinct() for i in range(slices)]
+    return cut_in_turn(parts, "distinct")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
@@ -84,35 +117,124 @@ def most_rows(tables: Sequence[DataFrame]) -> tuple[list[int], int]:
     return [sizes[i] for i in range(len(tables))], max(sizes.values())
 
 
-def star_join(root: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[str]]]) -> tuple[DataFrame, bool]:
+def star_join(root: DataFrame, sides: Sequence[Side]) -> tuple[DataFrame, bool]:
     """Chained left equi joins of ``root`` with (table, left columns so far, its right columns), and whether the tables are large.
 
     Where a table has more than ``PLANNED_ROWS`` rows, both sides of a join are dealt to a task per ``TASK_ROWS`` rows. Tables of up to
     ``SMALL_ROWS`` rows are broadcast then. A row with a NULL key matches nothing and goes to any task; the rows of a hot key are
     spread over ``SPREAD`` places, to each of which its rows on the right go. The joins of smaller tables are left to the planner.
     """
+    sizes, most = most_rows([root, *[side for side, _, _ in sides]])
+    dealt = dealt_sides(root, sides, sizes) if most > PLANNED_ROWS else None
+    return joined(root, sides, dealt, tasks_for(root, most)), most > PLANNED_ROWS
+
+
+def star_rows(root: DataFrame, sides: Sequence[Side], columns: Sequence[str]) -> tuple[DataFrame, bool]:
+    """``columns`` of ``star_join``, and whether the tables are large, whose joined rows are stored then.
+
+    Tables of more than ``SLICE_CELLS`` values are joined a slice of the root's rows at a time, so the disk holds the shuffles of one slice. The
+    largest side that hangs on the root's own columns is cut into the same slices; every slice reads the others whole. Only columns
+    that are needed later travel, and the smallest side comes first, which in left joins leaves the rows the same. Sides of up to
+    ``LIGHT_BYTES`` are broadcast as well.
+    """
     tables = [root, *[side for side, _, _ in sides]]
     sizes, most = most_rows(tables)
-    large, out = most > PLANNED_ROWS, root
-    for i, (side, left, right) in enumerate(sides, 1):
-        if large and sizes[i] > SMALL_ROWS:
-            out = dealt_join(out, side, left, right, next((t for t in tables[:i] if set(left) <= set(t.columns)), None), tasks_for(root, most))
+    needed = {*columns, *[c for _, left, right in sides for c in (*left, *right)]}
+    plain = all(sum(t.columns.count(c) for t in tables) == 1 for c in needed)
+    if most <= PLANNED_ROWS or not plain:
+        dealt = dealt_sides(root, sides, sizes) if most > PLANNED_ROWS else None
+        out = joined(root, sides, dealt, tasks_for(root, most)).select(*columns)
+        return (out, False) if dealt is None else (cut_in_turn([out], "star"), True)
+    slices = slices_for(most, len(needed))
+    root, *narrow = [stored(t.select(*[c for c in t.columns if c in needed]), "star-table") for t in tables]
+    order = smallest_first(root, [left for _, left, _ in sides], [t.columns for t in narrow], sizes[1:])
+    sides, sizes = [(narrow[i], *sides[i][1:]) for i in order], [sizes[0], *[sizes[i + 1] for i in order]]
+    dealt = dealt_sides(root, sides, [sizes[0], *[0 if is_light(side, n) else n for (side, _, _), n in zip(sides, sizes[1:])]])
+    own = [i for i in dealt if set(sides[i][1]) <= set(root.columns) and even_keys(root, *sides[i])]
+    largest = max(own, key=lambda i: sizes[i + 1], default=None)
+    row = F.pmod(F.shiftright(row_hash(root), 32), F.lit(slices))  # not the bits that spread a hot key
+    if largest is None:
+        place = row
+    else:
+        _, left, right = sides[largest]
+        apart = any_null(left) | F.xxhash64(*left).isin(dealt[largest])
+        place = F.when(apart, row).otherwise(F.pmod(F.xxhash64(*left), F.lit(slices)))
+    parts = []
+    for k in range(slices):
+        some = list(sides)
+        if largest is not None:
+            mine = (F.pmod(F.xxhash64(*right), F.lit(slices)) == k) | F.xxhash64(*right).isin(dealt[largest])
+            some[largest] = (sides[largest][0].filter(mine), left, right)
+        parts.append(joined(root.filter(place == k), some, dealt, tasks_for(root, -(-most // slices)), columns))
+    return cut_in_turn(parts, "star"), True
+
+
+def smallest_first(root: DataFrame, lefts: Sequence[Sequence[str]], columns: Sequence[Sequence[str]], sizes: Sequence[int]) -> list[int]:
+    """The order of a star's sides in which the smallest of those whose left columns are there comes next."""
+    there, order = set(root.columns), []
+    while len(order) < len(lefts):
+        ready = [i for i, left in enumerate(lefts) if i not in order and set(left) <= there]
+        order.append(min(ready, key=lambda i: sizes[i]))
+        there |= set(columns[order[-1]])
+    return order
+
+
+def is_light(df: DataFrame, rows: int) -> bool:
+    """Whether the numbers, times and texts of a table of so many rows fill up to ``LIGHT_BYTES``, 16 bytes a value and the texts' own."""
+    fixed = rows * 16 * len(df.columns)
+    if fixed > LIGHT_BYTES or any(isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType)) for f in df.schema):
+        return False
+    texts = [F.sum(F.octet_length(f.name)) for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
+    return fixed + sum(n or 0 for n in df.agg(F.lit(0), *texts).first()) <= LIGHT_BYTES
+
+
+def even_keys(owner: DataFrame, side: DataFrame, left: Sequence[str], right: Sequence[str]) -> bool:
+    """Whether the keys are of types whose equal values have equal hashes; keys of other types are not spread."""
+    kinds = [owner.schema[a].dataType.simpleString() for a in left]
+    return set(kinds) <= {"bigint", "int", "string"} and kinds == [side.schema[b].dataType.simpleString() for b in right]
+
+
+def dealt_sides(root: DataFrame, sides: Sequence[Side], sizes: Sequence[int]) -> dict[int, list[int]]:
+    """The sides of more than ``SMALL_ROWS`` rows by their place in ``sides``, with the hashes of the hot keys of the table that has the left columns."""
+    tables = [root, *[side for side, _, _ in sides]]
+    dealt = {}
+    for i, (side, left, right) in enumerate(sides):
+        if sizes[i + 1] > SMALL_ROWS:
+            owner = next((t for t in tables[: i + 1] if set(left) <= set(t.columns)), None)
+            dealt[i] = hot_keys(owner.dropna(subset=list(left)), left) if owner is not None and even_keys(owner, side, left, right) else []
+    return dealt
+
+
+def joined(root: DataFrame, sides: Sequence[Side], dealt: Mapping[int, list[int]] | None, parts: int, columns: Sequence[str] | None = None) -> DataFrame:
+    """The joins of a star, those of the sides in ``dealt`` in ``parts`` tasks, the others by a broadcast; without ``dealt`` as planned.
+    With ``columns``, what neither they nor a later join need is dropped after each join."""
+    out = root
+    for i, (side, left, right) in enumerate(sides):
+        if dealt is not None and i in dealt:
+            out = dealt_join(out, side, left, right, dealt[i], parts)
         else:
             match = [out[a] == side[b] for a, b in zip(left, right)]
-            out = out.join(F.broadcast(side) if large else side, match, "left")
-    return out, large
+            out = out.join(side if dealt is None else F.broadcast(side), match, "left")
+        if columns is not None:
+            later = {*columns, *[c for _, names, _ in sides[i + 1 :] for c in names]}
+            out = out.select(*[c for c in out.columns if c in later])
+    return out if columns is None else out.select(*columns)
 
 
-def dealt_join(df: DataFrame, side: DataFrame, left: Sequence[str], right: Sequence[str], owner: DataFrame | None, parts: int) -> DataFrame:
-    """Left equi join of two large tables in ``parts`` tasks; ``owner`` is the table that the left columns come from, if one has them all."""
-    kinds = [owner.schema[a].dataType.simpleString() for a in left] if owner else []
-    # Equal keys of these types have equal hashes; keys of other types are not spread.
-    even = set(kinds) <= {"bigint", "int", "string"} and kinds == [side.schema[b].dataType.simpleString() for b in right]
-    hot = hot_keys(owner.dropna(subset=list(left)), left) if even else []
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a row's columns, but for those that cannot be named or hashed."""
     named = [f.name for f in df.schema if df.columns.count(f.name) == 1 and not re.search("map<|variant", f.dataType.simpleString())]
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in named])
-    stray = reduce(lambda a, b: a | b, [F.col(a).isNull() for a in left])
-    place = F.when(stray, -1 - F.pmod(row, F.lit(1 << 20)))  # none of the places of keys
+    return F.xxhash64(*[F.col(f"`{c}`") for c in named])
+
+
+def any_null(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
+def dealt_join(df: DataFrame, side: DataFrame, left: Sequence[str], right: Sequence[str], hot: Sequence[int], parts: int) -> DataFrame:
+    """Left equi join of two large tables in ``parts`` tasks; ``hot`` are hashes of keys whose rows are spread."""
+    row = row_hash(df)
+    place = F.when(any_null(left), -1 - F.pmod(row, F.lit(1 << 20)))  # none of the places of keys
     copies = F.array(F.lit(0).cast("bigint"))
     if hot:
         place = place.when(F.xxhash64(*left).isin(hot), F.pmod(row, F.lit(SPREAD)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import all_of, any_of, count_if, first_match, norm_value, percent
 from crosswalk.functions.scale import distinct_rows, highest, highest_per_key, with_figures
-from crosswalk.session import cut
+from crosswalk.session import cut_in_turn
 
 
 def expect(df: DataFrame, drop: Mapping[str, Column]) -> DataFrame:
@@ -34,7 +34,7 @@ def expectation_counts(df: DataFrame, warn: Mapping[str, Column], drop: Mapping[
 
 def table_summary(df: DataFrame, distinct: Mapping[str, str], ts: str) -> DataFrame:
     """M2: rows, distinct ids, earliest and latest time. The few columns are stored, and each id's distinct values compared on their own."""
-    stored = cut(df.select(F.col(ts).alias("_ts"), *[F.col(c).alias(n) for n, c in distinct.items()]), "summary")
+    stored = cut_in_turn([df.select(F.col(ts).alias("_ts"), *[F.col(c).alias(n) for n, c in distinct.items()])], "summary")
     out = stored.agg(F.count(F.lit(1)).alias("total_rows"), F.min("_ts").alias("earliest"), F.max("_ts").alias("latest"))
     for n in distinct:
         out = with_figures(out, distinct_rows(stored.select(n).filter(F.col(n).isNotNull())).agg(F.count(F.lit(1)).alias(n)))

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswalk.functions.columns import any_of, count_if, first_match, flag_total
-from crosswalk.functions.scale import distinct_rows, group_stats, highest, latest_per_key, star_join, with_figures
-from crosswalk.session import cut
+from crosswalk.functions.scale import distinct_rows, group_stats, highest, latest_per_key, star_rows, with_figures
 
 
 @dataclass
@@ -26,8 +25,8 @@ def star_left_chain(root: DataFrame, edges: Sequence[Edge], select: Sequence[str
     """Chained left equi joins, one projection, copies dropped once.
 
     With ``distinct`` an edge none of whose columns are needed later can only repeat rows, so it is not joined.
-    Joins of large tables are dealt by their rows (``functions.scale.star_join``), and so is the comparison of the stored rows
-    that drops copies; joins of smaller ones are left to the planner.
+    Joins of large tables are dealt by their rows and stored a slice at a time (``functions.scale.star_rows``), and so is the comparison
+    of the stored rows that drops copies; joins of smaller ones are left to the planner.
     """
     needed = set(select)
     kept = []
@@ -37,11 +36,10 @@ def star_left_chain(root: DataFrame, edges: Sequence[Edge], select: Sequence[str
             needed |= set(edge.left)
     kept.reverse()
     sides = [(e.df.select(*[c for c in e.df.columns if c in needed or c in e.right or not distinct]), e.left, e.right) for e in kept]
-    out, large = star_join(root, sides)
-    out = out.select(*select)
+    out, large = star_rows(root, sides, select)
     if not distinct:
         return out
-    return distinct_rows(cut(out, "star")) if large else out.distinct()
+    return distinct_rows(out) if large else out.distinct()
 
 
 def pivot_flags(rows: DataFrame, key: str, code: str, value: Column, codes: Mapping[str, str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from crosswalk.functions.scale import distinct_rows
 from crosswalk.operators.checks import expect, expectation_counts
 from crosswalk.operators.reconcile import Edge, star_left_chain
-from crosswalk.session import cut
+from crosswalk.session import stored
 from crosswalk.sources.tables import rename_projection
 
 
@@ -24,8 +24,8 @@ def silver(rows: DataFrame, excluded: Column, drop: Mapping[str, Column]) -> Dat
 
 
 def gold(rows: DataFrame, names: Mapping[str, str], drop: Mapping[str, Column]) -> DataFrame:
-    """Business names, copies dropped, drop rules applied before the copies are compared, which are stored for that."""
-    return distinct_rows(cut(rename_projection(expect(rows, drop), names), "gold"))
+    """Business names, copies dropped, drop rules applied before the copies are compared, which are stored for that unless ``rows`` are."""
+    return distinct_rows(stored(rename_projection(expect(rows, drop), names), "gold"))
 
 
 def quality_report(rows: DataFrame, warn: Mapping[str, Column], drop: Mapping[str, Column]) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +77,27 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_in_turn(parts: Sequence[DataFrame], name: str) -> DataFrame:
+    """Write tables of the same columns one after the other, and go on from the files of all.
+
+    The shuffle files of a table go when it is written, so the disk holds those of one table at a time.
+    """
+    spark, clean = parts[0].sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = scratch_dir(spark, name), spark.conf.get(clean, "false")
+    spark.conf.set(clean, "true")
+    try:
+        for i, df in enumerate(parts):
+            df.write.option("compression", "zstd").parquet(f"{path}/{i}")
+    finally:
+        spark.conf.set(clean, before)
+    return spark.read.schema(parts[0].schema).parquet(*[f"{path}/{i}" for i in range(len(parts))])
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as it is where it only reads, filters and projects Parquet files, so that reading it again is no more than a scan; else ``cut``."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    lines = re.findall(r"^[\s:+-]*(\w+)(.*)$", plan.toString(), re.M)
+    plain = all(node in ("Project", "Filter", "Union") or (node == "Relation" and rest.endswith(" parquet")) for node, rest in lines)
+    return df if plain and plan.deterministic() and "subquery" not in plan.toString() else cut(df, name)

@@ -1,16 +1,18 @@
 """The scaling helpers against plain Spark or plain Python, with hot keys, ties and nulls."""
 
+import pathlib
 import random
 import statistics
+import time
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from crosswalk.functions import scale
-from crosswalk.operators import checks
+from crosswalk.operators import checks, reconcile
 from crosswalk.plans import medallion
-from crosswalk.session import sized_settings
+from crosswalk.session import cut, cut_in_turn, sized_settings, stored
 
 
 @pytest.fixture(scope="module")
@@ -230,3 +232,97 @@ def test_summary_and_gold_compare_rows_in_many_tasks(skewed, rows, small_tasks):
     assert tuple(summary) == (3000, 3000, skewed.select("key").dropna().distinct().count(), low, high)
     empty = checks.table_summary(skewed.limit(0), {"ids": "id", "keys": "key"}, "ts").first()
     assert tuple(empty) == (0, 0, 0, None, None)
+
+
+@pytest.fixture
+def small_slices(small_tasks, monkeypatch):
+    """Tables of more than 1,000 values are cut into slices; what is stored in turn is noted."""
+    monkeypatch.setattr(scale, "SLICE_CELLS", 1000)
+    monkeypatch.setattr(scale, "LIGHT_BYTES", 0)
+    noted = []
+
+    def noting(parts, name):
+        noted.append((name, [p.count() for p in parts]))
+        return cut_in_turn(parts, name)
+
+    monkeypatch.setattr(scale, "cut_in_turn", noting)
+    return noted
+
+
+@pytest.mark.parametrize("kind", ["string", "binary"])
+def test_large_star_is_joined_in_slices_and_equals_plain_joins(spark, skewed, rows, small_slices, monkeypatch, kind):
+    """A hot and a NULL key on the left, repeated keys on the right, a table below one of the sides, and an unneeded column."""
+    left = skewed.select("id", F.col("key").cast(kind).alias("key"), "v", F.lit("wide").alias("unread"))
+    lines = skewed.select(F.col("key").cast(kind).alias("k"), F.length("key").alias("size"), "ts").distinct().filter("k IS NULL OR size <> 3")
+    lines = lines.unionByName(spark.createDataFrame([("hot", 3), ("hot", 3)], "k string, size int").select(F.col("k").cast(kind).alias("k"), "size", F.lit(None).cast("timestamp_ntz").alias("ts")))
+    sizes = spark.createDataFrame([(n, f"size {n}") for n in range(6)], "s int, text string").filter("s <> 4")
+    values = skewed.select(F.col("v").alias("w"), F.concat(F.lit("v"), "v").alias("word")).distinct()
+    want = left.join(lines, left["key"] == lines["k"], "left").join(sizes, F.col("size") == F.col("s"), "left").join(values, F.col("v") == F.col("w"), "left")
+    edges = [reconcile.Edge(lines, ["key"], ["k"]), reconcile.Edge(sizes, ["size"], ["s"]), reconcile.Edge(values, ["v"], ["w"])]
+    columns = ["id", "key", "ts", "text", "word"]
+    got = reconcile.star_left_chain(left, edges, columns, distinct=False)
+    assert rows(got) == rows(want.select(*columns)) and got.columns == columns
+    name, parts = small_slices[0]
+    assert name == "star" and len(parts) == 8 and sum(parts) == got.count() and max(parts) < sum(parts) / 4
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    once = reconcile.star_left_chain(left, edges, ["key", "text", "word"])
+    assert rows(once) == rows(want.select("key", "text", "word").distinct())
+    monkeypatch.setattr(scale, "LIGHT_BYTES", 10_000_000)
+    assert rows(reconcile.star_left_chain(left, edges, columns, distinct=False)) == rows(got)
+
+
+def test_large_star_with_equal_names_equals_plain_joins(skewed, rows, small_slices):
+    other = skewed.select("id", F.col("v").alias("w"))
+    want = skewed.join(other, skewed["id"] == other["id"], "left").select("key", "v", "w")
+    got = reconcile.star_left_chain(skewed, [reconcile.Edge(other, ["id"], ["id"])], ["key", "v", "w"], distinct=False)
+    assert rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("again", [0, 3, 500, 3000])
+def test_distinct_rows_of_large_tables(skewed, rows, small_slices, monkeypatch, again):
+    """No copies, copies of few and of more rows, and of all; rows that differ and have one hash are kept."""
+    monkeypatch.setattr(scale, "SMALL_ROWS", 10)
+    one = skewed.select("id", "key", "v", F.when(F.col("id") == 1, 7).alias("a"), F.when(F.col("id") == 2, 7).alias("b"), F.lit(0).alias("zero"))
+    apart = one.filter("id IN (1, 2)").withColumns({"id": F.lit(-1), "key": F.lit("k"), "v": F.lit(0)})  # NULLs are passed over, so these have the same hash
+    many = one.unionByName(apart) if again else one
+    assert apart.select(F.xxhash64(*apart.columns)).distinct().count() == 1
+    table = cut(many.union(many.filter(F.col("id") < again)), "rows")
+    got = scale.distinct_rows(table)
+    assert rows(got) == rows(many)
+    names = [name for name, _ in small_slices]
+    assert names == {0: ["shared-hashes"], 3: ["shared-hashes"], 500: ["shared-hashes", "distinct"], 3000: ["distinct"]}[again]
+    assert all(max(parts) < 1000 for name, parts in small_slices if name == "distinct")
+    assert (got is table) == (again == 0)
+
+
+def test_shuffle_files_go_when_a_part_is_stored(spark, skewed, rows):
+    folders = [pathlib.Path(str(d)) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    files = lambda: {f for d in folders for f in d.rglob("shuffle_*.data")}
+    before, setting = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    got = cut_in_turn([skewed.filter(F.col("id") % 2 == i).repartition(5, "id") for i in range(2)], "halves")
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and rows(got) == rows(skewed)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    skewed.repartition(5, "id").write.format("noop").mode("overwrite").save()
+    assert files() - before  # the files that a plain write leaves
+
+
+def test_light_tables_are_known_by_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(scale, "LIGHT_BYTES", 1000)
+    short = spark.createDataFrame([(n, "x" * 10) for n in range(20)] + [(20, None)], "n int, t string")
+    assert scale.is_light(short, 21) and not scale.is_light(short.withColumn("t", F.repeat("t", 10)), 21)
+    assert not scale.is_light(short, 40) and not scale.is_light(short.select(F.array("t").alias("a")), 21)
+    assert scale.is_light(short.limit(0), 0) and scale.is_light(short.select("n"), 21)
+
+
+def test_stored_reads_files_as_they_are_and_stores_the_rest(spark, skewed):
+    table = cut(skewed, "rows")
+    plain = table.filter("v > 1").select((F.col("v") + 1).alias("w"))
+    for df in (table, plain, plain.union(plain)):
+        assert stored(df, "again") is df
+    for df in (skewed, plain.distinct(), plain.withColumn("r", F.rand()), plain.join(table, F.col("w") == F.col("v")).select("id", "w"), table.orderBy("id")):
+        again = stored(df, "again")
+        assert again is not df and again.columns == df.columns and again.count() == df.count()
